@@ -25,7 +25,7 @@ INACTIVITY_B = 365
 
 
 def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
-    return df.select(*[F.round(F.col(f.name), places).alias(f.name)
+    return df.select(*[F.round(F.round(F.col(f.name), 9), places).alias(f.name)
                        if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
                        for f in df.schema.fields])
 
@@ -52,4 +52,4 @@ def ev_b(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Load all query modules (they register on import)
-from .queries import q_labels, q_features  # noqa: E402,F401
+from .queries import q_labels, q_features, q_explore  # noqa: E402,F401

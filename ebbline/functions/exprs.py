@@ -79,18 +79,34 @@ def safe_ratio(num, den, zero=0.0) -> Column:
 
 
 # G9 --------------------------------------------------------------------------
-def equal_width_bin(value, lo, step, bins: int = 10) -> Column:
-    """Bin index 0..bins-1 on edges ``lo + i*step``; last bin closed; else null.
-
-    Edges are the same doubles a linspace builds (``i*step + lo``, last edge
-    = ``lo + bins*step`` taken as ``hi``), so assignment is exact, not a
-    floor of a division that may round across an edge.
+def bin_range(lo, hi):
+    """Histogram range of a sample: (min, max), widened by 0.5 each side if equal."""
+    lo, hi = _c(lo), _c(hi)
+    same = lo == hi
+    return (F.when(same, lo - F.lit(0.5)).otherwise(lo).cast("double"),
+            F.when(same, hi + F.lit(0.5)).otherwise(hi).cast("double"))
+
+
+def equal_width_bin(value, lo, hi, bins: int = 10) -> Column:
+    """Bin index 0..bins-1 of ``value`` on ``bins`` equal-width bins over [lo, hi].
+
+    Edges are the doubles a linspace builds: ``e_i = i*step + lo`` with
+    ``step = (hi-lo)/bins`` and ``e_bins = hi``.  Bins are half-open except
+    the last, which is closed; out-of-range values give null.  The index is
+    a floor of the scaled value corrected once against the exact edges, so
+    a value never lands across an edge through rounding.
     """
-    v, lo, step = _c(value), _c(lo), _c(step)
-    hi = lo + F.lit(float(bins)) * step
-    idx = sum((F.when(v >= (F.lit(float(i)) * step + lo), 1).otherwise(0) for i in range(1, bins)),
-              F.lit(0))
-    return F.when((v >= lo) & (v <= hi), idx)
+    v, lo, hi = _c(value).cast("double"), _c(lo), _c(hi)
+    step = (hi - lo) / F.lit(float(bins))
+    top = bins - 1
+
+    def edge(i):
+        return F.when(i >= bins, hi).otherwise(i.cast("double") * step + lo)
+
+    i0 = F.least(F.greatest(F.floor((v - lo) / step), F.lit(0)), F.lit(top)).cast("int")
+    i1 = (F.when(v < edge(i0), i0 - 1).when(v >= edge(i0 + 1), i0 + 1).otherwise(i0))
+    i1 = F.least(F.greatest(i1, F.lit(0)), F.lit(top))
+    return F.when((v >= lo) & (v <= hi), i1)
 
 
 # G10 -------------------------------------------------------------------------

@@ -96,7 +96,13 @@ def with_ev(body: str, adapter: str = "A", extra_ctes: str = "") -> str:
     return f"WITH {cte.strip()}{extra}\n{body}"
 
 
+def R(expr: str, places: int = 6) -> str:
+    """Round to 9 places, then to ``places`` - the same two steps as the Spark side, so a value
+    whose shortest decimal form and exact binary value straddle a half-way point agrees."""
+    return f"CAST(round(CAST(({expr}) AS DECIMAL(38, 9)), {places}) AS DOUBLE)"
+
+
 def rounded(sql: str, cols: list[str], doubles: list[str], places: int = 6) -> str:
     """Wrap ``sql`` selecting ``cols`` with doubles rounded to ``places``."""
-    sel = ", ".join(f"round(CAST({c} AS DOUBLE), {places}) AS {c}" if c in doubles else c for c in cols)
+    sel = ", ".join(f"{R(c, places)} AS {c}" if c in doubles else c for c in cols)
     return f"SELECT {sel} FROM (\n{sql}\n) q_"

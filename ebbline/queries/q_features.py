@@ -8,7 +8,7 @@ from .. import schema as S
 from ..catalog import CUTOFF_A, INACTIVITY_A, ev_a, register
 from ..operators import features as X
 from ..operators import labels as L
-from ..oracle import days, minutes, with_ev
+from ..oracle import R, days, minutes, with_ev
 
 D_US = 86400000000
 
@@ -129,7 +129,7 @@ fm AS (
 def fm_select(rel: str = "fm", places: int | None = 6) -> str:
     def r(c):
         e = f"coalesce(CAST({c} AS DOUBLE), 0.0)"
-        return f"round({e}, {places}) AS {c}" if places else f"{e} AS {c}"
+        return f"{R(e, places)} AS {c}" if places else f"{e} AS {c}"
     return f"SELECT userId, {', '.join(r(c) for c in S.NUMERIC_FEATURES)}, location_state FROM {rel}"
 
 
@@ -144,7 +144,7 @@ register("feature_matrix_nocutoff", feature_matrix_sql(None))(
 
 
 def _group_sql(cols: list[str], cutoff=CUTOFF_A) -> str:
-    sel = ", ".join(f"round(coalesce(CAST({c} AS DOUBLE), 0.0), 6) AS {c}" for c in cols)
+    sel = ", ".join(f"{R(f'coalesce(CAST({c} AS DOUBLE), 0.0)')} AS {c}" for c in cols)
     return with_ev(f"SELECT userId, {sel} FROM fm", "A", feature_ctes(cutoff))
 
 
@@ -161,7 +161,7 @@ for _name, _cols in [("feat_temporal", S.FEATURES_TEMPORAL), ("feat_recent_windo
     register(_name, _group_sql(_cols))(_group_q(_cols))
 
 register("feat_demographics", with_ev(
-    "SELECT userId, " + ", ".join(f"round(coalesce(CAST({c} AS DOUBLE), 0.0), 6) AS {c}"
+    "SELECT userId, " + ", ".join(f"{R(f'coalesce(CAST({c} AS DOUBLE), 0.0)')} AS {c}"
                                    for c in S.FEATURES_DEMOGRAPHIC) + ", location_state FROM fm",
     "A", feature_ctes(CUTOFF_A)))(
     lambda spark, sf: X.feature_matrix(ev_a(spark, sf), CUTOFF_A).select("userId", *S.FEATURES_DEMOGRAPHIC,
@@ -215,7 +215,7 @@ fz AS (SELECT userId, is_churned, """ + ", ".join(f"coalesce(CAST({c} AS DOUBLE)
                                                   for c in S.NUMERIC_FEATURES) + " FROM ts_),"
     ctes = ctes + "\ncc AS (" + _CORR_SQL_UNIONS.replace("FROM ts_", "FROM fz") + ")"
     body = """
-SELECT feature, round(corr, 6) AS corr, rank FROM (
+SELECT feature, CAST(round(CAST(corr AS DECIMAL(38, 15)), 6) AS DOUBLE) AS corr, rank FROM (
   SELECT feature, CASE WHEN isnan(c) THEN NULL ELSE c END AS corr,
          row_number() OVER (ORDER BY abs(round(CASE WHEN isnan(c) THEN NULL ELSE c END, 9)) DESC NULLS LAST,
                                      feature) AS rank

@@ -5,12 +5,12 @@ from pyspark.sql import functions as F
 
 from ..catalog import CUTOFF_A, INACTIVITY_A, INACTIVITY_B, ev_a, ev_b, register  # noqa: F401
 from ..operators import labels as L
-from ..oracle import days, with_ev
+from ..oracle import R, days, with_ev
 
 EXPL = "page IN ('Submit Downgrade', 'Downgrade')"
 
 
-def _labels_sql(n: int, adapter: str = "A") -> str:
+def labels_ctes(n: int) -> str:
     body = f"""
 u AS (
   SELECT userId,
@@ -32,7 +32,7 @@ x AS (
 y AS (
   SELECT *, (first_free > first_paid AND last_activity > first_free AND idle >= {n}) AS sub FROM x)"""
     sel = f"""
-SELECT userId,
+, lab AS (SELECT userId,
   CASE WHEN explicit_ts IS NOT NULL THEN explicit_ts WHEN sub THEN first_free
        WHEN idle >= {n} THEN last_activity END AS churn_timestamp,
   CASE WHEN explicit_ts IS NOT NULL THEN explicit_page END AS churn_event,
@@ -42,8 +42,12 @@ SELECT userId,
   first_activity, last_activity, total_events, primary_level, registration, gender, location,
   {days('last_activity', 'first_activity')} AS activity_span_days,
   {days('last_activity', 'registration')} AS days_since_registration
-FROM y"""
-    return with_ev(sel, adapter, body)
+FROM y)"""
+    return body + sel
+
+
+def _labels_sql(n: int, adapter: str = "A") -> str:
+    return with_ev("SELECT * FROM lab", adapter, labels_ctes(n))
 
 
 register("churn_labels", _labels_sql(INACTIVITY_A))(
@@ -106,8 +110,7 @@ JOIN (SELECT userId, first(level ORDER BY n DESC, level) AS primary_level
       FROM (SELECT userId, level, count(*) AS n FROM ev GROUP BY 1, 2) GROUP BY 1) m USING (userId)"""))(
     lambda spark, sf: L.user_metadata(ev_a(spark, sf)))
 
-_STATS_SQL = _labels_sql(INACTIVITY_A).replace("\nSELECT userId,\n  CASE WHEN explicit_ts", "\n, lab AS (SELECT userId,\n  CASE WHEN explicit_ts", 1)
-_STATS_SQL += """)
+_STATS_SQL = """
 SELECT 'all' AS dimension, CAST(NULL AS VARCHAR) AS value, count(*) AS users,
        CAST(sum(CAST(is_churned AS INTEGER)) AS BIGINT) AS churned,
        sum(CAST(is_churned AS INTEGER)) / count(*) AS churn_rate FROM lab
@@ -120,7 +123,8 @@ SELECT 'primary_level', primary_level, count(*), CAST(sum(CAST(is_churned AS INT
 UNION ALL
 SELECT 'gender', gender, count(*), CAST(sum(CAST(is_churned AS INTEGER)) AS BIGINT),
        sum(CAST(is_churned AS INTEGER)) / count(*) FROM lab GROUP BY gender"""
-_STATS_SQL = f"SELECT dimension, value, users, churned, round(churn_rate, 6) AS churn_rate FROM ({_STATS_SQL}) q_"
+_STATS_SQL = with_ev(f"SELECT dimension, value, users, churned, {R('churn_rate')} AS churn_rate FROM ({_STATS_SQL}) q_",
+                     "A", labels_ctes(INACTIVITY_A))
 
 register("churn_statistics", _STATS_SQL)(
     lambda spark, sf: L.churn_statistics(L.churn_labels(ev_a(spark, sf), INACTIVITY_A)))
