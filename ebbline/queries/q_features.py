@@ -13,13 +13,13 @@ from ..oracle import R, days, minutes, with_ev
 D_US = 86400000000
 
 
-def feature_ctes(cutoff: str | None) -> str:
+def feature_ctes(cutoff: str | None, src: str = "ev") -> str:
     """CTEs ``fm`` (feature matrix, unrounded) over ``ev``.  Straight SQL:
     direct count(DISTINCT) and ordered aggregates, no shared code with Spark."""
     if cutoff:
-        cr = f"SELECT *, TIMESTAMP '{cutoff}' AS cref FROM ev WHERE ts <= TIMESTAMP '{cutoff}'"
+        cr = f"SELECT *, TIMESTAMP '{cutoff}' AS cref FROM {src} WHERE ts <= TIMESTAMP '{cutoff}'"
     else:
-        cr = "SELECT *, max(ts) OVER (PARTITION BY userId) AS cref FROM ev"
+        cr = f"SELECT *, max(ts) OVER (PARTITION BY userId) AS cref FROM {src}"
 
     def back(n):
         return f"make_timestamp(epoch_us(cref) - {n * D_US})"
@@ -72,7 +72,7 @@ ta AS (SELECT userId, max(nd) AS nd,
 fx AS (
   SELECT a.userId, u.*, sa.*, ta.*,
     CASE WHEN len(split(u.loc0, ',')) >= 2 AND u.loc0 <> '' THEN trim(split(u.loc0, ',')[-1]) END AS st
-  FROM (SELECT DISTINCT userId FROM ev) a
+  FROM (SELECT DISTINCT userId FROM {src}) a
   LEFT JOIN u ON u.userId = a.userId LEFT JOIN sa ON sa.userId = a.userId LEFT JOIN ta ON ta.userId = a.userId),
 fm AS (
   SELECT fx.userId AS userId,
