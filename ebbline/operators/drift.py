@@ -18,31 +18,44 @@ from .features import feature_matrix
 from .prep import reference_current_split
 
 REF, CUR = "reference", "current"
-IS_REF = F.col("side") == REF
-IS_CUR = F.col("side") == CUR
+def is_ref() -> F.Column:
+    return F.col("side") == REF
+
+
+def is_cur() -> F.Column:
+    return F.col("side") == CUR
+
+
+def sided_long(df: DataFrame, features: list[str], kind: str = "double") -> DataFrame:
+    """(side, feature, value) from ONE frame that carries a ``side`` column;
+    nulls dropped.  One scan serves both sides and every feature."""
+    cols = [F.col(c).cast(kind) if c in df.columns else F.lit(None).cast(kind) for c in features]
+    st = F.explode(F.arrays_zip(F.array(*[F.lit(c) for c in features]).alias("f"), F.array(*cols).alias("v")))
+    return (df.select("side", st.alias("p"))
+              .select("side", F.col("p.f").alias("feature"), F.col("p.v").alias("value"))
+              .filter(F.col("value").isNotNull()))
 
 
 def to_long(ref: DataFrame, cur: DataFrame, features: list[str], kind: str = "double") -> DataFrame:
-    """Stack both sides: (side, feature, value) with nulls dropped."""
+    """Stack two frames as sides: (side, feature, value) with nulls dropped."""
     def one(df, side):
-        cols = [F.col(c).cast(kind) if c in df.columns else F.lit(None).cast(kind) for c in features]
-        st = F.explode(F.arrays_zip(F.array(*[F.lit(c) for c in features]).alias("f"), F.array(*cols).alias("v")))
-        return df.select(F.lit(side).alias("side"), st.alias("p")).select(
-            "side", F.col("p.f").alias("feature"), F.col("p.v").alias("value"))
-    return one(ref, REF).unionByName(one(cur, CUR)).filter(F.col("value").isNotNull())
+        keep = [c for c in features if c in df.columns]
+        return df.select(*keep).withColumn("side", F.lit(side))
+    both = one(ref, REF).unionByName(one(cur, CUR), allowMissingColumns=True)
+    return sided_long(both, features, kind)
 
 
 def _side_counts(long: DataFrame) -> DataFrame:
-    return long.groupBy("feature").agg(F.count_if(IS_REF).alias("n_ref"), F.count_if(IS_CUR).alias("n_cur"),
-                                       F.avg(F.when(IS_REF, F.col("value"))).alias("ref_mean"),
-                                       F.avg(F.when(IS_CUR, F.col("value"))).alias("new_mean"))
+    return long.groupBy("feature").agg(F.count_if(is_ref()).alias("n_ref"), F.count_if(is_cur()).alias("n_cur"),
+                                       F.avg(F.when(is_ref(), F.col("value"))).alias("ref_mean"),
+                                       F.avg(F.when(is_cur(), F.col("value"))).alias("new_mean"))
 
 
 # D3 / W6 ------------------------------------------------------------------------
 def ks_numeric(long: DataFrame) -> DataFrame:
     """Two-sample KS statistic per feature: max |F_ref(v) - F_cur(v)| over the
     pooled distinct values (empirical CDFs taken with ``<=``)."""
-    counts = long.groupBy("feature", "value").agg(F.count_if(IS_REF).alias("r"), F.count_if(IS_CUR).alias("c"))
+    counts = long.groupBy("feature", "value").agg(F.count_if(is_ref()).alias("r"), F.count_if(is_cur()).alias("c"))
     tot = counts.groupBy("feature").agg(F.sum("r").alias("n_ref"), F.sum("c").alias("n_cur"))
     cum = prefix_sums(counts, "value", ["r", "c"], group="feature")
     cum = cum.join(F.broadcast(tot), "feature")      # one row per feature
@@ -55,9 +68,9 @@ def ks_numeric(long: DataFrame) -> DataFrame:
 # D4 ----------------------------------------------------------------------------
 def mean_shift(long: DataFrame) -> DataFrame:
     """|mean_ref - mean_cur| / std_ref (sample std; 0 or undefined -> 1)."""
-    g = long.groupBy("feature").agg(F.avg(F.when(IS_REF, F.col("value"))).alias("ref_mean"),
-                                    F.avg(F.when(IS_CUR, F.col("value"))).alias("new_mean"),
-                                    F.stddev_samp(F.when(IS_REF, F.col("value"))).alias("ref_std"))
+    g = long.groupBy("feature").agg(F.avg(F.when(is_ref(), F.col("value"))).alias("ref_mean"),
+                                    F.avg(F.when(is_cur(), F.col("value"))).alias("new_mean"),
+                                    F.stddev_samp(F.when(is_ref(), F.col("value"))).alias("ref_std"))
     sd = F.when(F.col("ref_std").isNull() | (F.col("ref_std") == 0) | F.isnan("ref_std"), F.lit(1.0)) \
         .otherwise(F.col("ref_std"))
     return g.withColumn("mean_shift", F.abs(F.col("ref_mean") - F.col("new_mean")) / sd)
@@ -70,8 +83,8 @@ def category_shares(long: DataFrame) -> DataFrame:
     c = long.groupBy("feature", "side", "value").agg(F.count(F.lit(1)).alias("n"))
     tot = c.groupBy("feature", "side").agg(F.sum("n").alias("t"))
     sh = c.join(tot, ["feature", "side"]).withColumn("share", F.col("n") / F.col("t"))
-    ref = sh.filter(IS_REF).select("feature", "value", F.col("share").alias("ref_share"))
-    cur = sh.filter(IS_CUR).select("feature", "value", F.col("share").alias("new_share"))
+    ref = sh.filter(is_ref()).select("feature", "value", F.col("share").alias("ref_share"))
+    cur = sh.filter(is_cur()).select("feature", "value", F.col("share").alias("new_share"))
     j = ref.join(cur, ["feature", "value"], "full_outer")
     return j.select("feature", "value", F.coalesce("ref_share", F.lit(0.001)).alias("ref_share"),
                     F.coalesce("new_share", F.lit(0.001)).alias("new_share"))
@@ -87,15 +100,15 @@ def psi_categorical(long: DataFrame) -> DataFrame:
 def binned_counts(long: DataFrame, bins: int = 10) -> DataFrame:
     """Per feature x bin (all bins present): reference and current counts on
     equal-width bins over the reference range, plus side totals."""
-    rng = long.filter(IS_REF).groupBy("feature").agg(F.min("value").alias("mn"), F.max("value").alias("mx"))
+    rng = long.filter(is_ref()).groupBy("feature").agg(F.min("value").alias("mn"), F.max("value").alias("mx"))
     lo, hi = bin_range(F.col("mn"), F.col("mx"))
     rng = rng.select("feature", lo.alias("lo"), hi.alias("hi"))
-    tot = long.groupBy("feature").agg(F.count_if(IS_REF).alias("n_ref"), F.count_if(IS_CUR).alias("n_cur"))
+    tot = long.groupBy("feature").agg(F.count_if(is_ref()).alias("n_ref"), F.count_if(is_cur()).alias("n_cur"))
     b = (long.join(F.broadcast(rng), "feature")   # one row per feature
              .withColumn("bin", equal_width_bin("value", "lo", "hi", bins))
              .filter(F.col("bin").isNotNull())
-             .groupBy("feature", "bin").agg(F.count_if(IS_REF).alias("ref_count"),
-                                            F.count_if(IS_CUR).alias("cur_count")))
+             .groupBy("feature", "bin").agg(F.count_if(is_ref()).alias("ref_count"),
+                                            F.count_if(is_cur()).alias("cur_count")))
     grid = rng.select("feature", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     g = grid.join(b, ["feature", "bin"], "left").join(tot, "feature")
     return g.select("feature", "bin", F.coalesce("ref_count", F.lit(0)).alias("ref_count"),
@@ -137,20 +150,29 @@ def feature_drift(ref: DataFrame, cur: DataFrame, features: list[str], threshold
     Numeric (bool included) -> KS; other -> categorical PSI; a column absent
     on either side -> 'missing_feature'; no values -> 'insufficient_data'.
     """
-    spark = ref.sparkSession
     present = [f for f in features if f in ref.columns and f in cur.columns]
-    num = [f for f in present if _is_numeric(ref.schema[f].dataType)]
+    both = (ref.select(*present).withColumn("side", F.lit(REF))
+            .unionByName(cur.select(*present).withColumn("side", F.lit(CUR))))
+    return feature_drift_sided(both, features, threshold, present=present)
+
+
+def feature_drift_sided(df: DataFrame, features: list[str], threshold: float = 0.1,
+                        present: list[str] | None = None) -> DataFrame:
+    """:func:`feature_drift` on one frame with a ``side`` column."""
+    spark = df.sparkSession
+    present = present if present is not None else [f for f in features if f in df.columns]
+    num = [f for f in present if _is_numeric(df.schema[f].dataType)]
     cat = [f for f in present if f not in num]
     parts = []
     if num:
-        ln = to_long(ref, cur, num, "double")
+        ln = sided_long(df, num, "double")
         k = ks_numeric(ln).join(_side_counts(ln).drop("n_ref", "n_cur"), "feature")
         parts.append(k.select("feature", F.col("ks_statistic").alias("drift_score"), "n_ref", "n_cur",
                               F.lit("kolmogorov_smirnov").alias("method"), "ref_mean", "new_mean"))
     if cat:
-        lc = to_long(ref, cur, cat, "string")
-        p = psi_categorical(lc).join(lc.groupBy("feature").agg(F.count_if(IS_REF).alias("n_ref"),
-                                                                F.count_if(IS_CUR).alias("n_cur")), "feature")
+        lc = sided_long(df, cat, "string")
+        p = psi_categorical(lc).join(lc.groupBy("feature").agg(F.count_if(is_ref()).alias("n_ref"),
+                                                                F.count_if(is_cur()).alias("n_cur")), "feature")
         parts.append(p.select("feature", F.col("psi").alias("drift_score"), "n_ref", "n_cur",
                               F.lit("population_stability_index").alias("method"),
                               F.lit(None).cast("double").alias("ref_mean"), F.lit(None).cast("double").alias("new_mean")))
@@ -186,7 +208,10 @@ def drift_features_of(df: DataFrame) -> list[str]:
 
 def data_drift_report(ref: DataFrame, cur: DataFrame, threshold: float = 0.1) -> tuple[DataFrame, DataFrame]:
     """(per-feature report, one-row summary)."""
-    rep = feature_drift(ref, cur, drift_features_of(cur), threshold)
+    return drift_summary(feature_drift(ref, cur, drift_features_of(cur), threshold))
+
+
+def drift_summary(rep: DataFrame) -> tuple[DataFrame, DataFrame]:
     summary = rep.agg(
         F.max(F.col("drift_detected").cast("int")).cast("boolean").alias("overall_drift_detected"),
         F.count_if("drift_detected").alias("num_features_with_drift"),
@@ -197,14 +222,18 @@ def data_drift_report(ref: DataFrame, cur: DataFrame, threshold: float = 0.1) ->
 
 
 # D10 ---------------------------------------------------------------------------
-def side_feature_matrices(events: DataFrame, last_data_ts=None, quantile: float = 0.7) -> DataFrame:
+def side_feature_matrices(events: DataFrame, last_data_ts=None, quantile: float = 0.7,
+                          materialize: bool = True) -> DataFrame:
     """Feature matrices (no cutoff) of both sides in ONE plan: the user key is
-    prefixed with the side, so one group-by tree serves both."""
+    prefixed with the side, so one group-by tree serves both.  The result
+    (one row per user and side) is checkpointed when several drift scores
+    read it."""
     s = reference_current_split(events, last_data_ts, quantile)
     keyed = s.withColumn("userId", F.concat_ws("\u0001", "side", "userId")).drop("side")
-    fm = feature_matrix(keyed, None)
+    fm = feature_matrix(keyed, None, materialize=materialize)
     parts = F.split(F.col("userId"), "\u0001")
-    return fm.withColumn("side", parts.getItem(0)).withColumn("userId", parts.getItem(1))
+    out = fm.withColumn("side", parts.getItem(0)).withColumn("userId", parts.getItem(1))
+    return out.checkpoint(eager=True) if materialize else out
 
 
 def engineered_drift(events: DataFrame, last_data_ts=None, quantile: float = 0.7, k: int = 10,
@@ -256,9 +285,9 @@ def concept_drift(scored: DataFrame, label: str = "is_churned", prob: str = "chu
 # D12 ---------------------------------------------------------------------------
 def event_rate_proxy(split_events: DataFrame, threshold: float = 0.1) -> DataFrame:
     """Events per distinct user on each side and the relative change."""
-    ev = split_events.groupBy().agg(F.count_if(IS_REF).alias("ref_events"), F.count_if(IS_CUR).alias("cur_events"))
+    ev = split_events.groupBy().agg(F.count_if(is_ref()).alias("ref_events"), F.count_if(is_cur()).alias("cur_events"))
     us = (split_events.select("side", "userId").distinct().groupBy()
-          .agg(F.count_if(IS_REF).alias("ref_users"), F.count_if(IS_CUR).alias("cur_users")))
+          .agg(F.count_if(is_ref()).alias("ref_users"), F.count_if(is_cur()).alias("cur_users")))
     j = ev.crossJoin(us)
     rr = F.when(F.col("ref_events") > 0, F.col("ref_events") / F.col("ref_users")).otherwise(F.lit(0.0))
     cr = F.when(F.col("cur_events") > 0, F.col("cur_events") / F.col("cur_users")).otherwise(F.lit(0.0))

@@ -18,7 +18,8 @@ from ..functions import (bin_range, days_between_floor, equal_width_bin, extract
 from .labels import dataset_end
 from .prep import complete_songs, contains_downgrade
 
-SONG = F.col("page") == "NextSong"
+def _song() -> F.Column:
+    return F.col("page") == "NextSong"
 
 
 def _count_distinct(df: DataFrame, col: str, alias: str) -> DataFrame:
@@ -29,7 +30,7 @@ def _count_distinct(df: DataFrame, col: str, alias: str) -> DataFrame:
 # A1 ----------------------------------------------------------------------------
 def data_overview(df: DataFrame) -> DataFrame:
     base = df.agg(F.count(F.lit(1)).alias("total_events"), F.min("ts").alias("start"), F.max("ts").alias("end"),
-                  F.count_if(SONG).alias("song_events"))
+                  F.count_if(_song()).alias("song_events"))
     out = base.crossJoin(_count_distinct(df, "userId", "unique_users"))
     if "sessionId" in df.columns:
         out = out.crossJoin(_count_distinct(df, "sessionId", "unique_sessions"))
@@ -212,7 +213,7 @@ def user_ratings(df: DataFrame) -> DataFrame:
 # A21-A24 + J10 ---------------------------------------------------------------------
 def _by_time_key(df: DataFrame, key: F.Column, name: str, sessions: bool = False) -> DataFrame:
     d = df.withColumn(name, key)
-    ev = d.groupBy(name).agg(F.count(F.lit(1)).alias("total_events"), F.count_if(SONG).alias("song_plays"))
+    ev = d.groupBy(name).agg(F.count(F.lit(1)).alias("total_events"), F.count_if(_song()).alias("song_plays"))
     users = (d.select(name, "userId").distinct().groupBy(name).agg(F.count(F.lit(1)).alias("unique_users")))
     out = ev.join(users, name)
     if sessions:
@@ -267,7 +268,7 @@ def session_summary(df: DataFrame) -> DataFrame:
     s = (df.filter(F.col("sessionId").isNotNull()).groupBy("sessionId")
            .agg(F.count(F.lit(1)).alias("events_count"), F.min("ts").alias("start_time"),
                 F.max("ts").alias("end_time"), first_value_struct(None, "userId")["userId"].alias("userId"),
-                F.count_if(SONG).alias("songs_played")))
+                F.count_if(_song()).alias("songs_played")))
     return s.withColumn("duration_minutes", minutes_between("start_time", "end_time"))
 
 

@@ -2,16 +2,18 @@
 
 Plan shape (no per-user loop, no multi-distinct Expand):
 
-* ``base``  = events after the cutoff filter, each with its reference time
-  ``cref`` (the cutoff literal, or the user's own max ts - W4);
-* user grain: one ``groupBy(userId)`` with conditional aggregates;
-* fine grain ``(userId, date, sessionId)``: counts, songs, min/max ts - it
-  feeds both the session grain (X6, sessions_last_N) and the day grain
-  (X10, days_active_last_N), so the events are shuffled for it once;
-* distinct artists/songs: ``(userId, kind, value)`` pairs, then counted.
-
-All partial aggregates combine map-side, so a user holding a large share of
-the log does not become one task.  Everything joins on ``userId``.
+* ``base`` = events up to the cutoff, each with its reference time ``cref``
+  (the cutoff literal, or the user's own max ts - W4, an aggregate joined
+  back);
+* ONE pass over the events: partial aggregates per fine key
+  (userId, date, sessionId, page, level) - counts, min/max ts, first/last
+  row structs, song length sums, recent-window counts;
+* the user, session and day grains are aggregated from that small table;
+* distinct artists/songs: (userId, kind, value) pairs, then counted.
+
+Every aggregate combines map-side before its shuffle, so a user holding a
+large share of the log does not become one task.  All grains are keyed by
+userId and joined on it.
 """
 from __future__ import annotations
 
@@ -21,9 +23,11 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions import (add_days, days_between_floor, first_value_struct, greatest1, last_value_struct,
                          location_state, minutes_between)
+from ..session import ensure_checkpoint_dir
 from .prep import contains_downgrade, temporal_cutoff
 
-SONG = F.col("page") == "NextSong"
+def _song() -> F.Column:
+    return F.col("page") == "NextSong"
 
 
 def _back(days: int) -> F.Column:
@@ -45,49 +49,66 @@ def with_reference_time(df: DataFrame, cutoff=None) -> DataFrame:
     return user_max_broadcast(cut)
 
 
-# user grain (X1 parts, X2 events, X3, X4 inputs, X5 means, X7-X9, X11, X12) ------
-def _user_grain(base: DataFrame) -> DataFrame:
+
+# fine grain: the one pass over the events ------------------------------------------
+FINE_KEYS = ["userId", "date", "sessionId", "page", "level"]
+
+
+def _fine_grain(base: DataFrame) -> DataFrame:
+    """Partial aggregates per (userId, date, sessionId, page, level).
+
+    Every coarser grain (user, session, day) is derived from this table, so
+    the events are scanned and shuffled once; map-side combining shrinks
+    them to at most one row per key per task before the shuffle, which also
+    spreads a hot user over many keys.
+    """
+    d = base.withColumn("date", F.to_date("ts"))
+    aggs = [F.count(F.lit(1)).alias("c"), F.min("ts").alias("tmin"), F.max("ts").alias("tmax"),
+            F.max("cref").alias("cref"),
+            first_value_struct(None, "registration", "gender", "location").alias("first_row"),
+            F.min(F.struct(F.col("ts").alias("o_ts"), F.col("event_id").alias("o_id"))).alias("first_key"),
+            F.max(F.struct(F.col("ts").alias("o_ts"), F.col("event_id").alias("o_id"))).alias("last_key"),
+            F.sum("length").alias("len_sum"), F.count("length").alias("len_cnt")]
+    for n in sorted(set(S.RECENT_WINDOWS) | set(S.DECLINE_WINDOWS)):
+        aggs.append(F.count_if(F.col("ts") >= _back(n)).alias(f"_e{n}"))
+    return d.groupBy(*FINE_KEYS).agg(*aggs)
+
+
+def _user_grain(fine: DataFrame) -> DataFrame:
+    page, level, c = F.col("page"), F.col("level"), F.col("c")
+    paid, free, dg = level == "paid", level == "free", contains_downgrade()
     aggs = [
         F.max("cref").alias("cref"),
-        F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
-        F.count(F.lit(1)).alias("n"),
-        first_value_struct(None, "registration", "gender", "location").alias("first_row"),
-        last_value_struct(None, "level").alias("last_row"),
+        F.min("tmin").alias("first_ts"), F.max("tmax").alias("last_ts"),
+        F.sum("c").alias("n"),
+        F.min("first_row").alias("first_row"),
+        F.max(F.struct(F.col("last_key").alias("k"), level.alias("level"))).alias("last_row"),
     ]
-    for n in S.RECENT_WINDOWS + [d for d in S.DECLINE_WINDOWS if d not in S.RECENT_WINDOWS]:
-        aggs.append(F.count_if(F.col("ts") >= _back(n)).alias(f"_e{n}"))
-    for name, page in S.PAGE_COUNT_FEATURES:
-        aggs.append(F.count_if(F.col("page") == page).alias(name))
+    aggs += [F.sum(f"_e{n}").alias(f"_e{n}") for n in sorted(set(S.RECENT_WINDOWS) | set(S.DECLINE_WINDOWS))]
+    aggs += [F.coalesce(F.sum(F.when(page == p, c)), F.lit(0)).alias(name) for name, p in S.PAGE_COUNT_FEATURES]
+    song = page == "NextSong"
     aggs += [
-        F.avg(F.when(SONG, F.col("length"))).alias("avg_song_length"),
-        F.coalesce(F.sum(F.when(SONG, F.col("length"))), F.lit(0.0)).alias("total_listening_time"),
+        F.try_divide(F.sum(F.when(song, F.col("len_sum"))), F.sum(F.when(song, F.col("len_cnt")))
+                     .cast("double")).alias("avg_song_length"),
+        F.coalesce(F.sum(F.when(song, F.col("len_sum"))), F.lit(0.0)).alias("total_listening_time"),
         F.size(F.collect_set("level")).alias("_nlevels"),   # bounded by the level domain
-        F.count_if(F.col("level") == "paid").alias("events_as_paid"),
-        F.count_if(F.col("level") == "free").alias("events_as_free"),
-        F.min(F.when(F.col("level") == "paid", F.col("ts"))).alias("_pmin"),
-        F.max(F.when(F.col("level") == "paid", F.col("ts"))).alias("_pmax"),
-        F.min(F.when(F.col("level") == "free", F.col("ts"))).alias("_fmin"),
-        F.max(F.when(F.col("level") == "free", F.col("ts"))).alias("_fmax"),
-        first_value_struct(F.col("level") == "paid").alias("_pfirst"),
-        first_value_struct(F.col("level") == "free").alias("_ffirst"),
-        F.count_if(contains_downgrade()).alias("downgrade_events"),
-        F.max(F.when(contains_downgrade(), F.col("ts"))).alias("_dglast"),
+        F.coalesce(F.sum(F.when(paid, c)), F.lit(0)).alias("events_as_paid"),
+        F.coalesce(F.sum(F.when(free, c)), F.lit(0)).alias("events_as_free"),
+        F.min(F.when(paid, F.col("tmin"))).alias("_pmin"), F.max(F.when(paid, F.col("tmax"))).alias("_pmax"),
+        F.min(F.when(free, F.col("tmin"))).alias("_fmin"), F.max(F.when(free, F.col("tmax"))).alias("_fmax"),
+        F.min(F.when(paid, F.col("first_key"))).alias("_pfirst"),
+        F.min(F.when(free, F.col("first_key"))).alias("_ffirst"),
+        F.coalesce(F.sum(F.when(dg, c)), F.lit(0)).alias("downgrade_events"),
+        F.max(F.when(dg, F.col("tmax"))).alias("_dglast"),
     ]
-    return base.groupBy("userId").agg(*aggs)
-
-
-# fine grain -> session grain and day grain -----------------------------------------
-def _fine_grain(base: DataFrame) -> DataFrame:
-    return (base.withColumn("date", F.to_date("ts"))
-                .groupBy("userId", "date", "sessionId")
-                .agg(F.count(F.lit(1)).alias("c"), F.count_if(SONG).alias("songs"),
-                     F.min("ts").alias("tmin"), F.max("ts").alias("tmax"), F.max("cref").alias("cref")))
+    return fine.groupBy("userId").agg(*aggs)
 
 
 def _session_grain(fine: DataFrame) -> DataFrame:
     ses = (fine.filter(F.col("sessionId").isNotNull())
                .groupBy("userId", "sessionId")
-               .agg(F.min("tmin").alias("smin"), F.max("tmax").alias("smax"), F.sum("songs").alias("ssongs"),
+               .agg(F.min("tmin").alias("smin"), F.max("tmax").alias("smax"),
+                    F.sum(F.when(F.col("page") == "NextSong", F.col("c")).otherwise(0)).alias("ssongs"),
                     F.max("cref").alias("cref")))
     dur = minutes_between("smin", "smax")
     aggs = [F.count(F.lit(1)).alias("unique_sessions"),
@@ -101,7 +122,8 @@ def _session_grain(fine: DataFrame) -> DataFrame:
 
 def _day_grain(fine: DataFrame, window_days: int = S.TREND_WINDOW_DAYS) -> DataFrame:
     day = (fine.groupBy("userId", "date")
-               .agg(F.sum("c").alias("de"), F.count("sessionId").alias("ds"), F.sum("songs").alias("dsg"),
+               .agg(F.sum("c").alias("de"), F.count_distinct("sessionId").alias("ds"),
+                    F.sum(F.when(F.col("page") == "NextSong", F.col("c")).otherwise(0)).alias("dsg"),
                     F.max("tmax").alias("dmax"), F.max("cref").alias("cref")))
     # rows per user = active days (bounded by the calendar, not by the data volume)
     w = W.partitionBy("userId")
@@ -123,7 +145,7 @@ def _day_grain(fine: DataFrame, window_days: int = S.TREND_WINDOW_DAYS) -> DataF
 
 
 def _distinct_grain(base: DataFrame) -> DataFrame:
-    pairs = (base.filter(SONG)
+    pairs = (base.filter(_song())
                  .select("userId", F.explode(F.array(
                      F.struct(F.lit("a").alias("k"), F.col("artist").alias("v")),
                      F.struct(F.lit("s").alias("k"), F.col("song").alias("v")))).alias("p"))
@@ -184,17 +206,22 @@ def _user_features(u: DataFrame) -> DataFrame:
 
 
 # X13 ---------------------------------------------------------------------------
-def feature_matrix(events: DataFrame, cutoff=None) -> DataFrame:
+def feature_matrix(events: DataFrame, cutoff=None, materialize: bool = True) -> DataFrame:
     """One row per user of the *uncut* log: userId, 64 doubles, location_state.
 
     A user without events up to the cutoff gets all zeros (state null).
+    With ``materialize`` the fine-grain table is checkpointed (reliable
+    checkpoint in ``spark.checkpoint.dir``) so its three consumers read it
+    instead of each re-scanning and re-shuffling the events.
     """
-    base = with_reference_time(events, cutoff)
-    u = _user_features(_user_grain(base))
-    fine = _fine_grain(base)
+    fine = _fine_grain(with_reference_time(events, cutoff))
+    if materialize:
+        ensure_checkpoint_dir(events.sparkSession)
+        fine = fine.checkpoint(eager=True)
+    u = _user_features(_user_grain(fine))
     ses = _session_grain(fine)
     day = _day_grain(fine)
-    dist = _distinct_grain(base)
+    dist = _distinct_grain(temporal_cutoff(events, cutoff))
     users = events.select("userId").distinct()
     m = (users.join(u, "userId", "left").join(ses, "userId", "left").join(day, "userId", "left")
               .join(dist, "userId", "left"))
@@ -203,8 +230,7 @@ def feature_matrix(events: DataFrame, cutoff=None) -> DataFrame:
           .withColumn("artist_diversity", F.when(songs > 0, F.coalesce("unique_artists", F.lit(0)) / songs))
           .withColumn("song_diversity", F.when(songs > 0, F.coalesce("unique_songs", F.lit(0)) / songs))
           .withColumn("unique_artists", F.when(songs > 0, F.coalesce("unique_artists", F.lit(0))))
-          .withColumn("unique_songs", F.when(songs > 0, F.coalesce("unique_songs", F.lit(0))))
-          .withColumn("avg_events_per_session", F.when(F.col("n").isNotNull(), F.col("avg_events_per_session"))))
+          .withColumn("unique_songs", F.when(songs > 0, F.coalesce("unique_songs", F.lit(0)))))
     feats = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in S.NUMERIC_FEATURES]
     return m.select("userId", *feats, "location_state")
 

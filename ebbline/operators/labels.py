@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions import days_between_floor, first_value_struct
 
-EXPLICIT = F.col("page").isin(S.EXPLICIT_CHURN_PAGES)
+def _explicit() -> F.Column:
+    return F.col("page").isin(S.EXPLICIT_CHURN_PAGES)
 
 
 # J7 ----------------------------------------------------------------------------
@@ -29,7 +30,7 @@ def with_dataset_end(users: DataFrame, events: DataFrame) -> DataFrame:
 # A7 ----------------------------------------------------------------------------
 def explicit_churn(df: DataFrame) -> DataFrame:
     first = first_value_struct(None, "page")
-    return (df.filter(EXPLICIT).groupBy("userId")
+    return (df.filter(_explicit()).groupBy("userId")
               .agg(F.min("ts").alias("churn_timestamp"), first["page"].alias("churn_event"))
               .withColumn("churn_type", F.lit("explicit")))
 
@@ -90,9 +91,9 @@ LABEL_COLUMNS = ["userId", "churn_timestamp", "churn_event", "churn_type", "is_c
 # A10 ---------------------------------------------------------------------------
 def churn_labels(df: DataFrame, inactivity_days: int = 30) -> DataFrame:
     """One pass: per-user aggregate + dataset end, priority by ``coalesce``."""
-    first_expl = first_value_struct(EXPLICIT, "page")
+    first_expl = first_value_struct(_explicit(), "page")
     agg = df.groupBy("userId").agg(
-        F.min(F.when(EXPLICIT, F.col("ts"))).alias("explicit_ts"),
+        F.min(F.when(_explicit(), F.col("ts"))).alias("explicit_ts"),
         first_expl["page"].alias("explicit_page"),
         F.min(F.when(F.col("level") == "paid", F.col("ts"))).alias("first_paid"),
         F.min(F.when(F.col("level") == "free", F.col("ts"))).alias("first_free"),

@@ -44,14 +44,20 @@ def temporal_cutoff(df: DataFrame, cutoff=None) -> DataFrame:
     """Keep ``ts <= cutoff`` (inclusive; a date means its midnight)."""
     if cutoff is None:
         return df
-    return df.filter(F.col("ts") <= F.lit(cutoff).cast("timestamp"))
+    out = df.filter(F.col("ts") <= F.lit(cutoff).cast("timestamp"))
+    if "event_date" in df.columns:   # partition pruning on the canonical table
+        out = out.filter(F.col("event_date") <= F.to_date(F.lit(cutoff).cast("timestamp")))
+    return out
 
 
 # F2 ----------------------------------------------------------------------------
 def incremental_events(df: DataFrame, last_data_ts=None, lookback_days: int = 7) -> DataFrame:
     """Events after the last training data; without one, the last 7 days (strict)."""
     if last_data_ts is not None:
-        return df.filter(F.col("ts") > F.lit(last_data_ts).cast("timestamp"))
+        out = df.filter(F.col("ts") > F.lit(last_data_ts).cast("timestamp"))
+        if "event_date" in df.columns:   # partition pruning on the canonical table
+            out = out.filter(F.col("event_date") >= F.to_date(F.lit(last_data_ts).cast("timestamp")))
+        return out
     end = df.agg(F.max("ts").alias("_end"))
     return (df.crossJoin(F.broadcast(end))  # one row by construction
               .filter(F.col("ts") > add_days(F.col("_end"), -lookback_days)).drop("_end"))

@@ -64,7 +64,7 @@ _EV_COLS = ["event_id", "userId", "ts", "registration", "sessionId", "page", "le
             "location", "artist", "song", "length"]
 register("missing_values", with_ev(" UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS nulls FROM ev" for c in _EV_COLS)))(
-    lambda spark, sf: E.missing_values(ev_a(spark, sf)))
+    lambda spark, sf: E.missing_values(ev_a(spark, sf).select(*_EV_COLS)))
 
 
 # A5 ----------------------------------------------------------------------------

@@ -168,7 +168,7 @@ def _raw_long(spark, sf):
     ev = read_table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp")) \
         .withColumn("k", F.get_json_object("props", "$.k").cast("double"))
     s = reference_current_split(ev)
-    return D.to_long(s.filter(D.IS_REF), s.filter(D.IS_CUR), ["value", "k"])
+    return D.to_long(s.filter(D.is_ref()), s.filter(D.is_cur()), ["value", "k"])
 
 
 def _raw_sql(body, extra=""):
@@ -196,7 +196,7 @@ FROM (SELECT feature, avg(v) FILTER (WHERE side = 'reference') AS ref_mean, avg(
 def _cat_long(spark, sf):
     ev = read_table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     s = reference_current_split(ev)
-    return D.to_long(s.filter(D.IS_REF), s.filter(D.IS_CUR), ["event_type"], "string")
+    return D.to_long(s.filter(D.is_ref()), s.filter(D.is_cur()), ["event_type"], "string")
 
 
 PSI_CAT_SQL = """
@@ -277,8 +277,7 @@ register("engineered_drift_retrain", with_ev(
 
 def _fd(spark, sf):
     fm = D.side_feature_matrices(ev_a(spark, sf))
-    ref, cur = fm.filter(D.IS_REF).drop("side"), fm.filter(D.IS_CUR).drop("side")
-    return ref, cur
+    return D.feature_drift_sided(fm, S.FEATURE_COLUMNS)
 
 
 _LGALL = "lgall AS (" + " UNION ALL ".join(
@@ -296,12 +295,12 @@ fdr AS (
 register("feature_drift", with_ev(
     f"SELECT feature, {R('drift_score')} AS drift_score, drift_detected, method, {R('ref_mean')} AS ref_mean, "
     f"{R('new_mean')} AS new_mean FROM fdr", "A", FD_CTES))(
-    lambda spark, sf: D.feature_drift(*_fd(spark, sf), S.FEATURE_COLUMNS))
+    _fd)
 register("data_drift_report", with_ev(f"""
 SELECT bool_or(drift_detected) AS overall_drift_detected, count(*) FILTER (WHERE drift_detected) AS num_features_with_drift,
   coalesce(list_sort(list(feature) FILTER (WHERE drift_detected)), []) AS features_with_drift,
   {R('coalesce(max(drift_score), 0.0)')} AS max_drift_score, {R('coalesce(avg(drift_score), 0.0)')} AS avg_drift_score
-FROM fdr""", "A", FD_CTES))(lambda spark, sf: D.data_drift_report(*_fd(spark, sf))[1])
+FROM fdr""", "A", FD_CTES))(lambda spark, sf: D.drift_summary(_fd(spark, sf))[1])
 
 register("event_rate_proxy", with_ev(f"""
 SELECT {R('rr')} AS reference_event_rate, {R('cr')} AS current_event_rate, {R('ch')} AS event_rate_change,

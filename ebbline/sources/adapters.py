@@ -106,17 +106,29 @@ def order_events(orders: DataFrame, customer: DataFrame) -> DataFrame:
     )
 
 
-def load_activity_events(spark: SparkSession, sf_dir: str, clean: bool = True) -> DataFrame:
-    ev = activity_events(read_table(spark, sf_dir, "events"), read_table(spark, sf_dir, "customer"))
-    if clean:
-        from ..operators.prep import fill_unknown
-        ev = fill_unknown(ev)
-    return ev
-
-
-def load_order_events(spark: SparkSession, sf_dir: str, clean: bool = True) -> DataFrame:
-    ev = order_events(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "customer"))
-    if clean:
-        from ..operators.prep import fill_unknown
-        ev = fill_unknown(ev)
-    return ev
+def _sf(sf_dir: str, *names: str) -> list[str]:
+    return [f"{sf_dir.rstrip('/')}/{n}.parquet" for n in names]
+
+
+def load_activity_events(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
+    """Cleaned canonical events of adapter A (materialized once, then read)."""
+    from ..operators.prep import fill_unknown
+    from .canonical import canonical_events
+
+    def build():
+        return fill_unknown(activity_events(read_table(spark, sf_dir, "events"), read_table(spark, sf_dir, "customer")))
+    if not materialize:
+        return build()
+    return canonical_events(spark, _sf(sf_dir, "events", "customer"), build, "activity")
+
+
+def load_order_events(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
+    """Cleaned canonical events of adapter B (materialized once, then read)."""
+    from ..operators.prep import fill_unknown
+    from .canonical import canonical_events
+
+    def build():
+        return fill_unknown(order_events(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "customer")))
+    if not materialize:
+        return build()
+    return canonical_events(spark, _sf(sf_dir, "orders", "customer"), build, "orders")
