@@ -52,4 +52,4 @@ def ev_b(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Load all query modules (they register on import)
-from .queries import q_labels, q_features, q_explore, q_metrics  # noqa: E402,F401
+from .queries import q_labels, q_features, q_explore, q_metrics, q_ml  # noqa: E402,F401

@@ -21,13 +21,19 @@ def _num_partitions(df: DataFrame) -> int:
         return 8
 
 
-def prefix_sums(df: DataFrame, order_col: str, sum_cols: list[str], group: str | None = None,
+def prefix_sums(df: DataFrame, order_col, sum_cols: list[str], group: str | None = None,
                 descending: bool = False, num_partitions: int | None = None, prefix: str = "cum_") -> DataFrame:
     """Add ``cum_<c>`` = sum of ``c`` over rows up to and including this one,
-    in ``order_col`` order (within ``group`` if given)."""
+    in ``order_col`` order (within ``group`` if given).
+
+    ``order_col`` is a column name or a list of sort Columns (a total order
+    over the rows, e.g. ending in a unique id)."""
     n = num_partitions or _num_partitions(df)
-    okey = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    keys = ([F.col(group).asc()] if group else []) + [okey]
+    if isinstance(order_col, str):
+        okeys = [F.col(order_col).desc() if descending else F.col(order_col).asc()]
+    else:
+        okeys = list(order_col)
+    keys = ([F.col(group).asc()] if group else []) + okeys
     r = df.repartitionByRange(n, *keys).withColumn("_pid", F.spark_partition_id())
     gcols = ["_pid"] + ([group] if group else [])
     tot = r.groupBy(*gcols).agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
@@ -35,7 +41,13 @@ def prefix_sums(df: DataFrame, order_col: str, sum_cols: list[str], group: str |
         .rowsBetween(W.unboundedPreceding, -1)
     off = tot.select(*gcols, *[F.coalesce(F.sum(f"_t_{c}").over(wt), F.lit(0)).alias(f"_o_{c}") for c in sum_cols])
     r = r.join(F.broadcast(off), gcols)     # rows = partitions x groups
-    wp = W.partitionBy(*gcols).orderBy(okey).rowsBetween(W.unboundedPreceding, W.currentRow)
+    wp = W.partitionBy(*gcols).orderBy(*okeys).rowsBetween(W.unboundedPreceding, W.currentRow)
     for c in sum_cols:
         r = r.withColumn(f"{prefix}{c}", F.sum(c).over(wp) + F.col(f"_o_{c}"))
     return r.drop("_pid", *[f"_o_{c}" for c in sum_cols])
+
+
+def global_row_index(df: DataFrame, order: list, out: str = "idx") -> DataFrame:
+    """0-based position of each row in a total order, without a single-task window."""
+    r = prefix_sums(df.withColumn("_one", F.lit(1)), order, ["_one"])
+    return r.withColumn(out, F.col("cum__one") - 1).drop("_one", "cum__one")

@@ -56,7 +56,8 @@ def incremental_events(df: DataFrame, last_data_ts=None, lookback_days: int = 7)
     if last_data_ts is not None:
         out = df.filter(F.col("ts") > F.lit(last_data_ts).cast("timestamp"))
         if "event_date" in df.columns:   # partition pruning on the canonical table
-            out = out.filter(F.col("event_date") >= F.to_date(F.lit(last_data_ts).cast("timestamp")))
+            # partitions hold event_date <= to_date(ts) (a day or a month start)
+            out = out.filter(F.col("event_date") >= F.trunc(F.to_date(F.lit(last_data_ts).cast("timestamp")), "month"))
         return out
     end = df.agg(F.max("ts").alias("_end"))
     return (df.crossJoin(F.broadcast(end))  # one row by construction

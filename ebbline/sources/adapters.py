@@ -131,4 +131,12 @@ def load_order_events(spark: SparkSession, sf_dir: str, materialize: bool = True
         return fill_unknown(order_events(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "customer")))
     if not materialize:
         return build()
-    return canonical_events(spark, _sf(sf_dir, "orders", "customer"), build, "orders")
+    return canonical_events(spark, _sf(sf_dir, "orders", "customer"), build, "orders", granularity="month")
+
+
+def activity_events_path(spark: SparkSession, sf_dir: str) -> str:
+    """Path of the materialized adapter-A table (built if needed)."""
+    from ..operators.prep import fill_unknown
+    from .canonical import ensure_canonical
+    return ensure_canonical(spark, _sf(sf_dir, "events", "customer"), lambda: fill_unknown(
+        activity_events(read_table(spark, sf_dir, "events"), read_table(spark, sf_dir, "customer"))), "activity")

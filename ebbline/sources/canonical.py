@@ -45,12 +45,19 @@ def _fingerprint(spark: SparkSession, paths: list[str]) -> str:
     return h.hexdigest()[:16]
 
 
-def write_events(df: DataFrame, path: str, num_partitions: int | None = None) -> None:
-    """Write canonical events partitioned by ``event_date`` (atomic: temp + rename)."""
+def write_events(df: DataFrame, path: str, num_partitions: int | None = None, granularity: str = "day") -> None:
+    """Write canonical events partitioned by ``event_date`` (atomic: temp + rename).
+
+    ``granularity`` 'day' stores the event's date, 'month' the first day of
+    its month (for sparse logs, so partitions do not shrink to a few rows).
+    Either way ``event_date <= to_date(ts)`` holds, which is all the pruning
+    predicates rely on.
+    """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
     tmp = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
-    out = df.select(*S.EVENT_SCHEMA.fieldNames()).withColumn("event_date", F.to_date("ts"))
+    part = F.to_date("ts") if granularity == "day" else F.trunc(F.to_date("ts"), "month")
+    out = df.select(*S.EVENT_SCHEMA.fieldNames()).withColumn("event_date", part)
     (out.repartitionByRange(n, "event_date", "userId", "event_id")
         .sortWithinPartitions("event_date", "userId", "ts", "event_id")
         .write.mode("overwrite").partitionBy("event_date").parquet(tmp))
@@ -66,11 +73,16 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select(*S.EVENT_SCHEMA.fieldNames(), "event_date")
 
 
-def canonical_events(spark: SparkSession, inputs: list[str], build, name: str) -> DataFrame:
-    """Read the canonical table for ``inputs``; build and write it first if
+def ensure_canonical(spark: SparkSession, inputs: list[str], build, name: str, granularity: str = "day") -> str:
+    """Path of the canonical table for ``inputs``; built and written first if
     it does not exist yet.  ``build()`` returns the canonical DataFrame."""
     key = _fingerprint(spark, inputs)
     path = shared_path(spark, f"canonical/{name}-{key}")
     if not path_exists(spark, path):
-        write_events(build(), path)
-    return read_events(spark, path)
+        write_events(build(), path, granularity=granularity)
+    return path
+
+
+def canonical_events(spark: SparkSession, inputs: list[str], build, name: str,
+                     granularity: str = "day") -> DataFrame:
+    return read_events(spark, ensure_canonical(spark, inputs, build, name, granularity))
