@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..operators import dataset as DS
 from ..operators import evaluate as V
+from ..session import ensure_checkpoint_dir
 
 MODEL_NAMES = ["gradient_boosting", "random_forest", "logistic_regression"]
 
@@ -50,7 +51,15 @@ class PreparedData:
 
 
 def prepare(model_df: DataFrame, test_size: float = 0.2) -> PreparedData:
-    """M1 split -> M2 common state flags -> F6 projection -> M3 weights -> M4 scaling."""
+    """M1 split -> M2 common state flags -> F6 projection -> M3 weights -> M4 scaling.
+
+    The labelled matrix (one row per user) feeds several actions - split
+    quantile, state list, scaler fit, every model fit - so it and the
+    projected train/test sets are checkpointed once instead of re-running
+    the feature plan for each.
+    """
+    ensure_checkpoint_dir(model_df.sparkSession)
+    model_df = model_df.checkpoint(eager=True)
     d = DS.time_based_split(model_df, test_size).withColumn("label", F.col("is_churned").cast("double"))
     train, test = d.filter(F.col("split") == "train"), d.filter(F.col("split") == "test")
     states = DS.state_list(train, test)
@@ -58,15 +67,18 @@ def prepare(model_df: DataFrame, test_size: float = 0.2) -> PreparedData:
     train = DS.state_one_hot(train, states)
     test = DS.state_one_hot(test, states)
     params = DS.collect_scaler(DS.scaler_params(train, cols))
-    keep = ["userId", "label", "total_events", "days_since_registration", "current_level_paid"]
+    meta = [F.col(c).alias(f"meta_{c}") for c in ("total_events", "days_since_registration", "current_level_paid")]
+    keep = ["userId", "label"] + [f"meta_{c}" for c in ("total_events", "days_since_registration",
+                                                        "current_level_paid")]
 
     def project(df):
-        raw = df.select(*keep, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"x_{c}") for c in cols])
+        raw = df.select("userId", "label", *meta,
+                        *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"x_{c}") for c in cols])
         scaled = raw.select(*keep, *[((F.col(f"x_{c}") - F.lit(params[c][0])) / F.lit(params[c][1])).alias(c)
                                      for c in cols])
         return VectorAssembler(inputCols=cols, outputCol="features").transform(scaled)
-    tr = DS.balanced_weights(project(train), "label")
-    te = project(test)
+    tr = DS.balanced_weights(project(train), "label").checkpoint(eager=True)
+    te = project(test).checkpoint(eager=True)
     return PreparedData(tr, te, cols, params)
 
 
@@ -94,8 +106,8 @@ def train_and_compare(model_df: DataFrame, models=None, max_depth_rf: int = 30):
         est = make_estimator(name, n_train, max_depth_rf)
         m = est.fit(prep.train)
         fitted[name] = m
-        pred = probability(m.transform(prep.test))
-        rep = V.classification_report(pred.select("label", "score")).withColumn("model", F.lit(name))
+        pred = probability(m.transform(prep.test)).select("label", "score").checkpoint(eager=True)
+        rep = V.classification_report(pred).withColumn("model", F.lit(name))
         rows = rep if rows is None else rows.unionByName(rep)
     metrics = rows.select("model", "pr_auc", "roc_auc", "f1_score", "precision", "recall",
                           "recall_at_90_precision", "recall_at_80_precision")
@@ -111,7 +123,8 @@ def best_model(metrics: DataFrame) -> DataFrame:
 def error_analysis_for(model, prep: PreparedData) -> DataFrame:
     pred = probability(model.transform(prep.test))
     s = pred.select(F.col("label").alias("is_churned"), F.col("score").alias("churn_probability"),
-                    "total_events", "days_since_registration", "current_level_paid")
+                    *[F.col(f"meta_{c}").alias(c) for c in ("total_events", "days_since_registration",
+                                                            "current_level_paid")])
     return V.error_analysis(s)
 
 
@@ -125,6 +138,7 @@ def temporal_validation(model_df: DataFrame, n_splits: int = 3, threshold: float
     the result silently 0.0), only numeric features enter the fit.
     """
     spark = model_df.sparkSession
+    ensure_checkpoint_dir(spark)
     d = DS.expanding_folds(model_df.withColumn("label", F.col("is_churned").cast("double")), n_splits)
     cols = DS.model_columns(model_df, [])
     d = d.select("label", "idx", "test_fold", "fold_start0", "test_size",
@@ -146,7 +160,7 @@ def temporal_validation(model_df: DataFrame, n_splits: int = 3, threshold: float
         def project(df):
             sc = df.select("label", *[((F.col(c) - F.lit(params[c][0])) / F.lit(params[c][1])).alias(c) for c in cols])
             return VectorAssembler(inputCols=cols, outputCol="features").transform(sc)
-        tr = DS.balanced_weights(project(train), "label")
+        tr = DS.balanced_weights(project(train), "label").checkpoint(eager=True)
         m = LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", maxIter=100,
                                regParam=1.0 / max(tr.count(), 1), standardization=False).fit(tr)
         pred = probability(m.transform(project(test)))
