@@ -15,7 +15,7 @@ from .. import schema as S
 from ..functions import bin_range, equal_width_bin
 from .cumulative import prefix_sums
 from .features import feature_matrix
-from .prep import reference_current_split
+from .prep import numeric_feature_select, reference_current_split
 
 REF, CUR = "reference", "current"
 def is_ref() -> F.Column:
@@ -241,7 +241,7 @@ def engineered_drift(events: DataFrame, last_data_ts=None, quantile: float = 0.7
     """PSI of the first ``k`` contract features between the reference and the
     current feature matrices; (per-feature scores, one-row report)."""
     fm = side_feature_matrices(events, last_data_ts, quantile)
-    feats = S.NUMERIC_FEATURES[:k]
+    feats = numeric_feature_select(fm.drop("side"), fm.drop("side"), k)   # F8: contract order, first k
     st = F.explode(F.arrays_zip(F.array(*[F.lit(c) for c in feats]).alias("f"),
                                 F.array(*[F.col(c) for c in feats]).alias("v")))
     long = fm.select("side", st.alias("p")).select("side", F.col("p.f").alias("feature"),

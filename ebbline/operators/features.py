@@ -24,7 +24,7 @@ from .. import schema as S
 from ..functions import (add_days, days_between_floor, first_value_struct, greatest1, last_value_struct,
                          location_state, minutes_between)
 from ..session import ensure_checkpoint_dir
-from .prep import contains_downgrade, temporal_cutoff
+from .prep import contains_downgrade, drop_unlabelled, temporal_cutoff
 
 def _song() -> F.Column:
     return F.col("page") == "NextSong"
@@ -239,7 +239,7 @@ def feature_matrix(events: DataFrame, cutoff=None, materialize: bool = True) ->
 def features_with_labels(features: DataFrame, labels: DataFrame, how: str = "inner") -> DataFrame:
     lab = labels.select("userId", "is_churned", "churn_type")
     out = features.join(lab, "userId", how)
-    return out.dropna(subset=["is_churned"]) if how == "inner" else out
+    return drop_unlabelled(out) if how == "inner" else out
 
 
 # X14 / K7 ---------------------------------------------------------------------------

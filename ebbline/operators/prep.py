@@ -125,6 +125,12 @@ def numeric_feature_select(ref: DataFrame, cur: DataFrame, k: int = 10, exclude=
     return out[:k]
 
 
+# U4 ----------------------------------------------------------------------------
+def common_columns(a: DataFrame, b: DataFrame, exclude=()) -> list[str]:
+    """Columns present in both frames, sorted (deterministic, unlike a set)."""
+    return sorted((set(a.columns) & set(b.columns)) - set(exclude))
+
+
 # F9 ----------------------------------------------------------------------------
 def drop_unlabelled(df: DataFrame) -> DataFrame:
     return df.dropna(subset=["is_churned"])

@@ -44,6 +44,9 @@ def score_users(features: DataFrame, feature_list: list[str], model=None, scored
     x = align_to_contract(features, feature_list)
     if model is None or isinstance(model, dict):
         s = fixed_linear_score(x, model)
+    elif hasattr(model, "stages"):      # a PipelineModel carries its own feature transform
+        from pyspark.ml.functions import vector_to_array
+        s = model.transform(x).withColumn("churn_probability", vector_to_array("probability").getItem(1))
     else:
         from pyspark.ml.feature import VectorAssembler
         from pyspark.ml.functions import vector_to_array

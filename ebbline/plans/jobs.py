@@ -61,7 +61,7 @@ def retrain_job(new_events: DataFrame, paths: dict, inactivity_days: int = 30, m
                                  "model string, new_metric double, baseline_metric double")
     gate = M.deployment_gate(cand, improvement_threshold).first()
     last_ts = new_events.agg(F.max("ts")).first()[0]
-    model_path = REG.save_model(fitted[best["model"]], paths["registry"], paths["models"],
+    model_path = REG.save_model(TR.as_pipeline(fitted[best["model"]], prep), paths["registry"], paths["models"],
                                 best.asDict(), best["model"], prep.columns, last_ts, gate["should_deploy"], now)
     v = validation.first()
     return spark.createDataFrame(
@@ -106,6 +106,34 @@ def retrain_check(events: DataFrame, paths: dict, current_metric: float = 0.8, n
     return triggers
 
 
+# D1/D2 with S8, D13 with S5 -----------------------------------------------------------
+def score_with_latest_model(events: DataFrame, paths: dict, cutoff=None, labels: DataFrame | None = None,
+                            now: dt.datetime | None = None):
+    """Resolve the deployed model (S8), score the users' features (D1),
+    summarise (D2) and, when labels are given, log performance (D13 -> S5).
+    Returns (scores, summary) or (None, None) without a usable model."""
+    from pyspark.ml import PipelineModel
+    from ..operators import evaluate as V
+    from ..operators import scoring as SC
+    spark = events.sparkSession
+    now = now or _now()
+    model, meta = REG.load_latest_model(spark, paths["registry"], PipelineModel.load)
+    if model is None:
+        return None, None
+    feats = list(meta["feature_list"])
+    fm = X.feature_matrix(events, cutoff)
+    from ..operators import dataset as DS
+    states = [c[len("state_"):] for c in feats if c.startswith("state_")]
+    fm = DS.state_one_hot(fm, states)
+    scores = SC.score_users(fm, feats, model, scored_at=now).checkpoint(eager=True)
+    summary = SC.score_summary(scores)
+    if labels is not None:
+        perf = V.log_performance(scores.join(labels.select("userId", F.col("is_churned").cast("int").alias("label")),
+                                             "userId"), "label", "churn_probability")
+        REG.sink_perf_log(perf.select(F.lit(now).cast("timestamp").alias("timestamp"), "*"), paths["perf_log"])
+    return scores, summary
+
+
 def default_paths(base: str) -> dict:
     base = base.rstrip("/")
     return {k: f"{base}/{k}" for k in ("registry", "models", "drift_reports", "monitor_log", "perf_log",

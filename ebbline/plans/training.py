@@ -82,6 +82,20 @@ def prepare(model_df: DataFrame, test_size: float = 0.2) -> PreparedData:
     return PreparedData(tr, te, cols, params)
 
 
+def as_pipeline(model, prep: PreparedData):
+    """Scoring pipeline: fitted scaling (an SQLTransformer with the train
+    mean/std as literals) -> VectorAssembler -> fitted classifier.  Saved and
+    loaded as one ``PipelineModel``, so scoring applies the training transform."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import SQLTransformer
+    cols = prep.columns
+    sel = ", ".join(f"(coalesce(CAST(`{c}` AS DOUBLE), 0.0) - {prep.scaler[c][0]!r}) / {prep.scaler[c][1]!r} AS `{c}`"
+                    for c in cols)
+    scaler = SQLTransformer(statement=f"SELECT userId, {sel} FROM __THIS__")
+    assembler = VectorAssembler(inputCols=cols, outputCol="features")
+    return PipelineModel(stages=[scaler, assembler, model])
+
+
 def probability(pred: DataFrame) -> DataFrame:
     return pred.withColumn("score", vector_to_array("probability").getItem(1))
 

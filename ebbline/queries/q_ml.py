@@ -18,7 +18,7 @@ from ..session import shared_path
 from ..sources import eventlog as EL
 from ..sources.adapters import activity_events_path
 from ..streaming import streams as ST
-from .q_features import _LAB_FOR_JOIN, feature_ctes
+from .q_features import _LAB_FOR_JOIN, feature_ctes, fm_select
 
 N = INACTIVITY_A
 
@@ -173,3 +173,34 @@ def _t3(spark, sf):
 
 
 register("score_stream")(_t3)
+
+
+def _score_latest(spark, sf):
+    """Train and deploy (LR only, as a scoring fixture), then score with the
+    model the registry resolves (S7 -> S8 -> D1 -> D2, D13 -> S5)."""
+    paths = J.default_paths(_run_dir(spark, "scoring"))
+    ev = ev_a(spark, sf)
+    J.retrain_job(ev, paths, inactivity_days=N, models=["logistic_regression"])
+    _, summary = J.score_with_latest_model(ev, paths, CUTOFF_A, labels=L.churn_labels(ev, N))
+    from ..sources import registry as REG
+    return summary.crossJoin(REG.read_perf_log(spark, paths["perf_log"]).select("num_predictions", "accuracy"))
+
+
+register("score_with_latest_model")(_score_latest)
+
+# F6 ----------------------------------------------------------------------------
+from ..operators.prep import contract_check, feature_projection  # noqa: E402
+
+register("feature_projection", with_ev(
+    "SELECT userId, " + ", ".join(f"{R(f'coalesce(CAST({c} AS DOUBLE), 0.0)')} AS {c}" for c in S.NUMERIC_FEATURES)
+    + ", CAST(is_churned AS INTEGER) AS is_churned FROM tset", "A", TS_CTES))(
+    lambda spark, sf: feature_projection(_model_df(spark, sf)))
+
+# F10 ---------------------------------------------------------------------------
+_REQ = ["userId"] + S.NUMERIC_FEATURES[:6]
+register("contract_check", with_ev(
+    "SELECT userId, list_filter([" + ", ".join(f"CASE WHEN {c} IS NULL THEN '{c}' END" for c in _REQ)
+    + "], lambda x: x IS NOT NULL) AS missing_fields, " + " AND ".join(f"{c} IS NOT NULL" for c in _REQ)
+    + " AS valid FROM (" + fm_select("fm", None) + ")", "A", feature_ctes(CUTOFF_A)))(
+    lambda spark, sf: contract_check(X.feature_matrix(ev_a(spark, sf), CUTOFF_A).select("userId", *S.NUMERIC_FEATURES[:6]))
+    .select("userId", "missing_fields", "valid"))
