@@ -18,6 +18,7 @@ from ..functions import (bin_range, days_between_floor, equal_width_bin, extract
 from .labels import dataset_end
 from .prep import complete_songs, contains_downgrade
 
+
 def _song() -> F.Column:
     return F.col("page") == "NextSong"
 
@@ -370,10 +371,13 @@ def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
 
 
 # K1 ----------------------------------------------------------------------------
-def sort_events(df: DataFrame) -> DataFrame:
+def sort_events(df: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """Events clustered by user and ordered by (ts, event_id) inside each
-    partition - no global sort."""
-    return df.repartition("userId").sortWithinPartitions("userId", "ts", "event_id")
+    partition.  Range clustering on (userId, ts, event_id) rather than a hash
+    on userId: a user holding a large share of the log is split over several
+    partitions (each still internally ordered) instead of becoming one task."""
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
+    return df.repartitionByRange(n, "userId", "ts", "event_id").sortWithinPartitions("userId", "ts", "event_id")
 
 
 # K2 / K3 ----------------------------------------------------------------------------

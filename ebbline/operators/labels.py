@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions import days_between_floor, first_value_struct
 
-def _explicit() -> F.Column:
-    return F.col("page").isin(S.EXPLICIT_CHURN_PAGES)
+
+def _explicit(after=None) -> F.Column:
+    c = F.col("page").isin(S.EXPLICIT_CHURN_PAGES)
+    return c if after is None else c & (F.col("ts") > F.lit(after).cast("timestamp"))
 
 
 # J7 ----------------------------------------------------------------------------
@@ -89,11 +91,17 @@ LABEL_COLUMNS = ["userId", "churn_timestamp", "churn_event", "churn_type", "is_c
 
 
 # A10 ---------------------------------------------------------------------------
-def churn_labels(df: DataFrame, inactivity_days: int = 30) -> DataFrame:
-    """One pass: per-user aggregate + dataset end, priority by ``coalesce``."""
-    first_expl = first_value_struct(_explicit(), "page")
+def churn_labels(df: DataFrame, inactivity_days: int = 30, explicit_after=None) -> DataFrame:
+    """One pass: per-user aggregate + dataset end, priority by ``coalesce``.
+
+    ``explicit_after`` (optional, e.g. the feature cutoff) counts only explicit
+    churn pages after that time - a post-cutoff label that cannot share
+    events with the downgrade features.  Default: the reference's whole-log
+    label.
+    """
+    first_expl = first_value_struct(_explicit(explicit_after), "page")
     agg = df.groupBy("userId").agg(
-        F.min(F.when(_explicit(), F.col("ts"))).alias("explicit_ts"),
+        F.min(F.when(_explicit(explicit_after), F.col("ts"))).alias("explicit_ts"),
         first_expl["page"].alias("explicit_page"),
         F.min(F.when(F.col("level") == "paid", F.col("ts"))).alias("first_paid"),
         F.min(F.when(F.col("level") == "free", F.col("ts"))).alias("first_free"),

@@ -30,7 +30,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", "16g"))
+               .config("spark.driver.memory", "16g")
+               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     for k, v in CORE_CONF.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

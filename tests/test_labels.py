@@ -64,3 +64,13 @@ def test_subscription_is_subset_of_inactivity(spark):
     s = L.subscription_churn(ev, 365).select("userId")
     i = L.inactivity_churn(ev, 365).select("userId")
     assert s.subtract(i).count() == 0
+
+
+def test_post_cutoff_explicit_label_option(spark):
+    rows = [dict(event_id=1, userId="u", ts="2024-01-01 00:00:00", page="Submit Downgrade"),
+            dict(event_id=2, userId="u", ts="2024-01-20 00:00:00"),
+            dict(event_id=3, userId="v", ts="2024-01-15 00:00:00", page="Downgrade"),
+            dict(event_id=4, userId="v", ts="2024-01-20 00:00:00")]
+    df = make_events(spark, rows)
+    lab = {r.userId: r.churn_type for r in L.churn_labels(df, 30, explicit_after="2024-01-10").collect()}
+    assert lab == {"u": "not_churned", "v": "explicit"}
