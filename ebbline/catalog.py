@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .oracle import days, minutes, rounded, with_ev  # noqa: F401
-from .sources.adapters import load_activity_events, load_order_events, read_table
+from .sources.adapters import load_activity_events, load_order_events
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}

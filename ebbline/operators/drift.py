@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .. import schema as S
 from ..functions import bin_range, equal_width_bin
 from .cumulative import prefix_sums
 from .features import feature_matrix

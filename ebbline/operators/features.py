@@ -21,8 +21,7 @@ from pyspark.sql import DataFrame, Window as W
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..functions import (add_days, days_between_floor, first_value_struct, greatest1, last_value_struct,
-                         location_state, minutes_between)
+from ..functions import add_days, days_between_floor, first_value_struct, greatest1, location_state, minutes_between
 from ..session import ensure_checkpoint_dir
 from .prep import contains_downgrade, drop_unlabelled, temporal_cutoff
 
@@ -212,9 +211,13 @@ def feature_matrix(events: DataFrame, cutoff=None, materialize: bool = True) ->
     A user without events up to the cutoff gets all zeros (state null).
     With ``materialize`` the fine-grain table is checkpointed (reliable
     checkpoint in ``spark.checkpoint.dir``) so its three consumers read it
-    instead of each re-scanning and re-shuffling the events.
+    instead of each re-scanning and re-shuffling the events.  The fine table
+    holds one row per (user, date, session, page, level) - far fewer than a
+    hot user's events - so hashing it by userId is safe.
     """
-    fine = _fine_grain(with_reference_time(events, cutoff))
+    # Hash the (small) fine table by userId once: the user, session and day
+    # grains, the day-rank window and their joins then need no more shuffles.
+    fine = _fine_grain(with_reference_time(events, cutoff)).repartition("userId")
     if materialize:
         ensure_checkpoint_dir(events.sparkSession)
         fine = fine.checkpoint(eager=True)

@@ -1,8 +1,6 @@
 """A7-A12 churn labels and their joins."""
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..catalog import CUTOFF_A, INACTIVITY_A, INACTIVITY_B, ev_a, ev_b, register  # noqa: F401
 from ..operators import labels as L
 from ..oracle import R, days, with_ev

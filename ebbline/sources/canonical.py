@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,9 +59,15 @@ def write_events(df: DataFrame, path: str, num_partitions: int | None = None, gr
     tmp = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
     part = F.to_date("ts") if granularity == "day" else F.trunc(F.to_date("ts"), "month")
     out = df.select(*S.EVENT_SCHEMA.fieldNames()).withColumn("event_date", part)
-    (out.repartitionByRange(n, "event_date", "userId", "event_id")
-        .sortWithinPartitions("event_date", "userId", "ts", "event_id")
-        .write.mode("overwrite").partitionBy("event_date").parquet(tmp))
+    # The range exchange samples its input in a separate pass; persisting the
+    # adapter output first keeps that pass from re-running the adapter.
+    out = out.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        (out.repartitionByRange(n, "event_date", "userId", "event_id")
+            .sortWithinPartitions("event_date", "userId", "ts", "event_id")
+            .write.mode("overwrite").partitionBy("event_date").parquet(tmp))
+    finally:
+        out.unpersist()
     fs, src = _fs(spark, tmp)
     _, dst = _fs(spark, path)
     if fs.exists(dst):
