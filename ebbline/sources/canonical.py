@@ -2,10 +2,9 @@
 
 An ingest job turns raw records (JSON lines or an adapter over other tables)
 into the canonical schema and writes parquet partitioned by ``event_date``.
-Rows are range-clustered on (event_date, userId, event_id) before the write,
-so every task writes a contiguous, equally sized slice (a hot user or a hot
-day is split like any other range) and readers get tight per-file ts/user
-statistics.  The table lives under the shared folder the cluster names in
+The write is rebalanced by AQE (hot days or users are split into several
+tasks, small partitions merged) and each file is sorted by (userId, ts), so
+readers get tight per-file ts/user statistics.  The table lives under the shared folder the cluster names in
 ``spark.checkpoint.dir``; it survives executor loss and cuts the lineage of
 everything downstream.
 """
@@ -14,7 +13,6 @@ from __future__ import annotations
 import hashlib
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,21 +51,20 @@ def write_events(df: DataFrame, path: str, num_partitions: int | None = None, gr
     its month (for sparse logs, so partitions do not shrink to a few rows).
     Either way ``event_date <= to_date(ts)`` holds, which is all the pruning
     predicates rely on.
+
+    The REBALANCE hint hash-distributes rows by ``event_date`` and lets AQE
+    split oversized partitions (a hot day, a hot user's day) and coalesce
+    small ones to the advisory size - no sampling pass, nothing cached.
+    Rows are sorted by (event_date, userId, ts, event_id) inside each file.
+    ``num_partitions`` is accepted for callers that pin the file count.
     """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
     tmp = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
     part = F.to_date("ts") if granularity == "day" else F.trunc(F.to_date("ts"), "month")
     out = df.select(*S.EVENT_SCHEMA.fieldNames()).withColumn("event_date", part)
-    # The range exchange samples its input in a separate pass; persisting the
-    # adapter output first keeps that pass from re-running the adapter.
-    out = out.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        (out.repartitionByRange(n, "event_date", "userId", "event_id")
-            .sortWithinPartitions("event_date", "userId", "ts", "event_id")
-            .write.mode("overwrite").partitionBy("event_date").parquet(tmp))
-    finally:
-        out.unpersist()
+    out = out.repartition(num_partitions, "event_date") if num_partitions else out.hint("rebalance", "event_date")
+    (out.sortWithinPartitions("event_date", "userId", "ts", "event_id")
+        .write.mode("overwrite").partitionBy("event_date").parquet(tmp))
     fs, src = _fs(spark, tmp)
     _, dst = _fs(spark, path)
     if fs.exists(dst):
