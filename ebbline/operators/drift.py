@@ -15,6 +15,7 @@ from ..functions import bin_range, equal_width_bin
 from .cumulative import prefix_sums
 from .features import feature_matrix
 from .prep import numeric_feature_select, reference_current_split
+from ..session import checkpoint_once
 
 REF, CUR = "reference", "current"
 def is_ref() -> F.Column:
@@ -232,7 +233,7 @@ def side_feature_matrices(events: DataFrame, last_data_ts=None, quantile: float
     fm = feature_matrix(keyed, None, materialize=materialize)
     parts = F.split(F.col("userId"), "\u0001")
     out = fm.withColumn("side", parts.getItem(0)).withColumn("userId", parts.getItem(1))
-    return out.checkpoint(eager=True) if materialize else out
+    return checkpoint_once(out) if materialize else out
 
 
 def engineered_drift(events: DataFrame, last_data_ts=None, quantile: float = 0.7, k: int = 10,

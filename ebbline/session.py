@@ -67,3 +67,19 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder, for written intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def checkpoint_once(df):
+    """Reliable checkpoint (into ``spark.checkpoint.dir``) computing ``df`` once.
+
+    A reliable RDD checkpoint writes its files in a second job that
+    recomputes the input unless it is cached; persisting first makes that
+    job read the cache, which is dropped as soon as the files exist.
+    """
+    from pyspark import StorageLevel
+    ensure_checkpoint_dir(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()
