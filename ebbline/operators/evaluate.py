@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_once
 from .cumulative import prefix_sums
 
 
@@ -22,11 +23,16 @@ def metric_fixture(labels: DataFrame, documents: DataFrame) -> DataFrame:
 
 
 # W5 ----------------------------------------------------------------------------
-def cumulative_confusion(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+def score_counts(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    """Positives and negatives per distinct score (ties are one row)."""
+    return df.groupBy(F.col(score).alias("score")).agg(
+        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
+
+
+def cumulative_confusion(df: DataFrame, label: str = "label", score: str = "score", counts=None) -> DataFrame:
     """One row per distinct score, descending: pos/neg at that score and the
     cumulative TP/FP of the threshold ``score >= s``, plus class totals."""
-    g = df.groupBy(F.col(score).alias("score")).agg(
-        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
+    g = counts if counts is not None else score_counts(df, label, score)
     tot = g.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     c = prefix_sums(g, "score", ["pos", "neg"], descending=True)
     return (c.withColumnRenamed("cum_pos", "tp").withColumnRenamed("cum_neg", "fp")
@@ -94,11 +100,30 @@ def recall_at_precision(df: DataFrame, levels=(0.9, 0.8), label: str = "label",
                    .alias(f"recall_at_{int(round(lv * 100))}_precision") for lv in levels])
 
 
-def classification_report(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """All model-comparison metrics in one row."""
-    return (roc_auc(df, label, score).crossJoin(pr_auc(df, label, score))
-            .crossJoin(threshold_metrics(df, label, score).select("f1_score", "precision", "recall"))
-            .crossJoin(recall_at_precision(df, label=label, score=score)))
+def classification_report(df: DataFrame, label: str = "label", score: str = "score",
+                          threshold: float = 0.5, levels=(0.9, 0.8)) -> DataFrame:
+    """All model-comparison metrics in one row (M9-M12) from ONE per-score
+    table: the curve, the areas, recall at precision and the threshold
+    metrics are all aggregates of it.  The per-score table (at most one row
+    per distinct score) is checkpointed so the input is read once."""
+    g = checkpoint_once(score_counts(df, label, score))
+    p = curve_points(cumulative_confusion(df, counts=g))
+    roc = F.sum((F.col("fpr") - F.col("fpr_prev")) * (F.col("recall") + F.col("recall_prev")) / 2)
+    pr = F.sum((F.col("recall") - F.col("recall_prev")) * (F.col("precision") + F.col("precision_prev")) / 2)
+    curve = p.agg(F.when((F.max("P") > 0) & (F.max("N") > 0), roc).alias("roc_auc"),
+                  F.when(F.max("P") > 0, pr).alias("pr_auc"),
+                  *[F.coalesce(F.max(F.when(F.col("precision") >= lv, F.col("recall"))), F.lit(0.0))
+                    .alias(f"recall_at_{int(round(lv * 100))}_precision") for lv in levels])
+    above = F.col("score") > threshold
+    c = g.agg(F.coalesce(F.sum(F.when(above, F.col("pos"))), F.lit(0)).alias("tp"),
+              F.coalesce(F.sum(F.when(above, F.col("neg"))), F.lit(0)).alias("fp"),
+              F.coalesce(F.sum(F.when(~above, F.col("pos"))), F.lit(0)).alias("fn"))
+    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
+    thr = c.select(F.when(2 * tp + fp + fn > 0, 2 * tp / (2 * tp + fp + fn)).otherwise(0.0).alias("f1_score"),
+                   F.when(tp + fp > 0, tp / (tp + fp)).otherwise(0.0).alias("precision"),
+                   F.when(tp + fn > 0, tp / (tp + fn)).otherwise(0.0).alias("recall"))
+    return curve.crossJoin(thr).select("roc_auc", "pr_auc", "f1_score", "precision", "recall",
+                                       *[f"recall_at_{int(round(lv * 100))}_precision" for lv in levels])
 
 
 # M14 ---------------------------------------------------------------------------
