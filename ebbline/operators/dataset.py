@@ -11,15 +11,15 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from .cumulative import global_row_index
+from .scalars import attach_scalars
 
 
 # M1 ----------------------------------------------------------------------------
 def time_based_split(df: DataFrame, test_size: float = 0.2, col: str = "days_since_registration") -> DataFrame:
     """Add ``split``: 'train' if ``col <= q`` else 'test', q = exact (linear)
     quantile 1 - test_size.  Test users are the longest registered."""
-    q = df.agg(F.percentile(F.col(col).cast("double"), F.lit(1.0 - test_size)).alias("_q"))
-    return (df.crossJoin(F.broadcast(q))   # one row
-              .withColumn("split", F.when(F.col(col) <= F.col("_q"), "train").otherwise("test")).drop("_q"))
+    q = df.agg(F.percentile(F.col(col).cast("double"), F.lit(1.0 - test_size))).scalar()
+    return df.withColumn("split", F.when(F.col(col) <= q, "train").otherwise("test"))
 
 
 # M2 ----------------------------------------------------------------------------
@@ -52,7 +52,7 @@ def balanced_weights(df: DataFrame, label: str = "label", out: str = "weight") -
     """weight_c = n / (n_classes * n_c); the per-class counts are a tiny table."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
     tot = counts.agg(F.sum("_nc").alias("_n"), F.count(F.lit(1)).alias("_k"))
-    w = counts.crossJoin(tot).select(label, (F.col("_n") / (F.col("_k") * F.col("_nc"))).alias(out))
+    w = attach_scalars(counts, tot).select(label, (F.col("_n") / (F.col("_k") * F.col("_nc"))).alias(out))
     return df.join(F.broadcast(w), label)   # one row per class
 
 
@@ -89,12 +89,12 @@ def expanding_folds(df: DataFrame, n_splits: int = 3, order=None) -> DataFrame:
     """
     order = order or [F.col("days_since_registration").desc(), F.col("userId").asc()]
     idx = global_row_index(df, order)
-    n = df.agg(F.count(F.lit(1)).alias("_n"))
-    ts = F.floor(F.col("_n") / (n_splits + 1))
-    start0 = F.col("_n") - n_splits * ts
+    n = df.agg(F.count(F.lit(1))).scalar()
+    ts = F.floor(n / (n_splits + 1))
+    start0 = n - n_splits * ts
     fold = F.when((F.col("idx") >= start0) & (ts > 0), F.floor((F.col("idx") - start0) / ts).cast("int"))
-    return idx.crossJoin(F.broadcast(n)).withColumn("test_fold", fold).withColumn("test_size", ts.cast("long")) \
-        .withColumn("fold_start0", start0.cast("long")).drop("_n")
+    return idx.withColumn("test_fold", fold).withColumn("test_size", ts.cast("long")) \
+        .withColumn("fold_start0", start0.cast("long"))
 
 
 # F6 + M2: model input columns ---------------------------------------------------------

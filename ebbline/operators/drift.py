@@ -15,6 +15,7 @@ from ..functions import bin_range, equal_width_bin
 from .cumulative import prefix_sums
 from .features import feature_matrix
 from .prep import numeric_feature_select, reference_current_split
+from .scalars import combine_rows
 from ..session import checkpoint_once
 
 REF, CUR = "reference", "current"
@@ -251,7 +252,7 @@ def engineered_drift(events: DataFrame, last_data_ts=None, quantile: float = 0.7
     sides = fm.groupBy().agg(F.count_if(F.col("side") == CUR).alias("current_users"))
     report = psi.agg(F.max("psi").alias("max_drift_score"), F.count_if("drift_detected").alias("features_with_drift"),
                      F.max(F.col("drift_detected").cast("int")).alias("_any"))
-    report = report.crossJoin(sides).select(
+    report = combine_rows(report, sides).select(
         (F.coalesce(F.col("_any"), F.lit(0)) == 1).alias("drift_detected"),
         F.coalesce("max_drift_score", F.lit(0.0)).alias("max_drift_score"),
         "features_with_drift", F.lit(threshold).alias("threshold"),
@@ -288,7 +289,7 @@ def event_rate_proxy(split_events: DataFrame, threshold: float = 0.1) -> DataFra
     ev = split_events.groupBy().agg(F.count_if(is_ref()).alias("ref_events"), F.count_if(is_cur()).alias("cur_events"))
     us = (split_events.select("side", "userId").distinct().groupBy()
           .agg(F.count_if(is_ref()).alias("ref_users"), F.count_if(is_cur()).alias("cur_users")))
-    j = ev.crossJoin(us)
+    j = combine_rows(ev, us)
     rr = F.when(F.col("ref_events") > 0, F.col("ref_events") / F.col("ref_users")).otherwise(F.lit(0.0))
     cr = F.when(F.col("cur_events") > 0, F.col("cur_events") / F.col("cur_users")).otherwise(F.lit(0.0))
     j = j.select(rr.alias("reference_event_rate"), cr.alias("current_event_rate"))

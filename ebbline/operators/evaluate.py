@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_once
 from .cumulative import prefix_sums
+from .scalars import attach_scalars, combine_rows
 
 
 def metric_fixture(labels: DataFrame, documents: DataFrame) -> DataFrame:
@@ -35,8 +36,7 @@ def cumulative_confusion(df: DataFrame, label: str = "label", score: str = "scor
     g = counts if counts is not None else score_counts(df, label, score)
     tot = g.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     c = prefix_sums(g, "score", ["pos", "neg"], descending=True)
-    return (c.withColumnRenamed("cum_pos", "tp").withColumnRenamed("cum_neg", "fp")
-             .crossJoin(F.broadcast(tot)))   # one row
+    return attach_scalars(c.withColumnRenamed("cum_pos", "tp").withColumnRenamed("cum_neg", "fp"), tot)
 
 
 def curve_points(conf: DataFrame) -> DataFrame:
@@ -122,7 +122,7 @@ def classification_report(df: DataFrame, label: str = "label", score: str = "sco
     thr = c.select(F.when(2 * tp + fp + fn > 0, 2 * tp / (2 * tp + fp + fn)).otherwise(0.0).alias("f1_score"),
                    F.when(tp + fp > 0, tp / (tp + fp)).otherwise(0.0).alias("precision"),
                    F.when(tp + fn > 0, tp / (tp + fn)).otherwise(0.0).alias("recall"))
-    return curve.crossJoin(thr).select("roc_auc", "pr_auc", "f1_score", "precision", "recall",
+    return combine_rows(curve, thr).select("roc_auc", "pr_auc", "f1_score", "precision", "recall",
                                        *[f"recall_at_{int(round(lv * 100))}_precision" for lv in levels])
 
 

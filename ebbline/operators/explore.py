@@ -16,6 +16,7 @@ from .. import schema as S
 from ..functions import (bin_range, days_between_floor, equal_width_bin, extract_state_nb, first_value_struct,
                          minutes_between, weekday_name)
 from .labels import with_dataset_end
+from .scalars import attach_scalars, combine_rows
 from .prep import complete_songs, contains_downgrade
 
 
@@ -32,9 +33,9 @@ def _count_distinct(df: DataFrame, col: str, alias: str) -> DataFrame:
 def data_overview(df: DataFrame) -> DataFrame:
     base = df.agg(F.count(F.lit(1)).alias("total_events"), F.min("ts").alias("start"), F.max("ts").alias("end"),
                   F.count_if(_song()).alias("song_events"))
-    out = base.crossJoin(_count_distinct(df, "userId", "unique_users"))
+    out = attach_scalars(base, _count_distinct(df, "userId", "unique_users"))
     if "sessionId" in df.columns:
-        out = out.crossJoin(_count_distinct(df, "sessionId", "unique_sessions"))
+        out = attach_scalars(out, _count_distinct(df, "sessionId", "unique_sessions"))
     else:
         out = out.withColumn("unique_sessions", F.lit(None).cast("long"))
     return out.select("total_events", "unique_users", "start", "end",
@@ -53,10 +54,8 @@ def value_counts(df: DataFrame, cols) -> DataFrame:
 # A3 / W8 -----------------------------------------------------------------------
 def value_share(df: DataFrame, col: str, places: int = 2) -> DataFrame:
     counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("count"))
-    total = counts.agg(F.sum("count").alias("_total"))
-    return (counts.crossJoin(F.broadcast(total))   # one row
-                  .withColumn("percent", F.round(F.col("count") * 100.0 / F.col("_total"), places))
-                  .drop("_total"))
+    total = counts.agg(F.sum("count")).scalar()
+    return counts.withColumn("percent", F.round(F.col("count") * 100.0 / total, places))
 
 
 def percent_of_total(counts: DataFrame, by: list[str], value: str = "count", out: str = "pct") -> DataFrame:
@@ -166,7 +165,7 @@ def churn_by_level(users: DataFrame, labels: DataFrame) -> DataFrame:
     t = t.withColumn("churn_rate", F.col("churned") / F.col("users"))
     best = t.agg(F.min_by("primary_level", F.struct(-F.col("churn_rate"), F.col("primary_level"))).alias("_best"),
                  F.max("churn_rate").alias("_maxrate"))
-    return (t.crossJoin(F.broadcast(best))
+    return (attach_scalars(t, best)
              .withColumn("is_highest", (F.col("primary_level") == F.col("_best")) & (F.col("_maxrate") > 0))
              .drop("_best", "_maxrate"))
 
@@ -176,8 +175,8 @@ def song_overview(df: DataFrame) -> DataFrame:
     songs = complete_songs(df)
     base = songs.agg(F.count(F.lit(1)).alias("plays"), F.avg("length").alias("avg_length"))
     span = df.agg(days_between_floor(F.max("ts"), F.min("ts")).alias("_days"))
-    out = (base.crossJoin(_count_distinct(songs, "artist", "unique_artists"))
-               .crossJoin(_count_distinct(songs, "song", "unique_songs")).crossJoin(span))
+    out = combine_rows(base, _count_distinct(songs, "artist", "unique_artists"),
+                       _count_distinct(songs, "song", "unique_songs"), span)
     return out.select("plays", "unique_artists", "unique_songs", "avg_length",
                       F.try_divide(F.col("plays"), F.col("_days").cast("double")).alias("plays_per_day"))
 
@@ -295,7 +294,7 @@ def downgrade_users(df: DataFrame) -> DataFrame:
     b = _count_distinct(dg.select("userId"), "userId", "downgrade_users")
     c = _count_distinct(df.filter(F.col("page") == "Submit Downgrade").select("userId"), "userId",
                         "submit_downgrade_users")
-    return a.crossJoin(b).crossJoin(c)
+    return combine_rows(a, b, c)
 
 
 # A28 ---------------------------------------------------------------------------
@@ -359,7 +358,7 @@ def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
     rng = v.agg(F.min("v").alias("mn"), F.max("v").alias("mx"))
     lo, hi = bin_range(F.col("mn"), F.col("mx"))
     rng = rng.select(lo.alias("lo"), hi.alias("hi"))
-    counts = (v.crossJoin(F.broadcast(rng)).withColumn("bin", equal_width_bin("v", "lo", "hi", bins))
+    counts = (attach_scalars(v, rng).withColumn("bin", equal_width_bin("v", "lo", "hi", bins))
                .filter(F.col("bin").isNotNull()).groupBy("bin").agg(F.count(F.lit(1)).alias("count")))
     grid = rng.select(F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), "lo", "hi")
     step = (F.col("hi") - F.col("lo")) / F.lit(float(bins))

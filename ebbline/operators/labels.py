@@ -28,7 +28,7 @@ def dataset_end(df: DataFrame) -> DataFrame:
 def with_dataset_end(users: DataFrame, last_col: str = "last_activity") -> DataFrame:
     """Attach the dataset end to a per-user table: the max of the users' last
     activity equals the events' max ts, so the events are not scanned again."""
-    return users.crossJoin(F.broadcast(users.agg(F.max(last_col).alias("dataset_end"))))
+    return users.withColumn("dataset_end", users.agg(F.max(last_col)).scalar())
 
 
 # A7 ----------------------------------------------------------------------------

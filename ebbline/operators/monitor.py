@@ -41,9 +41,8 @@ def performance_trend(log: DataFrame, days: int = 30, as_of=None) -> DataFrame:
     The log holds one row per evaluation run, so its ordered window is small
     by nature.
     """
-    end = (log.sparkSession.range(1).select(F.lit(as_of).cast("timestamp").alias("_end")) if as_of is not None
-           else log.agg(F.max("timestamp").alias("_end")))
-    recent = log.crossJoin(F.broadcast(end)).filter(F.col("timestamp") > add_days(F.col("_end"), -days))
+    end = F.lit(as_of).cast("timestamp") if as_of is not None else log.agg(F.max("timestamp")).scalar()
+    recent = log.filter(F.col("timestamp") > add_days(end, -days))
     idx = recent.withColumn("idx", (F.row_number().over(W.orderBy("timestamp")) - 1).cast("double"))
     long = idx.unpivot(["idx"], TREND_METRICS, "metric", "v")
     return long.groupBy("metric").agg(F.count(F.lit(1)).alias("num_evaluations"), F.avg("v").alias("mean"),

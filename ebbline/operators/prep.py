@@ -59,9 +59,8 @@ def incremental_events(df: DataFrame, last_data_ts=None, lookback_days: int = 7)
             # partitions hold event_date <= to_date(ts) (a day or a month start)
             out = out.filter(F.col("event_date") >= F.trunc(F.to_date(F.lit(last_data_ts).cast("timestamp")), "month"))
         return out
-    end = df.agg(F.max("ts").alias("_end"))
-    return (df.crossJoin(F.broadcast(end))  # one row by construction
-              .filter(F.col("ts") > add_days(F.col("_end"), -lookback_days)).drop("_end"))
+    end = df.agg(F.max("ts")).scalar()          # scalar subquery, evaluated once
+    return df.filter(F.col("ts") > add_days(end, -lookback_days))
 
 
 # F3 ----------------------------------------------------------------------------
@@ -75,10 +74,8 @@ def split_boundary(df: DataFrame, last_data_ts=None, quantile: float = 0.7) -> D
 
 def reference_current_split(df: DataFrame, last_data_ts=None, quantile: float = 0.7) -> DataFrame:
     """Tag each event with ``side`` = 'reference' (ts <= b) or 'current' (ts > b)."""
-    b = split_boundary(df, last_data_ts, quantile)
-    return (df.crossJoin(F.broadcast(b))
-              .withColumn("side", F.when(F.col("ts") <= F.col("b"), "reference").otherwise("current"))
-              .drop("b"))
+    b = split_boundary(df, last_data_ts, quantile).scalar()     # scalar subquery, evaluated once
+    return df.withColumn("side", F.when(F.col("ts") <= b, "reference").otherwise("current"))
 
 
 # F4 ----------------------------------------------------------------------------

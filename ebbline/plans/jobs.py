@@ -17,6 +17,7 @@ from ..operators import monitor as M
 from ..operators.prep import incremental_events, reference_current_split
 from ..sources import registry as REG
 from . import training as TR
+from ..operators.scalars import combine_rows
 from ..session import checkpoint_once
 
 
@@ -34,7 +35,7 @@ def monitoring_cycle(events: DataFrame, paths: dict, last_data_ts=None, now: dt.
     scores, report = D.engineered_drift(events, last_data_ts=last_data_ts, threshold=threshold)
     rate = D.event_rate_proxy(reference_current_split(events, last_data_ts), threshold)
     REG.sink_drift_report(scores.withColumn("threshold", F.lit(threshold)), paths["drift_reports"], run_id)
-    entry = report.crossJoin(rate).select(
+    entry = combine_rows(report, rate).select(
         F.lit(now).cast("timestamp").alias("timestamp"), F.lit(run_id).alias("monitoring_id"),
         "drift_detected", "max_drift_score", "performance_degradation", "event_rate_change")
     entry = checkpoint_once(entry)          # one row; do not recompute the drift plan twice
@@ -90,7 +91,7 @@ def retrain_check(events: DataFrame, paths: dict, current_metric: float = 0.8, n
         drift = rep.select("max_drift_score")
     else:
         drift = spark.range(1).select(F.lit(None).cast("double").alias("max_drift_score"))
-    inputs = counts.crossJoin(drift).select(
+    inputs = combine_rows(counts, drift).select(
         F.lit(now).cast("timestamp").alias("now"),
         F.lit(last["last_training_time"] if last else None).cast("timestamp").alias("last_training_time"),
         F.lit(last["pr_auc"] if last else None).cast("double").alias("baseline_metric"),
@@ -100,7 +101,7 @@ def retrain_check(events: DataFrame, paths: dict, current_metric: float = 0.8, n
     if t["should_retrain"] and run_retrain:
         result = retrain_job(new, paths, now=now, **retrain_kwargs)
         REG.sink_retrain_log(spark, paths["retrain_log"], "retraining_executed",
-                             triggers.crossJoin(result.select("best_model", "pr_auc", "should_deploy")), now)
+                             combine_rows(triggers, result.select("best_model", "pr_auc", "should_deploy")), now)
     else:
         REG.sink_retrain_log(spark, paths["retrain_log"], "retraining_check",
                              triggers.withColumn("action", F.lit("no_retraining_needed")), now)

@@ -13,6 +13,7 @@ from ..operators import labels as L
 from ..operators import monitor as M
 from ..operators import scoring as SC
 from ..operators.prep import incremental_events, reference_current_split
+from ..operators.scalars import combine_rows
 from ..oracle import R, days, with_ev
 from ..sources.adapters import read_table
 from .q_features import _LAB_FOR_JOIN, feature_ctes
@@ -136,10 +137,9 @@ SELECT {R('roc_auc')} AS roc_auc, {R('pr_auc')} AS pr_auc FROM roc, pr""", "A",
     "mf AS (SELECT l.doc_id, CAST(l.quality AS INTEGER) AS label, CAST(d.n_chars % 1000 AS DOUBLE) / 1000.0 AS score\n"
     "       FROM labels l JOIN documents d USING (doc_id))",
     "mf AS (SELECT userId, CAST(is_churned AS INTEGER) AS label, p AS score FROM scd)")))(
-    lambda spark, sf: V.roc_auc(_scored_training(spark, sf).select(F.col("is_churned").cast("int").alias("label"),
-                                                                   F.col("churn_probability").alias("score")))
-    .crossJoin(V.pr_auc(_scored_training(spark, sf).select(F.col("is_churned").cast("int").alias("label"),
-                                                            F.col("churn_probability").alias("score")))))
+    lambda spark, sf: V.classification_report(_scored_training(spark, sf).select(
+        F.col("is_churned").cast("int").alias("label"), F.col("churn_probability").alias("score")))
+    .select("roc_auc", "pr_auc"))
 
 register("concept_drift", with_ev(f"""
 SELECT {R('acc')} AS accuracy, {R('prec')} AS precision, {R('rec')} AS recall,
@@ -374,7 +374,7 @@ def _triggers(spark, sf):
     new = incremental_events(ev, CUTOFF_A).agg(F.count(F.lit(1)).alias("new_events"),
                                                F.countDistinct("userId").alias("new_users"))
     _, rep = D.engineered_drift(ev, last_data_ts=CUTOFF_A, variant="retrain")
-    inp = (ev.agg(F.max("ts").alias("now")).crossJoin(new).crossJoin(rep.select("max_drift_score"))
+    inp = (combine_rows(ev.agg(F.max("ts").alias("now")), new, rep.select("max_drift_score"))
              .withColumn("last_training_time", F.lit(CUTOFF_A).cast("timestamp"))
              .withColumn("baseline_metric", F.lit(BASELINE_PR_AUC))
              .withColumn("current_metric", F.lit(DEFAULT_CURRENT_PR_AUC)))

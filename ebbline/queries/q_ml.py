@@ -11,6 +11,7 @@ from ..operators import dataset as DS
 from ..operators import features as X
 from ..operators import labels as L
 from ..operators.prep import preprocess_events
+from ..operators.scalars import combine_rows
 from ..oracle import R, with_ev
 from ..plans import jobs as J
 from ..plans import training as TR
@@ -124,8 +125,8 @@ def _retrain_check(spark, sf):
     paths = J.default_paths(_run_dir(spark, "retrain"))
     J.retrain_check(ev_a(spark, sf), paths)            # first run: no model -> retrain, save, log
     from ..sources import registry as REG
-    return REG.read_retrain_log(spark, paths["retrain_log"]).crossJoin(
-        REG.scan_registry(spark, paths["registry"]).select("best_model_type", "pr_auc", "is_deployed"))
+    return combine_rows(REG.read_retrain_log(spark, paths["retrain_log"]),
+                        REG.scan_registry(spark, paths["registry"]).select("best_model_type", "pr_auc", "is_deployed"))
 
 
 register("monitoring_cycle")(_monitoring)
@@ -183,7 +184,7 @@ def _score_latest(spark, sf):
     J.retrain_job(ev, paths, inactivity_days=N, models=["logistic_regression"])
     _, summary = J.score_with_latest_model(ev, paths, CUTOFF_A, labels=L.churn_labels(ev, N))
     from ..sources import registry as REG
-    return summary.crossJoin(REG.read_perf_log(spark, paths["perf_log"]).select("num_predictions", "accuracy"))
+    return combine_rows(summary, REG.read_perf_log(spark, paths["perf_log"]).select("num_predictions", "accuracy"))
 
 
 register("score_with_latest_model")(_score_latest)
