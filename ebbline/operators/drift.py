@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import bin_range, equal_width_bin
+from ..session import checkpoint_once
 from .cumulative import prefix_sums
 from .features import feature_matrix
 from .prep import numeric_feature_select, reference_current_split
 from .scalars import combine_rows
-from ..session import checkpoint_once
 
 REF, CUR = "reference", "current"
 def is_ref() -> F.Column:
@@ -46,17 +46,21 @@ def to_long(ref: DataFrame, cur: DataFrame, features: list[str], kind: str = "do
     return sided_long(both, features, kind)
 
 
-def _side_counts(long: DataFrame) -> DataFrame:
-    return long.groupBy("feature").agg(F.count_if(is_ref()).alias("n_ref"), F.count_if(is_cur()).alias("n_cur"),
-                                       F.avg(F.when(is_ref(), F.col("value"))).alias("ref_mean"),
-                                       F.avg(F.when(is_cur(), F.col("value"))).alias("new_mean"))
+def side_value_counts(long: DataFrame) -> DataFrame:
+    """(feature, value, r, c): reference and current counts per distinct value.
+
+    KS, the PSI bins and the side totals are all aggregates of this table,
+    which is at most one row per distinct (feature, value) and is
+    checkpointed so the long frame is read once."""
+    return checkpoint_once(long.groupBy("feature", "value").agg(F.count_if(is_ref()).alias("r"),
+                                                                 F.count_if(is_cur()).alias("c")))
 
 
 # D3 / W6 ------------------------------------------------------------------------
-def ks_numeric(long: DataFrame) -> DataFrame:
+def ks_numeric(long: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """Two-sample KS statistic per feature: max |F_ref(v) - F_cur(v)| over the
     pooled distinct values (empirical CDFs taken with ``<=``)."""
-    counts = long.groupBy("feature", "value").agg(F.count_if(is_ref()).alias("r"), F.count_if(is_cur()).alias("c"))
+    counts = counts if counts is not None else side_value_counts(long)
     tot = counts.groupBy("feature").agg(F.sum("r").alias("n_ref"), F.sum("c").alias("n_cur"))
     cum = prefix_sums(counts, "value", ["r", "c"], group="feature")
     cum = cum.join(F.broadcast(tot), "feature")      # one row per feature
@@ -81,7 +85,8 @@ def mean_shift(long: DataFrame) -> DataFrame:
 def category_shares(long: DataFrame) -> DataFrame:
     """Shares of each category per side, aligned on the union of categories
     (full outer join); an absent category has share 0.001."""
-    c = long.groupBy("feature", "side", "value").agg(F.count(F.lit(1)).alias("n"))
+    # one row per (feature, side, category): small, read by three branches
+    c = checkpoint_once(long.groupBy("feature", "side", "value").agg(F.count(F.lit(1)).alias("n")))
     tot = c.groupBy("feature", "side").agg(F.sum("n").alias("t"))
     sh = c.join(tot, ["feature", "side"]).withColumn("share", F.col("n") / F.col("t"))
     ref = sh.filter(is_ref()).select("feature", "value", F.col("share").alias("ref_share"))
@@ -98,18 +103,18 @@ def psi_categorical(long: DataFrame) -> DataFrame:
 
 
 # J9 + G9: reference bins and aligned counts ---------------------------------------------
-def binned_counts(long: DataFrame, bins: int = 10) -> DataFrame:
+def binned_counts(long: DataFrame, bins: int = 10, counts: DataFrame | None = None) -> DataFrame:
     """Per feature x bin (all bins present): reference and current counts on
     equal-width bins over the reference range, plus side totals."""
-    rng = long.filter(is_ref()).groupBy("feature").agg(F.min("value").alias("mn"), F.max("value").alias("mx"))
+    counts = counts if counts is not None else side_value_counts(long)
+    rng = counts.filter(F.col("r") > 0).groupBy("feature").agg(F.min("value").alias("mn"), F.max("value").alias("mx"))
     lo, hi = bin_range(F.col("mn"), F.col("mx"))
     rng = rng.select("feature", lo.alias("lo"), hi.alias("hi"))
-    tot = long.groupBy("feature").agg(F.count_if(is_ref()).alias("n_ref"), F.count_if(is_cur()).alias("n_cur"))
-    b = (long.join(F.broadcast(rng), "feature")   # one row per feature
-             .withColumn("bin", equal_width_bin("value", "lo", "hi", bins))
-             .filter(F.col("bin").isNotNull())
-             .groupBy("feature", "bin").agg(F.count_if(is_ref()).alias("ref_count"),
-                                            F.count_if(is_cur()).alias("cur_count")))
+    tot = counts.groupBy("feature").agg(F.sum("r").alias("n_ref"), F.sum("c").alias("n_cur"))
+    b = (counts.join(F.broadcast(rng), "feature")   # one row per feature
+               .withColumn("bin", equal_width_bin("value", "lo", "hi", bins))
+               .filter(F.col("bin").isNotNull())
+               .groupBy("feature", "bin").agg(F.sum("r").alias("ref_count"), F.sum("c").alias("cur_count")))
     grid = rng.select("feature", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     g = grid.join(b, ["feature", "bin"], "left").join(tot, "feature")
     return g.select("feature", "bin", F.coalesce("ref_count", F.lit(0)).alias("ref_count"),
@@ -117,11 +122,11 @@ def binned_counts(long: DataFrame, bins: int = 10) -> DataFrame:
 
 
 # D6 ----------------------------------------------------------------------------
-def psi_monitor(long: DataFrame, bins: int = 10) -> DataFrame:
+def psi_monitor(long: DataFrame, bins: int = 10, counts: DataFrame | None = None) -> DataFrame:
     """Monitoring-job PSI: shares over *all* non-null values of each side
     (out-of-range current values still count in the denominator), empty
     bins -> 0.0001, signed sum."""
-    b = binned_counts(long, bins)
+    b = binned_counts(long, bins, counts)
     e = F.col("ref_count") / F.col("n_ref")
     a = F.try_divide(F.col("cur_count"), F.col("n_cur").cast("double"))
     e = F.when(e == 0, F.lit(0.0001)).otherwise(e)
@@ -130,9 +135,9 @@ def psi_monitor(long: DataFrame, bins: int = 10) -> DataFrame:
 
 
 # D7 ----------------------------------------------------------------------------
-def psi_retrain(long: DataFrame, bins: int = 10, eps: float = 1e-6) -> DataFrame:
+def psi_retrain(long: DataFrame, bins: int = 10, eps: float = 1e-6, counts: DataFrame | None = None) -> DataFrame:
     """Retraining-job PSI: (c + eps) / (sum of in-range c + bins*eps), |sum|."""
-    b = binned_counts(long, bins)
+    b = binned_counts(long, bins, counts)
     sums = b.groupBy("feature").agg(F.sum("ref_count").alias("sr"), F.sum("cur_count").alias("sc"))
     b = b.join(sums, "feature")
     r = (F.col("ref_count") + eps) / (F.col("sr") + bins * eps)
@@ -167,7 +172,11 @@ def feature_drift_sided(df: DataFrame, features: list[str], threshold: float = 0
     parts = []
     if num:
         ln = sided_long(df, num, "double")
-        k = ks_numeric(ln).join(_side_counts(ln).drop("n_ref", "n_cur"), "feature")
+        counts = side_value_counts(ln)
+        means = counts.groupBy("feature").agg(
+            F.try_divide(F.sum(F.col("value") * F.col("r")), F.sum("r").cast("double")).alias("ref_mean"),
+            F.try_divide(F.sum(F.col("value") * F.col("c")), F.sum("c").cast("double")).alias("new_mean"))
+        k = ks_numeric(ln, counts).join(means, "feature")
         parts.append(k.select("feature", F.col("ks_statistic").alias("drift_score"), "n_ref", "n_cur",
                               F.lit("kolmogorov_smirnov").alias("method"), "ref_mean", "new_mean"))
     if cat:

@@ -106,7 +106,7 @@ def user_behavior(df: DataFrame) -> DataFrame:
 
 def user_summary(df: DataFrame) -> DataFrame:
     """Notebook variant: events_per_day = n/(span+1), registration age from the dataset end."""
-    u = with_dataset_end(_user_core(df)).join(_user_sessions(df), "userId", "left")
+    u = with_dataset_end(_user_core(df), df).join(_user_sessions(df), "userId", "left")
     span = days_between_floor("last_activity", "first_activity")
     return u.select("userId", "total_events", "first_activity", "last_activity",
                     F.coalesce("unique_sessions", F.lit(0)).alias("unique_sessions"), "primary_level", "gender",
@@ -281,7 +281,7 @@ def session_stats(sessions: DataFrame) -> DataFrame:
 
 # A26 ---------------------------------------------------------------------------
 def recency_buckets(df: DataFrame, buckets=(7, 30, 60)) -> DataFrame:
-    last = with_dataset_end(df.groupBy("userId").agg(F.max("ts").alias("last")), "last")
+    last = with_dataset_end(df.groupBy("userId").agg(F.max("ts").alias("last")), df)
     d = days_between_floor("dataset_end", "last")
     return last.agg(*[F.count_if(d <= b).alias(f"active_last_{b}d") for b in buckets],
                     F.count(F.lit(1)).alias("users"))

@@ -25,10 +25,10 @@ def dataset_end(df: DataFrame) -> DataFrame:
     return df.agg(F.max("ts").alias("dataset_end"))
 
 
-def with_dataset_end(users: DataFrame, last_col: str = "last_activity") -> DataFrame:
-    """Attach the dataset end to a per-user table: the max of the users' last
-    activity equals the events' max ts, so the events are not scanned again."""
-    return users.withColumn("dataset_end", users.agg(F.max(last_col)).scalar())
+def with_dataset_end(users: DataFrame, events: DataFrame) -> DataFrame:
+    """Attach the dataset end (global max ts) to a per-user table as a scalar
+    subquery: a one-column scan with map-side max, one row per task."""
+    return users.withColumn("dataset_end", events.agg(F.max("ts")).scalar())
 
 
 # A7 ----------------------------------------------------------------------------
@@ -50,7 +50,7 @@ def _level_summary(df: DataFrame) -> DataFrame:
 def subscription_churn(df: DataFrame, inactivity_days: int = 30) -> DataFrame:
     """First paid row, then a later first free row, activity after it, and
     ``>= inactivity_days`` floored days idle before the dataset end."""
-    s = with_dataset_end(_level_summary(df))
+    s = with_dataset_end(_level_summary(df), df)
     days = days_between_floor("dataset_end", "last_activity")
     cond = (F.col("first_free") > F.col("first_paid")) & (F.col("last_activity") > F.col("first_free")) \
         & (days >= inactivity_days)
@@ -61,7 +61,7 @@ def subscription_churn(df: DataFrame, inactivity_days: int = 30) -> DataFrame:
 
 # A8 ----------------------------------------------------------------------------
 def inactivity_churn(df: DataFrame, inactivity_days: int = 30) -> DataFrame:
-    last = with_dataset_end(df.groupBy("userId").agg(F.max("ts").alias("last_activity")))
+    last = with_dataset_end(df.groupBy("userId").agg(F.max("ts").alias("last_activity")), df)
     days = days_between_floor("dataset_end", "last_activity")
     return last.filter(days >= inactivity_days).select(
         "userId", F.col("last_activity").alias("churn_timestamp"),
@@ -113,7 +113,7 @@ def churn_labels(df: DataFrame, inactivity_days: int = 30, explicit_after=None)
         _first_non_null("registration").alias("registration"),
         _first_non_null("gender").alias("gender"),
         _first_non_null("location").alias("location"))
-    a = with_dataset_end(agg)
+    a = with_dataset_end(agg, df)
     idle = days_between_floor("dataset_end", "last_activity")
     sub = (F.col("first_free") > F.col("first_paid")) & (F.col("last_activity") > F.col("first_free")) \
         & (idle >= inactivity_days)
