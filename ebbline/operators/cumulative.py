@@ -51,3 +51,28 @@ def global_row_index(df: DataFrame, order: list, out: str = "idx") -> DataFrame:
     """0-based position of each row in a total order, without a single-task window."""
     r = prefix_sums(df.withColumn("_one", F.lit(1)), order, ["_one"])
     return r.withColumn(out, F.col("cum__one") - 1).drop("_one", "cum__one")
+
+
+def exact_quantile(df: DataFrame, col, q: float) -> DataFrame:
+    """Exact quantile with linear interpolation, without one aggregation buffer.
+
+    ``percentile`` keeps a value -> count map in one buffer; over raw event
+    timestamps (almost all distinct) that is the whole column.  Here the
+    counts per distinct value are range-partitioned and summed in order
+    (:func:`prefix_sums`); the two order statistics around position
+    ``q * (n - 1)`` are then picked by a min over the cumulative counts and
+    interpolated as ``(hi_pos - pos) * lo + (pos - lo_pos) * hi``.
+    One-row result, column ``q``.
+    """
+    v = (F.col(col) if isinstance(col, str) else col).cast("double")
+    counts = df.select(v.alias("v")).filter(F.col("v").isNotNull()).groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    cum = prefix_sums(counts, "v", ["n"])
+    total = counts.agg(F.sum("n")).scalar()
+    pos = (total - 1).cast("double") * F.lit(float(q))
+    lo_pos, hi_pos = F.floor(pos), F.ceil(pos)
+    picked = cum.agg(F.min(F.when(F.col("cum_n") > lo_pos, F.col("v"))).alias("lo"),
+                     F.min(F.when(F.col("cum_n") > hi_pos, F.col("v"))).alias("hi"),
+                     F.first(pos).alias("pos"), F.first(lo_pos).alias("lp"), F.first(hi_pos).alias("hp"))
+    val = F.when((F.col("hp") == F.col("lp")) | (F.col("hi") == F.col("lo")), F.col("lo")).otherwise(
+        (F.col("hp") - F.col("pos")) * F.col("lo") + (F.col("pos") - F.col("lp")) * F.col("hi"))
+    return picked.select(val.alias("q"))

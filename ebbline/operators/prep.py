@@ -68,8 +68,11 @@ def split_boundary(df: DataFrame, last_data_ts=None, quantile: float = 0.7) -> D
     """One-row frame with the reference/current boundary ``b`` (timestamp)."""
     if last_data_ts is not None:
         return df.sparkSession.range(1).select(F.lit(last_data_ts).cast("timestamp").alias("b"))
-    q = F.percentile(F.unix_micros("ts").cast("double"), F.lit(quantile))
-    return df.agg(F.timestamp_micros(F.floor(q).cast("long")).alias("b"))
+    # exact and distributed: raw timestamps are nearly all distinct, so a single
+    # percentile buffer would hold the whole column (see cumulative.exact_quantile)
+    from .cumulative import exact_quantile
+    q = exact_quantile(df, F.unix_micros("ts"), quantile)
+    return q.select(F.timestamp_micros(F.floor("q").cast("long")).alias("b"))
 
 
 def reference_current_split(df: DataFrame, last_data_ts=None, quantile: float = 0.7) -> DataFrame:

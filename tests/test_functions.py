@@ -44,3 +44,14 @@ def test_state_extraction_variants(spark):
 def test_risk_level(spark):
     df = spark.createDataFrame([(0.8,), (0.79,), (0.5,), (0.49,)], "p double")
     assert [r[0] for r in df.select(risk_level("p")).collect()] == ["high", "medium", "medium", "low"]
+
+
+def test_distributed_exact_quantile_matches_numpy_and_percentile(spark):
+    from ebbline.operators.cumulative import exact_quantile
+    rng = np.random.default_rng(1)
+    vals = np.r_[rng.integers(0, 50, 300), rng.normal(0, 1e6, 300)].astype(float)   # ties and spread
+    df = spark.createDataFrame([(float(x),) for x in vals], "x double")
+    for q in (0.0, 0.3, 0.7, 1.0):
+        got = exact_quantile(df, "x", q).first().q
+        assert got == df.agg(F.percentile("x", F.lit(q))).first()[0]
+        assert got == float(np.quantile(vals, q))
