@@ -15,8 +15,8 @@ Equal texts are one node.  The signature is cut into bands; nodes that share a
 band's key are a bucket.  Each bucket has one leader, and every other member is
 compared with it exactly (weighted Jaccard over all shingles, 0.8 or more), so
 work grows with the members and not with their pairs.  Buckets whose members
-are still in several classes get further leaders, by another order and within
-sub-buckets that share a second band, until a round finds no new link.
+are still in several classes get further leaders, also within sub-buckets that
+share a second band, until a round finds no new link.
 
 Defined cases: texts without a word (null ones too) are each alone in a class;
 repeated rows are one class; the class id is the least doc_id in the class
@@ -174,73 +174,110 @@ def weighted_sets(texts: DataFrame) -> DataFrame:
     return texts.select("nid", "text").mapInArrow(run, "nid long, units array<long>")
 
 
-def candidates(members: DataFrame, keys: list[str], order: Column) -> DataFrame:
-    """(nid, lead) of all members of buckets with their bucket's leader, the first in ``order``."""
-    lead = (members.groupBy(*keys).agg(F.min(F.struct(order.alias("o"), F.col("nid"))).alias("_lead"),
-                                       F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-            .select(*keys, F.col("_lead.nid").alias("lead")))
-    return members.join(lead, keys).filter(F.col("nid") != F.col("lead")).select("nid", "lead").distinct()
+def candidates(members: DataFrame, lead: DataFrame, keys: list[str]) -> DataFrame:
+    """Members with the leader of their bucket, where the two are in different classes."""
+    return (members.select(*keys, "nid", "class").join(lead, keys).filter(F.col("class") != F.col("lead_class"))
+            .select("nid", "class", "lead", "lead_class"))
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs with a similarity of at least 0.8."""
-    pairs = staged(pairs, "pairs")
-    ends = pairs.select("nid").union(pairs.select("lead")).distinct()
-    wanted = ends.join(nodes.select("nid", "digest", "least_id"), "nid")
+def leaders(members: DataFrame, keys: list[str], order: Column) -> DataFrame:
+    """The member that is first in ``order`` of every bucket."""
+    return (members.groupBy(*keys).agg(F.min(F.struct(order.alias("o"), "nid", "class")).alias("_lead"))
+            .select(*keys, F.col("_lead.nid").alias("lead"), F.col("_lead.class").alias("lead_class")))
+
+
+def sets_of(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """nid and units of the nodes in ``wanted``, from one scan of the documents."""
+    wanted = wanted.join(nodes.select("nid", "digest", "least_id"), "nid")
     texts = docs.select(F.col("doc_id").cast("long").alias("_w_id"), text_digest().alias("digest"), "text")
     found = texts.join(wanted, (texts["digest"] == wanted["digest"]) & texts["_w_id"].eqNullSafe(wanted["least_id"]))
-    sets = staged(weighted_sets(found.select("nid", "text")).groupBy("nid").agg(F.first("units").alias("units")), "sets")
+    return staged(weighted_sets(found.select("nid", "text")).groupBy("nid").agg(F.first("units").alias("units")), "sets")
+
+
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs with a similarity of at least 0.8."""
     a, b = sets.toDF("nid", "_a"), sets.toDF("lead", "_b")
     shared = F.size(F.array_intersect("_a", "_b"))
-    return (pairs.join(a, "nid").join(b, "lead")
-            .filter(shared >= F.lit(SIMILARITY) * (F.size("_a") + F.size("_b") - shared)).select("nid", "lead"))
+    return staged(pairs.join(a, "nid").join(b, "lead")
+                  .filter(shared >= F.lit(SIMILARITY) * (F.size("_a") + F.size("_b") - shared)).select("nid", "lead"),
+                  "verified")
 
 
 def classes_of(links: DataFrame) -> DataFrame:
-    """(nid, class) by least label over links, halving paths by jumping to the label's label; staged each round."""
-    both = staged(links.select(F.col("nid").alias("u"), F.col("lead").alias("v"))
-                  .union(links.select(F.col("lead").alias("u"), F.col("nid").alias("v"))), "links")
-    label = staged(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("c")), "labels")
+    """(nid, class) of all nodes with a link, by contraction.
+
+    In each round every node is mapped to the least of itself and its
+    neighbours, the mapping is applied to the links, and links within one node
+    vanish; stars vanish at once and chains halve at least.
+    """
+    links = links.toDF("u", "v")
+    classes = None
     while True:
-        near = (both.join(label.select(F.col("u").alias("v"), "c"), "v").groupBy("u").agg(F.min("c").alias("m")))
-        step = label.join(near, "u").select("u", F.least("c", "m").alias("s"), F.col("c").alias("old"))
-        jump = label.select(F.col("u").alias("s"), F.col("c").alias("j"))
-        new = staged(step.join(jump, "s").select("u", F.least("s", "j").alias("c"), "old"), "labels")
-        if new.filter("c != old").limit(1).count() == 0:
-            return new.select(F.col("u").alias("nid"), F.col("c").alias("class"))
-        label = new.select("u", "c")
+        ends = links.union(links.select("v", "u"))
+        step = staged(ends.groupBy("u").agg(F.least("u", F.min("v")).alias("c")), "labels")
+        if classes is None:
+            classes = step.toDF("nid", "class")
+        else:
+            classes = (classes.join(step.toDF("class", "_c"), "class", "left")
+                       .select("nid", F.coalesce("_c", "class").alias("class")))
+        links = staged(links.join(step.toDF("u", "a"), "u").join(step.toDF("v", "b"), "v").filter("a != b")
+                       .select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct(), "links")
+        if links.isEmpty():
+            return staged(classes, "classes")
 
 
 def link_nodes(nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """(nid, class) of all nodes with a link."""
-    key = F.col("bands")
-    rows = nodes.select("nid", "least_id", F.posexplode("bands").alias("p", "key"), "bands").select(
-        "nid", "least_id", "key", key[F.pmod(F.col("p") + 1, F.lit(BANDS))].alias("next_key"))
-    first = (rows.groupBy("key").agg(F.min(F.struct("least_id", "nid")).alias("_lead"), F.count(F.lit(1)).alias("_n"))
-             .filter("_n > 1").select("key", F.col("_lead.nid").alias("lead")))
-    shared = staged(rows.join(first, "key"), "buckets")     # only buckets of two members or more remain
-    links = staged(verified(shared.filter("nid != lead").select("nid", "lead").distinct(), nodes, docs), "verified")
-    tested = staged(shared.filter("nid != lead").select("nid", "lead").distinct(), "tested")
+    """(nid, class) of all nodes with a link.
+
+    A round takes the buckets whose members are in several classes.  Each one's
+    leader is the member that shares most buckets with others among those that
+    have not led it yet: the middle of a group of copies shares more than its
+    outer members do.  Further rounds also give a leader, by another order, to
+    the members that share a second band.
+    """
+    rows = nodes.select("nid", F.posexplode("bands").alias("p", "key"))
+    some = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = staged(rows.join(some, "key"), "buckets")     # only buckets of two members or more remain
+    degree = staged(shared.groupBy("nid").agg(F.sum("n").alias("degree")).join(nodes.select("nid", "bands"), "nid"), "degree")
+    sets = sets_of(degree.select("nid"), nodes, docs)
+    members = shared.select("key", "p", "nid")
+    classes = tested = led = None
     turn = 0
     while True:
+        if classes is None:
+            open_rows = members.join(degree, "nid").withColumn("class", F.col("nid"))
+        else:
+            named = members.join(classes, "nid", "left").withColumn("class", F.coalesce("class", "nid"))
+            apart = named.groupBy("key").agg(F.min("class").alias("_lo"), F.max("class").alias("_hi")).filter("_lo < _hi")
+            open_rows = named.join(apart.select("key"), "key").join(degree, "nid")
+        second = F.get("bands", F.pmod(F.col("p") + F.lit(max(turn, 1)), F.lit(BANDS)))
+        open_rows = staged(open_rows.select("key", second.alias("second"), "p", "nid", "class", "degree"), "open")
+        can_lead = open_rows if led is None else open_rows.join(led, ["key", "nid"], "left_anti")
+        lead = staged(leaders(can_lead, ["key"], -F.col("degree")), "lead")
+        more = candidates(open_rows, lead, ["key"])
+        if turn:
+            order = F.xxhash64(F.col("nid"), F.lit(turn)) if turn % 2 else -F.col("degree")
+            more = more.union(candidates(open_rows, leaders(open_rows, ["key", "second"], order), ["key", "second"]))
+        more = more.distinct()
+        more = staged(more if tested is None else more.join(tested, ["nid", "lead"], "left_anti"), "more")
+        found = verified(more, sets)
+        if found.isEmpty():
+            return found.toDF("nid", "class") if classes is None else classes
+        # what is linked already is one node from here on
+        bridges = (found.join(more, ["nid", "lead"]).select(F.least("class", "lead_class").alias("u"),
+                                                            F.greatest("class", "lead_class").alias("v")).distinct())
+        joined = classes_of(bridges if classes is None else staged(bridges, "bridges"))
+        if classes is None:
+            classes = joined
+        else:
+            joined = joined.toDF("class", "_c")
+            alone = joined.select(F.col("class").alias("nid"), "class").join(classes, "nid", "left_anti")
+            classes = staged(classes.select("nid", "class").union(alone).join(joined, "class", "left")
+                             .select("nid", F.coalesce("_c", "class").alias("class")), "classes")
+        pairs, own = more.select("nid", "lead"), lead.select("key", F.col("lead").alias("nid"))
+        tested = pairs if tested is None else staged(tested.union(pairs), "tested")
+        led = own if led is None else staged(led.union(own), "led")
         turn += 1
-        classes = classes_of(links)
-        named = shared.drop("lead").join(classes, "nid", "left").withColumn("class", F.coalesce("class", "nid"))
-        apart = named.groupBy("key").agg(F.min("class").alias("_lo"), F.max("class").alias("_hi")).filter("_lo < _hi")
-        open_rows = staged(named.join(apart.select("key"), "key"), "open")
-        order = F.xxhash64(F.col("nid"), F.lit(turn))
-        more = candidates(open_rows, ["key"], order).union(candidates(open_rows, ["key", "next_key"], order)).distinct()
-        of = classes.select("nid", "class")
-        more = (more.join(of, "nid", "left").withColumnRenamed("class", "_a")
-                .join(of.toDF("lead", "_b"), "lead", "left")
-                .filter(F.coalesce("_a", "nid") != F.coalesce("_b", "lead")).select("nid", "lead")
-                .join(tested, ["nid", "lead"], "left_anti"))
-        more = staged(more, "more")
-        found = staged(verified(more, nodes, docs), "verified")
-        if found.limit(1).count() == 0:
-            return classes
-        links = staged(links.union(found), "verified")
-        tested = staged(tested.union(more), "tested")
 
 
 def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
