@@ -78,9 +78,9 @@ def found_windows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     small, lengths = size[0] <= BROADCAST_BYTES, sorted(size[1])   # at most SHINGLE lengths
 
     def places(k: int) -> Column:
-        last = F.size("_words") - k
-        return F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.struct(
-            i.alias("p"), run_of("_words", i, k).alias("shingle")))).otherwise(F.array().cast("array<struct<p:int,shingle:string>>"))
+        first = F.slice("_words", F.lit(1), F.greatest(F.size("_words") - k + 1, F.lit(0)))
+        return F.transform(first, lambda w, i: F.struct(i.alias("p"), F.concat_ws(
+            " ", w, *[F.get("_words", i + j) for j in range(1, k)]).alias("shingle")))
 
     each = [places(k) for k in lengths] or [places(SHINGLE)]
     own = (docs.select(row_id().alias("rid"), words_of("text").alias("_words"))
