@@ -4,21 +4,18 @@
 Here the rows are range-partitioned on the order key, each partition sums
 its own rows, the per-partition totals (one row per partition and group -
 bounded by the partition count, not the data) are turned into offsets, and
-those are broadcast back.  Callers pre-aggregate ties first (one row per
-distinct order key), so a range boundary never splits a tie.
+those are broadcast back.  The partitioned rows are written once, so that
+offsets and rows always belong to the same partitions.  Callers pre-aggregate
+ties first (one row per distinct order key), so a range boundary never splits a tie.
 """
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window as W
 from pyspark.sql import functions as F
 
-
-def _num_partitions(df: DataFrame) -> int:
-    n = df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")
-    try:
-        return max(1, int(n))
-    except ValueError:
-        return 8
+from ..session import staged
 
 
 def prefix_sums(df: DataFrame, order_col, sum_cols: list[str], group: str | None = None,
@@ -28,13 +25,15 @@ def prefix_sums(df: DataFrame, order_col, sum_cols: list[str], group: str | None
 
     ``order_col`` is a column name or a list of sort Columns (a total order
     over the rows, e.g. ending in a unique id)."""
-    n = num_partitions or _num_partitions(df)
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if isinstance(order_col, str):
         okeys = [F.col(order_col).desc() if descending else F.col(order_col).asc()]
     else:
         okeys = list(order_col)
     keys = ([F.col(group).asc()] if group else []) + okeys
-    r = df.repartitionByRange(n, *keys).withColumn("_pid", F.spark_partition_id())
+    # written once with its partition number: the totals and the rows must come from one and the same
+    # partitioning, and a second range exchange would sample boundaries of its own
+    r = staged(df.repartitionByRange(n, *keys).withColumn("_pid", F.spark_partition_id()))
     gcols = ["_pid"] + ([group] if group else [])
     tot = r.groupBy(*gcols).agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
     wt = (W.partitionBy(group) if group else W.partitionBy(F.lit(0))).orderBy("_pid") \
@@ -76,3 +75,43 @@ def exact_quantile(df: DataFrame, col, q: float) -> DataFrame:
     val = F.when((F.col("hp") == F.col("lp")) | (F.col("hi") == F.col("lo")), F.col("lo")).otherwise(
         (F.col("hp") - F.col("pos")) * F.col("lo") + (F.col("pos") - F.col("lp")) * F.col("hi"))
     return picked.select(val.alias("q"))
+
+
+def exact_timestamp_quantile(df: DataFrame, col: str, q: float):
+    """Exact ``q``-quantile of a timestamp column in microseconds (float; None without values).
+
+    No value is shuffled: counts per day find the day that holds the order
+    statistic, counts per second within that day the second, counts per
+    microsecond within that second the value.  Each step scans only the range
+    that the one before left (pushed down as a filter on ``col``, and on
+    ``event_date`` where the table is partitioned by it) and orders at most as
+    many counts as there are days, 86,400 seconds or 1,000,000 microseconds.
+    """
+    ts = F.col(col)
+    us = F.unix_micros(ts)
+    n = df.agg(F.count(ts)).first()[0]
+    if not n:
+        return None
+    pos = (n - 1) * float(q)
+    lo_pos, hi_pos = math.floor(pos), math.ceil(pos)
+
+    def within(lo: int, hi: int) -> DataFrame:
+        a, b = (F.timestamp_micros(F.lit(v)) for v in (lo, hi))
+        out = df.filter((ts >= a) & (ts < b))
+        if "event_date" in df.columns:   # event_date <= to_date(ts), a day or a month start
+            out = out.filter((F.col("event_date") >= F.trunc(F.to_date(a), "month")) & (F.col("event_date") <= F.to_date(b)))
+        return out
+
+    part, before, start = df.filter(ts.isNotNull()), 0, 0
+    for unit in (86_400_000_000, 1_000_000, 1):
+        counts = part.groupBy(F.floor(us / F.lit(unit)).cast("long").alias("k") if unit > 1 else us.alias("k")).agg(
+            F.count(F.lit(1)).alias("n"))
+        running = counts.withColumn("upto", F.sum("n").over(W.orderBy("k")))
+        hit = running.filter(F.col("upto") > lo_pos - before).orderBy("k").limit(1).first()
+        start, before = hit["k"] * unit, before + hit["upto"] - hit["n"]
+        part = within(start, start + unit)
+    lo, last = start, before + hit["n"] - 1      # the value, and the last position that holds it
+    hi = lo if hi_pos <= last else df.filter(ts > F.timestamp_micros(F.lit(lo))).agg(F.min(us)).first()[0]
+    if hi_pos == lo_pos or hi == lo:
+        return float(lo)
+    return (hi_pos - pos) * float(lo) + (pos - lo_pos) * float(hi)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import bin_range, equal_width_bin
-from ..session import checkpoint_once
+from ..session import staged
 from .cumulative import prefix_sums
 from .features import feature_matrix
 from .prep import numeric_feature_select, reference_current_split
@@ -52,7 +52,7 @@ def side_value_counts(long: DataFrame) -> DataFrame:
     KS, the PSI bins and the side totals are all aggregates of this table,
     which is at most one row per distinct (feature, value) and is
     checkpointed so the long frame is read once."""
-    return checkpoint_once(long.groupBy("feature", "value").agg(F.count_if(is_ref()).alias("r"),
+    return staged(long.groupBy("feature", "value").agg(F.count_if(is_ref()).alias("r"),
                                                                  F.count_if(is_cur()).alias("c")))
 
 
@@ -86,7 +86,7 @@ def category_shares(long: DataFrame) -> DataFrame:
     """Shares of each category per side, aligned on the union of categories
     (full outer join); an absent category has share 0.001."""
     # one row per (feature, side, category): small, read by three branches
-    c = checkpoint_once(long.groupBy("feature", "side", "value").agg(F.count(F.lit(1)).alias("n")))
+    c = staged(long.groupBy("feature", "side", "value").agg(F.count(F.lit(1)).alias("n")))
     tot = c.groupBy("feature", "side").agg(F.sum("n").alias("t"))
     sh = c.join(tot, ["feature", "side"]).withColumn("share", F.col("n") / F.col("t"))
     ref = sh.filter(is_ref()).select("feature", "value", F.col("share").alias("ref_share"))
@@ -243,7 +243,7 @@ def side_feature_matrices(events: DataFrame, last_data_ts=None, quantile: float
     fm = feature_matrix(keyed, None, materialize=materialize)
     parts = F.split(F.col("userId"), "\u0001")
     out = fm.withColumn("side", parts.getItem(0)).withColumn("userId", parts.getItem(1))
-    return checkpoint_once(out) if materialize else out
+    return staged(out) if materialize else out
 
 
 def engineered_drift(events: DataFrame, last_data_ts=None, quantile: float = 0.7, k: int = 10,

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_once
+from ..session import staged
 from .cumulative import prefix_sums
 from .scalars import attach_scalars, combine_rows
 
@@ -106,7 +106,7 @@ def classification_report(df: DataFrame, label: str = "label", score: str = "sco
     table: the curve, the areas, recall at precision and the threshold
     metrics are all aggregates of it.  The per-score table (at most one row
     per distinct score) is checkpointed so the input is read once."""
-    g = checkpoint_once(score_counts(df, label, score))
+    g = staged(score_counts(df, label, score))
     p = curve_points(cumulative_confusion(df, counts=g))
     roc = F.sum((F.col("fpr") - F.col("fpr_prev")) * (F.col("recall") + F.col("recall_prev")) / 2)
     pr = F.sum((F.col("recall") - F.col("recall_prev")) * (F.col("precision") + F.col("precision_prev")) / 2)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions import add_days, days_between_floor, first_value_struct, greatest1, location_state, minutes_between
-from ..session import checkpoint_once, ensure_checkpoint_dir
+from ..session import staged, ensure_checkpoint_dir
 from .prep import contains_downgrade, drop_unlabelled, temporal_cutoff
 
 def _song() -> F.Column:
@@ -220,7 +220,7 @@ def feature_matrix(events: DataFrame, cutoff=None, materialize: bool = True) ->
     fine = _fine_grain(with_reference_time(events, cutoff)).repartition("userId")
     if materialize:
         ensure_checkpoint_dir(events.sparkSession)
-        fine = checkpoint_once(fine)
+        fine = staged(fine)
     u = _user_features(_user_grain(fine))
     ses = _session_grain(fine)
     day = _day_grain(fine)

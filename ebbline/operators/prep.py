@@ -1,12 +1,15 @@
 """Projection, cleaning and filters."""
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schema as S
 from ..functions import add_days, timestamp_from_millis
+from .cumulative import exact_timestamp_quantile
 
 
 # P1 ----------------------------------------------------------------------------
@@ -64,20 +67,21 @@ def incremental_events(df: DataFrame, last_data_ts=None, lookback_days: int = 7)
 
 
 # F3 ----------------------------------------------------------------------------
-def split_boundary(df: DataFrame, last_data_ts=None, quantile: float = 0.7) -> DataFrame:
-    """One-row frame with the reference/current boundary ``b`` (timestamp)."""
+def split_boundary(df: DataFrame, last_data_ts=None, quantile: float = 0.7) -> F.Column:
+    """The reference/current boundary as a literal timestamp Column, computed once.
+
+    Without ``last_data_ts`` it is the exact quantile of the event times (see
+    ``cumulative.exact_timestamp_quantile``; null without events).
+    """
     if last_data_ts is not None:
-        return df.sparkSession.range(1).select(F.lit(last_data_ts).cast("timestamp").alias("b"))
-    # exact and distributed: raw timestamps are nearly all distinct, so a single
-    # percentile buffer would hold the whole column (see cumulative.exact_quantile)
-    from .cumulative import exact_quantile
-    q = exact_quantile(df, F.unix_micros("ts"), quantile)
-    return q.select(F.timestamp_micros(F.floor("q").cast("long")).alias("b"))
+        return F.lit(last_data_ts).cast("timestamp")
+    q = exact_timestamp_quantile(df, "ts", quantile)
+    return F.timestamp_micros(F.lit(None if q is None else math.floor(q)).cast("long"))
 
 
 def reference_current_split(df: DataFrame, last_data_ts=None, quantile: float = 0.7) -> DataFrame:
     """Tag each event with ``side`` = 'reference' (ts <= b) or 'current' (ts > b)."""
-    b = split_boundary(df, last_data_ts, quantile).scalar()     # scalar subquery, evaluated once
+    b = split_boundary(df, last_data_ts, quantile)
     return df.withColumn("side", F.when(F.col("ts") <= b, "reference").otherwise("current"))
 
 

@@ -18,7 +18,7 @@ from ..operators.prep import incremental_events, reference_current_split
 from ..sources import registry as REG
 from . import training as TR
 from ..operators.scalars import combine_rows
-from ..session import checkpoint_once
+from ..session import staged
 
 
 def _now() -> dt.datetime:
@@ -38,7 +38,7 @@ def monitoring_cycle(events: DataFrame, paths: dict, last_data_ts=None, now: dt.
     entry = combine_rows(report, rate).select(
         F.lit(now).cast("timestamp").alias("timestamp"), F.lit(run_id).alias("monitoring_id"),
         "drift_detected", "max_drift_score", "performance_degradation", "event_rate_change")
-    entry = checkpoint_once(entry)          # one row; do not recompute the drift plan twice
+    entry = staged(entry)          # one row; do not recompute the drift plan twice
     REG.sink_monitor_log(entry, paths["monitor_log"])
     return entry
 
@@ -52,10 +52,10 @@ def retrain_job(new_events: DataFrame, paths: dict, inactivity_days: int = 30, m
     now = now or _now()
     fm = X.feature_matrix(new_events, None)
     labels = L.churn_labels(new_events, inactivity_days)
-    model_df = checkpoint_once(X.features_with_labels(fm, labels))
+    model_df = staged(X.features_with_labels(fm, labels))
     validation = TR.temporal_validation(model_df)
     metrics, fitted, prep = TR.train_and_compare(model_df, models)
-    metrics = checkpoint_once(metrics)
+    metrics = staged(metrics)
     best = TR.best_model(metrics).first()
     baseline = REG.scan_registry(spark, paths["registry"]).select("pr_auc").collect()
     base = baseline[0]["pr_auc"] if baseline else None
@@ -96,7 +96,7 @@ def retrain_check(events: DataFrame, paths: dict, current_metric: float = 0.8, n
         F.lit(last["last_training_time"] if last else None).cast("timestamp").alias("last_training_time"),
         F.lit(last["pr_auc"] if last else None).cast("double").alias("baseline_metric"),
         F.lit(current_metric).alias("current_metric"), "max_drift_score", "new_events", "new_users")
-    triggers = checkpoint_once(M.retrain_triggers(inputs))
+    triggers = staged(M.retrain_triggers(inputs))
     t = triggers.first()
     if t["should_retrain"] and run_retrain:
         result = retrain_job(new, paths, now=now, **retrain_kwargs)
@@ -127,7 +127,7 @@ def score_with_latest_model(events: DataFrame, paths: dict, cutoff=None, labels:
     from ..operators import dataset as DS
     states = [c[len("state_"):] for c in feats if c.startswith("state_")]
     fm = DS.state_one_hot(fm, states)
-    scores = checkpoint_once(SC.score_users(fm, feats, model, scored_at=now))
+    scores = staged(SC.score_users(fm, feats, model, scored_at=now))
     summary = SC.score_summary(scores)
     if labels is not None:
         perf = V.log_performance(scores.join(labels.select("userId", F.col("is_churned").cast("int").alias("label")),

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..operators import dataset as DS
 from ..operators import evaluate as V
-from ..session import checkpoint_once, ensure_checkpoint_dir
+from ..session import staged, ensure_checkpoint_dir
 
 MODEL_NAMES = ["gradient_boosting", "random_forest", "logistic_regression"]
 
@@ -59,7 +59,7 @@ def prepare(model_df: DataFrame, test_size: float = 0.2) -> PreparedData:
     the feature plan for each.
     """
     ensure_checkpoint_dir(model_df.sparkSession)
-    model_df = checkpoint_once(model_df)
+    model_df = staged(model_df)
     d = DS.time_based_split(model_df, test_size).withColumn("label", F.col("is_churned").cast("double"))
     train, test = d.filter(F.col("split") == "train"), d.filter(F.col("split") == "test")
     states = DS.state_list(train, test)
@@ -77,8 +77,8 @@ def prepare(model_df: DataFrame, test_size: float = 0.2) -> PreparedData:
         scaled = raw.select(*keep, *[((F.col(f"x_{c}") - F.lit(params[c][0])) / F.lit(params[c][1])).alias(c)
                                      for c in cols])
         return VectorAssembler(inputCols=cols, outputCol="features").transform(scaled)
-    tr = checkpoint_once(DS.balanced_weights(project(train), "label"))
-    te = checkpoint_once(project(test))
+    tr = staged(DS.balanced_weights(project(train), "label"))
+    te = staged(project(test))
     return PreparedData(tr, te, cols, params)
 
 
@@ -120,7 +120,7 @@ def train_and_compare(model_df: DataFrame, models=None, max_depth_rf: int = 30):
         est = make_estimator(name, n_train, max_depth_rf)
         m = est.fit(prep.train)
         fitted[name] = m
-        pred = checkpoint_once(probability(m.transform(prep.test)).select("label", "score"))
+        pred = staged(probability(m.transform(prep.test)).select("label", "score"))
         rep = V.classification_report(pred).withColumn("model", F.lit(name))
         rows = rep if rows is None else rows.unionByName(rep)
     metrics = rows.select("model", "pr_auc", "roc_auc", "f1_score", "precision", "recall",
@@ -157,7 +157,7 @@ def temporal_validation(model_df: DataFrame, n_splits: int = 3, threshold: float
     cols = DS.model_columns(model_df, [])
     d = d.select("label", "idx", "test_fold", "fold_start0", "test_size",
                  *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in cols])
-    d = checkpoint_once(d)    # read once per fold: cut the ranking lineage
+    d = staged(d)    # read once per fold: cut the ranking lineage
     n = model_df.count()
     scores = []
     for i in range(n_splits):
@@ -174,7 +174,7 @@ def temporal_validation(model_df: DataFrame, n_splits: int = 3, threshold: float
         def project(df):
             sc = df.select("label", *[((F.col(c) - F.lit(params[c][0])) / F.lit(params[c][1])).alias(c) for c in cols])
             return VectorAssembler(inputCols=cols, outputCol="features").transform(sc)
-        tr = checkpoint_once(DS.balanced_weights(project(train), "label"))
+        tr = staged(DS.balanced_weights(project(train), "label"))
         m = LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", maxIter=100,
                                regParam=1.0 / max(tr.count(), 1), standardization=False).fit(tr)
         pred = probability(m.transform(project(test)))

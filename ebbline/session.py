@@ -7,8 +7,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 # Settings every job relies on.  UTC is part of the semantics: whole-day
 # differences, dates and hours are all taken in UTC.
@@ -46,16 +48,24 @@ def apply_core_conf(spark: SparkSession) -> None:
         spark.conf.set(k, v)
 
 
+def _is_local(spark: SparkSession) -> bool:
+    """One process runs everything, so its own disk is shared storage."""
+    master = spark.sparkContext.master
+    return master.startswith("local") and not master.startswith("local-cluster")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    On a cluster ``spark.checkpoint.dir`` points at shared storage and is
-    used as is.  Only where it is unset (tests, local runs) a fresh scratch
-    folder is taken.
+    On a cluster ``spark.checkpoint.dir`` must point at shared storage and is
+    used as is; without it this raises.  Only a local master (tests, local
+    runs) may take a fresh scratch folder.
     """
     sc = spark.sparkContext
     cur = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not cur:
+        if not _is_local(spark):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         cur = tempfile.mkdtemp(prefix="ebbline-ckpt-", dir=os.environ.get("EBBLINE_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", cur)
     if not sc.getCheckpointDir():
@@ -69,17 +79,27 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
-def checkpoint_once(df):
-    """Reliable checkpoint (into ``spark.checkpoint.dir``) computing ``df`` once.
+def _staging(spark: SparkSession) -> str:
+    return shared_path(spark, f"staged/{spark.sparkContext.applicationId}")
+
+
+def staged(df):
+    """``df`` written once as Parquet under the shared folder and read back.
 
-    A reliable RDD checkpoint writes its files in a second job that
-    recomputes the input unless it is cached; persisting first makes that
-    job read the cache, which is dropped as soon as the files exist.
+    The written rows are facts: every reader sees the same ones, a lost
+    executor recomputes nothing upstream, and readers keep column pruning
+    and file statistics.  ``clear_staged`` drops all of an application's.
     """
-    from pyspark import StorageLevel
-    ensure_checkpoint_dir(df.sparkSession)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return cached.checkpoint(eager=True)
-    finally:
-        cached.unpersist()
+    spark = df.sparkSession
+    path = f"{_staging(spark)}/{uuid.uuid4().hex}"
+    void = {f.name: F.lit(None).cast("string") for f in df.schema.fields if f.dataType.typeName() == "void"}
+    df = df.withColumns(void) if void else df
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Delete what ``staged`` wrote in this application; frames read from it end with it."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(_staging(spark))
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
