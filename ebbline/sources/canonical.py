@@ -32,13 +32,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def _fingerprint(spark: SparkSession, paths: list[str]) -> str:
-    """Identity of the inputs: path, length and modification time of each."""
+    """Identity of the inputs: path, length and modification time of every file at any depth."""
     h = hashlib.sha1()
     for path in paths:
         fs, p = _fs(spark, path)
         if fs.exists(p):
-            for st in fs.listStatus(p) if fs.getFileStatus(p).isDirectory() else [fs.getFileStatus(p)]:
-                h.update(f"{st.getPath()}|{st.getLen()}|{st.getModificationTime()}".encode())
+            files, found = fs.listFiles(p, True), []
+            while files.hasNext():
+                st = files.next()
+                found.append(f"{st.getPath()}|{st.getLen()}|{st.getModificationTime()}")
+            h.update("\n".join([path, *sorted(found)]).encode())
         else:
             h.update(f"{path}|missing".encode())
     return h.hexdigest()[:16]
@@ -69,7 +72,8 @@ def write_events(df: DataFrame, path: str, num_partitions: int | None = None, gr
     _, dst = _fs(spark, path)
     if fs.exists(dst):
         fs.delete(dst, True)
-    fs.rename(src, dst)
+    if not fs.rename(src, dst):
+        raise OSError(f"could not move {tmp} to {path}")
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:

@@ -12,14 +12,27 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 
+OCCURRENCES = 10_000   # occurrence numbers of one line that a row holds at a time
+
 
 def scan_event_log(spark: SparkSession, path: str, schema=S.RAW_EVENT_SCHEMA) -> DataFrame:
-    """Raw records with ``event_id`` = position tie-break (file order)."""
+    """Raw records with a stable ``event_id``: a hash of the file, the line and its occurrence.
+
+    Reading a file again gives the same ids whatever its splits, and lines of
+    two files never share one.  Equal lines of a file are counted before they
+    are dealt out again with their occurrence numbers, so a line that is
+    repeated very often is one row in the exchange.
+    """
     v = F.try_parse_json(F.col("value"))
-    raw = spark.read.text(path).select(v.alias("v"))
+    lines = (spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+             .groupBy("file", "value").agg(F.count(F.lit(1)).alias("n")))
+    block = F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / OCCURRENCES)))
+    each = (lines.withColumn("_b", block)
+            .withColumn("_i", F.explode(F.sequence(F.col("_b") * OCCURRENCES, F.least(F.col("n"), (F.col("_b") + 1) * OCCURRENCES) - 1))))
+    raw = each.select(v.alias("v"), F.xxhash64("file", "value", "_i").alias("event_id"))
     obj = raw.filter(F.col("v").isNotNull() & F.schema_of_variant("v").startswith("OBJECT"))
     cols = [F.try_variant_get("v", f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in schema.fields]
-    return obj.select(*cols).withColumn("event_id", F.monotonically_increasing_id())
+    return obj.select(*cols, "event_id")
 
 
 def to_raw_json(events: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, Window as W
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,12 +36,10 @@ RETRAIN_LOG_SCHEMA = "timestamp timestamp, event_type string, details string"
 
 
 def _read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Read a log table; absent or unreadable -> empty frame with the schema."""
-    try:
-        if path_exists(spark, path):
-            return spark.read.schema(schema).parquet(path)
-    except Exception:  # noqa: BLE001 - a corrupt log counts as empty, as in the reference
-        pass
+    """Read a log table; an absent one is empty, and so is each corrupt file
+    (the reader skips it when the rows are read, not only when it is opened)."""
+    if path_exists(spark, path):
+        return spark.read.option("ignoreCorruptFiles", "true").schema(schema).parquet(path)
     return spark.createDataFrame([], schema)
 
 
@@ -75,17 +73,16 @@ def save_model(model, registry_path: str, model_dir: str, metrics: dict, model_t
 
 
 # S8 ----------------------------------------------------------------------------
-def latest_model_row(spark: SparkSession, registry_path: str) -> DataFrame:
-    """Deployed rows first, then the newest: one row (or none)."""
+def model_rows(spark: SparkSession, registry_path: str) -> DataFrame:
+    """Registry rows in the order in which readers try them: deployed first, then the newest."""
     reg = _read_or_empty(spark, registry_path, REGISTRY_SCHEMA)
-    w = W.orderBy(F.col("is_deployed").desc(), F.col("created_at").desc())   # registry: one row per run
-    return reg.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    return reg.orderBy(F.col("is_deployed").desc_nulls_last(), F.col("created_at").desc())
 
 
 def load_latest_model(spark: SparkSession, registry_path: str, loader):
-    """Resolve and load the model (``loader`` e.g. ``LogisticRegressionModel.load``);
-    only rows whose model files exist qualify."""
-    for r in latest_model_row(spark, registry_path).collect():
+    """Resolve and load the model (``loader`` e.g. ``LogisticRegressionModel.load``):
+    the first row, in ``model_rows`` order, whose model files exist (one row per run, streamed)."""
+    for r in model_rows(spark, registry_path).toLocalIterator():
         if path_exists(spark, r["model_path"]):
             return loader(r["model_path"]), r
     return None, None

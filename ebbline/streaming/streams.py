@@ -2,8 +2,8 @@
 
 * T1 ``incremental_stream``: new canonical events since the last run, from a
   file source with a checkpoint (files, not a ts high-watermark, so late rows
-  are kept), de-duplicated by event_id within a watermark.
-* T2 ``rate_stream``: events and approximate users per tumbling day.
+  are kept), de-duplicated by event_id against the sink.
+* T2 ``rate_stream``: events and approximate users per tumbling day, every day.
 * T3 ``score_stream``: micro-batches of feature rows scored and summarised
   with ``foreachBatch``.
 
@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from .. import schema as S
 from ..operators import scoring as SC
+from ..sources.canonical import path_exists
 
 CANONICAL_STREAM_SCHEMA = T.StructType(S.EVENT_SCHEMA.fields + [T.StructField("event_date", T.DateType())])
 
@@ -29,34 +30,62 @@ def read_event_stream(spark: SparkSession, path: str, max_files: int | None = No
 
 
 # T1 ----------------------------------------------------------------------------
-def incremental_stream(spark: SparkSession, source: str, sink: str, checkpoint: str,
-                       watermark: str = "1 day") -> None:
-    s = (read_event_stream(spark, source).withWatermark("ts", watermark)
-         .dropDuplicatesWithinWatermark(["event_id"]))
-    q = (s.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
-         .outputMode("append").trigger(availableNow=True).start())
+def incremental_stream(spark: SparkSession, source: str, sink: str, checkpoint: str) -> None:
+    """Append the events of new files that the sink does not have yet, however late they are.
+
+    No watermark decides what is new: each micro-batch is anti-joined on
+    event_id with the sink, pruned to the batch's event dates.  A batch owns
+    the partition ``batch_id``, so writing it again after a failure replaces it.
+    """
+    def handle(batch: DataFrame, epoch: int) -> None:
+        new = batch.dropDuplicates(["event_id"])
+        if path_exists(spark, sink):
+            dates = batch.agg(F.min("event_date"), F.max("event_date")).first()
+            have = (spark.read.schema(T.StructType([*CANONICAL_STREAM_SCHEMA.fields, T.StructField("batch_id", T.LongType())]))
+                    .parquet(sink).filter(F.col("batch_id") != epoch)
+                    .filter(F.col("event_date").between(dates[0], dates[1])))
+            new = new.join(have.select("event_id"), "event_id", "left_anti")
+        (new.select(*CANONICAL_STREAM_SCHEMA.fieldNames()).write.mode("overwrite").partitionBy("event_date")
+            .parquet(f"{sink}/batch_id={epoch}"))
+    q = (read_event_stream(spark, source).writeStream.foreachBatch(handle)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
 
 
 # T2 ----------------------------------------------------------------------------
-def rate_stream(spark: SparkSession, source: str, sink: str, checkpoint: str, watermark: str = "1 day") -> None:
-    s = (read_event_stream(spark, source).withWatermark("ts", watermark)
+def rate_stream(spark: SparkSession, source: str, sink: str, checkpoint: str) -> None:
+    """Events and approximate users of every day, open ones included.
+
+    The state is one row per calendar day, so it needs no watermark: late
+    events update their day.  Each micro-batch writes the days it changed
+    under its own ``batch_id``; :func:`read_rates` takes the newest of each.
+    """
+    def handle(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{sink}/batch_id={epoch}")
+    s = (read_event_stream(spark, source)
          .groupBy(F.window("ts", "1 day").alias("w"))
          .agg(F.count(F.lit(1)).alias("events"), F.approx_count_distinct("userId").alias("approx_users"))
          .select(F.col("w.start").alias("day_start"), F.col("w.end").alias("day_end"), "events", "approx_users"))
-    q = (s.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
-         .outputMode("append").trigger(availableNow=True).start())
+    q = (s.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+         .outputMode("update").trigger(availableNow=True).start())
     q.awaitTermination()
 
 
+def read_rates(spark: SparkSession, sink: str) -> DataFrame:
+    """day_start, day_end, events, approx_users: the newest row of every day."""
+    r = spark.read.parquet(sink)
+    newest = F.max_by(F.struct("day_end", "events", "approx_users"), "batch_id").alias("r")
+    return r.groupBy("day_start").agg(newest).select("day_start", "r.day_end", "r.events", "r.approx_users")
+
+
 # T3 ----------------------------------------------------------------------------
 def score_stream(spark: SparkSession, source: str, schema, sink: str, checkpoint: str, feature_list: list[str],
                  model=None, max_files: int | None = 1) -> None:
-    """Score each micro-batch of feature rows; append scores and a per-batch summary."""
+    """Score each micro-batch of feature rows; scores and a summary per batch (written again, not twice, on a retry)."""
     def handle(batch: DataFrame, epoch: int) -> None:
         scored = SC.score_users(batch, feature_list, model).withColumn("batch_id", F.lit(epoch))
-        scored.write.mode("append").parquet(f"{sink}/scores")
-        SC.score_summary(scored).withColumn("batch_id", F.lit(epoch)).write.mode("append").parquet(f"{sink}/summary")
+        scored.drop("batch_id").write.mode("overwrite").parquet(f"{sink}/scores/batch_id={epoch}")
+        SC.score_summary(scored).write.mode("overwrite").parquet(f"{sink}/summary/batch_id={epoch}")
     r = spark.readStream.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
