@@ -70,8 +70,8 @@ def scaler_params(train: DataFrame, features: list[str]) -> DataFrame:
 
 def standard_scale(df: DataFrame, params: dict[str, tuple[float, float]]) -> DataFrame:
     """Apply (x - mean) / std with driver-side parameters (one pair per feature)."""
-    return df.select(*[((F.coalesce(F.col(c).cast("double"), F.lit(0.0)) - F.lit(m)) / F.lit(sd)).alias(c)
-                       if c in params else F.col(c) for c in df.columns])
+    return df.select(*[((F.coalesce(F.col(c).cast("double"), F.lit(0.0)) - F.lit(params[c][0]))
+                        / F.lit(params[c][1])).alias(c) if c in params else F.col(c) for c in df.columns])
 
 
 def collect_scaler(params: DataFrame) -> dict[str, tuple[float, float]]:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import bin_range, equal_width_bin
+from .. import schema as S
 from ..session import staged
 from .cumulative import prefix_sums
 from .features import feature_matrix
@@ -233,14 +234,14 @@ def drift_summary(rep: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 # D10 ---------------------------------------------------------------------------
 def side_feature_matrices(events: DataFrame, last_data_ts=None, quantile: float = 0.7,
-                          materialize: bool = True) -> DataFrame:
-    """Feature matrices (no cutoff) of both sides in ONE plan: the user key is
+                          materialize: bool = True, features=None) -> DataFrame:
+    """Feature matrices (no cutoff; all or the named features) of both sides in ONE plan: the user key is
     prefixed with the side, so one group-by tree serves both.  The result
     (one row per user and side) is checkpointed when several drift scores
     read it."""
     s = reference_current_split(events, last_data_ts, quantile)
     keyed = s.withColumn("userId", F.concat_ws("\u0001", "side", "userId")).drop("side")
-    fm = feature_matrix(keyed, None, materialize=materialize)
+    fm = feature_matrix(keyed, None, materialize=materialize, features=features)
     parts = F.split(F.col("userId"), "\u0001")
     out = fm.withColumn("side", parts.getItem(0)).withColumn("userId", parts.getItem(1))
     return staged(out) if materialize else out
@@ -250,8 +251,9 @@ def engineered_drift(events: DataFrame, last_data_ts=None, quantile: float = 0.7
                      threshold: float = 0.1, variant: str = "monitor") -> tuple[DataFrame, DataFrame]:
     """PSI of the first ``k`` contract features between the reference and the
     current feature matrices; (per-feature scores, one-row report)."""
-    fm = side_feature_matrices(events, last_data_ts, quantile)
-    feats = numeric_feature_select(fm.drop("side"), fm.drop("side"), k)   # F8: contract order, first k
+    contract = events.sparkSession.createDataFrame([], ", ".join(f"{c} double" for c in S.NUMERIC_FEATURES))
+    feats = numeric_feature_select(contract, contract, k)   # F8: contract order, first k; no other column is built
+    fm = side_feature_matrices(events, last_data_ts, quantile, features=feats)
     st = F.explode(F.arrays_zip(F.array(*[F.lit(c) for c in feats]).alias("f"),
                                 F.array(*[F.col(c) for c in feats]).alias("v")))
     long = fm.select("side", st.alias("p")).select("side", F.col("p.f").alias("feature"),

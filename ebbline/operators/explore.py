@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions import (bin_range, days_between_floor, equal_width_bin, extract_state_nb, first_value_struct,
                          minutes_between, weekday_name)
+from .cumulative import exact_quantile
 from .labels import with_dataset_end
 from .scalars import attach_scalars, combine_rows
 from .prep import complete_songs, contains_downgrade
@@ -215,15 +216,21 @@ def _by_time_key(df: DataFrame, key: F.Column, name: str, sessions: bool = False
     """Per time key: events, song plays, distinct users (and sessions).
 
     One scan: events are pre-aggregated to (key, user, session) - one row per
-    session-slice, far fewer than events - and the distinct counts are taken
-    over that table."""
+    session-slice, far fewer than events.  Users and sessions are counted as
+    the rows of one further group-by each, so no row is expanded for a second
+    distinct count."""
     fine = (df.withColumn(name, key).groupBy(name, "userId", "sessionId")
               .agg(F.count(F.lit(1)).alias("c"), F.count_if(_song()).alias("s")))
-    aggs = [F.sum("c").alias("total_events"), F.sum("s").alias("song_plays"),
-            F.count_distinct("userId").alias("unique_users")]
+    zero = F.lit(0).cast("long")
+    users = fine.groupBy(name, "userId").agg(F.sum("c").alias("c"), F.sum("s").alias("s"))
+    parts = users.select(name, "c", "s", F.col("userId").isNotNull().cast("long").alias("u"), zero.alias("v"))
     if sessions:
-        aggs.append(F.count_distinct("sessionId").alias("unique_sessions"))
-    return fine.groupBy(name).agg(*aggs)
+        seen = fine.filter(F.col("sessionId").isNotNull()).select(name, "sessionId").distinct()
+        parts = parts.union(seen.select(name, zero, zero, zero, F.lit(1).cast("long")))
+    aggs = [F.sum("c").alias("total_events"), F.sum("s").alias("song_plays"), F.sum("u").alias("unique_users")]
+    if sessions:
+        aggs.append(F.sum("v").alias("unique_sessions"))
+    return parts.groupBy(name).agg(*aggs)
 
 
 def daily_stats(df: DataFrame) -> DataFrame:
@@ -343,7 +350,8 @@ def churned_vs_active(users: DataFrame, labels: DataFrame) -> DataFrame:
 
 # A31 ---------------------------------------------------------------------------
 def key_medians(users: DataFrame) -> DataFrame:
-    return users.agg(F.median("total_events").alias("median_events"),
+    median = exact_quantile(users, "total_events", 0.5).scalar()    # no buffer over all users
+    return users.agg(F.first(median).alias("median_events"),
                      F.avg("activity_span_days").alias("avg_activity_span"),
                      F.max("total_events").alias("max_events"),
                      F.count("registration").alias("registered_users"),

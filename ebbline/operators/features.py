@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions import add_days, days_between_floor, first_value_struct, greatest1, location_state, minutes_between
-from ..session import staged, ensure_checkpoint_dir
+from ..session import staged
 from .prep import contains_downgrade, drop_unlabelled, temporal_cutoff
 
 def _song() -> F.Column:
@@ -205,36 +205,43 @@ def _user_features(u: DataFrame) -> DataFrame:
 
 
 # X13 ---------------------------------------------------------------------------
-def feature_matrix(events: DataFrame, cutoff=None, materialize: bool = True) -> DataFrame:
+DISTINCT_FEATURES = ("unique_artists", "unique_songs", "artist_diversity", "song_diversity")
+
+
+def feature_matrix(events: DataFrame, cutoff=None, materialize: bool = True, features=None) -> DataFrame:
     """One row per user of the *uncut* log: userId, 64 doubles, location_state.
 
     A user without events up to the cutoff gets all zeros (state null).
-    With ``materialize`` the fine-grain table is checkpointed (reliable
-    checkpoint in ``spark.checkpoint.dir``) so its three consumers read it
-    instead of each re-scanning and re-shuffling the events.  The fine table
-    holds one row per (user, date, session, page, level) - far fewer than a
-    hot user's events - so hashing it by userId is safe.
+    With ``materialize`` the fine-grain table is written once to the shared
+    folder, so its three consumers read it instead of each re-scanning and
+    re-shuffling the events.  It stays dealt out by (user, date, session,
+    page, level): every coarser grain combines map-side before its own
+    exchange, so a user with a large share of all sessions (a blank id) is
+    spread over all tasks and only one row per task and key is exchanged.
+
+    ``features`` limits the columns (and the work) to the ones named; the
+    distinct artists and songs are counted only if one of them needs it.
     """
-    # Hash the (small) fine table by userId once: the user, session and day
-    # grains, the day-rank window and their joins then need no more shuffles.
-    fine = _fine_grain(with_reference_time(events, cutoff)).repartition("userId")
+    wanted = list(features) if features is not None else S.NUMERIC_FEATURES
+    fine = _fine_grain(with_reference_time(events, cutoff))
     if materialize:
-        ensure_checkpoint_dir(events.sparkSession)
         fine = staged(fine)
     u = _user_features(_user_grain(fine))
     ses = _session_grain(fine)
     day = _day_grain(fine)
-    dist = _distinct_grain(temporal_cutoff(events, cutoff))
     users = events.select("userId").distinct()
-    m = (users.join(u, "userId", "left").join(ses, "userId", "left").join(day, "userId", "left")
-              .join(dist, "userId", "left"))
+    m = users.join(u, "userId", "left").join(ses, "userId", "left").join(day, "userId", "left")
+    if any(c in DISTINCT_FEATURES for c in wanted):
+        m = m.join(_distinct_grain(temporal_cutoff(events, cutoff)), "userId", "left")
+    else:
+        m = m.withColumns({c: F.lit(None).cast("long") for c in ("unique_artists", "unique_songs")})
     songs = F.col("songs_played")
     m = (m.withColumn("avg_events_per_session", F.col("n") / greatest1(F.coalesce("unique_sessions", F.lit(0))))
           .withColumn("artist_diversity", F.when(songs > 0, F.coalesce("unique_artists", F.lit(0)) / songs))
           .withColumn("song_diversity", F.when(songs > 0, F.coalesce("unique_songs", F.lit(0)) / songs))
           .withColumn("unique_artists", F.when(songs > 0, F.coalesce("unique_artists", F.lit(0))))
           .withColumn("unique_songs", F.when(songs > 0, F.coalesce("unique_songs", F.lit(0)))))
-    feats = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in S.NUMERIC_FEATURES]
+    feats = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in wanted]
     return m.select("userId", *feats, "location_state")
 
 

@@ -29,7 +29,6 @@ def performance_log_by_period(scored: DataFrame, period_col: str, label: str = "
                     "avg_churn_probability")
 
 
-__all__ = ["log_performance", "performance_log_by_period"]
 
 
 # D14 ---------------------------------------------------------------------------

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..operators import dataset as DS
 from ..operators import evaluate as V
-from ..session import staged, ensure_checkpoint_dir
+from ..session import staged
 
 MODEL_NAMES = ["gradient_boosting", "random_forest", "logistic_regression"]
 
@@ -58,7 +58,6 @@ def prepare(model_df: DataFrame, test_size: float = 0.2) -> PreparedData:
     projected train/test sets are checkpointed once instead of re-running
     the feature plan for each.
     """
-    ensure_checkpoint_dir(model_df.sparkSession)
     model_df = staged(model_df)
     d = DS.time_based_split(model_df, test_size).withColumn("label", F.col("is_churned").cast("double"))
     train, test = d.filter(F.col("split") == "train"), d.filter(F.col("split") == "test")
@@ -152,7 +151,7 @@ def temporal_validation(model_df: DataFrame, n_splits: int = 3, threshold: float
     the result silently 0.0), only numeric features enter the fit.
     """
     spark = model_df.sparkSession
-    ensure_checkpoint_dir(spark)
+    model_df = staged(model_df)    # the index, the count and the folds read it
     d = DS.expanding_folds(model_df.withColumn("label", F.col("is_churned").cast("double")), n_splits)
     cols = DS.model_columns(model_df, [])
     d = d.select("label", "idx", "test_fold", "fold_start0", "test_size",
