@@ -1,8 +1,10 @@
 """M1-M4, W7 (oracle-checked), M8, M13-M16, K6, D15, R3, S1-S8, T1-T3 (rows-only)."""
 from __future__ import annotations
 
+import functools
 import uuid
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
@@ -10,13 +12,14 @@ from ..catalog import CUTOFF_A, INACTIVITY_A, ev_a, register
 from ..operators import dataset as DS
 from ..operators import features as X
 from ..operators import labels as L
-from ..operators.prep import preprocess_events
+from ..operators.prep import align_to_contract, preprocess_events
 from ..operators.scalars import combine_rows
 from ..oracle import R, with_ev
 from ..plans import jobs as J
 from ..plans import training as TR
-from ..session import shared_path
+from ..session import shared_path, staged
 from ..sources import eventlog as EL
+from ..sources import registry as REG
 from ..sources.adapters import activity_events_path
 from ..streaming import streams as ST
 from .q_features import _LAB_FOR_JOIN, feature_ctes, fm_select
@@ -57,10 +60,25 @@ def _states(spark, sf):
 
 _TOP = ("SELECT location_state, count(*) AS n FROM tsp WHERE split = '{s}' AND location_state IS NOT NULL "
         "GROUP BY 1 ORDER BY n DESC, location_state LIMIT 10")
-register("state_one_hot", with_ev(f"""
+register("common_states", with_ev(f"""
 SELECT a.location_state, a.n AS train_count, b.n AS test_count
 FROM ({_TOP.format(s='train')}) a JOIN ({_TOP.format(s='test')}) b USING (location_state)""", "A", TS_CTES))(_states)
 
+
+def _one_hot(spark, sf):
+    d = staged(DS.time_based_split(_model_df(spark, sf)))
+    states = DS.state_list(d.filter(F.col("split") == "train"), d.filter(F.col("split") == "test"))
+    flags = DS.state_one_hot(d.select("userId", "location_state"), states)
+    pairs = [F.struct(F.lit(s).alias("state"), F.col(f"state_{s}").alias("flag")) for s in states]
+    each = F.array(*pairs) if pairs else F.array().cast("array<struct<state:string,flag:int>>")
+    return flags.select("userId", F.explode(each).alias("p")).select("userId", "p.state", "p.flag")
+
+
+register("state_one_hot", with_ev(f"""
+SELECT userId, s.location_state AS state, CAST(tsp.location_state = s.location_state AS INTEGER) AS flag
+FROM tsp CROSS JOIN (SELECT location_state FROM ({_TOP.format(s='train')}) a
+                     JOIN ({_TOP.format(s='test')}) b USING (location_state)) s""", "A", TS_CTES))(_one_hot)
+
 # M3 ----------------------------------------------------------------------------
 register("balanced_weights", with_ev(f"""
 SELECT CAST(is_churned AS INTEGER) AS label, count(*) AS n_class,
@@ -77,7 +95,40 @@ register("standard_scale", with_ev(" UNION ALL ".join(
     lambda spark, sf: DS.scaler_params(DS.time_based_split(_model_df(spark, sf)).filter(F.col("split") == "train"),
                                        S.NUMERIC_FEATURES))
 
+
+
+def _scaled(spark, sf):
+    d = staged(DS.time_based_split(_model_df(spark, sf)))
+    cols = S.NUMERIC_FEATURES[:8]
+    params = DS.collect_scaler(DS.scaler_params(d.filter(F.col("split") == "train"), cols))
+    return DS.standard_scale(d.select("userId", "split", *cols), params)
+
+
+register("standard_scaled", with_ev("SELECT userId, split, " + ", ".join(
+    R(f"(coalesce(CAST({c} AS DOUBLE), 0.0) - (SELECT avg(coalesce(CAST({c} AS DOUBLE), 0.0)) FROM tsp WHERE split = 'train')) / "
+      f"(SELECT CASE WHEN stddev_pop(coalesce(CAST({c} AS DOUBLE), 0.0)) = 0 THEN 1.0 ELSE "
+      f"stddev_pop(coalesce(CAST({c} AS DOUBLE), 0.0)) END FROM tsp WHERE split = 'train')") + f" AS {c}"
+    for c in S.NUMERIC_FEATURES[:8]) + " FROM tsp", "A", TS_CTES))(_scaled)
+
+
+# F7 with an absent and an extra column --------------------------------------------------
+def _aligned(spark, sf):
+    absent, *rest = S.NUMERIC_FEATURES[:6]
+    m = _model_df(spark, sf).select("userId", *rest, F.lit(7.0).alias("not_in_the_contract"))
+    return align_to_contract(m, [absent, *rest])
+
+
+register("align_to_contract", with_ev(
+    f"SELECT userId, 0.0 AS {S.NUMERIC_FEATURES[0]}, "
+    + ", ".join(f"{R(f'coalesce(CAST({c} AS DOUBLE), 0.0)')} AS {c}" for c in S.NUMERIC_FEATURES[1:6]) + " FROM tset",
+    "A", TS_CTES))(_aligned)
+
 # W7 ----------------------------------------------------------------------------
+register("expanding_folds_payload", with_ev(f"""
+SELECT userId, idx, {R('coalesce(CAST(total_events AS DOUBLE), 0.0)')} AS total_events, location_state
+FROM (SELECT *, row_number() OVER (ORDER BY coalesce(days_since_registration, 0) DESC, userId) - 1 AS idx FROM tset)""",
+                                            "A", TS_CTES))(
+    lambda spark, sf: DS.expanding_folds(_model_df(spark, sf)).select("userId", "idx", "total_events", "location_state"))
 register("expanding_folds", with_ev("""
 SELECT userId, idx, CASE WHEN idx >= n - 3 * ts AND ts > 0 THEN CAST(floor((idx - (n - 3 * ts)) / ts) AS INTEGER) END
          AS test_fold
@@ -97,18 +148,17 @@ register("best_model")(lambda spark, sf: TR.best_model(_train(spark, sf)))
 
 
 def _importance(spark, sf):
-    metrics, fitted, prep = TR.train_and_compare(_model_df(spark, sf), models=["logistic_regression", "random_forest"])
-    return (TR.feature_importance(spark, fitted["logistic_regression"], prep.columns).withColumn("model", F.lit("lr"))
-            .unionByName(TR.feature_importance(spark, fitted["random_forest"], prep.columns)
-                         .withColumn("model", F.lit("rf"))))
+    _, fitted, prep = TR.train_and_compare(_model_df(spark, sf))
+    parts = [TR.feature_importance(spark, m, prep.columns).withColumn("model", F.lit(name)) for name, m in fitted.items()]
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 register("feature_importance")(_importance)
 
 
 def _err_trained(spark, sf):
-    metrics, fitted, prep = TR.train_and_compare(_model_df(spark, sf), models=["logistic_regression"])
-    return TR.error_analysis_for(fitted["logistic_regression"], prep)
+    metrics, fitted, prep = TR.train_and_compare(_model_df(spark, sf))
+    return TR.error_analysis_for(fitted[TR.best_model(metrics).first()["model"]], prep)
 
 
 register("error_analysis_trained")(_err_trained)
@@ -124,7 +174,6 @@ def _monitoring(spark, sf):
 def _retrain_check(spark, sf):
     paths = J.default_paths(_run_dir(spark, "retrain"))
     J.retrain_check(ev_a(spark, sf), paths)            # first run: no model -> retrain, save, log
-    from ..sources import registry as REG
     return combine_rows(REG.read_retrain_log(spark, paths["retrain_log"]),
                         REG.scan_registry(spark, paths["registry"]).select("best_model_type", "pr_auc", "is_deployed"))
 
@@ -145,10 +194,45 @@ register("scan_event_log", with_ev("SELECT page, count(*) AS events, count(DISTI
     _scan)
 
 
+def _scan_rows(spark, sf):
+    path = _run_dir(spark, "eventlog")
+    EL.write_event_log(ev_a(spark, sf), path)
+    ev = preprocess_events(EL.scan_event_log(spark, path))
+    return ev.select("userId", F.unix_millis("ts").alias("ts_ms"), F.unix_millis("registration").alias("registration_ms"),
+                     "page", "level", "artist", "song", F.col("length").cast("double").alias("length"))
+
+
+register("scan_event_log_rows", with_ev(f"""
+SELECT userId, epoch_us(ts) // 1000 AS ts_ms, epoch_us(registration) // 1000 AS registration_ms, page, level, artist, song,
+       {R('CAST(length AS DOUBLE)')} AS length FROM ev"""))(_scan_rows)
+
+
+# The newest 100 entries of the monitoring log, one entry for each hour with events ---------
+def _retention(spark, sf):
+    path = f"{_run_dir(spark, 'retention')}/monitor_log"
+    hours = ev_a(spark, sf).groupBy(F.date_trunc("hour", "ts").alias("timestamp")).agg(F.count(F.lit(1)).alias("n"))
+    REG.sink_monitor_log(hours.select(
+        "timestamp", F.date_format("timestamp", "yyyyMMdd_HHmm").alias("monitoring_id"), (F.col("n") > 1).alias("drift_detected"),
+        F.col("n").cast("double").alias("max_drift_score"), F.lit(False).alias("performance_degradation"),
+        F.lit(0.0).alias("event_rate_change")), path)
+    return REG.read_monitor_log(spark, path).select(F.unix_seconds("timestamp").alias("at"), "monitoring_id",
+                                                    "drift_detected", "max_drift_score")
+
+
+register("monitor_log_retention", with_ev("""
+SELECT CAST(epoch(h) AS BIGINT) AS at, strftime(h, '%Y%m%d_%H%M') AS monitoring_id, n > 1 AS drift_detected,
+       CAST(n AS DOUBLE) AS max_drift_score
+FROM (SELECT date_trunc('hour', ts) AS h, count(*) AS n FROM ev GROUP BY 1 ORDER BY 1 DESC LIMIT 100)"""))(_retention)
+
+
 # T1-T3 -----------------------------------------------------------------------------
 def _t1(spark, sf):
     run = _run_dir(spark, "t1")
-    ST.incremental_stream(spark, activity_events_path(spark, sf), f"{run}/out", f"{run}/ckpt")
+    ev = ev_a(spark, sf)
+    late = F.dayofmonth("ts") <= 10          # the older events arrive in the second run only
+    for part in (~late, late):
+        ev.filter(part).write.mode("append").partitionBy("event_date").parquet(f"{run}/source")
+        ST.incremental_stream(spark, f"{run}/source", f"{run}/out", f"{run}/ckpt")
     return spark.read.parquet(f"{run}/out").groupBy(F.to_date("ts").alias("date")).agg(
         F.count(F.lit(1)).alias("events"))
 
@@ -159,16 +243,18 @@ register("incremental_stream", with_ev("SELECT CAST(ts AS DATE) AS date, count(*
 def _t2(spark, sf):
     run = _run_dir(spark, "t2")
     ST.rate_stream(spark, activity_events_path(spark, sf), f"{run}/out", f"{run}/ckpt")
-    return spark.read.parquet(f"{run}/out")
+    return ST.read_rates(spark, f"{run}/out")
 
 
 register("rate_stream")(_t2)
+register("rate_stream_events", with_ev("SELECT CAST(ts AS DATE) AS day, count(*) AS events FROM ev GROUP BY 1"))(
+    lambda spark, sf: _t2(spark, sf).select(F.to_date("day_start").alias("day"), "events"))
 
 
 def _t3(spark, sf):
     run = _run_dir(spark, "t3")
     fm = X.feature_matrix(ev_a(spark, sf), CUTOFF_A)
-    fm.repartition(4).write.parquet(f"{run}/features")
+    fm.write.parquet(f"{run}/features")
     ST.score_stream(spark, f"{run}/features", fm.schema, f"{run}/out", f"{run}/ckpt", S.NUMERIC_FEATURES)
     return spark.read.parquet(f"{run}/out/summary")
 
@@ -177,13 +263,11 @@ register("score_stream")(_t3)
 
 
 def _score_latest(spark, sf):
-    """Train and deploy (LR only, as a scoring fixture), then score with the
-    model the registry resolves (S7 -> S8 -> D1 -> D2, D13 -> S5)."""
+    """Train and deploy the best of all models, then score with the model the registry resolves (S7 -> S8 -> D1 -> D2, D13 -> S5)."""
     paths = J.default_paths(_run_dir(spark, "scoring"))
     ev = ev_a(spark, sf)
-    J.retrain_job(ev, paths, inactivity_days=N, models=["logistic_regression"])
+    J.retrain_job(ev, paths, inactivity_days=N)
     _, summary = J.score_with_latest_model(ev, paths, CUTOFF_A, labels=L.churn_labels(ev, N))
-    from ..sources import registry as REG
     return combine_rows(summary, REG.read_perf_log(spark, paths["perf_log"]).select("num_predictions", "accuracy"))
 
 

@@ -7,12 +7,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from ebbline import catalog
 
 SF = "/root/testdata/sf0.001"
 NAMES = ["churn_labels", "churn_labels_orders", "feature_matrix", "feature_matrix_nocutoff", "user_summary",
          "daily_stats", "dow_stats", "histogram_song_length", "top_songs", "session_summary", "classification_report",
          "cumulative_confusion", "ks_numeric", "psi_monitor", "psi_retrain", "psi_categorical", "score_users",
-         "engineered_drift_scores", "expanding_folds", "standard_scale", "performance_trend", "incremental_stream"]
+         "engineered_drift_scores", "expanding_folds", "standard_scale", "performance_trend", "incremental_stream", "state_one_hot", "standard_scaled",
+         "align_to_contract", "expanding_folds_payload", "scan_event_log_rows", "monitor_log_retention", "rate_stream_events"]
 
 
 def _norm(v):
@@ -52,9 +54,9 @@ def test_every_query_has_oracle_or_is_declared_rows_only():
     rows_only = {"train_and_compare", "best_model", "feature_importance", "error_analysis_trained",
                  "temporal_validation", "monitoring_cycle", "retrain_check", "rate_stream", "score_stream",
                  "score_with_latest_model"}
-    q, o = entry.queries(), entry.oracle_sql()
-    assert set(q) - set(o) == rows_only
-    assert set(o) <= set(q)
+    assert set(catalog.QUERIES) - set(catalog.ORACLE) == rows_only
+    assert set(catalog.ORACLE) <= set(catalog.QUERIES)
+    assert set(catalog.QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry_smoke(spark):
