@@ -1,6 +1,7 @@
 """M1-M4, W7 (oracle-checked), M8, M13-M16, K6, D15, R3, S1-S8, T1-T3 (rows-only)."""
 from __future__ import annotations
 
+import datetime as dt
 import functools
 import uuid
 
@@ -181,6 +182,43 @@ def _retrain_check(spark, sf):
 register("monitoring_cycle")(_monitoring)
 register("retrain_check")(_retrain_check)
 
+# D15 without its time stamps: the cycle's summary, read back from the log it wrote -------------
+from .q_metrics import BIN_SQL, LG10, SIDE_FM  # noqa: E402
+
+
+def _monitoring_summary(spark, sf):
+    paths = J.default_paths(_run_dir(spark, "monitoring"))
+    J.monitoring_cycle(ev_a(spark, sf), paths)
+    return REG.read_monitor_log(spark, paths["monitor_log"]).drop("timestamp", "monitoring_id")
+
+
+register("monitoring_cycle_summary", with_ev(f"""
+SELECT coalesce(mx > 0.1, false) AS drift_detected, {R('coalesce(mx, 0.0)')} AS max_drift_score,
+       ch > 0.1 AS performance_degradation, {R('ch')} AS event_rate_change
+FROM (SELECT max(psi) AS mx FROM psim),
+     (SELECT CASE WHEN rr > 0 THEN abs(cr - rr) / rr ELSE 0.0 END AS ch FROM (
+        SELECT count(*) FILTER (WHERE side = 'reference') / greatest(count(DISTINCT userId) FILTER (WHERE side = 'reference'), 1) AS rr,
+               count(*) FILTER (WHERE side = 'current') / greatest(count(DISTINCT userId) FILTER (WHERE side = 'current'), 1) AS cr
+        FROM es))""", "A", SIDE_FM + "," + LG10 + "," + BIN_SQL.format(src="lg10")))(_monitoring_summary)
+
+
+# R3 with a deployed model: the decision on new data, nothing retrained ------------------------
+def _retrain_decision(spark, sf):
+    paths = J.default_paths(_run_dir(spark, "decision"))
+    at = dt.datetime.fromisoformat
+    REG.append(spark.createDataFrame(
+        [("none", "logistic_regression", at("2024-01-29"), at("2024-01-25"), 0.82, 0.9, 0.8, 0.8, 0.8, ["x"],
+          at("2024-01-29"), True)], REG.REGISTRY_SCHEMA), paths["registry"])
+    t = J.retrain_check(ev_a(spark, sf), paths, now=at("2024-01-31"), run_retrain=False)
+    return t.select("schedule_trigger", "performance_trigger", "data_volume_trigger", "new_events", "new_users",
+                    F.lit(REG.read_retrain_log(spark, paths["retrain_log"]).first()["event_type"]).alias("event_type"))
+
+
+register("retrain_check_decision", with_ev("""
+SELECT false AS schedule_trigger, false AS performance_trigger, count(*) >= 100 AS data_volume_trigger,
+       count(*) AS new_events, count(DISTINCT userId) AS new_users, 'retraining_check' AS event_type
+FROM ev WHERE ts > TIMESTAMP '2024-01-25'"""))(_retrain_decision)
+
 
 # S1 + P4: the event log as JSON lines, scanned back -------------------------------------
 def _scan(spark, sf):

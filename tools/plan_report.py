@@ -17,7 +17,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from ebbline.catalog import QUERIES  # noqa: E402
 from ebbline.session import local_session  # noqa: E402
 
 PATTERNS = {
@@ -46,7 +46,7 @@ def main():
         os.path.abspath(__file__))), "PLANS.md")
     spark = local_session()
     rows = []
-    for name, fn in entry.queries().items():
+    for name, fn in QUERIES.items():
         t0 = time.time()
         df = fn(spark, sf)
         df.write.format("noop").mode("overwrite").save()      # final adaptive plan
