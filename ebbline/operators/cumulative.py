@@ -64,16 +64,17 @@ def exact_quantile(df: DataFrame, col, q: float) -> DataFrame:
     One-row result, column ``q``.
     """
     v = (F.col(col) if isinstance(col, str) else col).cast("double")
-    counts = df.select(v.alias("v")).filter(F.col("v").isNotNull()).groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    cum = prefix_sums(counts, "v", ["n"])
-    total = counts.agg(F.sum("n")).scalar()
-    pos = (total - 1).cast("double") * F.lit(float(q))
-    lo_pos, hi_pos = F.floor(pos), F.ceil(pos)
-    picked = cum.agg(F.min(F.when(F.col("cum_n") > lo_pos, F.col("v"))).alias("lo"),
-                     F.min(F.when(F.col("cum_n") > hi_pos, F.col("v"))).alias("hi"),
-                     F.first(pos).alias("pos"), F.first(lo_pos).alias("lp"), F.first(hi_pos).alias("hp"))
-    val = F.when((F.col("hp") == F.col("lp")) | (F.col("hi") == F.col("lo")), F.col("lo")).otherwise(
-        (F.col("hp") - F.col("pos")) * F.col("lo") + (F.col("pos") - F.col("lp")) * F.col("hi"))
+    # written once: the total and the running sums read it, the input's plan runs a single time
+    counts = staged(df.select(v.alias("v")).filter(F.col("v").isNotNull()).groupBy("v").agg(F.count(F.lit(1)).alias("n")))
+    total = counts.agg(F.sum("n")).first()[0]
+    if not total:
+        return df.sparkSession.range(1).select(F.lit(None).cast("double").alias("q"))
+    pos = (total - 1) * float(q)
+    lo_pos, hi_pos = math.floor(pos), math.ceil(pos)
+    picked = prefix_sums(counts, "v", ["n"]).agg(F.min(F.when(F.col("cum_n") > lo_pos, F.col("v"))).alias("lo"),
+                                                 F.min(F.when(F.col("cum_n") > hi_pos, F.col("v"))).alias("hi"))
+    val = F.col("lo") if lo_pos == hi_pos else F.when(F.col("hi") == F.col("lo"), F.col("lo")).otherwise(
+        F.lit(hi_pos - pos) * F.col("lo") + F.lit(pos - lo_pos) * F.col("hi"))
     return picked.select(val.alias("q"))
 
 

@@ -215,17 +215,15 @@ def user_ratings(df: DataFrame) -> DataFrame:
 def _by_time_key(df: DataFrame, key: F.Column, name: str, sessions: bool = False) -> DataFrame:
     """Per time key: events, song plays, distinct users (and sessions).
 
-    One scan: events are pre-aggregated to (key, user, session) - one row per
-    session-slice, far fewer than events.  Users and sessions are counted as
-    the rows of one further group-by each, so no row is expanded for a second
-    distinct count."""
-    fine = (df.withColumn(name, key).groupBy(name, "userId", "sessionId")
-              .agg(F.count(F.lit(1)).alias("c"), F.count_if(_song()).alias("s")))
+    Users and sessions are counted as the rows of one group-by each, so no
+    row is expanded for a second distinct count; with sessions that is two
+    scans of a few narrow columns, both combined map-side."""
+    keyed = df.withColumn(name, key)
     zero = F.lit(0).cast("long")
-    users = fine.groupBy(name, "userId").agg(F.sum("c").alias("c"), F.sum("s").alias("s"))
+    users = keyed.groupBy(name, "userId").agg(F.count(F.lit(1)).alias("c"), F.count_if(_song()).alias("s"))
     parts = users.select(name, "c", "s", F.col("userId").isNotNull().cast("long").alias("u"), zero.alias("v"))
     if sessions:
-        seen = fine.filter(F.col("sessionId").isNotNull()).select(name, "sessionId").distinct()
+        seen = keyed.filter(F.col("sessionId").isNotNull()).select(name, "sessionId").distinct()
         parts = parts.union(seen.select(name, zero, zero, zero, F.lit(1).cast("long")))
     aggs = [F.sum("c").alias("total_events"), F.sum("s").alias("song_plays"), F.sum("u").alias("unique_users")]
     if sessions:
