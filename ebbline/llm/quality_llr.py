@@ -25,7 +25,7 @@ from .common import stratified_sample
 
 BUCKETS = 8192
 TRUSTED = 4000            # bound of the trusted sample: about so many documents
-THRESHOLD = -0.04         # of the mean log-likelihood ratio
+THRESHOLD = -0.05         # of the mean log-likelihood ratio; good rows lie around 0, junk mostly far below
 SMOOTHING = 1.0           # added to every bucket's count
 LEAST_WORDS, MOST_REPEATED = 50, 50
 SPACE = r"[\x20\x09-\x0D]+"
