@@ -16,7 +16,10 @@ band's key are a bucket.  Each bucket has one leader, and every other member is
 compared with it exactly (weighted Jaccard over all shingles, 0.8 or more), so
 work grows with the members and not with their pairs.  Buckets whose members
 are still in several classes get further leaders, also within sub-buckets that
-share a second band, until a round finds no new link.
+share a second band, until a round finds no new link.  Sweeps follow: nodes of
+such buckets that share any two bands are dealt into small blocks, and all of a
+block that are in different classes are compared, each time in other blocks,
+until a sweep finds none.  A sub-bucket that fits one block is compared whole.
 
 Defined cases: texts without a word (null ones too) are each alone in a class;
 repeated rows are one class; the class id is the least doc_id in the class
@@ -35,6 +38,7 @@ from .common import staged, texts_of
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 6                    # a pair of similarity 0.8 shares a band with probability 0.9993
 COORDINATES = BANDS * ROWS
+BLOCK_NODES = 8                        # nodes of a block in a sweep, on average
 BLOCK_WORDS = 40_000                   # words of the documents that are hashed together
 POISSON = np.cumsum([np.exp(-1) / float(np.prod(np.arange(1, k + 1))) for k in range(20)])
 _words: dict[str, int] = {}
@@ -186,6 +190,26 @@ def leaders(members: DataFrame, keys: list[str], order: Column) -> DataFrame:
             .select(*keys, F.col("_lead.nid").alias("lead"), F.col("_lead.class").alias("lead_class")))
 
 
+def block_pairs(open_rows: DataFrame, turn: int) -> DataFrame:
+    """Pairs of different classes that share two bands and, by a hash of this turn, a block.
+
+    A node has at most ``BANDS`` keys; a sub-bucket has blocks in proportion to
+    its nodes, so the pairs grow with the nodes.
+    """
+    keys = open_rows.groupBy("nid", "class").agg(F.sort_array(F.collect_set("key")).alias("keys"))
+    after = lambda i: F.slice("keys", i + 2, F.size("keys"))
+    both = F.flatten(F.transform("keys", lambda k, i: F.transform(after(i), lambda other: F.xxhash64(k, other))))
+    subs = staged(keys.select("nid", "class", F.explode(both).alias("sub")), "subs")
+    blocks_of = (subs.groupBy("sub").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("_lo"), F.max("class").alias("_hi"))
+                 .filter("_lo < _hi").select("sub", F.ceil(F.col("n") / BLOCK_NODES).alias("n_blocks")))
+    dealt = staged(subs.join(blocks_of, "sub").select("nid", "class", F.xxhash64("sub", F.pmod(
+        F.xxhash64("nid", "sub", F.lit(turn)), "n_blocks")).alias("block")), "blocks")
+    other = dealt.toDF("lead", "lead_class", "block")
+    return (dealt.join(other, (dealt["block"] == other["block"]) & (F.col("nid") < F.col("lead"))
+                       & (F.col("class") != F.col("lead_class")))
+            .select("nid", "class", "lead", "lead_class"))
+
+
 def sets_of(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """nid and units of the nodes in ``wanted``, from one scan of the documents."""
     wanted = wanted.join(nodes.select("nid", "digest", "least_id"), "nid")
@@ -233,7 +257,8 @@ def link_nodes(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     leader is the member that shares most buckets with others among those that
     have not led it yet: the middle of a group of copies shares more than its
     outer members do.  Further rounds also give a leader, by another order, to
-    the members that share a second band.
+    the members that share a second band.  When no leader finds a link, sweeps
+    over blocks go on with what is left.
     """
     rows = nodes.select("nid", F.posexplode("bands").alias("p", "key"))
     some = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -242,7 +267,7 @@ def link_nodes(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     sets = sets_of(degree.select("nid"), nodes, docs)
     members = shared.select("key", "p", "nid")
     classes = tested = led = None
-    turn = 0
+    turn, sweeping = 0, False
     while True:
         if classes is None:
             open_rows = members.join(degree, "nid").withColumn("class", F.col("nid"))
@@ -252,17 +277,29 @@ def link_nodes(nodes: DataFrame, docs: DataFrame) -> DataFrame:
             open_rows = named.join(apart.select("key"), "key").join(degree, "nid")
         second = F.get("bands", F.pmod(F.col("p") + F.lit(max(turn, 1)), F.lit(BANDS)))
         open_rows = staged(open_rows.select("key", second.alias("second"), "p", "nid", "class", "degree"), "open")
-        can_lead = open_rows if led is None else open_rows.join(led, ["key", "nid"], "left_anti")
-        lead = staged(leaders(can_lead, ["key"], -F.col("degree")), "lead")
-        more = candidates(open_rows, lead, ["key"])
-        if turn:
-            order = F.xxhash64(F.col("nid"), F.lit(turn)) if turn % 2 else -F.col("degree")
-            more = more.union(candidates(open_rows, leaders(open_rows, ["key", "second"], order), ["key", "second"]))
+        if sweeping:
+            more = block_pairs(open_rows, turn)
+        else:
+            can_lead = open_rows if led is None else open_rows.join(led, ["key", "nid"], "left_anti")
+            lead = staged(leaders(can_lead, ["key"], -F.col("degree")), "lead")
+            more = candidates(open_rows, lead, ["key"])
+            if turn:
+                order = F.xxhash64(F.col("nid"), F.lit(turn)) if turn % 2 else -F.col("degree")
+                more = more.union(candidates(open_rows, leaders(open_rows, ["key", "second"], order), ["key", "second"]))
         more = more.distinct()
         more = staged(more if tested is None else more.join(tested, ["nid", "lead"], "left_anti"), "more")
         found = verified(more, sets)
+        pairs = more.select("nid", "lead")
+        tested = pairs if tested is None else staged(tested.union(pairs), "tested")
+        turn += 1
         if found.isEmpty():
-            return found.toDF("nid", "class") if classes is None else classes
+            if sweeping:
+                return found.toDF("nid", "class") if classes is None else classes
+            sweeping = True
+            continue
+        if not sweeping:
+            own = lead.select("key", F.col("lead").alias("nid"))
+            led = own if led is None else staged(led.union(own), "led")
         # what is linked already is one node from here on
         bridges = (found.join(more, ["nid", "lead"]).select(F.least("class", "lead_class").alias("u"),
                                                             F.greatest("class", "lead_class").alias("v")).distinct())
@@ -274,10 +311,6 @@ def link_nodes(nodes: DataFrame, docs: DataFrame) -> DataFrame:
             alone = joined.select(F.col("class").alias("nid"), "class").join(classes, "nid", "left_anti")
             classes = staged(classes.select("nid", "class").union(alone).join(joined, "class", "left")
                              .select("nid", F.coalesce("_c", "class").alias("class")), "classes")
-        pairs, own = more.select("nid", "lead"), lead.select("key", F.col("lead").alias("nid"))
-        tested = pairs if tested is None else staged(tested.union(pairs), "tested")
-        led = own if led is None else staged(led.union(own), "led")
-        turn += 1
 
 
 def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:

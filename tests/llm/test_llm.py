@@ -285,6 +285,17 @@ def test_near_duplicate_groups_need_no_common_pair(spark):
     assert got == {i: find(i) for i in range(len(texts))}
 
 
+def test_sweeps_compare_small_subbuckets_whole_and_large_ones_in_blocks(spark):
+    small = [(k, n, c) for n, c, keys in [(1, 1, (10, 20)), (2, 2, (10, 20, 30)), (3, 1, (20, 30)), (4, 4, (10,)), (5, 1, (10, 20))]
+             for k in keys]
+    rows = spark.createDataFrame(small, "key long, nid long, class long")
+    got = {(r["nid"], r["lead"]) for r in dart_minhash.block_pairs(rows, 1).collect()}
+    assert got == {(1, 2), (2, 3), (2, 5)}      # two shared keys and two classes
+    large = spark.range(2000).selectExpr("explode(array(7L, 8L)) AS key", "id AS nid", "id % 2 AS class")
+    assert 2000 < dart_minhash.block_pairs(large, 1).count() < 2000 * dart_minhash.BLOCK_NODES
+    assert dart_minhash.block_pairs(rows.limit(0), 1).count() == 0
+
+
 # -- 5 ------------------------------------------------------------------------------------------------------------
 
 def check_packing(rows, texts):
