@@ -16,10 +16,10 @@ band's key are a bucket.  Each bucket has one leader, and every other member is
 compared with it exactly (weighted Jaccard over all shingles, 0.8 or more), so
 work grows with the members and not with their pairs.  Buckets whose members
 are still in several classes get further leaders, also within sub-buckets that
-share a second band, until a round finds no new link.  Sweeps follow: nodes of
-such buckets that share any two bands are dealt into small blocks, and all of a
-block that are in different classes are compared, each time in other blocks,
-until a sweep finds none.  A sub-bucket that fits one block is compared whole.
+share a second band.  The same rounds also sweep: nodes of such buckets that
+share any two bands are dealt into small blocks, in each round into others, and
+those of a block that are in different classes are compared; a sub-bucket that
+fits one block is compared whole.  The rounds end when one finds no new link.
 
 Defined cases: texts without a word (null ones too) are each alone in a class;
 repeated rows are one class; the class id is the least doc_id in the class
@@ -257,8 +257,7 @@ def link_nodes(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     leader is the member that shares most buckets with others among those that
     have not led it yet: the middle of a group of copies shares more than its
     outer members do.  Further rounds also give a leader, by another order, to
-    the members that share a second band.  When no leader finds a link, sweeps
-    over blocks go on with what is left.
+    the members that share a second band, and sweep over blocks of what is left.
     """
     rows = nodes.select("nid", F.posexplode("bands").alias("p", "key"))
     some = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -267,7 +266,7 @@ def link_nodes(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     sets = sets_of(degree.select("nid"), nodes, docs)
     members = shared.select("key", "p", "nid")
     classes = tested = led = None
-    turn, sweeping = 0, False
+    turn = 0
     while True:
         if classes is None:
             open_rows = members.join(degree, "nid").withColumn("class", F.col("nid"))
@@ -277,29 +276,25 @@ def link_nodes(nodes: DataFrame, docs: DataFrame) -> DataFrame:
             open_rows = named.join(apart.select("key"), "key").join(degree, "nid")
         second = F.get("bands", F.pmod(F.col("p") + F.lit(max(turn, 1)), F.lit(BANDS)))
         open_rows = staged(open_rows.select("key", second.alias("second"), "p", "nid", "class", "degree"), "open")
-        if sweeping:
-            more = block_pairs(open_rows, turn)
-        else:
-            can_lead = open_rows if led is None else open_rows.join(led, ["key", "nid"], "left_anti")
-            lead = staged(leaders(can_lead, ["key"], -F.col("degree")), "lead")
-            more = candidates(open_rows, lead, ["key"])
-            if turn:
-                order = F.xxhash64(F.col("nid"), F.lit(turn)) if turn % 2 else -F.col("degree")
-                more = more.union(candidates(open_rows, leaders(open_rows, ["key", "second"], order), ["key", "second"]))
+        can_lead = open_rows if led is None else open_rows.join(led, ["key", "nid"], "left_anti")
+        lead = staged(leaders(can_lead, ["key"], -F.col("degree")), "lead")
+        more = candidates(open_rows, lead, ["key"])
+        if turn:
+            order = F.xxhash64(F.col("nid"), F.lit(turn)) if turn % 2 else -F.col("degree")
+            more = (more.union(candidates(open_rows, leaders(open_rows, ["key", "second"], order), ["key", "second"]))
+                    .union(block_pairs(open_rows, turn)))
         more = more.distinct()
         more = staged(more if tested is None else more.join(tested, ["nid", "lead"], "left_anti"), "more")
         found = verified(more, sets)
         pairs = more.select("nid", "lead")
         tested = pairs if tested is None else staged(tested.union(pairs), "tested")
         turn += 1
+        own = lead.select("key", F.col("lead").alias("nid"))
+        led = own if led is None else staged(led.union(own), "led")
         if found.isEmpty():
-            if sweeping:
+            if turn > 1:
                 return found.toDF("nid", "class") if classes is None else classes
-            sweeping = True
             continue
-        if not sweeping:
-            own = lead.select("key", F.col("lead").alias("nid"))
-            led = own if led is None else staged(led.union(own), "led")
         # what is linked already is one node from here on
         bridges = (found.join(more, ["nid", "lead"]).select(F.least("class", "lead_class").alias("u"),
                                                             F.greatest("class", "lead_class").alias("v")).distinct())
