@@ -19,7 +19,14 @@ are still in several classes get further leaders, also within sub-buckets that
 share a second band.  The same rounds also sweep: nodes of such buckets that
 share any two bands are dealt into small blocks, in each round into others, and
 those of a block that are in different classes are compared; a sub-bucket that
-fits one block is compared whole.  The rounds end when one finds no new link.
+fits one block is compared whole.  The rounds end when one finds few new links.
+
+What is still in several classes then is finished exactly: all nodes of buckets
+in several classes are joined on a prefix of their units, rarest first.  Two
+sets of similarity 0.8 share a unit among the first fifth of the larger one and
+the first ninth of the smaller one, and sizes and positions bound what they can
+share (PPJoin, Xiao et al., 2008).  Every such pair of different classes that no
+round compared is compared, so no link of these nodes is missed.
 
 Defined cases: texts without a word (null ones too) are each alone in a class;
 repeated rows are one class; the class id is the least doc_id in the class
@@ -29,6 +36,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +47,9 @@ SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 6                    # a pair of similarity 0.8 shares a band with probability 0.9993
 COORDINATES = BANDS * ROWS
 BLOCK_NODES = 8                        # nodes of a block in a sweep, on average
+ORDER_CELLS = 1 << 20                  # cells of the counts by which units are ordered; any number gives the same links
+FEW_LINKS = 0.01                       # of the rows of open buckets: rounds that find less give way to the exact join
+SALT_CLASSES = 256                     # classes that share a unit and meet in one task's part of it, on average
 BLOCK_WORDS = 40_000                   # words of the documents that are hashed together
 POISSON = np.cumsum([np.exp(-1) / float(np.prod(np.arange(1, k + 1))) for k in range(20)])
 _words: dict[str, int] = {}
@@ -250,6 +261,103 @@ def classes_of(links: DataFrame) -> DataFrame:
             return staged(classes, "classes")
 
 
+def unit_order(open_sets: DataFrame) -> np.ndarray:
+    """How many units fall in each of a fixed number of cells; a bounded table, whatever the corpus."""
+    cells = open_sets.select(F.explode("units").alias("unit")).groupBy(
+        F.pmod("unit", F.lit(ORDER_CELLS)).cast("int").alias("cell")).agg(F.count(F.lit(1)).alias("n")).toArrow()
+    counts = np.zeros(ORDER_CELLS, np.int32)
+    counts[cells["cell"].to_numpy()] = np.minimum(cells["n"].to_numpy(), 2 ** 31 - 1)
+    return counts
+
+
+def least_shared(size, other=None):
+    """Units that a set of this size shares at least with one of similarity 0.8, of the other or of any size."""
+    bound = SIMILARITY * size if other is None else SIMILARITY / (1 + SIMILARITY) * (size + other)
+    return np.ceil(bound - 1e-6).astype(np.int64) if isinstance(bound, np.ndarray) else F.ceil(bound - F.lit(1e-6))
+
+
+def prefixes(open_sets: DataFrame, counts: np.ndarray) -> DataFrame:
+    """unit, nid, class, size, place of the first units of every node, by count and value.
+
+    A partner of no lesser size shares one of the first that are marked as
+    ``early``; a unit alone in its cell is shared with nobody and left out.
+    """
+    def run(batches):
+        for b in batches:
+            lists = b.column(2)
+            size = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+            unit = lists.flatten().to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(len(size)), size)
+            count = counts[unit % ORDER_CELLS]
+            by = np.lexsort((unit, count, row))
+            unit, count = unit[by], count[by]
+            place = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+            use = (count > 1) & (place <= (size - least_shared(size))[row])
+            row, place = row[use], place[use]
+            early = place <= (size - least_shared(size, size))[row]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(unit[use]), b.column(0).take(pa.array(row)), b.column(1).take(pa.array(row)), pa.array(size[row]),
+                 pa.array(place), pa.array(early)], names=["unit", "nid", "class", "size", "place", "early"])
+
+    return open_sets.select("nid", "class", "units").mapInArrow(
+        run, "unit long, nid long, class long, size long, place long, early boolean")
+
+
+def prefix_pairs(open_nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """All pairs of ``open_nodes`` (nid, class) of different classes that can have a similarity of 0.8.
+
+    Classes meet before their nodes do, so that a unit within one large class
+    costs one row; classes that share a common unit are dealt over salts.
+    """
+    open_sets = staged(open_nodes.join(sets, "nid").select("nid", "class", "units"), "opensets")
+    first = staged(prefixes(open_sets, unit_order(open_sets)), "prefixes")
+    held = staged(first.groupBy("unit", "class").agg(F.max("early").alias("early")), "held")
+    live = (held.groupBy("unit").agg(F.min("class").alias("_lo"), F.max("class").alias("_hi"), F.max("early").alias("_some"),
+                                     F.count(F.lit(1)).alias("n"))
+            .filter("_lo < _hi AND _some").select("unit", F.ceil(F.col("n") / SALT_CLASSES).alias("salts")))
+    held = staged(held.join(live, "unit"), "live")
+    a = held.filter("early").select("unit", "class", F.pmod(F.xxhash64("class"), "salts").alias("salt"))
+    b = held.select("unit", F.col("class").alias("lead_class"),
+                    F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"))
+    meet = a.join(b, ["unit", "salt"]).filter(F.col("class") != F.col("lead_class")).select("unit", "class", "lead_class")
+    small = first.filter("early").select("unit", "class", "nid", "size", "place")
+    large = first.select("unit", F.col("class").alias("lead_class"), F.col("nid").alias("lead"), F.col("size").alias("_size"),
+                         F.col("place").alias("_place"))
+    rest = F.least(F.col("size") - F.col("place"), F.col("_size") - F.col("_place"))
+    return (meet.join(small, ["unit", "class"]).join(large, ["unit", "lead_class"])
+            .filter(((F.col("size") < F.col("_size")) | (F.col("size") == F.col("_size")) & (F.col("nid") < F.col("lead")))
+                    & (least_shared(F.col("_size")) <= F.col("size"))
+                    & (rest >= least_shared(F.col("size"), F.col("_size"))))
+            .select("nid", "class", "lead", "lead_class").distinct())
+
+
+def merged(classes: DataFrame | None, found: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The classes after the links ``found`` among ``pairs``; what is linked already is one node."""
+    bridges = (found.join(pairs, ["nid", "lead"]).select(F.least("class", "lead_class").alias("u"),
+                                                         F.greatest("class", "lead_class").alias("v")).distinct())
+    joined = classes_of(bridges if classes is None else staged(bridges, "bridges"))
+    if classes is None:
+        return joined
+    joined = joined.toDF("class", "_c")
+    alone = joined.select(F.col("class").alias("nid"), "class").join(classes, "nid", "left_anti")
+    return staged(classes.select("nid", "class").union(alone).join(joined, "class", "left")
+                  .select("nid", F.coalesce("_c", "class").alias("class")), "classes")
+
+
+def finished(classes: DataFrame | None, open_rows: DataFrame, tested: DataFrame, sets: DataFrame) -> DataFrame:
+    """The classes after an exact comparison of all that the rounds left in open buckets."""
+    if classes is None:
+        classes = open_rows.select("nid", "class").limit(0)
+    if open_rows.isEmpty():
+        return classes
+    pairs = prefix_pairs(open_rows.select("nid", "class").distinct(), sets)
+    done = tested.select(F.least("nid", "lead").alias("_u"), F.greatest("nid", "lead").alias("_v"))
+    pairs = staged(pairs.join(done, (F.least("nid", "lead") == F.col("_u")) & (F.greatest("nid", "lead") == F.col("_v")),
+                              "left_anti"), "rest")
+    found = verified(pairs, sets)
+    return classes if found.isEmpty() else merged(classes, found, pairs)
+
+
 def link_nodes(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """(nid, class) of all nodes with a link.
 
@@ -258,6 +366,7 @@ def link_nodes(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     have not led it yet: the middle of a group of copies shares more than its
     outer members do.  Further rounds also give a leader, by another order, to
     the members that share a second band, and sweep over blocks of what is left.
+    The last step compares exactly what no round has joined.
     """
     rows = nodes.select("nid", F.posexplode("bands").alias("p", "key"))
     some = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -266,7 +375,7 @@ def link_nodes(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     sets = sets_of(degree.select("nid"), nodes, docs)
     members = shared.select("key", "p", "nid")
     classes = tested = led = None
-    turn = 0
+    turn, last = 0, False
     while True:
         if classes is None:
             open_rows = members.join(degree, "nid").withColumn("class", F.col("nid"))
@@ -276,6 +385,8 @@ def link_nodes(nodes: DataFrame, docs: DataFrame) -> DataFrame:
             open_rows = named.join(apart.select("key"), "key").join(degree, "nid")
         second = F.get("bands", F.pmod(F.col("p") + F.lit(max(turn, 1)), F.lit(BANDS)))
         open_rows = staged(open_rows.select("key", second.alias("second"), "p", "nid", "class", "degree"), "open")
+        if last:
+            return finished(classes, open_rows, tested, sets)
         can_lead = open_rows if led is None else open_rows.join(led, ["key", "nid"], "left_anti")
         lead = staged(leaders(can_lead, ["key"], -F.col("degree")), "lead")
         more = candidates(open_rows, lead, ["key"])
@@ -291,21 +402,10 @@ def link_nodes(nodes: DataFrame, docs: DataFrame) -> DataFrame:
         turn += 1
         own = lead.select("key", F.col("lead").alias("nid"))
         led = own if led is None else staged(led.union(own), "led")
-        if found.isEmpty():
-            if turn > 1:
-                return found.toDF("nid", "class") if classes is None else classes
-            continue
-        # what is linked already is one node from here on
-        bridges = (found.join(more, ["nid", "lead"]).select(F.least("class", "lead_class").alias("u"),
-                                                            F.greatest("class", "lead_class").alias("v")).distinct())
-        joined = classes_of(bridges if classes is None else staged(bridges, "bridges"))
-        if classes is None:
-            classes = joined
-        else:
-            joined = joined.toDF("class", "_c")
-            alone = joined.select(F.col("class").alias("nid"), "class").join(classes, "nid", "left_anti")
-            classes = staged(classes.select("nid", "class").union(alone).join(joined, "class", "left")
-                             .select("nid", F.coalesce("_c", "class").alias("class")), "classes")
+        n_found = found.count()
+        if n_found:
+            classes = merged(classes, found, more)
+        last = turn > 1 and n_found <= FEW_LINKS * open_rows.count()
 
 
 def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -296,6 +296,64 @@ def test_sweeps_compare_small_subbuckets_whole_and_large_ones_in_blocks(spark):
     assert dart_minhash.block_pairs(rows.limit(0), 1).count() == 0
 
 
+def template_texts(n, pairs, own=10):
+    """One template of 104 words with own words in the middle of each text; pairs share a few of these, too."""
+    words = ["t%d" % i for i in range(104)]
+    inside = [["d%dw%d" % (i, k) for k in range(own)] for i in range(n)]
+    for p in range(pairs):
+        inside[2 * p + 1][:6] = inside[2 * p][:6]
+    return [" ".join([*words[:52], *w, *words[52:]]) for w in inside]
+
+
+def brute_classes(texts):
+    """Least index of every text's class, from the similarity of all pairs."""
+    units, entries = {}, []
+    for i, t in enumerate(texts):
+        w, seen = t.lower().split(), Counter()
+        for k in range(max(1, len(w) - 4)):
+            seen[s := tuple(w[k:k + 5])] += 1
+            entries.append((i, units.setdefault((s, seen[s]), len(units))))
+    has = np.zeros((len(texts), len(units)), np.float32)
+    has[tuple(np.array(entries).T)] = 1
+    shared, size = has @ has.T, has.sum(1)
+    near = shared >= 0.8 * (size[:, None] + size[None, :] - shared)
+    classes = np.arange(len(texts))
+    while (new := np.where(near, classes[None, :], len(texts)).min(1)).tolist() != classes.tolist():
+        classes = new
+    return classes.tolist()
+
+
+def test_copies_within_one_template_are_all_found(spark):
+    """Texts of one template are alike but below 0.8, share large buckets and hide the pairs that are above it."""
+    texts = template_texts(1200, 60)
+    want = brute_classes(texts)
+    assert len(set(want)) == 1140
+    got = {r["doc_id"]: r["class_id"] for r in dart_minhash.query(make(spark, texts)).collect()}
+    assert got == dict(enumerate(want))
+
+
+def test_prefix_join_against_all_pairs(spark):
+    rng = random.Random(8)
+    base = [[rng.choice(VOCAB) for _ in range(rng.randint(3, 90))] for _ in range(12)]
+    texts = []
+    for i in range(240):
+        w = list(rng.choice(base))
+        for _ in range(rng.randint(0, 4)):
+            at = rng.randrange(len(w) + 1)
+            w[at:at + rng.randint(0, 3)] = [rng.choice(VOCAB) for _ in range(rng.randint(0, 3))]
+        texts.append(" ".join(w) or "x")
+    doc, cell = dart_minhash.unit_cells(texts)
+    sets = [set(cell[doc == i].view(np.int64).tolist()) for i in range(len(texts))]
+    nodes = spark.createDataFrame([(i, i % 7) for i in range(len(texts))], "nid long, class long")
+    held = spark.createDataFrame([(i, list(s)) for i, s in enumerate(sets)], "nid long, units array<long>")
+    pairs = [(r["nid"], r["lead"]) for r in dart_minhash.prefix_pairs(nodes, held).collect()]
+    got = {frozenset(p) for p in pairs}
+    want = {frozenset((i, j)) for i in range(len(texts)) for j in range(i)
+            if i % 7 != j % 7 and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    assert want <= got and len(got) == len(pairs) and all(len(p) == 2 for p in got) and len(want) > 100
+    assert dart_minhash.prefix_pairs(nodes.limit(0), held).count() == 0
+
+
 # -- 5 ------------------------------------------------------------------------------------------------------------
 
 def check_packing(rows, texts):
