@@ -6,8 +6,9 @@ link text are summed over its blocks and fused into one ratio (0 for paths
 through tags and class names that never hold an article).  The ratios are
 smoothed over the tree of paths: what counts for a block is how much of the
 page's fused text lies in the containers around it.  The deepest container
-that holds most of it is the article; where only the page's body does, paths
-whose own ratio is too low are cut off as well.
+that holds most of it is the article.  Where only the page's body does, the
+paths whose own ratio is high enough tell where the article begins and ends, and
+all between is kept: subheadings, lists, captions and cells have low ratios.
 
 Every page is handled alone in its task, so the job is one scan.
 
@@ -28,7 +29,10 @@ from pyspark.sql import types as T
 from .common import texts_of
 
 DOMINANT = 0.5      # share of the fused text that the article's container holds at least
-LOW_RATIO = 0.25    # of the mean ratio: below it a path is cut off where no container dominates
+LOW_RATIO = 0.25    # of the mean ratio: from it on a path tells where the article begins and ends
+PROSE = 200         # characters of a block from which on more length does not raise the ratio
+MOST_DOTS = 0.05    # punctuation per character from which on more does not raise the ratio
+MOSTLY_LINKS = 0.5  # share of link text from which on a list, cell or heading does not prolong the article
 
 # Element kinds of HTML
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -40,6 +44,9 @@ CLOSES = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td
           "tbody": "thead tbody tr td th", "tfoot": "thead tbody tr td th"}
 STOPS = {"li": "ul ol menu", "dt": "dl", "dd": "dl", "tr": "table", "td": "tr table", "th": "tr table",
          "option": "select", "tbody": "table", "tfoot": "table"}
+# What prolongs an article beyond its first and last paragraph
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+PROLONGS = HEADINGS | frozenset("li dt dd td th caption figcaption blockquote pre".split())
 # Tags and words of class names, ids and roles that mark what is not article text
 NOT_ARTICLE = frozenset("""head script style noscript template nav menu footer aside form button select textarea option
     iframe object svg canvas audio video dialog search""".split())
@@ -161,14 +168,16 @@ def read_blocks(html: str) -> list[Block]:
 
 
 def path_ratios(blocks: list[Block]) -> dict[str, tuple[int, float]]:
-    """Number of blocks and fused ratio of every path: mean length, more for punctuation, less for links."""
+    """Text length and fused ratio of every path: mean length (of a block up to ``PROSE``), more for punctuation, less for links."""
     sums: dict[str, list[int]] = {}
     for b in blocks:
         if not b.element.barred:
-            s = sums.setdefault(b.element.path, [0, 0, 0, 0])
-            for i, v in enumerate((1, len(b.text), len(PUNCTUATION.findall(b.text)), min(b.link, len(b.text)))):
+            s = sums.setdefault(b.element.path, [0, 0, 0, 0, 0])
+            size = len(b.text)
+            for i, v in enumerate((1, size, min(size, PROSE), len(PUNCTUATION.findall(b.text)), min(b.link, size))):
                 s[i] += v
-    return {p: (n, size / n * (1 + dots / n) * (1 - linked / size)) for p, (n, size, dots, linked) in sums.items()}
+    return {p: (size, held / n * (1 + 100 * min(dots / size, MOST_DOTS)) * (1 - linked / size))
+            for p, (n, size, held, dots, linked) in sums.items()}
 
 
 def containers(path: str) -> list[str]:
@@ -180,10 +189,10 @@ def article_container(ratios: dict[str, tuple[int, float]]) -> str:
     """The deepest container with most of the page's fused text, or the article or main element around it."""
     below: dict[str, float] = {}
     total = 0.0
-    for path, (n, ratio) in ratios.items():
-        total += n * ratio
+    for path, (size, ratio) in ratios.items():
+        total += size * ratio
         for c in containers(path):
-            below[c] = below.get(c, 0.0) + n * ratio
+            below[c] = below.get(c, 0.0) + size * ratio
     dominant = [c for c, mass in below.items() if mass >= DOMINANT * total]
     best = max(dominant, key=lambda c: (c.count("/"), below[c]), default="")
     named = [c for c in [*containers(best), best] if c.rsplit("/", 1)[-1] in ("article", "main")]
@@ -195,19 +204,44 @@ def article_container(ratios: dict[str, tuple[int, float]]) -> str:
     return best
 
 
+def article_range(blocks: list[Block], ratios: dict[str, tuple[int, float]]) -> tuple[int, int]:
+    """First and last block of an article that lies straight in the body, by its paths of high ratio.
+
+    The last h1 before them begins it; headings, lists, cells and quotes next to
+    them belong to it, but not those of links nor a heading that nothing follows.
+    """
+    total = sum(size for size, _ in ratios.values())
+    low = LOW_RATIO * sum(size * r for size, r in ratios.values()) / total
+    high = [i for i, b in enumerate(blocks) if ratios[b.element.path][1] >= low]
+    first, last = high[0], high[-1]
+
+    def prolongs(b: Block) -> bool:
+        return not PROLONGS.isdisjoint(b.element.path.split("/")) and b.link < MOSTLY_LINKS * len(b.text)
+
+    at = last + 1
+    while at < len(blocks) and prolongs(blocks[at]):
+        if HEADINGS.isdisjoint(blocks[at].element.path.split("/")):
+            last = at
+        at += 1
+    while first and prolongs(blocks[first - 1]):
+        first -= 1
+    h1 = [i for i, b in enumerate(blocks) if b.element.path.endswith("/h1")]
+    if not any(first <= i <= last for i in h1):
+        first = max((i for i in h1 if i < first), default=first)
+    return first, last
+
+
 def main_text(html: str) -> str:
     """The article's blocks, joined by newlines."""
-    blocks = read_blocks(html)
+    blocks = [b for b in read_blocks(html) if not b.element.barred]
     ratios = path_ratios(blocks)
     if not ratios:
         return ""
     top = article_container(ratios)
-    kept = {p for p in ratios if p == top or p.startswith(top + "/")}
     if top.rsplit("/", 1)[-1] in ("", "html", "body"):
-        mass = sum(n * r for n, r in ratios.values())
-        mean = sum(n * r * r for n, r in ratios.values()) / mass if mass else 0.0
-        kept = {p for p in kept if ratios[p][1] >= LOW_RATIO * mean or p.endswith("/h1")}
-    return "\n".join(b.text for b in blocks if not b.element.barred and b.element.path in kept)
+        first, last = article_range(blocks, ratios)
+        blocks = blocks[first:last + 1]
+    return "\n".join(b.text for b in blocks if b.element.path == top or b.element.path.startswith(top + "/"))
 
 
 def extract_text(pages: DataFrame) -> DataFrame:

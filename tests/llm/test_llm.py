@@ -525,6 +525,26 @@ def test_html_fixture(spark):
         assert got[r["page_id"]] == "\n".join(t for t in (" ".join(unescape(x).split()) for x in parts) if t)
 
 
+SENTENCE = "A sentence of the article that is long enough, as it has many words; it counts. "
+PARAGRAPH = (SENTENCE * 5).strip()
+
+
+def test_html_article_straight_in_the_body():
+    """Subheadings, list items, captions and cells stay, before, between and after the paragraphs."""
+    parts = [("h1", "Title"), ("p", PARAGRAPH), ("h2", "Second part"), ("p", PARAGRAPH), ("h3", "Third"), ("li", "one"),
+             ("li", "two words"), ("p", PARAGRAPH), ("caption", "Table 1"), ("td", "12"), ("td", "x"), ("h2", "Last"),
+             ("p", PARAGRAPH), ("h2", "In short"), ("li", "first"), ("li", "last")]
+    markup = "".join(f"<{t}>{x}</{t}>" for t, x in parts)
+    markup = markup.replace("<li>one", "<ul><li>one").replace("two words</li>", "two words</li></ul>")
+    markup = markup.replace("<li>first", "<ul><li>first").replace("last</li>", "last</li></ul>")
+    markup = markup.replace("<caption>", "<table><caption>").replace("<td>12</td><td>x</td>", "<tr><td>12</td><td>x</td></tr></table>")
+    links = "".join(f"<li><a href=/{i}>Other page {i}</a></li>" for i in range(5))
+    page = f"<body><div>Site</div><ul>{links}</ul>{markup}<h3>More</h3><ul>{links}</ul><div>Imprint</div></body>"
+    want = "\n".join(x for _, x in parts)
+    assert html_paths.main_text(f"<body>{markup}</body>") == want
+    assert html_paths.main_text(page) == want
+
+
 # -- pipeline -----------------------------------------------------------------------------------------------------
 
 def test_pipeline(spark, odd):
