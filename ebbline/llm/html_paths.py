@@ -5,8 +5,9 @@ the block.  For every path the text length, the punctuation and the share of
 link text are summed over its blocks and fused into one ratio (0 for paths
 through tags and class names that never hold an article).  The ratios are
 smoothed over the tree of paths: what counts for a block is how much of the
-page's fused text lies in the containers around it.  The deepest container
-that holds most of it is the article.  Where only the page's body does, the
+page's text lies in the containers around it.  An article or main element with
+most of it is the article, or else the deepest container that is reached by
+steps that leave nearly nothing out.  Where that is the page's body, the
 paths whose own ratio is high enough tell where the article begins and ends, and
 all between is kept: subheadings, lists, captions and cells have low ratios.
 
@@ -28,7 +29,8 @@ from pyspark.sql import types as T
 
 from .common import texts_of
 
-DOMINANT = 0.5      # share of the fused text that the article's container holds at least
+DOMINANT = 0.5      # share of the text that an article or main element holds at least
+NEARLY_ALL = 0.95   # share of a container's text that one within it holds at least to take its place
 LOW_RATIO = 0.25    # of the mean ratio: from it on a path tells where the article begins and ends
 PROSE = 200         # characters of a block from which on more length does not raise the ratio
 MOST_DOTS = 0.05    # punctuation per character from which on more does not raise the ratio
@@ -44,6 +46,8 @@ CLOSES = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td
           "tbody": "thead tbody tr td th", "tfoot": "thead tbody tr td th"}
 STOPS = {"li": "ul ol menu", "dt": "dl", "dd": "dl", "tr": "table", "td": "tr table", "th": "tr table",
          "option": "select", "tbody": "table", "tfoot": "table"}
+# Elements that can hold an article
+CONTAINERS = frozenset("html body div section article main center details dir dl fieldset figure ol table tbody td tr ul".split())
 # What prolongs an article beyond its first and last paragraph
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PROLONGS = HEADINGS | frozenset("li dt dd td th caption figcaption blockquote pre".split())
@@ -186,22 +190,40 @@ def containers(path: str) -> list[str]:
 
 
 def article_container(ratios: dict[str, tuple[int, float]]) -> str:
-    """The deepest container with most of the page's fused text, or the article or main element around it."""
-    below: dict[str, float] = {}
-    total = 0.0
-    for path, (size, ratio) in ratios.items():
-        total += size * ratio
-        for c in containers(path):
-            below[c] = below.get(c, 0.0) + size * ratio
-    dominant = [c for c, mass in below.items() if mass >= DOMINANT * total]
-    best = max(dominant, key=lambda c: (c.count("/"), below[c]), default="")
-    named = [c for c in [*containers(best), best] if c.rsplit("/", 1)[-1] in ("article", "main")]
-    if named:
-        return named[-1] if named[-1].endswith("article") else named[0]
-    up = best.rpartition("/")[0]
-    if up and not up.endswith("/body") and any(p.rpartition("/")[0] == up and p.endswith("/h1") for p in ratios):
-        return up
-    return best
+    """The outermost article or main element with most of the page's text, or the deepest container with nearly all.
+
+    A container is left only for one within it that holds nearly all of its
+    text, by plain length, and only if no heading and nothing like a paragraph is left behind.
+    """
+    below: dict[str, int] = {}
+    total = 0
+    for path, (size, _) in ratios.items():
+        total += size
+        for c in [*containers(path), path]:
+            below[c] = below.get(c, 0) + size
+    named = [c for c, size in below.items() if c.rsplit("/", 1)[-1] in ("article", "main") and size >= DOMINANT * total]
+    top = min(named, key=lambda c: (c.count("/"), -below[c]), default="")
+    low = LOW_RATIO * sum(size * r for size, r in ratios.values()) / total
+    within: dict[str, list[str]] = {}
+    for c in below:
+        if c.rsplit("/", 1)[-1] in CONTAINERS:
+            within.setdefault(c.rpartition("/")[0], []).append(c)
+
+    def loses(up: str, down: str) -> bool:
+        return any((p == up or p.startswith(up + "/")) and p != down and not p.startswith(down + "/")
+                   and (r >= low or p.rsplit("/", 1)[-1] in HEADINGS) for p, (_, r) in ratios.items())
+
+    while named and top.endswith("/main"):
+        inner = [c for c in named if c.startswith(top + "/") and below[c] >= NEARLY_ALL * below[top] and not loses(top, c)]
+        if not inner:
+            return top
+        top = max(inner, key=below.get)
+    while not named:
+        inner = [c for c in within.get(top, []) if below[c] >= NEARLY_ALL * (below[top] if top else total)]
+        if not inner or top.rsplit("/", 1)[-1] not in ("", "html") and loses(top, inner[0]):
+            return top
+        top = inner[0]
+    return top
 
 
 def article_range(blocks: list[Block], ratios: dict[str, tuple[int, float]]) -> tuple[int, int]:

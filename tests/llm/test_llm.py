@@ -545,6 +545,26 @@ def test_html_article_straight_in_the_body():
     assert html_paths.main_text(page) == want
 
 
+def test_html_nested_container_does_not_take_the_articles_place():
+    rich = "word, word; word. " * 140
+    inside = [PARAGRAPH] * 10 + [" ".join(rich.split())]
+    body = "".join(f"<p>{x}</p>" for x in inside[:10]) + f"<div><p>{inside[10]}</p></div>"
+    assert html_paths.main_text(f"<body><div class=post>{body}</div></body>") == "\n".join(inside)
+    assert html_paths.main_text(f"<body>{body}</body>") == "\n".join(inside)
+    lead, rest = [PARAGRAPH] * 2, [PARAGRAPH] * 30
+    paragraphs = "".join(f"<p>{x}</p>" for x in rest)
+    for around in ("<body>{}</body>", "<body><div>{}</div></body>", "<body><div><div>{}</div></div></body>"):
+        page = around.format(f"<h1>T</h1><p>{lead[0]}</p><p>{lead[1]}</p><section>{paragraphs}</section>")
+        assert html_paths.main_text(page) == "\n".join(["T", *lead, *rest])
+        # list, table and quote with most of the text
+        for tag, item in (("ul", "li"), ("table", "td"), ("blockquote", "p")):
+            items = "".join(f"<{item}>{x}</{item}>" for x in rest)
+            page = around.format(f"<h1>T</h1><p>{lead[0]}</p><{tag}>{items}</{tag}><p>{lead[1]}</p>")
+            assert html_paths.main_text(page) == "\n".join(["T", lead[0], *rest, lead[1]])
+    page = f"<main><h1>T</h1><p>{PARAGRAPH}</p><article>{paragraphs}</article></main>"
+    assert html_paths.main_text(page) == "\n".join(["T", PARAGRAPH, *rest])
+
+
 # -- pipeline -----------------------------------------------------------------------------------------------------
 
 def test_pipeline(spark, odd):
