@@ -2,8 +2,9 @@
 
 A page is read into blocks of text, each with its path of tags from the root to
 the block.  For every path the text length, the punctuation and the share of
-link text are summed over its blocks and fused into one ratio (0 for paths
-through tags and class names that never hold an article).  The ratios are
+link text are summed over its blocks and fused into one ratio.  Tags that never hold
+an article bar what is below them; class names, ids and roles that seldom do are
+a factor in the ratio, unless the element holds most of the text.  The ratios are
 smoothed over the tree of paths: what counts for a block is how much of the
 page's text lies in the containers around it.  An article or main element with
 most of it is the article, or else the deepest container that is reached by
@@ -20,6 +21,7 @@ of the page; repeated rows are extracted one by one.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 from typing import NamedTuple
 
@@ -31,6 +33,8 @@ from .common import texts_of
 
 DOMINANT = 0.5      # share of the text that an article or main element holds at least
 NEARLY_ALL = 0.95   # share of a container's text that one within it holds at least to take its place
+MARK_FACTOR = 0.1   # on the ratio and the mass of what lies in an element with a listed word
+MOST = 0.5          # share of the text from which on such an element is taken for the article's own
 LOW_RATIO = 0.25    # of the mean ratio: from it on a path tells where the article begins and ends
 PROSE = 200         # characters of a block from which on more length does not raise the ratio
 MOST_DOTS = 0.05    # punctuation per character from which on more does not raise the ratio
@@ -64,7 +68,7 @@ NOT_ARTICLE_WORDS = frozenset("""ad ads adv advert adverts advertisement adverti
 TAG = re.compile(r"""<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"""
                  r"""|<(/?)([A-Za-z][^\s/>]*)((?>"[^"]*"|'[^']*'|[^'">])*+)>""", re.S)
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
-WORDS = re.compile(r"[A-Za-z]+")
+PARTS = re.compile(r"[-_\d]+|(?<=[a-z])(?=[A-Z])")
 PUNCTUATION = re.compile(r"[.,;:!?…。、，！？]")
 
 
@@ -72,6 +76,7 @@ class Element(NamedTuple):
     tag: str
     path: str        # tags from the root to here
     barred: bool     # here or above lies something that never holds article text
+    marks: tuple[int, ...] = ()     # numbers of the elements here or above that have a listed word
 
 
 class Block(NamedTuple):
@@ -91,10 +96,21 @@ def is_barred(tag: str, attributes: str, above: list[Element]) -> bool:
             return True
         if name == "style" and re.search(r"display\s*:\s*none", value, re.I):
             return True
-        if name in ("class", "id", "role"):
-            words = re.sub(r"([a-z])([A-Z])", r"\1 \2", value)
-            if any(w.lower() in NOT_ARTICLE_WORDS for w in WORDS.findall(words)):
-                return True
+    return False
+
+
+def is_marked(tag: str, attributes: str, above: list[Element]) -> bool:
+    """Whether a class, id or role is a listed word, or is made of such words only (``cookie-banner``)."""
+    if not attributes or tag in ("html", "body", "article", "main"):
+        return False
+    if tag == "header" and any(e.tag in ("article", "main") for e in above):
+        return False
+    for name, *value in ATTRIBUTE.findall(attributes):
+        if name.lower() in ("class", "id", "role"):
+            for token in "".join(value).split():
+                parts = [x.lower() for x in PARTS.split(token) if x]
+                if parts and NOT_ARTICLE_WORDS.issuperset(parts):
+                    return True
     return False
 
 
@@ -104,7 +120,7 @@ def read_blocks(html: str) -> list[Block]:
     stack: list[Element] = []
     root = Element("", "", False)
     parts: list[str] = []
-    links, link, at, end = 0, 0, 0, len(html)
+    links, link, at, end, n_marks = 0, 0, 0, len(html), 0
 
     def holder() -> Element:
         return next((e for e in reversed(stack) if e.tag in BLOCK), root)
@@ -165,23 +181,46 @@ def read_blocks(html: str) -> list[Block]:
             at = close_tag.end() if close_tag else end
             continue
         above = stack[-1] if stack else root
-        stack.append(Element(tag, f"{above.path}/{tag}", above.barred or is_barred(tag, m[3], stack)))
+        marks = above.marks
+        if is_marked(tag, m[3], stack):
+            n_marks += 1
+            marks = (*marks, n_marks)
+        stack.append(Element(tag, f"{above.path}/{tag}", above.barred or is_barred(tag, m[3], stack), marks))
         links += tag == "a"
     close_block()
     return blocks
 
 
-def path_ratios(blocks: list[Block]) -> dict[str, tuple[int, float]]:
-    """Text length and fused ratio of every path: mean length (of a block up to ``PROSE``), more for punctuation, less for links."""
-    sums: dict[str, list[int]] = {}
+def without_void_marks(blocks: list[Block]) -> list[Block]:
+    """The blocks without the marks of elements that hold most of their text."""
+    total, held = sum(len(b.text) for b in blocks), Counter()
+    for b in blocks:
+        for m in b.element.marks:
+            held[m] += len(b.text)
+    void = {m for m, size in held.items() if size >= MOST * total}
+    return [b._replace(element=b.element._replace(marks=tuple(m for m in b.element.marks if m not in void))) for b in blocks]
+
+
+def path_ratios(blocks: list[Block]) -> dict[tuple[str, bool], tuple[float, float]]:
+    """Mass and fused ratio of every path, in marked elements and out of them.
+
+    The mass is the text's length; the ratio the mean length (of a block up to
+    ``PROSE``), more for punctuation, less for links.  Marks lower both.
+    """
+    sums: dict[tuple[str, bool], list[int]] = {}
     for b in blocks:
-        if not b.element.barred:
-            s = sums.setdefault(b.element.path, [0, 0, 0, 0, 0])
-            size = len(b.text)
-            for i, v in enumerate((1, size, min(size, PROSE), len(PUNCTUATION.findall(b.text)), min(b.link, size))):
-                s[i] += v
-    return {p: (size, held / n * (1 + 100 * min(dots / size, MOST_DOTS)) * (1 - linked / size))
-            for p, (n, size, held, dots, linked) in sums.items()}
+        s = sums.setdefault((b.element.path, bool(b.element.marks)), [0, 0, 0, 0, 0])
+        size = len(b.text)
+        for i, v in enumerate((1, size, min(size, PROSE), len(PUNCTUATION.findall(b.text)), min(b.link, size))):
+            s[i] += v
+    return {(p, marked): (size * (MARK_FACTOR if marked else 1), held / n * (1 + 100 * min(dots / size, MOST_DOTS))
+                          * (1 - linked / size) * (MARK_FACTOR if marked else 1))
+            for (p, marked), (n, size, held, dots, linked) in sums.items()}
+
+
+def low_ratio(ratios: dict[tuple[str, bool], tuple[float, float]]) -> float:
+    """The ratio below which a path tells nothing of the article."""
+    return LOW_RATIO * sum(mass * r for mass, r in ratios.values()) / sum(mass for mass, _ in ratios.values())
 
 
 def containers(path: str) -> list[str]:
@@ -189,21 +228,21 @@ def containers(path: str) -> list[str]:
     return ["/".join(steps[:i]) for i in range(2, len(steps))]
 
 
-def article_container(ratios: dict[str, tuple[int, float]]) -> str:
+def article_container(ratios: dict[tuple[str, bool], tuple[float, float]]) -> str:
     """The outermost article or main element with most of the page's text, or the deepest container with nearly all.
 
     A container is left only for one within it that holds nearly all of its
     text, by plain length, and only if no heading and nothing like a paragraph is left behind.
     """
-    below: dict[str, int] = {}
-    total = 0
-    for path, (size, _) in ratios.items():
+    below: dict[str, float] = {}
+    total = 0.0
+    for (path, _), (size, _) in ratios.items():
         total += size
         for c in [*containers(path), path]:
-            below[c] = below.get(c, 0) + size
+            below[c] = below.get(c, 0.0) + size
     named = [c for c, size in below.items() if c.rsplit("/", 1)[-1] in ("article", "main") and size >= DOMINANT * total]
     top = min(named, key=lambda c: (c.count("/"), -below[c]), default="")
-    low = LOW_RATIO * sum(size * r for size, r in ratios.values()) / total
+    low = low_ratio(ratios)
     within: dict[str, list[str]] = {}
     for c in below:
         if c.rsplit("/", 1)[-1] in CONTAINERS:
@@ -211,7 +250,7 @@ def article_container(ratios: dict[str, tuple[int, float]]) -> str:
 
     def loses(up: str, down: str) -> bool:
         return any((p == up or p.startswith(up + "/")) and p != down and not p.startswith(down + "/")
-                   and (r >= low or p.rsplit("/", 1)[-1] in HEADINGS) for p, (_, r) in ratios.items())
+                   and (r >= low or not marked and p.rsplit("/", 1)[-1] in HEADINGS) for (p, marked), (_, r) in ratios.items())
 
     while named and top.endswith("/main"):
         inner = [c for c in named if c.startswith(top + "/") and below[c] >= NEARLY_ALL * below[top] and not loses(top, c)]
@@ -226,16 +265,13 @@ def article_container(ratios: dict[str, tuple[int, float]]) -> str:
     return top
 
 
-def article_range(blocks: list[Block], ratios: dict[str, tuple[int, float]]) -> tuple[int, int]:
+def article_range(blocks: list[Block], high: list[bool]) -> tuple[int, int]:
     """First and last block of an article that lies straight in the body, by its paths of high ratio.
 
     The last h1 before them begins it; headings, lists, cells and quotes next to
     them belong to it, but not those of links nor a heading that nothing follows.
     """
-    total = sum(size for size, _ in ratios.values())
-    low = LOW_RATIO * sum(size * r for size, r in ratios.values()) / total
-    high = [i for i, b in enumerate(blocks) if ratios[b.element.path][1] >= low]
-    first, last = high[0], high[-1]
+    first, last = high.index(True), len(high) - 1 - high[::-1].index(True)
 
     def prolongs(b: Block) -> bool:
         return not PROLONGS.isdisjoint(b.element.path.split("/")) and b.link < MOSTLY_LINKS * len(b.text)
@@ -256,14 +292,20 @@ def article_range(blocks: list[Block], ratios: dict[str, tuple[int, float]]) ->
 def main_text(html: str) -> str:
     """The article's blocks, joined by newlines."""
     blocks = [b for b in read_blocks(html) if not b.element.barred]
-    ratios = path_ratios(blocks)
-    if not ratios:
+    if not blocks:
         return ""
-    top = article_container(ratios)
+    top = article_container(path_ratios(blocks))
+    blocks = without_void_marks([b for b in blocks if b.element.path == top or b.element.path.startswith(top + "/")])
+    ratios = path_ratios(blocks)
+    low = low_ratio(ratios)
+    high = [ratios[b.element.path, bool(b.element.marks)][1] >= low for b in blocks]
+    # what is marked stays only with a high ratio of its own
+    kept = [(b, h) for b, h in zip(blocks, high, strict=True) if h or not b.element.marks]
+    blocks, high = [b for b, _ in kept], [h for _, h in kept]
     if top.rsplit("/", 1)[-1] in ("", "html", "body"):
-        first, last = article_range(blocks, ratios)
+        first, last = article_range(blocks, high)
         blocks = blocks[first:last + 1]
-    return "\n".join(b.text for b in blocks if b.element.path == top or b.element.path.startswith(top + "/"))
+    return "\n".join(b.text for b in blocks)
 
 
 def extract_text(pages: DataFrame) -> DataFrame:

@@ -565,6 +565,24 @@ def test_html_nested_container_does_not_take_the_articles_place():
     assert html_paths.main_text(page) == "\n".join(["T", PARAGRAPH, *rest])
 
 
+def test_html_listed_words_do_not_decide_alone():
+    inside = f"<h1>T</h1><p>{PARAGRAPH}</p><h2>S</h2><p>{PARAGRAPH}</p>"
+    want = "\n".join(["T", PARAGRAPH, "S", PARAGRAPH])
+    for names in ('class="content has-sidebar"', "class=content-sidebar-wrap", "id=no-ads", "class=notice", "id=search",
+                  "class='related post'"):
+        for page in (f"<body><div {names}>{inside}</div></body>", f"<body><div {names}>{inside}</div><div>Imprint</div></body>",
+                     f"<body><div {names}><article>{inside}</article></div></body>",
+                     f"<body><div>Site</div><div {names}><div>{inside}</div></div></body>"):
+            assert html_paths.main_text(page).replace("\nImprint", "").removeprefix("Site\n") == want, page
+    for names in ("class=entry-header", "class=header", "id=masthead"):
+        page = f"<article><header {names}><h1>T</h1></header><p>{PARAGRAPH}</p></article>"
+        assert html_paths.main_text(page) == f"T\n{PARAGRAPH}"
+    for names in ("class=related", "id=comments", "class='box cookie-banner'", "role=complementary", "class=shareWidget"):
+        for around in ("<article>{}</article>", "<body>{}</body>", "<body><div>{}</div></body>"):
+            page = around.format(f"<p>{PARAGRAPH}</p><div {names}><p>{SENTENCE}</p></div><p>{PARAGRAPH}</p>")
+            assert html_paths.main_text(page) == f"{PARAGRAPH}\n{PARAGRAPH}", page
+
+
 # -- pipeline -----------------------------------------------------------------------------------------------------
 
 def test_pipeline(spark, odd):
