@@ -5,8 +5,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (best_fit, dart_minhash, decontaminate, html_paths, jump_shard, language_gru, quality_cnn, quality_llr,
-               secret_index, toxicity)
+from . import (best_fit, dart_minhash, decontaminate, fm_phrases, hilbert_kmeans, html_paths, jump_shard, language_gru,
+               quality_cnn, quality_llr, rlz_spans, secret_index, toxicity)
 from .common import table
 
 
@@ -34,7 +34,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_gru": over(language_gru.query, "documents"),
     "op9_secret_index": over(secret_index.query, "documents"),
     "op10_html_paths": over(html_paths.query, "pages"),
+    "op11_fm_phrases": over(fm_phrases.query, "documents"),
+    "op12_rlz_spans": over(rlz_spans.query, "documents"),
+    "op13_hilbert_kmeans": over(hilbert_kmeans.query, "embeddings"),
     "pipeline": pipeline,
 }
-# The others have learned models, hashes or tokenizers that SQL lacks; tests hold them against brute force.
-ORACLE: dict[str, str] = {"op3_decontaminate": decontaminate.ORACLE}
+# The others have learned models, hashes or tokenizers that SQL lacks.
+ORACLE: dict[str, str] = {"op3_decontaminate": decontaminate.ORACLE, "op11_fm_phrases": fm_phrases.ORACLE,
+                          "op12_rlz_spans": rlz_spans.ORACLE, "op13_hilbert_kmeans": hilbert_kmeans.ORACLE}
