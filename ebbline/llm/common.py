@@ -38,14 +38,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` once into the shared folder and return the table read back.
 
     A lost executor can then neither force a recomputation nor make two
     readers see different rows.
     """
     path = shared_path(df.sparkSession, f"llm/{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

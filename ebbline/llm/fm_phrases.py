@@ -41,7 +41,8 @@ from .common import prepare, staged
 from .words import bit_table, bits_at, byte_kinds, words_of
 
 LEAST, LONGEST, TOP = 100, 5, 2000
-SHARD_WORDS = 1_500_000
+SHARD_WORDS = 1_000_000
+BROADCAST_PAIRS = 500_000        # frequent pairs that are sent to all tasks (some 40 MB); more of them are joined by an exchange
 CELLS = 1 << 24                  # bits of the table of frequent words: 2 MiB, whatever the corpus
 SALTS = 32                       # parts of a language that are ranked apart before the last ranking
 KINDS = byte_kinds(b" \t", b".,;:!?\n\x0b\x0c\r")
@@ -207,7 +208,7 @@ def indexed(docs: DataFrame, frequent: np.ndarray, size: int = SHARD_WORDS) -> D
 
     kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary()}
     schema = pa.schema([(f.split()[0], kinds[f.split()[1]]) for f in INDEXED.split(", ")])
-    return staged(texts(docs).mapInArrow(run, INDEXED), "index")
+    return staged(texts(docs).mapInArrow(run, INDEXED), "index", "zstd")
 
 
 def longer_counts(index: DataFrame, alive: DataFrame, longest: int = LONGEST) -> DataFrame:
@@ -256,13 +257,31 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     index = indexed(docs, bit_table(ones, "cell", CELLS), size)
     pairs = index.filter("node >= 0")
     twos = staged(pairs.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).filter(F.col("n") >= least), "pairs")
-    alive = pairs.join(twos.select("lang", "phrase"), ["lang", "phrase"], "left_semi").select("shard", "node")
+    alive = pairs_in(pairs, twos, least)
     whole = index.filter("node = -1").select("shard", "ahead", "behind", "names", "langs")
     more = (longer_counts(whole, alive, longest).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
             .filter(F.col("n") >= least))
     return staged(ones.select("lang", "phrase", "n").union(twos).union(more), "phrases"), totals
 
 
+def pairs_in(pairs: DataFrame, frequent: DataFrame, least: int, most: int = BROADCAST_PAIRS) -> DataFrame:
+    """(shard, node) of the pairs that are frequent in the corpus; most pairs of a shard are not.
+
+    Up to ``most`` frequent pairs go to all tasks.  Beyond that both sides are
+    exchanged, behind a Bloom filter of the frequent ones.
+    """
+    spark, setting = pairs.sparkSession, "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    wanted = frequent.filter(F.col("n") >= least).select("lang", "phrase")
+    small = frequent.count() <= most
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "0")
+    try:
+        return staged(pairs.join(F.broadcast(wanted) if small else wanted, ["lang", "phrase"], "left_semi").select("shard", "node"),
+                      "alive")
+    finally:
+        spark.conf.set(setting, before)
+
+
 def without_contained(candidates: DataFrame) -> DataFrame:
     """Candidates that do not lie in a longer one with as many occurrences.
 

@@ -80,6 +80,16 @@ def test_phrases(spark, size, least, top):
     assert got == sorted(in_sql(fm_phrases.oracle(least, 5, top), documents=df))
 
 
+def test_frequent_pairs_by_broadcast_and_by_exchange(spark):
+    rows = [(k % 4, k, "en", f"a{k % 50} b{k % 7}", 1) for k in range(4000)]
+    pairs = spark.createDataFrame(rows, "shard long, node int, lang string, phrase string, n long")
+    frequent = pairs.filter("phrase < 'a2'").groupBy("lang", "phrase").agg({"n": "sum"}).toDF("lang", "phrase", "n").filter("n >= 3")
+    want = sorted((r[0], r[1]) for r in pairs.join(frequent.select("phrase"), "phrase").select("shard", "node").collect())
+    for most in (10 ** 6, 0):
+        assert sorted(tuple(r) for r in fm_phrases.pairs_in(pairs, frequent, 3, most).collect()) == want
+    assert want
+
+
 def test_phrases_of_nothing(spark):
     assert fm_phrases.query(make(spark, [])).collect() == []
     assert fm_phrases.query(make(spark, [(1, None, None), (2, "a b", "en")])).collect() == []
