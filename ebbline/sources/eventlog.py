@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..operators.bits import bit_table, maybe_in
+from ..session import staged
 
 OCCURRENCES = 10_000   # occurrence numbers of one line that a row holds at a time
 
@@ -19,22 +21,40 @@ def scan_event_log(spark: SparkSession, path: str, schema=S.RAW_EVENT_SCHEMA) ->
     """Raw records with a stable ``event_id``: a hash of the file, the line and its occurrence.
 
     Reading a file again gives the same ids whatever its splits, and lines of
-    two files never share one.  Equal lines of a file are counted before they
-    are dealt out again with their occurrence numbers, so a line that is
-    repeated very often is one row in the exchange.
+    two files never share one.  Only lines that are repeated within a file need
+    numbers: a first look counts 64-bit hashes of the lines, and all but those
+    whose hash occurs twice pass the second look without an exchange.  The
+    others (and the few that a bit table of the repeated hashes lets through by
+    mistake) are counted and dealt out again with their occurrence numbers, so
+    a line that is repeated very often is one row in that exchange.
+
+    The first look runs when this is called.
     """
     v = F.try_parse_json(F.col("value"))
-    lines = (spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
-             .groupBy("file", "value").agg(F.count(F.lit(1)).alias("n")))
-    block = F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / OCCURRENCES)))
-    each = (lines.withColumn("_b", block)
-            .withColumn("_i", F.explode(F.sequence(F.col("_b") * OCCURRENCES, F.least(F.col("n"), (F.col("_b") + 1) * OCCURRENCES) - 1))))
+    file = F.col("_metadata.file_path")
+    lines = spark.read.text(path).select("value", file.alias("file"), F.xxhash64(file, "value").alias("_h"))
+    repeated = staged(lines.groupBy("_h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("_h"))
+    each = lines.select("file", "value", F.lit(0).cast("long").alias("_i"))
+    if not repeated.isEmpty():
+        marked = maybe_in(lines, staged(bit_table(repeated, "_h")), "_h", "_again")
+        each = (marked.filter(~F.col("_again")).select("file", "value", F.lit(0).cast("long").alias("_i"))
+                .union(numbered(marked.filter("_again"))))
     raw = each.select(v.alias("v"), F.xxhash64("file", "value", "_i").alias("event_id"))
     obj = raw.filter(F.col("v").isNotNull() & F.schema_of_variant("v").startswith("OBJECT"))
     cols = [F.try_variant_get("v", f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in schema.fields]
     return obj.select(*cols, "event_id")
 
 
+def numbered(lines: DataFrame) -> DataFrame:
+    """file, value and occurrence number of all ``lines``; equal ones meet as a count."""
+    counts = lines.groupBy("file", "value").agg(F.count(F.lit(1)).alias("n"))
+    block = F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / OCCURRENCES)))
+    first = F.col("_b") * OCCURRENCES
+    return (counts.withColumn("_b", block)
+            .withColumn("_i", F.explode(F.sequence(first, F.least(F.col("n"), first + OCCURRENCES) - 1)))
+            .select("file", "value", "_i"))
+
+
 def to_raw_json(events: DataFrame) -> DataFrame:
     """Canonical events -> one JSON object per line (times as epoch ms)."""
     rec = F.struct(
