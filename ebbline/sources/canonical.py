@@ -31,6 +31,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that a glob matches, sorted (none where nothing does)."""
+    fs, p = _fs(spark, pattern)
+    return sorted(str(st.getPath()) for st in fs.globStatus(p) or [])
+
+
 def _fingerprint(spark: SparkSession, paths: list[str]) -> str:
     """Identity of the inputs: path, length and modification time of every file at any depth."""
     h = hashlib.sha1()

@@ -3,7 +3,7 @@
 * T1 ``incremental_stream``: new canonical events since the last run, from a
   file source with a checkpoint (files, not a ts high-watermark, so late rows
   are kept), de-duplicated by event_id against the sink.
-* T2 ``rate_stream``: events and approximate users per tumbling day, every day.
+* T2 ``rate_stream``: events and a mergeable sketch of the users per tumbling day, every day.
 * T3 ``score_stream``: micro-batches of feature rows scored and summarised
   with ``foreachBatch``.
 
@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from .. import schema as S
 from ..operators import scoring as SC
-from ..sources.canonical import path_exists
+from ..sources.canonical import matching_paths
 
 CANONICAL_STREAM_SCHEMA = T.StructType(S.EVENT_SCHEMA.fields + [T.StructField("event_date", T.DateType())])
 
@@ -29,53 +29,69 @@ def read_event_stream(spark: SparkSession, path: str, max_files: int | None = No
     return r.parquet(path)
 
 
+FEW_IDS = 1000       # ids of a batch up to which the sink is asked for these ids only
+USERS_LGK = 14       # 2**14 registers: standard error 0.8 %
+
+
 # T1 ----------------------------------------------------------------------------
 def incremental_stream(spark: SparkSession, source: str, sink: str, checkpoint: str) -> None:
     """Append the events of new files that the sink does not have yet, however late they are.
 
     No watermark decides what is new: each micro-batch is anti-joined on
-    event_id with the sink, pruned to the batch's event dates.  A batch owns
-    the partition ``batch_id``, so writing it again after a failure replaces it.
+    event_id with what the sink has of exactly the batch's dates
+    (:func:`earlier_ids`).  A batch owns the partition ``batch_id``, so writing
+    it again after a failure replaces it.  The sink's files carry Parquet Bloom
+    filters of event_id; a batch of few events asks for its ids, and row groups
+    that cannot hold one are not read.
     """
     def handle(batch: DataFrame, epoch: int) -> None:
         new = batch.dropDuplicates(["event_id"])
-        if path_exists(spark, sink):
-            dates = batch.agg(F.min("event_date"), F.max("event_date")).first()
-            have = (spark.read.schema(T.StructType([*CANONICAL_STREAM_SCHEMA.fields, T.StructField("batch_id", T.LongType())]))
-                    .parquet(sink).filter(F.col("batch_id") != epoch)
-                    .filter(F.col("event_date").between(dates[0], dates[1])))
-            new = new.join(have.select("event_id"), "event_id", "left_anti")
+        dates = [r[0] for r in batch.select("event_date").distinct().collect()]
+        earlier = earlier_ids(spark, sink, dates, epoch)
+        if earlier is not None:
+            ids = [r[0] for r in new.select("event_id").limit(FEW_IDS + 1).collect()]
+            new = new.join(earlier.filter(F.col("event_id").isin(ids)) if len(ids) <= FEW_IDS else earlier, "event_id", "left_anti")
         (new.select(*CANONICAL_STREAM_SCHEMA.fieldNames()).write.mode("overwrite").partitionBy("event_date")
-            .parquet(f"{sink}/batch_id={epoch}"))
+            .option("parquet.bloom.filter.enabled#event_id", "true").parquet(f"{sink}/batch_id={epoch}"))
     q = (read_event_stream(spark, source).writeStream.foreachBatch(handle)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
 
 
+def earlier_ids(spark: SparkSession, sink: str, dates: list, epoch: int) -> DataFrame | None:
+    """event_id of the sink's rows of ``dates`` from other batches; no other date's folder is opened."""
+    names = [f"event_date={'__HIVE_DEFAULT_PARTITION__' if d is None else d}" for d in dates]
+    paths = [p for n in names for p in matching_paths(spark, f"{sink}/batch_id=*/{n}") if f"/batch_id={epoch}/" not in p]
+    return spark.read.schema("event_id long").parquet(*paths) if paths else None
+
+
 # T2 ----------------------------------------------------------------------------
 def rate_stream(spark: SparkSession, source: str, sink: str, checkpoint: str) -> None:
-    """Events and approximate users of every day, open ones included.
+    """Events and a sketch of the distinct users of every day, open ones included.
 
-    The state is one row per calendar day, so it needs no watermark: late
-    events update their day.  Each micro-batch writes the days it changed
-    under its own ``batch_id``; :func:`read_rates` takes the newest of each.
+    The state is one row per calendar day with a HyperLogLog sketch of bounded
+    size, so it needs no watermark: late events update their day.  Sketches of
+    days merge, so distinct users of any set of days come from the day rows
+    (``drift.event_rate_proxy_from_rates``).  Each micro-batch writes the days it
+    changed under its own ``batch_id``; :func:`read_rates` takes the newest of each.
     """
     def handle(batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").parquet(f"{sink}/batch_id={epoch}")
     s = (read_event_stream(spark, source)
          .groupBy(F.window("ts", "1 day").alias("w"))
-         .agg(F.count(F.lit(1)).alias("events"), F.approx_count_distinct("userId").alias("approx_users"))
-         .select(F.col("w.start").alias("day_start"), F.col("w.end").alias("day_end"), "events", "approx_users"))
+         .agg(F.count(F.lit(1)).alias("events"), F.hll_sketch_agg("userId", USERS_LGK).alias("users"))
+         .select(F.col("w.start").alias("day_start"), F.col("w.end").alias("day_end"), "events", "users"))
     q = (s.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
          .outputMode("update").trigger(availableNow=True).start())
     q.awaitTermination()
 
 
 def read_rates(spark: SparkSession, sink: str) -> DataFrame:
-    """day_start, day_end, events, approx_users: the newest row of every day."""
+    """day_start, day_end, events, approx_users and the sketch users: the newest row of every day."""
     r = spark.read.parquet(sink)
-    newest = F.max_by(F.struct("day_end", "events", "approx_users"), "batch_id").alias("r")
-    return r.groupBy("day_start").agg(newest).select("day_start", "r.day_end", "r.events", "r.approx_users")
+    newest = F.max_by(F.struct("day_end", "events", "users"), "batch_id").alias("r")
+    return r.groupBy("day_start").agg(newest).select(
+        "day_start", "r.day_end", "r.events", F.hll_sketch_estimate("r.users").alias("approx_users"), "r.users")
 
 
 # T3 ----------------------------------------------------------------------------
