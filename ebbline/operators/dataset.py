@@ -10,16 +10,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from .cumulative import global_row_index
+from ..session import staged
+from .cumulative import exact_quantiles, global_row_index
 from .scalars import attach_scalars
 
 
 # M1 ----------------------------------------------------------------------------
 def time_based_split(df: DataFrame, test_size: float = 0.2, col: str = "days_since_registration") -> DataFrame:
     """Add ``split``: 'train' if ``col <= q`` else 'test', q = exact (linear)
-    quantile 1 - test_size.  Test users are the longest registered."""
-    q = df.agg(F.percentile(F.col(col).cast("double"), F.lit(1.0 - test_size))).scalar()
-    return df.withColumn("split", F.when(F.col(col) <= q, "train").otherwise("test"))
+    quantile 1 - test_size.  Test users are the longest registered.  The rows
+    are written once: the quantile and the split read the same ones."""
+    df = staged(df)
+    q = exact_quantiles(df, {"q": (col, 1.0 - test_size)})["q"]
+    return df.withColumn("split", F.when(F.col(col) <= F.lit(q).cast("double"), "train").otherwise("test"))
 
 
 # M2 ----------------------------------------------------------------------------

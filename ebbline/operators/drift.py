@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from ..functions import bin_range, equal_width_bin
 from .. import schema as S
 from ..session import staged
-from .cumulative import prefix_sums
+from .cumulative import prefix_sums_by_sketch
 from .features import feature_matrix
 from .prep import numeric_feature_select, reference_current_split
 from .scalars import combine_rows
@@ -60,10 +60,11 @@ def side_value_counts(long: DataFrame) -> DataFrame:
 # D3 / W6 ------------------------------------------------------------------------
 def ks_numeric(long: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """Two-sample KS statistic per feature: max |F_ref(v) - F_cur(v)| over the
-    pooled distinct values (empirical CDFs taken with ``<=``)."""
+    pooled distinct values (empirical CDFs taken with ``<=``).  The running sums
+    of all features are taken in parts of equal size, cut by a quantile sketch."""
     counts = counts if counts is not None else side_value_counts(long)
     tot = counts.groupBy("feature").agg(F.sum("r").alias("n_ref"), F.sum("c").alias("n_cur"))
-    cum = prefix_sums(counts, "value", ["r", "c"], group="feature")
+    cum = prefix_sums_by_sketch(counts, "value", ["r", "c"], "feature")
     cum = cum.join(F.broadcast(tot), "feature")      # one row per feature
     diff = F.abs(F.try_divide(F.col("cum_r"), F.col("n_ref").cast("double"))
                  - F.try_divide(F.col("cum_c"), F.col("n_cur").cast("double")))
@@ -295,12 +296,30 @@ def concept_drift(scored: DataFrame, label: str = "is_churned", prob: str = "chu
 
 
 # D12 ---------------------------------------------------------------------------
+def event_rate_proxy_from_rates(rates: DataFrame, first_current_day, threshold: float = 0.1) -> DataFrame:
+    """:func:`event_rate_proxy` from day rows (T2) alone: sides are days before and from ``first_current_day``.
+
+    Users of a side are the merged sketches of its days (standard error 0.8 %),
+    so no event is read again.
+    """
+    side = F.when(F.to_date("day_start") < F.lit(first_current_day), REF).otherwise(CUR)
+    sides = rates.groupBy(side.alias("side")).agg(F.sum("events").alias("events"),
+                                                  F.hll_sketch_estimate(F.hll_union_agg("users")).alias("users"))
+    one = [F.coalesce(F.max(F.when(F.col("side") == s, F.col(c))), F.lit(0)).alias(f"{p}_{c}")
+           for s, p in ((REF, "ref"), (CUR, "cur")) for c in ("events", "users")]
+    return _rate_change(sides.agg(*one), threshold)
+
+
 def event_rate_proxy(split_events: DataFrame, threshold: float = 0.1) -> DataFrame:
     """Events per distinct user on each side and the relative change."""
     ev = split_events.groupBy().agg(F.count_if(is_ref()).alias("ref_events"), F.count_if(is_cur()).alias("cur_events"))
     us = (split_events.select("side", "userId").distinct().groupBy()
           .agg(F.count_if(is_ref()).alias("ref_users"), F.count_if(is_cur()).alias("cur_users")))
-    j = combine_rows(ev, us)
+    return _rate_change(combine_rows(ev, us), threshold)
+
+
+def _rate_change(j: DataFrame, threshold: float) -> DataFrame:
+    """Rates and their change from one row of ref_events, cur_events, ref_users, cur_users."""
     rr = F.when(F.col("ref_events") > 0, F.col("ref_events") / F.col("ref_users")).otherwise(F.lit(0.0))
     cr = F.when(F.col("cur_events") > 0, F.col("cur_events") / F.col("cur_users")).otherwise(F.lit(0.0))
     j = j.select(rr.alias("reference_event_rate"), cr.alias("current_event_rate"))

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions import (bin_range, days_between_floor, equal_width_bin, extract_state_nb, first_value_struct,
                          minutes_between, weekday_name)
-from .cumulative import exact_quantile
+from ..session import staged
+from .cumulative import exact_quantiles
 from .labels import with_dataset_end
 from .scalars import attach_scalars, combine_rows
 from .prep import complete_songs, contains_downgrade
@@ -348,8 +349,9 @@ def churned_vs_active(users: DataFrame, labels: DataFrame) -> DataFrame:
 
 # A31 ---------------------------------------------------------------------------
 def key_medians(users: DataFrame) -> DataFrame:
-    median = exact_quantile(users, "total_events", 0.5).scalar()    # no buffer over all users
-    return users.agg(F.first(median).alias("median_events"),
+    users = staged(users)
+    median = exact_quantiles(users, {"median": ("total_events", 0.5)})["median"]
+    return users.agg(F.lit(median).cast("double").alias("median_events"),
                      F.avg("activity_span_days").alias("avg_activity_span"),
                      F.max("total_events").alias("max_events"),
                      F.count("registration").alias("registered_users"),
