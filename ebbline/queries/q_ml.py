@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..catalog import CUTOFF_A, INACTIVITY_A, ev_a, register
 from ..operators import dataset as DS
+from ..operators import drift as D
 from ..operators import features as X
 from ..operators import labels as L
 from ..operators.prep import align_to_contract, preprocess_events
@@ -30,7 +31,7 @@ N = INACTIVITY_A
 
 def _model_df(spark, sf):
     ev = ev_a(spark, sf)
-    return X.features_with_labels(X.feature_matrix(ev, CUTOFF_A), L.churn_labels(ev, N))
+    return staged(X.features_with_labels(X.feature_matrix(ev, CUTOFF_A), L.churn_labels(ev, N)))
 
 
 def _run_dir(spark, name):
@@ -100,28 +101,27 @@ register("standard_scale", with_ev(" UNION ALL ".join(
 
 def _scaled(spark, sf):
     d = staged(DS.time_based_split(_model_df(spark, sf)))
-    cols = S.NUMERIC_FEATURES[:8]
-    params = DS.collect_scaler(DS.scaler_params(d.filter(F.col("split") == "train"), cols))
-    return DS.standard_scale(d.select("userId", "split", *cols), params)
+    params = DS.collect_scaler(DS.scaler_params(d.filter(F.col("split") == "train"), S.NUMERIC_FEATURES))
+    return DS.standard_scale(d.select("userId", "split", *S.NUMERIC_FEATURES), params)
 
 
 register("standard_scaled", with_ev("SELECT userId, split, " + ", ".join(
-    R(f"(coalesce(CAST({c} AS DOUBLE), 0.0) - (SELECT avg(coalesce(CAST({c} AS DOUBLE), 0.0)) FROM tsp WHERE split = 'train')) / "
-      f"(SELECT CASE WHEN stddev_pop(coalesce(CAST({c} AS DOUBLE), 0.0)) = 0 THEN 1.0 ELSE "
-      f"stddev_pop(coalesce(CAST({c} AS DOUBLE), 0.0)) END FROM tsp WHERE split = 'train')") + f" AS {c}"
-    for c in S.NUMERIC_FEATURES[:8]) + " FROM tsp", "A", TS_CTES))(_scaled)
+    R(f"(coalesce(CAST({c} AS DOUBLE), 0.0) - prm.m_{i}) / CASE WHEN prm.s_{i} = 0 THEN 1.0 ELSE prm.s_{i} END") + f" AS {c}"
+    for i, c in enumerate(S.NUMERIC_FEATURES)) + " FROM tsp, (SELECT " + ", ".join(
+    f"avg(coalesce(CAST({c} AS DOUBLE), 0.0)) AS m_{i}, stddev_pop(coalesce(CAST({c} AS DOUBLE), 0.0)) AS s_{i}"
+    for i, c in enumerate(S.NUMERIC_FEATURES)) + " FROM tsp WHERE split = 'train') prm", "A", TS_CTES))(_scaled)
 
 
 # F7 with an absent and an extra column --------------------------------------------------
 def _aligned(spark, sf):
-    absent, *rest = S.NUMERIC_FEATURES[:6]
+    absent, *rest = S.NUMERIC_FEATURES
     m = _model_df(spark, sf).select("userId", *rest, F.lit(7.0).alias("not_in_the_contract"))
     return align_to_contract(m, [absent, *rest])
 
 
 register("align_to_contract", with_ev(
     f"SELECT userId, 0.0 AS {S.NUMERIC_FEATURES[0]}, "
-    + ", ".join(f"{R(f'coalesce(CAST({c} AS DOUBLE), 0.0)')} AS {c}" for c in S.NUMERIC_FEATURES[1:6]) + " FROM tset",
+    + ", ".join(f"{R(f'coalesce(CAST({c} AS DOUBLE), 0.0)')} AS {c}" for c in S.NUMERIC_FEATURES[1:]) + " FROM tset",
     "A", TS_CTES))(_aligned)
 
 # W7 ----------------------------------------------------------------------------
@@ -284,7 +284,17 @@ def _t2(spark, sf):
     return ST.read_rates(spark, f"{run}/out")
 
 
-register("rate_stream")(_t2)
+# the sketches are exact for so few users as these tables have
+register("rate_stream", with_ev("""
+SELECT date_trunc('day', ts) AS day_start, date_trunc('day', ts) + INTERVAL 1 DAY AS day_end, count(*) AS events,
+       count(DISTINCT userId) AS approx_users FROM ev GROUP BY 1, 2"""))(lambda spark, sf: _t2(spark, sf).drop("users"))
+register("event_rate_proxy_from_rates", with_ev(f"""
+SELECT {R('rr')} AS reference_event_rate, {R('cr')} AS current_event_rate, {R('abs(cr - rr) / rr')} AS event_rate_change,
+       abs(cr - rr) / rr > 0.1 AS performance_degradation
+FROM (SELECT count(*) FILTER (WHERE d < DATE '2024-01-21') / count(DISTINCT userId) FILTER (WHERE d < DATE '2024-01-21') AS rr,
+             count(*) FILTER (WHERE d >= DATE '2024-01-21') / count(DISTINCT userId) FILTER (WHERE d >= DATE '2024-01-21') AS cr
+      FROM (SELECT userId, CAST(ts AS DATE) AS d FROM ev))"""))(
+    lambda spark, sf: D.event_rate_proxy_from_rates(_t2(spark, sf), dt.date(2024, 1, 21)))
 register("rate_stream_events", with_ev("SELECT CAST(ts AS DATE) AS day, count(*) AS events FROM ev GROUP BY 1"))(
     lambda spark, sf: _t2(spark, sf).select(F.to_date("day_start").alias("day"), "events"))
 
@@ -320,10 +330,10 @@ register("feature_projection", with_ev(
     lambda spark, sf: feature_projection(_model_df(spark, sf)))
 
 # F10 ---------------------------------------------------------------------------
-_REQ = ["userId"] + S.NUMERIC_FEATURES[:6]
+_REQ = ["userId"] + S.NUMERIC_FEATURES
 register("contract_check", with_ev(
     "SELECT userId, list_filter([" + ", ".join(f"CASE WHEN {c} IS NULL THEN '{c}' END" for c in _REQ)
     + "], lambda x: x IS NOT NULL) AS missing_fields, " + " AND ".join(f"{c} IS NOT NULL" for c in _REQ)
     + " AS valid FROM (" + fm_select("fm", None) + ")", "A", feature_ctes(CUTOFF_A)))(
-    lambda spark, sf: contract_check(X.feature_matrix(ev_a(spark, sf), CUTOFF_A).select("userId", *S.NUMERIC_FEATURES[:6]))
+    lambda spark, sf: contract_check(X.feature_matrix(ev_a(spark, sf), CUTOFF_A).select("userId", *S.NUMERIC_FEATURES))
     .select("userId", "missing_fields", "valid"))
