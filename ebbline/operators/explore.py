@@ -9,6 +9,8 @@ are broadcast, never unpartitioned windows over the data.
 """
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window as W
 from pyspark.sql import functions as F
 
@@ -391,9 +393,40 @@ def sort_events(df: DataFrame, num_partitions: int | None = None) -> DataFrame:
 
 
 # K2 / K3 ----------------------------------------------------------------------------
-def top_k(df: DataFrame, cols: list[str], k: int, dimension: str | None = None) -> DataFrame:
-    """Top ``k`` values of ``cols`` by count; ties broken by the key (ascending)."""
-    c = df.dropna(subset=cols).groupBy(*cols).agg(F.count(F.lit(1)).alias("count"))
+TRACKED = 10_000       # values that the heavy-hitter sketch follows
+
+
+def heavy_counts(df: DataFrame, cols: list[str], k: int, tracked: int = TRACKED) -> DataFrame | None:
+    """Exact counts of values of ``cols`` that surely include the ``k`` most frequent; None where that is not proven.
+
+    A mergeable frequent-items sketch (one of bounded size for each task) names
+    the candidates, and only rows with a candidate's hash are counted.  A value
+    that the sketch does not name occurs at most ``2 * 3.5 / size`` of all rows,
+    ``size`` being that of its table.  So the result is proven if the k-th count is above that,
+    or if the candidates hold all rows.
+    """
+    rows = df.dropna(subset=cols).withColumn("_h", F.xxhash64(*cols))
+    found = rows.agg(F.expr(f"approx_top_k(_h, {tracked}, {tracked})").alias("top"), F.count(F.lit(1)).alias("n"))
+    found = staged(found.select("n", F.transform("top", lambda t: t["item"]).alias("items")))
+    n = found.first()["n"]
+    names = found.select(F.explode("items").alias("_h"))                                   # at most ``tracked`` rows
+    counts = staged(rows.join(F.broadcast(names), "_h").groupBy(*cols).agg(F.count(F.lit(1)).alias("count")))
+    size = 1 << max(3, math.ceil(math.log2(tracked / 0.75)))
+    bound = 2 * 3.5 / size * n
+    kth = [r[0] for r in counts.orderBy(F.col("count").desc()).limit(k).select("count").collect()]
+    whole = (counts.agg(F.sum("count")).first()[0] or 0) == n
+    return counts if whole or len(kth) == k and kth[-1] > bound else None
+
+
+def top_k(df: DataFrame, cols: list[str], k: int, dimension: str | None = None, tracked: int = TRACKED) -> DataFrame:
+    """Top ``k`` values of ``cols`` by count; ties broken by the key (ascending).
+
+    Counts only the candidates of a sketch where these are proven to be enough
+    (:func:`heavy_counts`), else every value.
+    """
+    c = heavy_counts(df, cols, k, tracked)
+    if c is None:
+        c = df.dropna(subset=cols).groupBy(*cols).agg(F.count(F.lit(1)).alias("count"))
     # The count table is small next to the events; the ordered limit is a
     # per-partition top-k followed by a k-row merge (TakeOrderedAndProject).
     top = c.orderBy(F.col("count").desc(), *[F.col(x).asc() for x in cols]).limit(k)

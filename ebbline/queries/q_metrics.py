@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..catalog import CUTOFF_A, INACTIVITY_A, ev_a, register
+from ..catalog import CUTOFF_A, INACTIVITY_A, ORACLE, ev_a, register
 from ..operators import drift as D
 from ..operators import evaluate as V
 from ..operators import features as X
@@ -301,6 +301,17 @@ SELECT bool_or(drift_detected) AS overall_drift_detected, count(*) FILTER (WHERE
   {R('coalesce(max(drift_score), 0.0)')} AS max_drift_score, {R('coalesce(avg(drift_score), 0.0)')} AS avg_drift_score
 FROM fdr""", "A", FD_CTES))(lambda spark, sf: D.drift_summary(_fd(spark, sf))[1])
 
+
+
+def _report_of_frames(spark, sf):
+    """D9 on two frames of a caller: the features are chosen by their columns."""
+    fm = D.side_feature_matrices(ev_a(spark, sf)).select("side", "userId", *S.FEATURE_COLUMNS)
+    ref, cur = (fm.filter(F.col("side") == s).drop("side") for s in (D.REF, D.CUR))
+    return D.data_drift_report(ref, cur)[1]
+
+
+register("data_drift_report_frames", ORACLE["data_drift_report"])(_report_of_frames)
+
 register("event_rate_proxy", with_ev(f"""
 SELECT {R('rr')} AS reference_event_rate, {R('cr')} AS current_event_rate, {R('ch')} AS event_rate_change,
        ch > 0.1 AS performance_degradation

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..catalog import CUTOFF_A, INACTIVITY_A, ev_a, register
+from ..catalog import CUTOFF_A, INACTIVITY_A, ORACLE, QUERIES, ev_a, register
 from ..operators import dataset as DS
 from ..operators import drift as D
 from ..operators import features as X
@@ -22,7 +22,7 @@ from ..plans import training as TR
 from ..session import shared_path, staged
 from ..sources import eventlog as EL
 from ..sources import registry as REG
-from ..sources.adapters import activity_events_path
+from ..sources.adapters import activity_events_path, read_table
 from ..streaming import streams as ST
 from .q_features import _LAB_FOR_JOIN, feature_ctes, fm_select
 
@@ -310,6 +310,72 @@ def _t3(spark, sf):
 register("score_stream")(_t3)
 
 
+def _t3_rows(spark, sf):
+    """All scores of the stream, whatever batches the rows came in."""
+    run = _run_dir(spark, "t3")
+    fm = X.feature_matrix(ev_a(spark, sf), CUTOFF_A)
+    fm.write.parquet(f"{run}/features")
+    ST.score_stream(spark, f"{run}/features", fm.schema, f"{run}/out", f"{run}/ckpt", S.NUMERIC_FEATURES)
+    return spark.read.parquet(f"{run}/out/scores").select("userId", "churn_probability", "churn_prediction", "risk_level")
+
+
+register("score_stream_rows", "SELECT userId, churn_probability, churn_prediction, risk_level FROM ("
+         + ORACLE["score_users"] + ")")(_t3_rows)
+
+
+# What was written is read back ----------------------------------------------
+def _report_back(spark, sf):
+    """The newest of two stored drift reports, the older one of another threshold."""
+    path = f"{_run_dir(spark, 'reports')}/drift_reports"
+    scores, _ = D.engineered_drift(ev_a(spark, sf))
+    for run, report in (("20240101_0000", scores.withColumn("drift_detected", F.lit(None).cast("boolean"))), ("20240201_0000", scores)):
+        REG.sink_drift_report(report, path, run)
+    return REG.latest_drift_report(spark, path).drop("run_id")
+
+
+register("drift_report_read_back", ORACLE["engineered_drift_scores"])(_report_back)
+
+
+def _perf_back(spark, sf):
+    """Performance entries, one for each day and appended day by day order aside, read back from their log."""
+    path = f"{_run_dir(spark, 'perf')}/perf_log"
+    log = QUERIES["daily_performance_log"](spark, sf)
+    odd = F.dayofmonth("timestamp") % 2 == 1
+    for part in (odd, ~odd):
+        REG.sink_perf_log(log.filter(part), path)
+    return REG.read_perf_log(spark, path).select(*log.columns)
+
+
+register("perf_log_read_back", ORACLE["daily_performance_log"])(_perf_back)
+
+
+def _resolved_model(spark, sf):
+    """Two models are saved, the older one deployed; a third row names files that do not exist.  The deployed one is resolved and scores."""
+    from pyspark.ml import Pipeline, PipelineModel
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+    run = _run_dir(spark, "registry")
+    docs = (read_table(spark, sf, "documents").join(read_table(spark, sf, "labels"), "doc_id")
+            .select(F.col("doc_id").cast("string").alias("userId"), F.col("n_chars").cast("double").alias("n_chars"), F.col("quality").cast("double").alias("label")))
+    steps = [VectorAssembler(inputCols=["n_chars"], outputCol="features", handleInvalid="keep"), LogisticRegression(maxIter=2)]
+    fitted = Pipeline(stages=steps).fit(docs.na.fill(0.0))
+    paths = [REG.save_model(fitted, f"{run}/registry", f"{run}/models", {"pr_auc": 0.5 + k / 10}, kind, ["n_chars"], None, deployed,
+                            dt.datetime(2024, 1, 1 + k)) for k, (kind, deployed) in enumerate((("deployed", True), ("newer", False)))]
+    gone = spark.createDataFrame([(f"{run}/models/none", "gone", None, None, 0.9, None, None, None, None, ["n_chars"],
+                                   dt.datetime(2024, 3, 1), True)], REG.REGISTRY_SCHEMA)
+    REG.append(gone, f"{run}/registry")
+    model, row = REG.load_latest_model(spark, f"{run}/registry", PipelineModel.load)
+    scored = model.transform(docs.na.fill(0.0))
+    return scored.agg(F.lit(row["best_model_type"]).alias("model_type"), F.lit(row["pr_auc"]).alias("pr_auc"),
+                      F.lit(row["model_path"] == paths[0]).alias("is_saved_path"), F.lit(row["is_deployed"]).alias("is_deployed"),
+                      F.count(F.lit(1)).alias("scored"), F.count("prediction").alias("predictions"))
+
+
+register("resolved_model", """
+SELECT 'deployed' AS model_type, CAST(0.5 AS DOUBLE) AS pr_auc, true AS is_saved_path, true AS is_deployed, count(*) AS scored,
+       count(*) AS predictions FROM documents JOIN labels USING (doc_id)""")(_resolved_model)
+
+
 def _score_latest(spark, sf):
     """Train and deploy the best of all models, then score with the model the registry resolves (S7 -> S8 -> D1 -> D2, D13 -> S5)."""
     paths = J.default_paths(_run_dir(spark, "scoring"))

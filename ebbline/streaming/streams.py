@@ -17,7 +17,9 @@ from pyspark.sql import types as T
 
 from .. import schema as S
 from ..operators import scoring as SC
-from ..sources.canonical import matching_paths
+from ..operators.dataset import state_one_hot
+from ..sources import registry as REG
+from ..sources.canonical import matching_paths, path_exists
 
 CANONICAL_STREAM_SCHEMA = T.StructType(S.EVENT_SCHEMA.fields + [T.StructField("event_date", T.DateType())])
 
@@ -95,12 +97,35 @@ def read_rates(spark: SparkSession, sink: str) -> DataFrame:
 
 
 # T3 ----------------------------------------------------------------------------
-def score_stream(spark: SparkSession, source: str, schema, sink: str, checkpoint: str, feature_list: list[str],
-                 model=None, max_files: int | None = 1) -> None:
-    """Score each micro-batch of feature rows; scores and a summary per batch (written again, not twice, on a retry)."""
+def score_stream(spark: SparkSession, source: str, schema, sink: str, checkpoint: str, feature_list: list[str] | None = None,
+                 model=None, max_files: int | None = 1, registry: str | None = None) -> None:
+    """Score each micro-batch of feature rows; scores and a summary per batch (written again, not twice, on a retry).
+
+    With ``registry`` each batch resolves the model for itself (S8), so a model
+    deployed between two batches is used from then on.  What a batch resolved is
+    written before its scores; the batch run again, after a failure or over a
+    new checkpoint, takes the same version.  ``model_path`` stands beside the
+    scores (null for a model that was passed in).
+    """
+    def resolved(epoch: int):
+        from pyspark.ml import PipelineModel
+        place = f"{sink}/versions/batch_id={epoch}"
+        if path_exists(spark, f"{place}/_SUCCESS"):
+            kept = spark.read.schema("model_path string, feature_list array<string>").parquet(place).first()
+            return PipelineModel.load(kept["model_path"]), kept["feature_list"], kept["model_path"]
+        found, row = REG.load_latest_model(spark, registry, PipelineModel.load)
+        if found is None:
+            raise RuntimeError(f"no usable model in {registry}")
+        (spark.createDataFrame([(row["model_path"], row["feature_list"])], "model_path string, feature_list array<string>")
+         .write.mode("overwrite").parquet(place))
+        return found, row["feature_list"], row["model_path"]
+
     def handle(batch: DataFrame, epoch: int) -> None:
-        scored = SC.score_users(batch, feature_list, model).withColumn("batch_id", F.lit(epoch))
-        scored.drop("batch_id").write.mode("overwrite").parquet(f"{sink}/scores/batch_id={epoch}")
+        m, feats, version = resolved(epoch) if registry else (model, feature_list, None)
+        if registry:
+            batch = state_one_hot(batch, [c[len("state_"):] for c in feats if c.startswith("state_")])
+        scored = SC.score_users(batch, feats, m).withColumn("model_path", F.lit(version).cast("string"))
+        scored.write.mode("overwrite").parquet(f"{sink}/scores/batch_id={epoch}")
         SC.score_summary(scored).write.mode("overwrite").parquet(f"{sink}/summary/batch_id={epoch}")
     r = spark.readStream.schema(schema)
     if max_files:

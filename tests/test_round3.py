@@ -218,3 +218,61 @@ def test_quantile_with_nan_and_without_values(spark):
         got = C.exact_quantiles(df, {"lo": ("x", 0.0), "third": ("x", 1 / 3), "hi": ("x", 1.0)}, bins, few)
         assert got["lo"] == 1.0 and got["third"] == 2.0 and math.isnan(got["hi"])
     assert C.exact_quantiles(df.limit(0), {"q": ("x", 0.5)}) == {"q": None}
+
+
+# -- K2, K3 -------------------------------------------------------------------------------------------------------
+
+def plain_top(values, k):
+    from collections import Counter
+    return sorted(((n, v) for v, n in Counter(values).items()), key=lambda x: (-x[0], x[1]))[:k]
+
+
+def test_top_values_by_sketch_equal_the_full_count(spark, monkeypatch):
+    from ebbline.operators import explore as E
+    rng = random.Random(4)
+    values = [f"v{rng.randrange(8) if rng.random() < 0.5 else rng.randrange(3000)}" for _ in range(20000)]
+    df = spark.createDataFrame([(v, "x") for v in values] + [(None, "x")] * 9000, "page string, artist string").repartition(6)
+    assert len(set(values)) > 1500
+    counts = E.heavy_counts(df, ["page"], 5, 750)                 # a sketch of far fewer values than there are
+    assert counts is not None and counts.count() < 751
+    for k, tracked in ((5, 750), (5, 10_000), (400, 750)):        # proven, whole, and not provable
+        got = [(r["count"], r["page"]) for r in E.top_k(df, ["page"], k, tracked=tracked).orderBy("rank").collect()]
+        assert got == plain_top(values, k)
+    assert E.heavy_counts(df, ["page"], 400, 750) is None
+    two = E.top_k(df, ["page", "artist"], 3).orderBy("rank").collect()
+    assert [(r["count"], r["page"]) for r in two] == plain_top(values, 3)
+    assert E.top_k(df.limit(0), ["page"], 3).collect() == []
+
+
+# -- T3 -----------------------------------------------------------------------------------------------------------
+
+def test_a_model_deployed_between_two_batches_is_used_and_replay_keeps_it(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+    from ebbline.sources import registry as REG
+    base = tempfile.mkdtemp(prefix="ebb-t3-")
+    schema = "userId string, total_events double, label double"
+    rows = spark.createDataFrame([(f"u{i}", float(i), float(i > 5)) for i in range(12)], schema)
+    va = VectorAssembler(inputCols=["total_events"], outputCol="features")
+
+    def deploy(day, **kw):
+        fitted = Pipeline(stages=[va, LogisticRegression(**kw)]).fit(rows)
+        return REG.save_model(fitted, f"{base}/registry", f"{base}/models", {}, "lr", ["total_events"], None, True, dt.datetime(2024, 1, day))
+
+    def run(ckpt):
+        ST.score_stream(spark, f"{base}/src", rows.schema, f"{base}/out", f"{base}/{ckpt}", registry=f"{base}/registry")
+        return sorted((r.userId, r.batch_id, r.model_path, round(r.churn_probability, 9)) for r in spark.read.parquet(f"{base}/out/scores").collect())
+
+    with pytest.raises(Exception, match="no usable model"):
+        rows.limit(1).coalesce(1).write.mode("overwrite").parquet(f"{base}/src")
+        run("none")
+    first = deploy(1, maxIter=5)
+    run("ckpt")
+    second = deploy(2, maxIter=5, regParam=0.5)
+    rows.filter("userId > 'u1'").coalesce(1).write.mode("append").parquet(f"{base}/src")
+    got = run("ckpt")
+    assert {(b, m) for _, b, m, _ in got} == {(0, first), (1, second)} and len(got) == 1 + rows.filter("userId > 'u1'").count()
+    assert run("ckpt") == got
+    deploy(3, maxIter=1, regParam=5.0)
+    assert run("replayed") == got                                 # batches 0 and 1 again, by the versions they had
