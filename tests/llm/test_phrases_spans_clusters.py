@@ -70,8 +70,9 @@ def plain_phrases(rows, least, longest, top):
                   for lang, found in rows.items() for r, (s, a, p, left, right) in enumerate(sorted(found)[:top]))
 
 
-@pytest.mark.parametrize("size,least,top", [(1, 4, 2000), (300, 3, 2000), (10 ** 6, 5, 7)])
-def test_phrases(spark, size, least, top):
+@pytest.mark.parametrize("size,least,top,bits", [(1, 4, 2000, 1 << 27), (300, 3, 2000, 1 << 15), (10 ** 6, 5, 7, 1 << 27)])
+def test_phrases(spark, monkeypatch, size, least, top, bits):
+    monkeypatch.setattr(fm_phrases, "MOST_BITS", bits)
     rows = phrase_texts()
     df = make(spark, rows)
     got = sorted(tuple(r) for r in fm_phrases.collocations(df, least, 5, top, size).collect())
@@ -80,14 +81,25 @@ def test_phrases(spark, size, least, top):
     assert got == sorted(in_sql(fm_phrases.oracle(least, 5, top), documents=df))
 
 
-def test_frequent_pairs_by_broadcast_and_by_exchange(spark):
-    rows = [(k % 4, k, "en", f"a{k % 50} b{k % 7}", 1) for k in range(4000)]
-    pairs = spark.createDataFrame(rows, "shard long, node int, lang string, phrase string, n long")
-    frequent = pairs.filter("phrase < 'a2'").groupBy("lang", "phrase").agg({"n": "sum"}).toDF("lang", "phrase", "n").filter("n >= 3")
-    want = sorted((r[0], r[1]) for r in pairs.join(frequent.select("phrase"), "phrase").select("shard", "node").collect())
-    for most in (10 ** 6, 0):
-        assert sorted(tuple(r) for r in fm_phrases.pairs_in(pairs, frequent, 3, most).collect()) == want
-    assert want
+def test_places_miss_no_frequent_phrase(spark, monkeypatch):
+    monkeypatch.setattr(fm_phrases, "HELD_CELLS", 50)
+    prepare(spark)
+    rng = np.random.default_rng(3)
+    hashes = rng.integers(0, 1 << 63, 300).astype(np.uint64)
+    total, parts = Counter(), []
+    for _ in range(12):
+        some = rng.choice(300, 120, replace=False)
+        n = rng.integers(1, 9, 120)
+        total.update(dict(zip(some.tolist(), n.tolist())))
+        parts += [tuple(r.values()) for r in fm_phrases.counted(hashes[some], n, 7).to_pylist()]
+    rows = spark.createDataFrame(parts, "block int, cells binary, counts binary").repartition(5)
+    places = fm_phrases.frequent_places(rows, 25)
+    want = sum(v >= 25 for v in total.values())
+    assert places.count() == want and 0 < want < 300
+    held = fm_phrases.Places(places).hold(hashes, 7)
+    assert all(held[k] for k, v in total.items() if v >= 25) and held.sum() < want + 10
+    monkeypatch.setattr(fm_phrases, "MOST_BITS", 1 << 15)
+    assert all(fm_phrases.Places(places).hold(hashes, 7)[k] for k, v in total.items() if v >= 25)
 
 
 def test_phrases_of_nothing(spark):
