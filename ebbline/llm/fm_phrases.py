@@ -14,10 +14,11 @@ hash: a shard sends, for each block of hashes, the 32-bit hashes in order and
 their counts (some 3 bytes a phrase), a task adds up a block, and the hashes
 that reach the least count are put in a bit table of bounded size that goes to
 all shards.  This is done for words, then for pairs of words, then for longer
-phrases all of whose pairs passed; only phrases that pass are spelled out, and
-their counts are summed by the phrase itself.  Every part of a frequent phrase
-is frequent and phrases that share a hash are counted together, so nothing is
-lost; a false hit costs work, never a count.
+phrases all of whose pairs passed.  Every part of a frequent phrase is frequent
+and phrases that share a hash are counted together, so nothing is lost; a false
+hit costs work.  What passes is summed once more in the same blocks, with a
+second hash beside (over 96 bits in all, so that no two phrases are taken for
+one), and each frequent phrase is spelled out by one of the shards that hold it.
 
 Scores, the removal of contained phrases and the ranks are DataFrame
 operations over the counted phrases; products are decimals of 38 digits.
@@ -51,7 +52,7 @@ CELLS = 1 << 24                  # bits of the table of frequent words: 2 MiB, w
 SALTS = 32                       # parts of a language that are ranked apart before the last ranking
 KINDS = byte_kinds(b" \t", b".,;:!?\n\x0b\x0c\r")
 COUNTED = "lang string, phrase string, n long"
-INDEXED = "block int, cells binary, counts binary, ahead binary, behind binary, names binary, langs binary"
+INDEXED = "block int, cells binary, counts binary, shard long, ahead binary, behind binary, names binary, langs binary"
 
 
 class Shard:
@@ -194,18 +195,24 @@ def phrase_hashes(columns: list[np.ndarray], hashes: np.ndarray) -> np.ndarray:
     return h
 
 
-def counted(h: np.ndarray, count: np.ndarray, blocks: int) -> pa.RecordBatch:
-    """Hashes and counts of phrases of one shard as a row for each block of hashes: 32 bits of a hash in order, and counts."""
-    key = ((h >> np.uint64(32)) % np.uint64(blocks)) << np.uint64(32) | (h & np.uint64(0xFFFFFFFF))
+def counted(h: np.ndarray, count: np.ndarray, blocks: int, second: np.ndarray | None = None) -> pa.RecordBatch:
+    """Hashes and counts of phrases of one shard as a row for each block of hashes: 32 bits of a hash in order, and counts.
+
+    ``second`` has other hashes of the phrases, which are then packed beside.
+    """
+    key = cells_of(h, blocks)
     order = np.argsort(key)
     key, count = key[order], count[order].astype(np.uint32)
     block = (key >> np.uint64(32)).astype(np.int64)
     heads = np.flatnonzero(np.r_[True, block[1:] != block[:-1]][:len(block)])
     low = key.astype(np.uint32)
     ends = np.r_[heads[1:], len(block)]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(block[heads].astype(np.int32)), pa.array([pack(np.diff(low[i:j], prepend=np.uint32(0))) for i, j in zip(heads, ends)], pa.binary()),
-         pa.array([pack(count[i:j]) for i, j in zip(heads, ends)], pa.binary())], names=["block", "cells", "counts"])
+    columns = {"block": pa.array(block[heads].astype(np.int32)),
+               "cells": pa.array([pack(np.diff(low[i:j], prepend=np.uint32(0))) for i, j in zip(heads, ends)], pa.binary()),
+               "counts": pa.array([pack(count[i:j]) for i, j in zip(heads, ends)], pa.binary())}
+    if second is not None:
+        columns["second"] = pa.array([pack(second[order[i:j]]) for i, j in zip(heads, ends)], pa.binary())
+    return pa.RecordBatch.from_pydict(columns)
 
 
 def frequent_places(rows: DataFrame, least: int) -> DataFrame:
@@ -253,18 +260,19 @@ class Places:
         self.bits = bit_table(places.select(F.pmod("place", F.lit(self.size)).alias("c")), "c", self.size)
 
     def hold(self, h: np.ndarray, blocks: int) -> np.ndarray:
-        full = ((h >> np.uint64(32)) % np.uint64(blocks)) << np.uint64(32) | (h & np.uint64(0xFFFFFFFF))
-        return bits_at(self.bits, ((mix(full) >> np.uint64(1)) % np.uint64(self.size)).astype(np.int64))
+        return bits_at(self.bits, ((mix(cells_of(h, blocks)) >> np.uint64(1)) % np.uint64(self.size)).astype(np.int64))
 
 
 def indexed(docs: DataFrame, frequent: np.ndarray, blocks: int, size: int = SHARD_WORDS) -> DataFrame:
     """A row (block -1) with the index of each shard, and rows with the hashes and counts of its pairs of words."""
     table = docs.sparkSession.sparkContext.broadcast(frequent)
-    kinds = {"int": pa.int32(), "binary": pa.binary()}
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
     schema = pa.schema([(f.split()[0], kinds[f.split()[1]]) for f in INDEXED.split(", ")])
 
     def run(batches):
-        for s in shards(batches, size):
+        from pyspark import TaskContext
+        part = TaskContext.get().partitionId()
+        for k, s in enumerate(shards(batches, size)):
             keep = bits_at(table.value, s.cells())
             number = np.where(keep, np.cumsum(keep), 0)
             plain = number[s.symbol]
@@ -276,14 +284,14 @@ def indexed(docs: DataFrame, frequent: np.ndarray, blocks: int, size: int = SHAR
             words, langs = s.word.filter(pa.array(keep)), s.langs().filter(pa.array(keep))
             ahead, behind = Index.of(text), Index.of(text[::-1])
             yield pa.RecordBatch.from_pydict(
-                {"block": [-1], "cells": [None], "counts": [None], "ahead": [pack(ahead.transform)], "behind": [pack(behind.transform)],
+                {"block": [-1], "cells": [None], "counts": [None], "shard": [part << 32 | k], "ahead": [pack(ahead.transform)], "behind": [pack(behind.transform)],
                  "names": [squeezed(b"\x20".join(words.to_pylist()))], "langs": [squeezed("\x00".join(langs.to_pylist()).encode())]},
                 schema=schema)
             first, second, _, _, count = pairs_of(ahead, behind)
             if len(first):
                 rows = counted(phrase_hashes([first, second], word_hashes(words, langs)), count, blocks)
                 none = pa.nulls(rows.num_rows, pa.binary())
-                yield pa.RecordBatch.from_arrays([*rows.columns, none, none, none, none], schema=schema)
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.nulls(rows.num_rows, pa.int64()), none, none, none, none], schema=schema)
 
     return staged(texts(docs).mapInArrow(run, INDEXED), "index", "zstd")
 
@@ -292,9 +300,14 @@ def squeezed(data: bytes) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(data)
 
 
-def word_hashes(words: pa.Array, langs: pa.Array) -> np.ndarray:
-    seeds = {n: xxhash.xxh64_intdigest(n.encode("utf-8", "surrogatepass")) for n in langs.unique().to_pylist()}
-    return np.array([xxhash.xxh64_intdigest(w, seeds[k]) for w, k in zip(words.to_pylist(), langs.to_pylist(), strict=True)], np.uint64)
+def word_hashes(words: pa.Array, langs: pa.Array, digest=xxhash.xxh64_intdigest) -> np.ndarray:
+    seeds = {n: digest(n.encode("utf-8", "surrogatepass")) for n in langs.unique().to_pylist()}
+    return np.array([digest(w, seeds[k]) for w, k in zip(words.to_pylist(), langs.to_pylist(), strict=True)], np.uint64)
+
+
+def cells_of(h: np.ndarray, blocks: int) -> np.ndarray:
+    """Block of a hash (upper half) and its 32 bits within the block."""
+    return ((h >> np.uint64(32)) % np.uint64(blocks)) << np.uint64(32) | (h & np.uint64(0xFFFFFFFF))
 
 
 def walked(row: dict, blocks: int, pairs: Places, longer: Places | None, longest: int):
@@ -343,20 +356,85 @@ def longer_cells(index: DataFrame, blocks: int, pairs: Places, longest: int) ->
     return index.mapInArrow(run, "block int, cells binary, counts binary")
 
 
-def spelled(index: DataFrame, blocks: int, pairs: Places, longer: Places, longest: int) -> DataFrame:
-    """lang, phrase, n in each shard of the phrases of two words and more that can be frequent."""
+def passed(row: dict, blocks: int, pairs: Places, longer: Places, longest: int):
+    """(words, langs), then of each length: symbols, cells, second hashes and counts of the phrases that pass both tables."""
+    (names, langs), *found = walked(row, blocks, pairs, longer, longest)
+    second = word_hashes(names, langs, xxhash.xxh3_64_intdigest)
+    return (names, langs), [(columns, h, phrase_hashes(columns, second), count) for columns, h, count in found]
+
+
+def frequent_sums(index: DataFrame, blocks: int, pairs: Places, longer: Places, longest: int, least: int) -> DataFrame:
+    """cell, second, n over all shards, and one shard that holds it, of every phrase with at least ``least`` occurrences.
+
+    A phrase is told by both hashes, over 96 bits.
+    """
+    shared = index.sparkSession.sparkContext.broadcast((pairs, longer))
+
+    def run(batches):
+        for row in (r for b in batches for r in b.to_pylist()):
+            _, found = passed(row, blocks, *shared.value, longest)
+            if found:
+                rows = counted(*(np.concatenate([f[i] for f in found]) for i in (1, 3)), blocks, np.concatenate([f[2] for f in found]))
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(np.full(rows.num_rows, row["shard"]))], schema=schema)
+
+    kinds = [("block", pa.int32()), ("cells", pa.binary()), ("counts", pa.binary()), ("second", pa.binary()), ("shard", pa.int64())]
+    schema = pa.schema(kinds)
+
+    def added(held):
+        low, other, n, shard = (np.concatenate(x) for x in zip(*held, strict=True))
+        turn = mix(other ^ mix(shard.astype(np.uint64)))          # spreads the phrases over the shards that hold them
+        order = np.lexsort((turn, other, low))
+        low, other, n, shard = low[order], other[order], n[order], shard[order]
+        head = np.flatnonzero(np.r_[True, (low[1:] != low[:-1]) | (other[1:] != other[:-1])])
+        return low[head], other[head], np.add.reduceat(n, head), shard[head]
+
+    def sums(batches):
+        block, held, size = None, [], 0
+
+        def done():
+            low, other, n, shard = added(held)
+            ok = n >= least
+            cell = (np.uint64(block) << np.uint64(32)) | low[ok].astype(np.uint64)
+            return pa.RecordBatch.from_arrays([pa.array(cell.view(np.int64)), pa.array(other[ok].view(np.int64)), pa.array(n[ok]),
+                                               pa.array(shard[ok])], names=["cell", "second", "n", "shard"])
+
+        for b in batches:
+            for k, cells, counts, second, shard in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if block is not None and k != block:
+                    yield done()
+                    held, size = [], 0
+                block = k
+                low = np.cumsum(unpack(cells, np.uint32), dtype=np.uint32)
+                held.append((low, unpack(second, np.uint64), unpack(counts, np.uint32).astype(np.int64), np.full(len(low), shard)))
+                size += len(low)
+                if size > HELD_CELLS:
+                    held, size = [added(held)], 0
+        if block is not None:
+            yield done()
+
+    return staged(index.mapInArrow(run, "block int, cells binary, counts binary, second binary, shard long")
+                  .repartition("block").sortWithinPartitions("block").mapInArrow(sums, "cell long, second long, n long, shard long"), "sums")
+
+
+def spelled(index: DataFrame, blocks: int, pairs: Places, longer: Places, longest: int, sums: DataFrame) -> DataFrame:
+    """lang, phrase, n of all phrases in ``sums``, each spelled by the shard named there."""
     shared = index.sparkSession.sparkContext.broadcast((pairs, longer))
+    wanted = sums.groupBy("shard").agg(F.collect_list(F.struct("cell", "second", "n")).alias("wanted"))   # phrases of one shard
 
     def run(batches):
         for row in (r for b in batches for r in b.to_pylist()):
-            (names, langs), *found = walked(row, blocks, *shared.value, longest)
-            for columns, _, count in found:
-                for i in range(0, len(count), 65536):
-                    part = [c[i:i + 65536] for c in columns]
+            (names, langs), found = passed(row, blocks, *shared.value, longest)
+            want = {(w["cell"], w["second"]): w["n"] for w in row["wanted"]}
+            for columns, h, second, _ in found:
+                both = zip(cells_of(h, blocks).view(np.int64).tolist(), second.view(np.int64).tolist(), strict=True)
+                n = [want.get(x) for x in both]
+                at = np.flatnonzero([x is not None for x in n])
+                if len(at):
+                    part = [c[at] for c in columns]
                     yield pa.RecordBatch.from_arrays([langs.take(pa.array(part[0] - 1)), phrases(part, names),
-                                                      pa.array(count[i:i + 65536].astype(np.int64))], names=["lang", "phrase", "n"])
+                                                      pa.array([n[i] for i in at], pa.int64())], names=["lang", "phrase", "n"])
 
-    return index.mapInArrow(run, COUNTED)
+    return index.join(wanted, "shard").mapInArrow(run, COUNTED)
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, size: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame]:
@@ -367,10 +445,10 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     blocks = max(64, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     index = indexed(docs, bit_table(ones, "cell", CELLS), blocks, size)
     pairs = Places(frequent_places(index.filter("block >= 0"), least))
-    whole = index.filter("block = -1").select("ahead", "behind", "names", "langs")
+    whole = index.filter("block = -1").select("shard", "ahead", "behind", "names", "langs")
     longer = Places(frequent_places(longer_cells(whole, blocks, pairs, longest), least))
-    more = (spelled(whole, blocks, pairs, longer, longest).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
-            .filter(F.col("n") >= least))
+    sums = frequent_sums(whole, blocks, pairs, longer, longest, least)
+    more = spelled(whole, blocks, pairs, longer, longest, sums)
     return staged(ones.select("lang", "phrase", "n").union(more), "phrases"), totals
 
 
