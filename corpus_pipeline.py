@@ -48,7 +48,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality_classifier", quality_classifier), ("near_dedup", near_dedup), ("decontamination", decontamination),
           ("secret_scan", secret_scan), ("packing", packing)]
 
-# A trained classifier, signatures and a tokenizer have no SQL form; tests/llm checks every stage by brute force.
+# A trained classifier, signatures and a tokenizer have no SQL form.
 ORACLE_SQL = None
 
 
