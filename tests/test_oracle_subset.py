@@ -52,7 +52,7 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_every_query_has_oracle_or_is_declared_rows_only():
     rows_only = {"train_and_compare", "best_model", "feature_importance", "error_analysis_trained",
-                 "temporal_validation", "monitoring_cycle", "retrain_check", "rate_stream", "score_stream",
+                 "temporal_validation", "monitoring_cycle", "retrain_check", "score_stream",
                  "score_with_latest_model"}
     assert set(catalog.QUERIES) - set(catalog.ORACLE) == rows_only
     assert set(catalog.ORACLE) <= set(catalog.QUERIES)
