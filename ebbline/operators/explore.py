@@ -394,6 +394,7 @@ def sort_events(df: DataFrame, num_partitions: int | None = None) -> DataFrame:
 
 # K2 / K3 ----------------------------------------------------------------------------
 TRACKED = 10_000       # values that the heavy-hitter sketch follows
+SKETCH_FROM = 1 << 30  # estimated bytes of input from which a second look at it is cheaper than an exchange of all values
 
 
 def heavy_counts(df: DataFrame, cols: list[str], k: int, tracked: int = TRACKED) -> DataFrame | None:
@@ -401,30 +402,33 @@ def heavy_counts(df: DataFrame, cols: list[str], k: int, tracked: int = TRACKED)
 
     A mergeable frequent-items sketch (one of bounded size for each task) names
     the candidates, and only rows with a candidate's hash are counted.  A value
-    that the sketch does not name occurs at most ``2 * 3.5 / size`` of all rows,
+    that the sketch does not name has at most ``2 * 3.5 / size`` of all rows,
     ``size`` being that of its table.  So the result is proven if the k-th count is above that,
-    or if the candidates hold all rows.
+    or if the candidates hold all rows.  At most ``tracked`` names and counts reach the driver.
     """
+    spark = df.sparkSession
     rows = df.dropna(subset=cols).withColumn("_h", F.xxhash64(*cols))
-    found = rows.agg(F.expr(f"approx_top_k(_h, {tracked}, {tracked})").alias("top"), F.count(F.lit(1)).alias("n"))
-    found = staged(found.select("n", F.transform("top", lambda t: t["item"]).alias("items")))
-    n = found.first()["n"]
-    names = found.select(F.explode("items").alias("_h"))                                   # at most ``tracked`` rows
-    counts = staged(rows.join(F.broadcast(names), "_h").groupBy(*cols).agg(F.count(F.lit(1)).alias("count")))
-    size = 1 << max(3, math.ceil(math.log2(tracked / 0.75)))
-    bound = 2 * 3.5 / size * n
-    kth = [r[0] for r in counts.orderBy(F.col("count").desc()).limit(k).select("count").collect()]
-    whole = (counts.agg(F.sum("count")).first()[0] or 0) == n
-    return counts if whole or len(kth) == k and kth[-1] > bound else None
-
-
-def top_k(df: DataFrame, cols: list[str], k: int, dimension: str | None = None, tracked: int = TRACKED) -> DataFrame:
+    found = rows.agg(F.expr(f"approx_top_k(_h, {tracked}, {tracked})").alias("top"), F.count(F.lit(1)).alias("n")).first()
+    if not found["n"]:
+        return rows.select(*cols, F.lit(0).cast("long").alias("count")).limit(0)
+    names = spark.createDataFrame([(t["item"],) for t in found["top"]], "_h long")          # at most ``tracked`` rows
+    counts = rows.join(F.broadcast(names), "_h").groupBy(*cols).agg(F.count(F.lit(1)).alias("count"))
+    exact = counts.collect()                                                               # one for each name
+    by_size = sorted((r["count"] for r in exact), reverse=True)
+    bound = 2 * 3.5 / (1 << max(3, math.ceil(math.log2(tracked / 0.75)))) * found["n"]
+    proven = sum(by_size) == found["n"] or len(by_size) >= k and by_size[k - 1] > bound
+    return spark.createDataFrame(exact, counts.schema) if proven else None
+
+
+def top_k(df: DataFrame, cols: list[str], k: int, dimension: str | None = None, tracked: int = TRACKED,
+          sketch_from: int = SKETCH_FROM) -> DataFrame:
     """Top ``k`` values of ``cols`` by count; ties broken by the key (ascending).
 
-    Counts only the candidates of a sketch where these are proven to be enough
-    (:func:`heavy_counts`), else every value.
+    Large inputs are first sketched, and only the candidates are counted where
+    these are proven to be enough (:func:`heavy_counts`); else every value is.
     """
-    c = heavy_counts(df, cols, k, tracked)
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    c = heavy_counts(df, cols, k, tracked) if size >= sketch_from else None
     if c is None:
         c = df.dropna(subset=cols).groupBy(*cols).agg(F.count(F.lit(1)).alias("count"))
     # The count table is small next to the events; the ordered limit is a

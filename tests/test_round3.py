@@ -236,12 +236,13 @@ def test_top_values_by_sketch_equal_the_full_count(spark, monkeypatch):
     counts = E.heavy_counts(df, ["page"], 5, 750)                 # a sketch of far fewer values than there are
     assert counts is not None and counts.count() < 751
     for k, tracked in ((5, 750), (5, 10_000), (400, 750)):        # proven, whole, and not provable
-        got = [(r["count"], r["page"]) for r in E.top_k(df, ["page"], k, tracked=tracked).orderBy("rank").collect()]
+        got = [(r["count"], r["page"]) for r in E.top_k(df, ["page"], k, tracked=tracked, sketch_from=0).orderBy("rank").collect()]
         assert got == plain_top(values, k)
     assert E.heavy_counts(df, ["page"], 400, 750) is None
-    two = E.top_k(df, ["page", "artist"], 3).orderBy("rank").collect()
+    two = E.top_k(df, ["page", "artist"], 3, sketch_from=0).orderBy("rank").collect()
     assert [(r["count"], r["page"]) for r in two] == plain_top(values, 3)
-    assert E.top_k(df.limit(0), ["page"], 3).collect() == []
+    assert E.top_k(df.limit(0), ["page"], 3, sketch_from=0).collect() == []
+    assert [(r["count"], r["page"]) for r in E.top_k(df, ["page"], 9).orderBy("rank").collect()] == plain_top(values, 9)
 
 
 # -- T3 -----------------------------------------------------------------------------------------------------------
