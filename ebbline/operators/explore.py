@@ -427,7 +427,7 @@ def top_k(df: DataFrame, cols: list[str], k: int, dimension: str | None = None,
     Large inputs are first sketched, and only the candidates are counted where
     these are proven to be enough (:func:`heavy_counts`); else every value is.
     """
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     c = heavy_counts(df, cols, k, tracked) if size >= sketch_from else None
     if c is None:
         c = df.dropna(subset=cols).groupBy(*cols).agg(F.count(F.lit(1)).alias("count"))
