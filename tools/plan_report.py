@@ -6,7 +6,7 @@ PartitionFilters) and whether any Python evaluation appears.  Run after a
 change to check that no plan regressed (e.g. a Cartesian product, a Python
 UDF, a lost pushdown).
 
-Usage: python tools/plan_report.py [sf_dir] [out.md]
+Usage: python tools/plan_report.py [sf_dir] [out.md] [name ...]; with names only their lines are replaced or added.
 """
 from __future__ import annotations
 
@@ -46,7 +46,8 @@ def main():
         os.path.abspath(__file__))), "PLANS.md")
     spark = local_session()
     rows = []
-    for name, fn in QUERIES.items():
+    names = sys.argv[3:]
+    for name, fn in ((n, QUERIES[n]) for n in names or QUERIES):
         t0 = time.time()
         df = fn(spark, sf)
         df.write.format("noop").mode("overwrite").save()      # final adaptive plan
@@ -57,6 +58,14 @@ def main():
         print(name, s, flush=True)
     cols = ["name", "sec", "scans", "shuffles", "broadcasts", "smj", "bhj", "bnlj", "cartesian", "windows",
             "python", "pushed", "pruned_parts"]
+    if names:
+        line = {r["name"]: "| " + " | ".join(str(r[c]) for c in cols) + " |\n" for r in rows}
+        with open(out_path) as f:
+            old = [line.pop(x.split(" | ")[0][2:], x) for x in f]
+        last = max(i for i, x in enumerate(old) if x.startswith("| ")) + 1
+        with open(out_path, "w") as f:
+            f.writelines(old[:last] + list(line.values()) + old[last:])
+        return
     with open(out_path, "w") as f:
         f.write("# Executed plans of the registered queries\n\n")
         f.write(f"Generated by `tools/plan_report.py` at {sf} (local[8], AQE on; final adaptive plans). Counts are "
