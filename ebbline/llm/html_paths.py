@@ -15,13 +15,13 @@ all between is kept: subheadings, lists, captions and cells have low ratios.
 Every page is handled alone in its task, so the job is one scan.
 
 Defined cases: a null or empty html, and a page without text, give the empty
-string; unclosed tags, comments and quotes are read as browsers do, to the end
-of the page; repeated rows are extracted one by one.
+string; comments and tags that never end are read to the end of the page, as
+browsers do; repeated rows are extracted one by one; very long and very deep
+pages take time and memory in proportion to their length.
 """
 from __future__ import annotations
 
 import re
-from collections import Counter
 from html import unescape
 from typing import NamedTuple
 
@@ -65,105 +65,171 @@ NOT_ARTICLE_WORDS = frozenset("""ad ads adv advert adverts advertisement adverti
     respond responses search share sharing sidebar sidebars signup skip social sponsor sponsored subscribe subscription
     taboola toolbar warning widget widgets""".split())
 
-TAG = re.compile(r"""<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"""
-                 r"""|<(/?)([A-Za-z][^\s/>]*)((?>"[^"]*"|'[^']*'|[^'">])*+)>""", re.S)
-ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+# Listed words that mark an element only in a name made of listed words alone
+ONLY_ALONE = frozenset("""banner banners form header hidden modal overlay respond response responses search share
+    sharing skip social warning widget widgets""".split())
+# Words that say what a page has, so that the word after them is not what the element is
+OF_THE_PAGE = frozenset("has no not with without".split())
+# Words that make a header the site's
+OF_THE_SITE = frozenset("site global top".split())
+# Words of reader comments, which may well be longer than the article
+COMMENT_WORDS = frozenset("comment comments commentlist disqus replies reply".split())
+
+MARKUP = re.compile(r"<(?:(/?)(?=[A-Za-z])|(?=[!?]))")
+COMMENT = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
+TAG_NAME = re.compile(r"[^\s/>]*+")
+# attributes up to the end of the tag; stops at a quote behind an equals sign that is never closed
+ATTRIBUTES = re.compile(r"""(?:[^=>]++|=\s*+(?:"[^"]*+"|'[^']*+'|(?!["'])))*+""")
+ATTRIBUTE = re.compile(r"""([^\s=/"'>]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?""")
 PARTS = re.compile(r"[-_\d]+|(?<=[a-z])(?=[A-Z])")
 PUNCTUATION = re.compile(r"[.,;:!?…。、，！？]")
 
 
-class Element(NamedTuple):
-    tag: str
-    path: str        # tags from the root to here
-    barred: bool     # here or above lies something that never holds article text
-    marks: tuple[int, ...] = ()     # numbers of the elements here or above that have a listed word
-
-
 class Block(NamedTuple):
-    element: Element
+    element: int     # number of the element that holds it; 0 is the page
     text: str
     link: int        # characters of it inside links
 
 
-def is_barred(tag: str, attributes: str, above: list[Element]) -> bool:
-    if tag in NOT_ARTICLE or tag == "header" and not any(e.tag in ("article", "main") for e in above):
+class Page:
+    """A page's blocks of text, its elements and the tree of their tag paths.
+
+    Elements and paths are numbered from the page (0) on; each knows its parent's
+    number, which is smaller, so that sums run up and properties down in one pass.
+    """
+
+    def __init__(self) -> None:
+        self.blocks: list[Block] = []
+        self.parent, self.path, self.barred, self.mark = [0], [0], [False], [""]
+        self.path_parent, self.path_tag, self.path_depth = [0], [""], [0]
+        self._paths: dict[tuple[int, str], int] = {}
+
+    def add(self, parent: int, tag: str, barred: bool, mark: str) -> int:
+        above = self.path[parent]
+        path = self._paths.setdefault((above, tag), len(self.path_tag))
+        if path == len(self.path_tag):
+            self.path_parent.append(above)
+            self.path_tag.append(tag)
+            self.path_depth.append(self.path_depth[above] + 1)
+        self.parent.append(parent)
+        self.path.append(path)
+        self.barred.append(barred or self.barred[parent])
+        self.mark.append(mark)
+        return len(self.parent) - 1
+
+    def path_of(self, b: Block) -> int:
+        return self.path[b.element]
+
+
+def summed_up(values: list, parent: list[int]) -> list:
+    """Each node's value and those of all below it."""
+    out = list(values)
+    for i in range(len(out) - 1, 0, -1):
+        out[parent[i]] += out[i]
+    return out
+
+
+def at_or_above(holds: list[bool], parent: list[int]) -> list[bool]:
+    """Whether a node or one that it lies in holds."""
+    out = list(holds)
+    for i in range(1, len(out)):
+        out[i] = out[i] or out[parent[i]]
+    return out
+
+
+def is_barred(tag: str, attributes: list[tuple[str, str]], in_article: bool) -> bool:
+    if tag in NOT_ARTICLE or tag == "header" and not in_article:
         return True
-    if not attributes or tag in ("html", "body", "article", "main"):
-        return False
-    for name, *value in ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), "".join(value)
-        if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
-        if name == "style" and re.search(r"display\s*:\s*none", value, re.I):
-            return True
-    return False
-
-
-def is_marked(tag: str, attributes: str, above: list[Element]) -> bool:
-    """Whether a class, id or role is a listed word, or is made of such words only (``cookie-banner``)."""
-    if not attributes or tag in ("html", "body", "article", "main"):
+    if tag in ("html", "body", "article", "main"):
         return False
-    if tag == "header" and any(e.tag in ("article", "main") for e in above):
-        return False
-    for name, *value in ATTRIBUTE.findall(attributes):
-        if name.lower() in ("class", "id", "role"):
-            for token in "".join(value).split():
-                parts = [x.lower() for x in PARTS.split(token) if x]
-                if parts and NOT_ARTICLE_WORDS.issuperset(parts):
-                    return True
-    return False
+    return any(name == "hidden" or name == "aria-hidden" and value.lower() == "true"
+               or name == "style" and re.search(r"display\s*:\s*none", value, re.I) is not None
+               for name, value in attributes)
 
 
-def read_blocks(html: str) -> list[Block]:
-    """The page's blocks of text in order; markup that was never closed ends with the page."""
-    blocks: list[Block] = []
-    stack: list[Element] = []
-    root = Element("", "", False)
-    parts: list[str] = []
-    links, link, at, end, n_marks = 0, 0, 0, len(html), 0
+def mark_of(tag: str, attributes: list[tuple[str, str]], in_article: bool) -> str:
+    """The listed word of a class, id or role (``comments-area``), or "".
 
-    def holder() -> Element:
-        return next((e for e in reversed(stack) if e.tag in BLOCK), root)
+    Words that also name parts of articles mark only in names of listed words
+    alone; a word behind ``has`` or ``no`` tells of the page, not of the element.
+    """
+    if tag in ("html", "body", "article", "main") or tag == "header" and in_article:
+        return ""
+    for name, value in attributes:
+        if name in ("class", "id", "role"):
+            for token in value.split():
+                parts = [x.lower() for x in PARTS.split(token) if x]
+                if not OF_THE_PAGE.isdisjoint(parts):
+                    parts = parts[:min(i for i, x in enumerate(parts) if x in OF_THE_PAGE)]
+                alone = NOT_ARTICLE_WORDS.issuperset(parts)
+                for x in parts:
+                    if x in NOT_ARTICLE_WORDS and (alone or x not in ONLY_ALONE
+                                                   or x == "header" and not OF_THE_SITE.isdisjoint(parts)):
+                        return x
+    return ""
+
+
+def read_page(html: str) -> Page:
+    """The page's blocks of text in order, read in one pass.
+
+    Which elements are open is kept by tag, so that no step looks through the
+    stack.  A tag whose quote is never closed ends at the next ``>``; without
+    one it ends with the page, as comments do.
+    """
+    page = Page()
+    stack: list[tuple[int, str]] = []          # number and tag of every open element
+    open_at: dict[str, list[int]] = {}         # places of each tag in the stack
+    open_blocks: list[int] = []                # places of blocks in the stack
+    parts: list[str] = []
+    link, at, end = 0, 0, len(html)
 
     def close_block() -> None:
         nonlocal link
         if parts:
             if text := " ".join(unescape("".join(parts)).split()):
-                blocks.append(Block(holder(), text, link))
+                page.blocks.append(Block(stack[open_blocks[-1]][0] if open_blocks else 0, text, link))
             parts.clear()
         link = 0
 
-    def pop_to(index: int) -> None:
-        nonlocal links
-        if any(e.tag in BLOCK for e in stack[index:]):
+    def pop_to(place: int) -> None:
+        if open_blocks and open_blocks[-1] >= place:
             close_block()
-        links -= sum(e.tag == "a" for e in stack[index:])
-        del stack[index:]
+        while len(stack) > place:
+            _, tag = stack.pop()
+            open_at[tag].pop()
+            if tag in BLOCK:
+                open_blocks.pop()
+
+    def last_open(tags: str) -> int:
+        return max((open_at[t][-1] for t in tags.split() if open_at.get(t)), default=-1)
 
     def pop_open(tags: str, stops: str) -> None:
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i].tag in tags.split():
-                pop_to(i)
-                return
-            if stack[i].tag in stops.split():
-                return
+        place = last_open(tags)
+        if place > last_open(stops):
+            pop_to(place)
 
     while at < end:
-        m = TAG.search(html, at)
+        m = MARKUP.search(html, at)
         piece = html[at:m.start()] if m else html[at:]
         if piece:
             parts.append(piece)
-            link += len(piece) if links else 0
+            link += len(piece) if open_at.get("a") else 0
         if not m:
             break
-        at = m.end()
-        if not m[2]:
+        if m[1] is None:
+            at = COMMENT.match(html, m.start()).end()
             continue
-        tag = m[2].lower()
+        name_end = TAG_NAME.match(html, m.end()).end()
+        close = ATTRIBUTES.match(html, name_end).end()
+        if close < end and html[close] != ">":
+            close = html.find(">", close)
+        if not 0 <= close < end:
+            break
+        at = close + 1
+        tag = html[m.end():name_end].lower()
         if m[1]:
-            index = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag), None)
-            if index is not None:
-                pop_to(index)
+            if open_at.get(tag):
+                pop_to(open_at[tag][-1])
             continue
         if tag == "br" or tag in VOID and tag not in BLOCK:
             parts.append(" " if tag == "br" else "")
@@ -177,133 +243,138 @@ def read_blocks(html: str) -> list[Block]:
         if tag in VOID:
             continue
         if tag in RAW:
-            close_tag = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
+            close_tag = re.compile(rf"</{tag}\s*+>", re.I).search(html, at)
             at = close_tag.end() if close_tag else end
             continue
-        above = stack[-1] if stack else root
-        marks = above.marks
-        if is_marked(tag, m[3], stack):
-            n_marks += 1
-            marks = (*marks, n_marks)
-        stack.append(Element(tag, f"{above.path}/{tag}", above.barred or is_barred(tag, m[3], stack), marks))
-        links += tag == "a"
+        attributes = [(n.lower(), "".join(v)) for n, *v in ATTRIBUTE.findall(html, name_end, close)]
+        in_article = bool(open_at.get("article") or open_at.get("main"))
+        number = page.add(stack[-1][0] if stack else 0, tag, is_barred(tag, attributes, in_article),
+                          mark_of(tag, attributes, in_article))
+        open_at.setdefault(tag, []).append(len(stack))
+        if tag in BLOCK:
+            open_blocks.append(len(stack))
+        stack.append((number, tag))
     close_block()
-    return blocks
+    return page
+
 
+def marked_elements(page: Page, blocks: list[Block]) -> list[bool]:
+    """Which elements are, or lie in, one with a listed word.
 
-def without_void_marks(blocks: list[Block]) -> list[Block]:
-    """The blocks without the marks of elements that hold most of their text."""
-    total, held = sum(len(b.text) for b in blocks), Counter()
+    One that holds most of the blocks' text is the article's own and marks
+    nothing; one of reader comments must hold nearly all of it.
+    """
+    held = [0] * len(page.parent)
     for b in blocks:
-        for m in b.element.marks:
-            held[m] += len(b.text)
-    void = {m for m, size in held.items() if size >= MOST * total}
-    return [b._replace(element=b.element._replace(marks=tuple(m for m in b.element.marks if m not in void))) for b in blocks]
+        held[b.element] += len(b.text)
+    held = summed_up(held, page.parent)
+    return at_or_above([mark != "" and size < (NEARLY_ALL if mark in COMMENT_WORDS else MOST) * held[0]
+                        for mark, size in zip(page.mark, held, strict=True)], page.parent)
 
 
-def path_ratios(blocks: list[Block]) -> dict[tuple[str, bool], tuple[float, float]]:
+def path_ratios(page: Page, blocks: list[Block], marked: list[bool]) -> dict[tuple[int, bool], tuple[float, float]]:
     """Mass and fused ratio of every path, in marked elements and out of them.
 
     The mass is the text's length; the ratio the mean length (of a block up to
     ``PROSE``), more for punctuation, less for links.  Marks lower both.
     """
-    sums: dict[tuple[str, bool], list[int]] = {}
+    sums: dict[tuple[int, bool], list[int]] = {}
     for b in blocks:
-        s = sums.setdefault((b.element.path, bool(b.element.marks)), [0, 0, 0, 0, 0])
+        s = sums.setdefault((page.path_of(b), marked[b.element]), [0, 0, 0, 0, 0])
         size = len(b.text)
         for i, v in enumerate((1, size, min(size, PROSE), len(PUNCTUATION.findall(b.text)), min(b.link, size))):
             s[i] += v
-    return {(p, marked): (size * (MARK_FACTOR if marked else 1), held / n * (1 + 100 * min(dots / size, MOST_DOTS))
-                          * (1 - linked / size) * (MARK_FACTOR if marked else 1))
-            for (p, marked), (n, size, held, dots, linked) in sums.items()}
+    return {(p, m): (size * (MARK_FACTOR if m else 1), held / n * (1 + 100 * min(dots / size, MOST_DOTS))
+                     * (1 - linked / size) * (MARK_FACTOR if m else 1))
+            for (p, m), (n, size, held, dots, linked) in sums.items()}
 
 
-def low_ratio(ratios: dict[tuple[str, bool], tuple[float, float]]) -> float:
+def low_ratio(ratios: dict[tuple[int, bool], tuple[float, float]]) -> float:
     """The ratio below which a path tells nothing of the article."""
     return LOW_RATIO * sum(mass * r for mass, r in ratios.values()) / sum(mass for mass, _ in ratios.values())
 
 
-def containers(path: str) -> list[str]:
-    steps = path.split("/")
-    return ["/".join(steps[:i]) for i in range(2, len(steps))]
-
-
-def article_container(ratios: dict[tuple[str, bool], tuple[float, float]]) -> str:
-    """The outermost article or main element with most of the page's text, or the deepest container with nearly all.
+def article_container(page: Page, ratios: dict[tuple[int, bool], tuple[float, float]]) -> int:
+    """The path of the article: the outermost article or main with most of the text, or the deepest container with nearly all.
 
     A container is left only for one within it that holds nearly all of its
     text, by plain length, and only if no heading and nothing like a paragraph is left behind.
     """
-    below: dict[str, float] = {}
-    total = 0.0
-    for (path, _), (size, _) in ratios.items():
-        total += size
-        for c in [*containers(path), path]:
-            below[c] = below.get(c, 0.0) + size
-    named = [c for c, size in below.items() if c.rsplit("/", 1)[-1] in ("article", "main") and size >= DOMINANT * total]
-    top = min(named, key=lambda c: (c.count("/"), -below[c]), default="")
-    low = low_ratio(ratios)
-    within: dict[str, list[str]] = {}
-    for c in below:
-        if c.rsplit("/", 1)[-1] in CONTAINERS:
-            within.setdefault(c.rpartition("/")[0], []).append(c)
-
-    def loses(up: str, down: str) -> bool:
-        return any((p == up or p.startswith(up + "/")) and p != down and not p.startswith(down + "/")
-                   and (r >= low or not marked and p.rsplit("/", 1)[-1] in HEADINGS) for (p, marked), (_, r) in ratios.items())
-
-    while named and top.endswith("/main"):
-        inner = [c for c in named if c.startswith(top + "/") and below[c] >= NEARLY_ALL * below[top] and not loses(top, c)]
-        if not inner:
-            return top
-        top = max(inner, key=below.get)
-    while not named:
-        inner = [c for c in within.get(top, []) if below[c] >= NEARLY_ALL * (below[top] if top else total)]
-        if not inner or top.rsplit("/", 1)[-1] not in ("", "html") and loses(top, inner[0]):
-            return top
-        top = inner[0]
+    low, tag = low_ratio(ratios), page.path_tag
+    mass, telling = [0.0] * len(tag), [0] * len(tag)
+    for (p, marked), (size, r) in ratios.items():
+        mass[p] += size
+        telling[p] += r >= low or not marked and tag[p] in HEADINGS
+    below, telling = summed_up(mass, page.path_parent), summed_up(telling, page.path_parent)
+    inner: dict[int, int] = {}      # of each path the one within it that holds nearly all of its text
+    for p in range(len(tag) - 1, 0, -1):
+        up = page.path_parent[p]
+        if below[p] > 0 and below[p] >= NEARLY_ALL * below[up]:
+            inner[up] = p
+    named = [p for p in range(1, len(tag)) if tag[p] in ("article", "main") and below[p] >= DOMINANT * below[0]]
+    if named:
+        top = at = min(named, key=lambda p: (page.path_depth[p], -below[p]))
+        among = set(named)
+        while tag[top] == "main" and at in inner:
+            at = inner[at]
+            if below[at] < NEARLY_ALL * below[top] or telling[at] < telling[top]:
+                break
+            if at in among:
+                top = at
+        return top
+    top = 0
+    while top in inner and tag[inner[top]] in CONTAINERS:
+        if tag[top] not in ("", "html") and telling[inner[top]] < telling[top]:
+            break
+        top = inner[top]
     return top
 
 
-def article_range(blocks: list[Block], high: list[bool]) -> tuple[int, int]:
+def article_range(page: Page, blocks: list[Block], high: list[bool]) -> tuple[int, int]:
     """First and last block of an article that lies straight in the body, by its paths of high ratio.
 
     The last h1 before them begins it; headings, lists, cells and quotes next to
     them belong to it, but not those of links nor a heading that nothing follows.
     """
     first, last = high.index(True), len(high) - 1 - high[::-1].index(True)
+    in_heading = at_or_above([t in HEADINGS for t in page.path_tag], page.path_parent)
+    in_prolonging = at_or_above([t in PROLONGS for t in page.path_tag], page.path_parent)
 
     def prolongs(b: Block) -> bool:
-        return not PROLONGS.isdisjoint(b.element.path.split("/")) and b.link < MOSTLY_LINKS * len(b.text)
+        return in_prolonging[page.path_of(b)] and b.link < MOSTLY_LINKS * len(b.text)
 
     at = last + 1
     while at < len(blocks) and prolongs(blocks[at]):
-        if HEADINGS.isdisjoint(blocks[at].element.path.split("/")):
+        if not in_heading[page.path_of(blocks[at])]:
             last = at
         at += 1
     while first and prolongs(blocks[first - 1]):
         first -= 1
-    h1 = [i for i, b in enumerate(blocks) if b.element.path.endswith("/h1")]
+    h1 = [i for i, b in enumerate(blocks) if page.path_tag[page.path_of(b)] == "h1"]
     if not any(first <= i <= last for i in h1):
         first = max((i for i in h1 if i < first), default=first)
     return first, last
 
 
 def main_text(html: str) -> str:
-    """The article's blocks, joined by newlines."""
-    blocks = [b for b in read_blocks(html) if not b.element.barred]
+    """The article's blocks, joined by newlines; time and memory grow with the page's length."""
+    page = read_page(html)
+    blocks = [b for b in page.blocks if not page.barred[b.element]]
     if not blocks:
         return ""
-    top = article_container(path_ratios(blocks))
-    blocks = without_void_marks([b for b in blocks if b.element.path == top or b.element.path.startswith(top + "/")])
-    ratios = path_ratios(blocks)
+    any_mark = at_or_above([mark != "" for mark in page.mark], page.parent)
+    top = article_container(page, path_ratios(page, blocks, any_mark))
+    inside = at_or_above([p == top for p in range(len(page.path_tag))], page.path_parent)
+    blocks = [b for b in blocks if inside[page.path_of(b)]]
+    marked = marked_elements(page, blocks)
+    ratios = path_ratios(page, blocks, marked)
     low = low_ratio(ratios)
-    high = [ratios[b.element.path, bool(b.element.marks)][1] >= low for b in blocks]
+    high = [ratios[page.path_of(b), marked[b.element]][1] >= low for b in blocks]
     # what is marked stays only with a high ratio of its own
-    kept = [(b, h) for b, h in zip(blocks, high, strict=True) if h or not b.element.marks]
+    kept = [(b, h) for b, h in zip(blocks, high, strict=True) if h or not marked[b.element]]
     blocks, high = [b for b, _ in kept], [h for _, h in kept]
-    if top.rsplit("/", 1)[-1] in ("", "html", "body"):
-        first, last = article_range(blocks, high)
+    if page.path_tag[top] in ("", "html", "body"):
+        first, last = article_range(page, blocks, high)
         blocks = blocks[first:last + 1]
     return "\n".join(b.text for b in blocks)
 

@@ -583,6 +583,62 @@ def test_html_listed_words_do_not_decide_alone():
             assert html_paths.main_text(page) == f"{PARAGRAPH}\n{PARAGRAPH}", page
 
 
+# Class names of what is not the article, as page templates have them
+TEMPLATE_NAMES = """comments-area comment-list user-comments post-comments comment-body comments site-footer main-nav
+    left-sidebar ad-slot ad-container site-notice sidebar-primary related-posts cookie-notice newsletter-signup""".split()
+
+
+@pytest.mark.parametrize("name", TEMPLATE_NAMES)
+def test_html_class_names_of_templates(name):
+    """A block of 300 characters goes, inside the article and beside it, before and after its paragraphs."""
+    block = f"<div class='{name} x'><p>{(SENTENCE * 4)[:300].strip()}</p></div>"
+    paragraphs = f"<h1>T</h1><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p>"
+    want = f"T\n{PARAGRAPH}\n{PARAGRAPH}"
+    for page in (f"<article>{paragraphs}{block}</article>", f"<article>{block}{paragraphs}</article>",
+                 f"<div class=content>{paragraphs}</div>{block}", f"{block}<div class=content>{paragraphs}</div>",
+                 f"<body><div class='content has-sidebar no-ads'>{paragraphs}{block}</div></body>"):
+        assert html_paths.main_text(page) == want, page
+
+
+def test_html_long_comments_are_not_the_article():
+    comments = f"<div class=comment-list>{f'<div class=comment-body><p>{PARAGRAPH} I disagree!</p></div>' * 4}</div>"
+    for around in ("<article>{}</article>", "<body>{}</body>", "<body><div class=page>{}</div></body>"):
+        page = around.format(f"<h1>T</h1><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p>{comments}")
+        assert html_paths.main_text(page) == f"T\n{PARAGRAPH}\n{PARAGRAPH}"
+    for names in ("entry-header", "article-header", "widget-text"):
+        page = f"<article><div class={names}><h1>T</h1></div><p>{PARAGRAPH}</p></article>"
+        assert html_paths.main_text(page) == f"T\n{PARAGRAPH}"
+
+
+def test_html_broken_tags():
+    p = PARAGRAPH
+    assert html_paths.main_text(f"<p title=it's>{p}</p><p>{p}") == f"{p}\n{p}"
+    assert html_paths.main_text(f"<p><a href=\"x>{p}</a></p>") == p
+    assert html_paths.main_text(f"<p>{p}</p><!--><p>{p}</p><a hre") == f"{p}\n{p}"
+    assert html_paths.main_text(f"<p title='a > b'>{p}</p>") == p
+
+
+@pytest.mark.parametrize("piece,n", [("<a", 50_000), ("<a href=x ", 50_000), ("<a href='x ", 50_000), ("<a x=\"'", 50_000),
+                                     ("<div>x", 20_000), ("<font>x", 20_000), ("<div class=ad>x", 20_000), ("<main>x", 20_000),
+                                     ("<div><li>x</li>", 20_000), ("<span><blockquote>x", 20_000), ("</p x", 50_000),
+                                     ("<p>x</p><!-- ", 20_000), ("<![CDATA[", 20_000), ("<script>", 20_000), ("&#", 50_000)])
+def test_html_takes_time_and_memory_in_proportion(piece, n):
+    import time
+    import tracemalloc
+
+    def seconds(times):
+        start = time.process_time()
+        html_paths.main_text(f"<p>{PARAGRAPH}</p>" + piece * times)
+        return time.process_time() - start
+
+    assert seconds(n) < 2
+    tracemalloc.start()
+    html_paths.main_text(piece * n)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200 << 20
+
+
 # -- pipeline -----------------------------------------------------------------------------------------------------
 
 def test_pipeline(spark, odd):
