@@ -39,6 +39,7 @@ class Rule(NamedTuple):
     flags: int = re.ASCII
     checked_group: int = 0   # this group of a match must have
     least: int = 0           # so many characters, or the match is dropped
+    once_a_run: str = ""     # characters of a class: of a run of them only the pattern's first start can match
 
 
 # The rules whose spans are always reported, in the order that settles ties.
@@ -53,7 +54,7 @@ MORE_RULES = (
     Rule("private_key", r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----"),
     Rule("forge_token", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
-    Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
+    Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", once_a_run="A-Za-z0-9_-"),
 )
 RULES = BASE_RULES + MORE_RULES
 
@@ -204,6 +205,8 @@ def compiled(rule: Rule) -> re.Pattern:
 
 
 def matches(rule: Rule, pattern: re.Pattern, text: str) -> list[tuple[int, int]]:
+    if rule.once_a_run:
+        return matches_once_a_run(rule, pattern, text)
     out = []
     for m in pattern.finditer(text):
         a, b = m.span(rule.checked_group)
@@ -212,6 +215,23 @@ def matches(rule: Rule, pattern: re.Pattern, text: str) -> list[tuple[int, int]]
     return out
 
 
+def matches_once_a_run(rule: Rule, pattern: re.Pattern, text: str) -> list[tuple[int, int]]:
+    """Matches of a pattern whose literal head is followed by a greedy run of the rule's class.
+
+    The run ends at the same place whatever head in it a match starts at, and a
+    later start leaves fewer characters, so after the first head has failed the
+    search goes on behind the run: each run is read once.
+    """
+    head, run, at, out = pattern.pattern.partition("[")[0], re.compile(f"[{rule.once_a_run}]*+"), 0, []
+    while (start := text.find(head, at)) >= 0:
+        if m := pattern.match(text, start):
+            out.append(m.span())
+            at = max(m.end(), start + 1)
+        else:
+            at = run.match(text, start).end()
+    return out
+
+
 def scan(column: pa.Array, rules: tuple[Rule, ...], queries: list, wanted: np.ndarray,
          patterns: list[re.Pattern]) -> list[list[tuple[int, int, int]]]:
     """(start, rule number, end) of every secret of each document, in order."""
