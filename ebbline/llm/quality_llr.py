@@ -7,8 +7,8 @@ over its n-grams of log p_trusted - log p_raw, divided by their number, and a
 fixed threshold decides for every document.
 
 Raw counts are taken over all documents and every n-gram; trusted ones over
-the documents named as trusted (in the query, a bounded sample of rows labelled
-as good).  Both tables have ``BUCKETS`` entries, whatever the corpus.
+all documents named as trusted (in the query, every row labelled as good).
+Both tables have ``BUCKETS`` entries, whatever the corpus.
 
 Defined cases: a null or empty text has no words and fails the base rules;
 without trusted documents both multinomials are the corpus', so every ratio is
@@ -21,10 +21,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stratified_sample
-
 BUCKETS = 8192
-TRUSTED = 4000            # bound of the trusted sample: about so many documents
+BROADCAST_IDS = 1_000_000   # ids of 8 bytes up to which the trusted ones are sent to all tasks; more are shuffled
 THRESHOLD = -0.05         # of the mean log-likelihood ratio; good rows lie around 0, junk mostly far below
 SMOOTHING = 1.0           # added to every bucket's count
 LEAST_WORDS, MOST_REPEATED = 50, 50
@@ -87,12 +85,14 @@ def base_columns(docs: DataFrame) -> DataFrame:
 def ratios(docs: DataFrame, trusted_ids: DataFrame) -> list[float]:
     """log p_trusted - log p_raw of every bucket.
 
-    One scan counts both: ``trusted_ids`` (a bounded table of doc_id) is
-    broadcast, every n-gram of every document is counted before the shuffle.
+    One scan counts both: the trusted ids are broadcast if they are counted to be
+    at most ``BROADCAST_IDS``, else a hash join brings them to the documents.
+    Every n-gram of every document is counted before the counts are shuffled.
     """
     mark = trusted_ids.select(F.col("doc_id").alias("_w_id")).distinct().withColumn("_w_good", F.lit(1))
-    rows = (docs.select("doc_id", words_of().alias("_w_words"))
-            .join(F.broadcast(mark), F.col("doc_id") == F.col("_w_id"), "left")
+    mark = F.broadcast(mark) if trusted_ids.count() <= BROADCAST_IDS else mark.hint("shuffle_hash")
+    rows = (docs.select("doc_id", "text").join(mark, F.col("doc_id") == F.col("_w_id"), "left")
+            .withColumn("_w_words", words_of())
             .select(F.coalesce("_w_good", F.lit(0)).alias("good"), F.explode(ngram_buckets()).alias("b")))
     counts = rows.groupBy("b").agg(F.count(F.lit(1)).alias("n"), F.sum("good").alias("good")).collect()  # BUCKETS rows
     n, good = [SMOOTHING] * BUCKETS, [SMOOTHING] * BUCKETS
@@ -121,13 +121,12 @@ def judged(docs: DataFrame, trusted_ids: DataFrame, threshold: float = THRESHOLD
     return df.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold)).drop("_w_words")
 
 
-def trusted_sample(labels: DataFrame, bound: int = TRUSTED) -> DataFrame:
-    """doc_id of a bounded sample of the rows labelled as good."""
-    good = labels.filter(F.col("quality") == 1).select("doc_id", "quality")
-    return stratified_sample(good, "quality", "doc_id", bound, 2 * bound).select("doc_id")
+def trusted(labels: DataFrame) -> DataFrame:
+    """doc_id of all rows labelled as good."""
+    return labels.filter(F.col("quality") == 1).select("doc_id")
 
 
 def query(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, the base columns, kept and llr of every document."""
-    return judged(docs.select("doc_id", "text"), trusted_sample(labels)).select(
+    return judged(docs.select("doc_id", "text"), trusted(labels)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "llr")

@@ -142,7 +142,7 @@ def base_rules(text):
 
 def test_quality_rules(spark, odd, labels):
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
-    out = quality_llr.judged(odd, quality_llr.trusted_sample(labels))
+    out = quality_llr.judged(odd, quality_llr.trusted(labels))
     for r in out.collect():
         assert tuple(r[n] for n in names) == base_rules(r["text"]), r["text"]
         assert r["kept"] == (not r["base_failed"] and r["llr"] >= quality_llr.THRESHOLD)
@@ -156,7 +156,9 @@ def test_quality_rules(spark, odd, labels):
     assert quality_llr.query(make(spark, []), labels).collect() == []
 
 
-def test_ratio_by_brute_force(spark):
+@pytest.mark.parametrize("most_ids", [quality_llr.BROADCAST_IDS, 1])
+def test_ratio_by_brute_force(spark, monkeypatch, most_ids):
+    monkeypatch.setattr(quality_llr, "BROADCAST_IDS", most_ids)
     texts = ["a b c", "a a b", "d e", "c"]
     docs = make(spark, texts)
     trusted = docs.filter("doc_id in (0, 2)").select("doc_id")
@@ -168,6 +170,7 @@ def test_ratio_by_brute_force(spark):
         assert len(bs) == 2 * len(texts[d].split()) - 1
         np.add.at(raw, bs, 1)
         np.add.at(good, bs, 1 if d in (0, 2) else 0)
+    assert quality_llr.trusted(spark.createDataFrame([(0, 1), (1, 0), (2, 1), (3, None)], "doc_id long, quality int")).count() == 2
     table_ = np.log(good / good.sum()) - np.log(raw / raw.sum())
     for r in quality_llr.judged(docs, trusted).collect():
         assert abs(r["llr"] - table_[buckets[r["doc_id"]]].mean()) < 1e-9
@@ -482,6 +485,20 @@ def test_secrets(spark, odd):
     assert secret_index.query(make(spark, [])).collect() == []
 
 
+def test_web_tokens_in_linear_time():
+    import time
+    rule = next(r for r in secret_index.RULES if r.kind == "web_token")
+    rng, pattern = random.Random(5), secret_index.compiled(rule)
+    bits = ["eyJ", "a" * 8, "b", ".", ".eyJ", "eyJabcdefgh", " ", "é", "-_"]
+    for _ in range(3000):
+        t = "".join(rng.choice(bits) for _ in range(rng.randint(1, 20)))
+        assert secret_index.matches(rule, pattern, t) == [m.span() for m in re.finditer(rule.pattern, t)], t
+    for t in ("eyJ" * 350_000, ".eyJabcdefgh" * 90_000 + "!", ("eyJ" * 1000 + " ") * 350):
+        start = time.process_time()
+        secret_index.matches(rule, pattern, t)
+        assert time.process_time() - start < 2
+
+
 def test_trigram_queries_hold_for_every_match():
     for rule in secret_index.RULES:
         q = secret_index.trigram_query(rule)
