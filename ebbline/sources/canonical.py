@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..session import shared_path
+from . import versions
 
 
 def _fs(spark: SparkSession, path: str):
@@ -54,7 +55,9 @@ def _fingerprint(spark: SparkSession, paths: list[str]) -> str:
 
 
 def write_events(df: DataFrame, path: str, num_partitions: int | None = None, granularity: str = "day") -> None:
-    """Write canonical events partitioned by ``event_date`` (atomic: temp + rename).
+    """Write canonical events partitioned by ``event_date`` to a new path (atomic: temp + rename).
+
+    A table that is there already is not touched: ``publish_events`` writes another version of it.
 
     ``granularity`` 'day' stores the event's date, 'month' the first day of
     its month (for sparse logs, so partitions do not shrink to a few rows).
@@ -68,6 +71,8 @@ def write_events(df: DataFrame, path: str, num_partitions: int | None = None, gr
     ``num_partitions`` is accepted for callers that pin the file count.
     """
     spark = df.sparkSession
+    if path_exists(spark, path):
+        raise FileExistsError(f"{path} is there; publish_events writes another version of a table")
     tmp = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
     part = F.to_date("ts") if granularity == "day" else F.trunc(F.to_date("ts"), "month")
     out = df.select(*S.EVENT_SCHEMA.fieldNames()).withColumn("event_date", part)
@@ -76,15 +81,22 @@ def write_events(df: DataFrame, path: str, num_partitions: int | None = None, gr
         .write.mode("overwrite").partitionBy("event_date").parquet(tmp))
     fs, src = _fs(spark, tmp)
     _, dst = _fs(spark, path)
-    if fs.exists(dst):
-        fs.delete(dst, True)
+    if fs.exists(dst):      # another writer was faster
+        fs.delete(src, True)
+        raise FileExistsError(path)
     if not fs.rename(src, dst):
         raise OSError(f"could not move {tmp} to {path}")
 
 
+def publish_events(df: DataFrame, path: str, granularity: str = "day") -> str:
+    """Write the table anew as its next version; readers of an older one keep it.  The version's folder."""
+    return versions.publish(df.sparkSession, path, lambda folder: write_events(df, folder, granularity=granularity))
+
+
 def read_events(spark: SparkSession, path: str) -> DataFrame:
-    """Canonical events; ``event_date`` stays available for partition pruning."""
-    return spark.read.parquet(path).select(*S.EVENT_SCHEMA.fieldNames(), "event_date")
+    """Canonical events of the newest version; ``event_date`` stays available for partition pruning."""
+    version = versions.current(spark, path)
+    return spark.read.parquet(version["folder"] if version else path).select(*S.EVENT_SCHEMA.fieldNames(), "event_date")
 
 
 def ensure_canonical(spark: SparkSession, inputs: list[str], build, name: str, granularity: str = "day") -> str:
@@ -93,7 +105,10 @@ def ensure_canonical(spark: SparkSession, inputs: list[str], build, name: str, g
     key = _fingerprint(spark, inputs)
     path = shared_path(spark, f"canonical/{name}-{key}")
     if not path_exists(spark, path):
-        write_events(build(), path, granularity=granularity)
+        try:
+            write_events(build(), path, granularity=granularity)
+        except FileExistsError:     # written meanwhile from the same inputs
+            pass
     return path
 
 

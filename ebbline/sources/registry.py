@@ -1,7 +1,7 @@
 """Model registry and append-only logs (S2-S8) as tables.
 
 Every log is an append-only parquet table; "keep the last N" is retention
-on read (a top-k), never a rewrite.  Nested payloads (triggers, results)
+on read (a top-k), never a rewrite.  ``compact`` gathers a log's small files in a version beside it.  Nested payloads (triggers, results)
 are stored as JSON strings via ``to_json``.
 """
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import versions
 from .canonical import path_exists
 
 REGISTRY_SCHEMA = T.StructType([
@@ -38,11 +39,22 @@ RETRAIN_LOG_SCHEMA = "timestamp timestamp, event_type string, details string"
 def _read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
     """Read a log table; an absent one is empty, and so is each corrupt file
     (the reader skips it when the rows are read, not only when it is opened)."""
+    if versions.manifests(spark, path):
+        return _read(spark, versions.log_paths(spark, path), schema)
     if path_exists(spark, path):
-        return spark.read.option("ignoreCorruptFiles", "true").schema(schema).parquet(path)
+        return _read(spark, [path], schema)
     return spark.createDataFrame([], schema)
 
 
+def _read(spark: SparkSession, paths: list[str], schema) -> DataFrame:
+    return spark.read.option("ignoreCorruptFiles", "true").schema(schema).parquet(*paths)
+
+
+def compact(spark: SparkSession, path: str, schema) -> None:
+    """Gather the files of a log in one version; readers and appends go on meanwhile."""
+    versions.compact_log(spark, path, lambda paths: _read(spark, paths, schema))
+
+
 def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
