@@ -60,7 +60,7 @@ def activity_events(events: DataFrame, customer: DataFrame,
         "event_id", "user_id", ts.alias("ts"), k.alias("_k"), F.col("value"), page.alias("page"))
     base = (base.withColumn("level", level)
                 .withColumn("registration", reg))
-    sess = gap_session_seq(base, key="user_id", ts="ts", tie="event_id", gap_seconds=gap_seconds)
+    sess = gap_session_seq(base, key="user_id", ts="ts", gap_seconds=gap_seconds)
     song = F.col("page") == "NextSong"
     out = sess.join(_customer_location(customer), F.col("user_id") == F.col("_ck"), "left")
     return out.select(
