@@ -2,9 +2,9 @@
 
 Plan shape (no per-user loop, no multi-distinct Expand):
 
-* ``base`` = events up to the cutoff, each with its reference time ``cref``
-  (the cutoff literal, or the user's own max ts - W4, an aggregate joined
-  back);
+* ``base`` = events up to the cutoff with the reference time ``cref`` as a
+  literal; without a cutoff the reference is the user's own max ts (W4), which
+  is read off the fine grain, so the events are not joined with it;
 * ONE pass over the events: partial aggregates per fine key
   (userId, date, sessionId, page, level) - counts, min/max ts, first/last
   row structs, song length sums, recent-window counts;
@@ -23,8 +23,12 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions import add_days, days_between_floor, first_value_struct, greatest1, location_state, minutes_between
 from ..session import staged
+from .bits import bit_table, maybe_in
 from .prep import contains_downgrade, drop_unlabelled, temporal_cutoff
 
+WINDOW_DAYS = sorted(set(S.RECENT_WINDOWS) | set(S.DECLINE_WINDOWS))
+
+
 def _song() -> F.Column:
     return F.col("page") == "NextSong"
 
@@ -41,12 +45,32 @@ def user_max_broadcast(df: DataFrame, out: str = "cref") -> DataFrame:
     return df.join(m, "userId")
 
 
-def with_reference_time(df: DataFrame, cutoff=None) -> DataFrame:
-    cut = temporal_cutoff(df, cutoff)
-    if cutoff is not None:
-        return cut.withColumn("cref", F.lit(cutoff).cast("timestamp"))
-    return user_max_broadcast(cut)
+def recent_counts(rows: DataFrame, per_day: DataFrame, ref: DataFrame, windows, prefix: str) -> DataFrame:
+    """Per user, how many of ``rows`` (userId, date, t) have t >= cref - n days, for every n of ``windows``.
 
+    ``per_day`` has (userId, date, c, lo, hi): count, least and greatest t of
+    each day of ``rows``; ``ref`` has (userId, cref).  A day whose least t is
+    in the window counts whole, one whose greatest is not counts nothing.  Only
+    days that the window's begin cuts in two (at most one a user and window)
+    need their rows: a bit table of these (user, date) pairs lets few others
+    through, and what it lets through is joined with the pairs.  A table that
+    fills up (tens of millions of pairs) lets more narrow rows into the
+    exchange and never changes a count.
+    """
+    days = per_day.join(ref, "userId")
+    whole = days.groupBy("userId").agg(
+        *[F.coalesce(F.sum(F.when(F.col("lo") >= _back(n), F.col("c"))), F.lit(0)).alias(f"_w{n}") for n in windows])
+    cut = (days.select("userId", "date", "lo", "hi", F.explode(F.array(
+        *[F.struct(F.lit(n).alias("n"), _back(n).alias("begin")) for n in windows])).alias("w"))
+        .select("userId", "date", "lo", "hi", "w.n", "w.begin").filter("lo < begin AND begin <= hi")
+        .select("userId", "date", "n", "begin"))
+    pair = F.xxhash64("userId", "date").alias("_pair")
+    likely = (maybe_in(rows.withColumn("_pair", pair), bit_table(cut.select(pair), "_pair"), "_pair", "_hit")
+              .filter("_hit").select("userId", "date", "t"))
+    part = (likely.join(cut, ["userId", "date"]).filter("t >= begin").groupBy("userId")
+            .agg(*[F.count_if(F.col("n") == n).alias(f"_p{n}") for n in windows]))
+    return whole.join(part, "userId", "left").select(
+        "userId", *[(F.col(f"_w{n}") + F.coalesce(f"_p{n}", F.lit(0))).alias(f"{prefix}{n}") for n in windows])
 
 
 # fine grain: the one pass over the events ------------------------------------------
@@ -63,13 +87,13 @@ def _fine_grain(base: DataFrame) -> DataFrame:
     """
     d = base.withColumn("date", F.to_date("ts"))
     aggs = [F.count(F.lit(1)).alias("c"), F.min("ts").alias("tmin"), F.max("ts").alias("tmax"),
-            F.max("cref").alias("cref"),
             first_value_struct(None, "registration", "gender", "location").alias("first_row"),
             F.min(F.struct(F.col("ts").alias("o_ts"), F.col("event_id").alias("o_id"))).alias("first_key"),
             F.max(F.struct(F.col("ts").alias("o_ts"), F.col("event_id").alias("o_id"))).alias("last_key"),
             F.sum("length").alias("len_sum"), F.count("length").alias("len_cnt")]
-    for n in sorted(set(S.RECENT_WINDOWS) | set(S.DECLINE_WINDOWS)):
-        aggs.append(F.count_if(F.col("ts") >= _back(n)).alias(f"_e{n}"))
+    if "cref" in d.columns:
+        aggs.append(F.max("cref").alias("cref"))
+        aggs += [F.count_if(F.col("ts") >= _back(n)).alias(f"_e{n}") for n in WINDOW_DAYS]
     return d.groupBy(*FINE_KEYS).agg(*aggs)
 
 
@@ -77,13 +101,13 @@ def _user_grain(fine: DataFrame) -> DataFrame:
     page, level, c = F.col("page"), F.col("level"), F.col("c")
     paid, free, dg = level == "paid", level == "free", contains_downgrade()
     aggs = [
-        F.max("cref").alias("cref"),
+        F.max("cref" if "cref" in fine.columns else "tmax").alias("cref"),
         F.min("tmin").alias("first_ts"), F.max("tmax").alias("last_ts"),
         F.sum("c").alias("n"),
         F.min("first_row").alias("first_row"),
         F.max(F.struct(F.col("last_key").alias("k"), level.alias("level"))).alias("last_row"),
     ]
-    aggs += [F.sum(f"_e{n}").alias(f"_e{n}") for n in sorted(set(S.RECENT_WINDOWS) | set(S.DECLINE_WINDOWS))]
+    aggs += [F.sum(f"_e{n}").alias(f"_e{n}") for n in WINDOW_DAYS if f"_e{n}" in fine.columns]
     aggs += [F.coalesce(F.sum(F.when(page == p, c)), F.lit(0)).alias(name) for name, p in S.PAGE_COUNT_FEATURES]
     song = page == "NextSong"
     aggs += [
@@ -103,19 +127,23 @@ def _user_grain(fine: DataFrame) -> DataFrame:
     return fine.groupBy("userId").agg(*aggs)
 
 
-def _session_grain(fine: DataFrame) -> DataFrame:
-    ses = (fine.filter(F.col("sessionId").isNotNull())
-               .groupBy("userId", "sessionId")
-               .agg(F.min("tmin").alias("smin"), F.max("tmax").alias("smax"),
-                    F.sum(F.when(F.col("page") == "NextSong", F.col("c")).otherwise(0)).alias("ssongs"),
-                    F.max("cref").alias("cref")))
+def _sessions(fine: DataFrame) -> DataFrame:
+    ref = [F.max("cref").alias("cref")] if "cref" in fine.columns else []
+    return (fine.filter(F.col("sessionId").isNotNull())
+                .groupBy("userId", "sessionId")
+                .agg(F.min("tmin").alias("smin"), F.max("tmax").alias("smax"),
+                     F.sum(F.when(F.col("page") == "NextSong", F.col("c")).otherwise(0)).alias("ssongs"), *ref))
+
+
+def _session_grain(ses: DataFrame) -> DataFrame:
     dur = minutes_between("smin", "smax")
     aggs = [F.count(F.lit(1)).alias("unique_sessions"),
             F.avg(dur).alias("avg_session_duration"),
             F.avg("ssongs").cast("double").alias("avg_songs_per_session"),
             F.max(dur).alias("max_session_duration"),
             F.coalesce(F.stddev_samp(dur), F.lit(0.0)).alias("session_duration_std")]
-    aggs += [F.count_if(F.col("smax") >= _back(n)).alias(f"sessions_last_{n}d") for n in S.RECENT_WINDOWS]
+    if "cref" in ses.columns:
+        aggs += [F.count_if(F.col("smax") >= _back(n)).alias(f"sessions_last_{n}d") for n in S.RECENT_WINDOWS]
     return ses.groupBy("userId").agg(*aggs)
 
 
@@ -123,9 +151,12 @@ def _day_grain(fine: DataFrame, window_days: int = S.TREND_WINDOW_DAYS) -> DataF
     day = (fine.groupBy("userId", "date")
                .agg(F.sum("c").alias("de"), F.count_distinct("sessionId").alias("ds"),
                     F.sum(F.when(F.col("page") == "NextSong", F.col("c")).otherwise(0)).alias("dsg"),
-                    F.max("tmax").alias("dmax"), F.max("cref").alias("cref")))
+                    F.max("tmax").alias("dmax"),
+                    *([F.max("cref").alias("cref")] if "cref" in fine.columns else [])))
     # rows per user = active days (bounded by the calendar, not by the data volume)
     w = W.partitionBy("userId")
+    if "cref" not in fine.columns:
+        day = day.withColumn("cref", F.max("dmax").over(w))
     day = (day.withColumn("rn", F.row_number().over(w.orderBy(F.col("date").desc())))
               .withColumn("nd", F.count(F.lit(1)).over(w)))
     recent = F.col("rn") <= window_days
@@ -204,6 +235,19 @@ def _user_features(u: DataFrame) -> DataFrame:
     return u.select(*keep, *[c.alias(k) for k, c in cols.items()])
 
 
+def _own_reference(base: DataFrame, fine: DataFrame, sessions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """User and session grains where each user's own last event is the reference."""
+    ref = fine.groupBy("userId").agg(F.max("tmax").alias("cref"))
+    per_day = fine.groupBy("userId", "date").agg(F.sum("c").alias("c"), F.min("tmin").alias("lo"), F.max("tmax").alias("hi"))
+    events = base.select("userId", F.to_date("ts").alias("date"), F.col("ts").alias("t"))
+    u = _user_grain(fine).join(recent_counts(events, per_day, ref, WINDOW_DAYS, "_e"), "userId", "left")
+    ends = sessions.select("userId", F.to_date("smax").alias("date"), F.col("smax").alias("t"))
+    ended = ends.groupBy("userId", "date").agg(F.count(F.lit(1)).alias("c"), F.min("t").alias("lo"), F.max("t").alias("hi"))
+    last = recent_counts(ends, ended, ref, S.RECENT_WINDOWS, "_s")
+    ses = _session_grain(sessions).join(last, "userId", "left")
+    return u, ses.withColumnsRenamed({f"_s{n}": f"sessions_last_{n}d" for n in S.RECENT_WINDOWS})
+
+
 # X13 ---------------------------------------------------------------------------
 DISTINCT_FEATURES = ("unique_artists", "unique_songs", "artist_diversity", "song_diversity")
 
@@ -223,11 +267,18 @@ def feature_matrix(events: DataFrame, cutoff=None, materialize: bool = True, fea
     distinct artists and songs are counted only if one of them needs it.
     """
     wanted = list(features) if features is not None else S.NUMERIC_FEATURES
-    fine = _fine_grain(with_reference_time(events, cutoff))
+    base = temporal_cutoff(events, cutoff)
+    if cutoff is not None:
+        base = base.withColumn("cref", F.lit(cutoff).cast("timestamp"))
+    fine = _fine_grain(base)
     if materialize:
         fine = staged(fine)
-    u = _user_features(_user_grain(fine))
-    ses = _session_grain(fine)
+    sessions = _sessions(fine)
+    if cutoff is not None:
+        u, ses = _user_grain(fine), _session_grain(sessions)
+    else:
+        u, ses = _own_reference(base, fine, staged(sessions) if materialize else sessions)
+    u = _user_features(u)
     day = _day_grain(fine)
     users = events.select("userId").distinct()
     m = users.join(u, "userId", "left").join(ses, "userId", "left").join(day, "userId", "left")
