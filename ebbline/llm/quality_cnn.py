@@ -45,7 +45,7 @@ def symbols(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     inside = at < end[:, None]
     if not len(data):
         return np.full(at.shape, PAD)
-    return np.where(inside, data[np.minimum(at, len(data) - 1)], PAD)
+    return np.where(inside, data[np.minimum(at, len(data) - 1)].astype(np.int16), PAD)    # PAD is no byte
 
 
 def respond(p: dict, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
