@@ -41,7 +41,7 @@ def windows(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def codes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Bytes by position and window (time first), padded at the end."""
     at = np.arange(WINDOW)[:, None] + start
-    return np.where(at < end, data[np.minimum(at, len(data) - 1)], PAD)
+    return np.where(at < end, data[np.minimum(at, len(data) - 1)].astype(np.int16), PAD)    # PAD is no byte
 
 
 def init(rng: np.random.Generator, n: int) -> dict[str, np.ndarray]:
