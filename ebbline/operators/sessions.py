@@ -12,7 +12,8 @@ Summaries are stitched by a tree: runs of ``FAN_OUT`` chunks are numbered on
 their own, and one row per run is ordered per key.  Only the join of the numbers
 with the events is left.  Chunks with a notable share of all events are at most
 ``1 / HOT_SHARE`` many, so these are broadcast and their events stay where they
-are; the others are joined by (key, chunk), and none of them is large.
+are; the others are joined by (key, chunk), and none of them is large.  More than
+``BROADCAST_ROWS`` of them are never broadcast.
 """
 from __future__ import annotations
 
@@ -23,6 +24,7 @@ from ..session import staged
 
 FAN_OUT = 4096          # chunks of a run
 HOT_ROWS = 100_000      # a chunk of fewer events is never hot
+BROADCAST_ROWS = 100_000   # more chunks are joined by merge, however small their file
 HOT_SHARE = 1e-4        # a chunk with more than this share of all events may be; hence at most 10,000 are
 
 
@@ -59,7 +61,8 @@ def stitched(chunks: DataFrame, gap_us: int) -> DataFrame:
 
 
 def gap_session_seq(df: DataFrame, key: str, ts: str = "ts", gap_seconds: int = 6 * 3600,
-                    chunk_seconds: int | None = None, out: str = "session_seq", hot_rows: int = HOT_ROWS) -> DataFrame:
+                    chunk_seconds: int | None = None, out: str = "session_seq", hot_rows: int = HOT_ROWS,
+                    broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Add ``out`` = 1-based session number per ``key``.
 
     A new session starts at a key's first event and whenever more than
@@ -75,10 +78,13 @@ def gap_session_seq(df: DataFrame, key: str, ts: str = "ts", gap_seconds: int =
     is_hot = (F.col("_n") > hot_rows) & (F.col("_n") > F.lit(HOT_SHARE) * total)
     hot = chunks.filter(is_hot).select("_key", "_chunk", "_seq")
     d = df.withColumns({"_key": F.col(key), "_chunk": _chunk(F.unix_micros(F.col(ts)), width_us)})
+    # a file of few bytes may hold millions of chunks: rows decide if a table of them may be sent to every task
+    many = chunks.count() > broadcast_rows
+    sized = lambda c: c.select("_key", "_chunk", "_seq").hint("merge") if many else c.select("_key", "_chunk", "_seq")
     if hot.isEmpty():
-        numbered = d.join(chunks.select("_key", "_chunk", "_seq"), ["_key", "_chunk"], "left")
+        numbered = d.join(sized(chunks), ["_key", "_chunk"], "left")
     else:
-        cold = chunks.filter(~is_hot).select("_key", "_chunk", "_seq")
+        cold = sized(chunks.filter(~is_hot))
         numbered = (d.join(F.broadcast(hot), ["_key", "_chunk"])
                     .unionByName(d.join(F.broadcast(hot), ["_key", "_chunk"], "left_anti")
                                  .join(cold, ["_key", "_chunk"], "left")))
