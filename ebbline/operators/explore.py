@@ -19,7 +19,7 @@ from ..functions import (bin_range, days_between_floor, equal_width_bin, extract
                          minutes_between, weekday_name)
 from ..session import staged
 from .cumulative import exact_quantiles
-from .labels import with_dataset_end
+from .labels import per_level, user_columns, user_groups, with_dataset_end
 from .scalars import attach_scalars, combine_rows
 from .prep import complete_songs, contains_downgrade
 
@@ -81,17 +81,8 @@ def _page_breakdown(df: DataFrame) -> DataFrame:
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("page", "n")))).alias("page_breakdown"))
 
 
-def _first_non_null(c: str) -> F.Column:
-    return first_value_struct(F.col(c).isNotNull(), c)[c]
-
-
 def _user_core(df: DataFrame) -> DataFrame:
-    return df.groupBy("userId").agg(
-        F.min("ts").alias("first_activity"), F.max("ts").alias("last_activity"),
-        F.count(F.lit(1)).alias("total_events"),
-        F.mode("level", deterministic=True).alias("primary_level"),
-        _first_non_null("gender").alias("gender"), _first_non_null("location").alias("location"),
-        _first_non_null("registration").alias("registration"))
+    return per_level(user_groups(df)).groupBy("userId").agg(*user_columns())
 
 
 def _user_sessions(df: DataFrame) -> DataFrame:

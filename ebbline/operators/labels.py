@@ -69,20 +69,43 @@ def inactivity_churn(df: DataFrame, inactivity_days: int = 30) -> DataFrame:
 
 
 # A11 ---------------------------------------------------------------------------
-def _first_non_null(c: str) -> F.Column:
-    return first_value_struct(F.col(c).isNotNull(), c)[c]
+FIRST_SEEN = ("registration", "gender", "location")
+
+
+def user_groups(df: DataFrame, *more: F.Column) -> DataFrame:
+    """Events counted per user, level, registration, gender and location (and ``more``): ``c``, ``lo``, ``hi``, ``key``.
+
+    ``lo`` and ``hi`` are the least and greatest ts, and ``key`` the least
+    (ts, event_id) as one number, nulls first.  All are of fixed width, so
+    events are combined by hash before the exchange: what a task holds grows
+    with its groups, not with its events.  Texts are compared group by group.
+    """
+    whole = lambda n, digits: F.lit(str(n)).cast(f"decimal({digits},0)")
+    at = F.coalesce(F.unix_micros("ts"), F.lit(-(10 ** 17))).cast("decimal(18,0)") * whole(10 ** 20, 21)
+    of = F.coalesce(F.col("event_id").cast("decimal(20,0)") + whole(2 ** 63 + 1, 20), whole(0, 20))
+    return df.groupBy("userId", "level", *FIRST_SEEN, *more).agg(
+        F.count(F.lit(1)).alias("c"), F.min("ts").alias("lo"), F.max("ts").alias("hi"),
+        F.min((at + of).cast("decimal(38,0)")).alias("key"))
+
+
+def per_level(groups: DataFrame, *aggs: F.Column) -> DataFrame:
+    """Groups of :func:`user_groups` combined to one row for each user and level: ``c`` and ``lo``, ``hi``, first values, ``aggs``."""
+    return groups.groupBy("userId", "level").agg(
+        F.sum("c").alias("c"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), *aggs,
+        *[F.min(F.when(F.col(c).isNotNull(), F.struct("key", c))).alias(f"_{c}") for c in FIRST_SEEN])
+
+
+def user_columns() -> list[F.Column]:
+    """First and last activity, total, modal level (ties: smallest) and first values, over rows of :func:`per_level`."""
+    most = F.min(F.when(F.col("level").isNotNull(), F.struct((-F.col("c")).alias("n"), "level")))["level"]
+    return [F.min("lo").alias("first_activity"), F.max("hi").alias("last_activity"), F.sum("c").alias("total_events"),
+            most.alias("primary_level"), *[F.min(f"_{c}")[c].alias(c) for c in FIRST_SEEN]]
 
 
 def user_metadata(df: DataFrame) -> DataFrame:
     """first/last activity, total, modal level (ties: smallest), first non-null
     registration/gender/location, span days, days from registration to last."""
-    m = df.groupBy("userId").agg(
-        F.min("ts").alias("first_activity"), F.max("ts").alias("last_activity"),
-        F.count(F.lit(1)).alias("total_events"),
-        F.mode("level", deterministic=True).alias("primary_level"),
-        _first_non_null("registration").alias("registration"),
-        _first_non_null("gender").alias("gender"),
-        _first_non_null("location").alias("location"))
+    m = per_level(user_groups(df)).groupBy("userId").agg(*user_columns())
     return (m.withColumn("activity_span_days", days_between_floor("last_activity", "first_activity"))
              .withColumn("days_since_registration", days_between_floor("last_activity", "registration")))
 
@@ -101,18 +124,14 @@ def churn_labels(df: DataFrame, inactivity_days: int = 30, explicit_after=None)
     events with the downgrade features.  Default: the reference's whole-log
     label.
     """
-    first_expl = first_value_struct(_explicit(explicit_after), "page")
-    agg = df.groupBy("userId").agg(
-        F.min(F.when(_explicit(explicit_after), F.col("ts"))).alias("explicit_ts"),
-        first_expl["page"].alias("explicit_page"),
-        F.min(F.when(F.col("level") == "paid", F.col("ts"))).alias("first_paid"),
-        F.min(F.when(F.col("level") == "free", F.col("ts"))).alias("first_free"),
-        F.min("ts").alias("first_activity"), F.max("ts").alias("last_activity"),
-        F.count(F.lit(1)).alias("total_events"),
-        F.mode("level", deterministic=True).alias("primary_level"),
-        _first_non_null("registration").alias("registration"),
-        _first_non_null("gender").alias("gender"),
-        _first_non_null("location").alias("location"))
+    groups = user_groups(df, F.when(_explicit(explicit_after), F.col("page")).alias("_explicit"))
+    said = F.col("_explicit").isNotNull()
+    levels = per_level(groups, F.min(F.when(said, F.col("lo"))).alias("_explicit_ts"),
+                       F.min(F.when(said, F.struct("key", "_explicit"))).alias("_explicit"))
+    agg = levels.groupBy("userId").agg(
+        F.min("_explicit_ts").alias("explicit_ts"), F.min("_explicit")["_explicit"].alias("explicit_page"),
+        F.min(F.when(F.col("level") == "paid", F.col("lo"))).alias("first_paid"),
+        F.min(F.when(F.col("level") == "free", F.col("lo"))).alias("first_free"), *user_columns())
     a = with_dataset_end(agg, df)
     idle = days_between_floor("dataset_end", "last_activity")
     sub = (F.col("first_free") > F.col("first_paid")) & (F.col("last_activity") > F.col("first_free")) \
