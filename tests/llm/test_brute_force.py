@@ -1,5 +1,6 @@
 """Scores of the trained models against plain loops over whole texts, and every pipeline stage's rows against brute force."""
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -133,6 +134,20 @@ def test_toxic_rows_are_found(spark):
     assert n[1, 1] >= 0.9 * (n[1, 1] + n[1, 0]) and n[1, 1] >= 0.8 * (n[1, 1] + n[0, 1])
 
 
+
+def test_toxicity_learns_from_every_labelled_row(spark):
+    """More rows of a label than the former sample of 3000: each is fitted on or calibrates, and shards are averaged."""
+    docs = spark.range(9000).selectExpr("id AS doc_id", "concat(if(id % 2 = 0, 'vile filth ', 'kind words '), 'number ', id) AS text")
+    marks = spark.range(9000).selectExpr("id AS doc_id", "CAST(id % 2 = 0 AS INT) AS toxic")
+    rows = toxicity.training_rows(docs, marks, 3, 1)
+    assert rows.count() == sum(zlib.crc32(str(i).encode()) % 3 != 1 for i in range(9000)) and rows.select("ids").distinct().count() > 5000
+    model = toxicity.train(rows, shard_rows=1000)
+    got = toxicity.toxicity_scores(docs.limit(200), model).collect()
+    assert all(r["toxicity_predicted"] == (r["doc_id"] % 2 == 0) for r in got)
+    again = toxicity.train(rows, shard_rows=1000)
+    assert all(np.array_equal(model[k], again[k]) for k in model)
+
+
 # -- 8 ------------------------------------------------------------------------------------------------------------
 
 def gru_pass(p, d, codes):
