@@ -49,7 +49,8 @@ COORDINATES = BANDS * ROWS
 BLOCK_NODES = 8                        # nodes of a block in a sweep, on average
 ORDER_CELLS = 1 << 20                  # cells of the counts by which units are ordered; any number gives the same links
 FEW_LINKS = 0.01                       # of the rows of open buckets: rounds that find less give way to the exact join
-SALT_CLASSES = 256                     # classes that share a unit and meet in one task's part of it, on average
+SIZE_STEP = 1.05                       # of the ranges of sizes by which sets that share a unit are parted; any step gives the same links
+SALT_ROWS = 256                        # rows of a range that meet in one task's part of it, on average
 BLOCK_WORDS = 40_000                   # words of the documents that are hashed together
 POISSON = np.cumsum([np.exp(-1) / float(np.prod(np.arange(1, k + 1))) for k in range(20)])
 _words: dict[str, int] = {}
@@ -303,31 +304,55 @@ def prefixes(open_sets: DataFrame, counts: np.ndarray) -> DataFrame:
         run, "unit long, nid long, class long, size long, place long, early boolean")
 
 
-def prefix_pairs(open_nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """All pairs of ``open_nodes`` (nid, class) of different classes that can have a similarity of 0.8.
+def size_cell(size: Column) -> Column:
+    """Number of a range of sizes; neighbouring ranges are a twentieth apart."""
+    return F.floor(F.log(size.cast("double")) / F.log(F.lit(SIZE_STEP)))
+
+
+def meetings(first: DataFrame) -> DataFrame:
+    """(unit, class, size, place, lead_class, _size, _place) of all that meet in a unit and can have a similarity of 0.8.
 
-    Classes meet before their nodes do, so that a unit within one large class
-    costs one row; classes that share a common unit are dealt over salts.
+    Nodes of one class, size and place meet as one.  The larger one's size and
+    place bound the sizes of its partners from both sides, so it is sent to the
+    cells of these sizes only: a common unit that stands too far behind in all
+    sets costs a row of each, not one of each pair.  Cells with many rows are
+    dealt over salts.
     """
+    shapes = staged(first.groupBy("unit", "class", "size", "place").agg(F.max("early").alias("early")), "shapes")
+    units = (shapes.groupBy("unit").agg(F.min("class").alias("_lo"), F.max("class").alias("_hi"), F.max("early").alias("_some"))
+             .filter("_lo < _hi AND _some").select("unit"))
+    shapes = staged(shapes.join(units, "unit"), "live")
+    a = shapes.filter("early").select("unit", "class", "size", "place", size_cell(F.col("size")).alias("cell"))
+    cells = staged(a.groupBy("unit", "cell").agg(F.min("class").alias("_lo"), F.max("class").alias("_hi"),
+                                                 F.ceil(F.count(F.lit(1)) / SALT_ROWS).alias("salts")), "cells")
+    rest, share = F.col("_size") - F.col("_place"), SIMILARITY / (1 + SIMILARITY)
+    most = F.least("_size", F.floor((rest + F.lit(1e-4)) / F.lit(share)).cast("long") - F.col("_size"))
+    b = (shapes.select("unit", F.col("class").alias("lead_class"), F.col("size").alias("_size"), F.col("place").alias("_place"))
+         .withColumn("_least", F.greatest(least_shared(F.col("_size")), F.lit(1).cast("long"))).withColumn("_most", most)
+         .filter("_least <= _most")
+         .withColumn("cell", F.explode(F.sequence(size_cell(F.col("_least")), size_cell(F.col("_most")))))
+         .join(cells, ["unit", "cell"]).filter("_lo < _hi OR _lo <> lead_class")
+         .select("unit", "cell", "lead_class", "_size", "_place",
+                 F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt")))
+    a = a.join(cells, ["unit", "cell"]).select("unit", "cell", "class", "size", "place", F.pmod(
+        F.xxhash64("class", "size", "place"), "salts").alias("salt"))
+    both = F.least(F.col("size") - F.col("place"), rest)
+    on = [a[c] == b[c] for c in ("unit", "cell", "salt")]
+    return (a.join(b, [*on, F.col("class") != F.col("lead_class"), F.col("size") <= F.col("_size"),
+                       least_shared(F.col("_size")) <= F.col("size"), both >= least_shared(F.col("size"), F.col("_size"))])
+            .select(a["unit"], "class", "size", "place", "lead_class", "_size", "_place"))
+
+
+def prefix_pairs(open_nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """All pairs of ``open_nodes`` (nid, class) of different classes that can have a similarity of 0.8."""
     open_sets = staged(open_nodes.join(sets, "nid").select("nid", "class", "units"), "opensets")
     first = staged(prefixes(open_sets, unit_order(open_sets)), "prefixes")
-    held = staged(first.groupBy("unit", "class").agg(F.max("early").alias("early")), "held")
-    live = (held.groupBy("unit").agg(F.min("class").alias("_lo"), F.max("class").alias("_hi"), F.max("early").alias("_some"),
-                                     F.count(F.lit(1)).alias("n"))
-            .filter("_lo < _hi AND _some").select("unit", F.ceil(F.col("n") / SALT_CLASSES).alias("salts")))
-    held = staged(held.join(live, "unit"), "live")
-    a = held.filter("early").select("unit", "class", F.pmod(F.xxhash64("class"), "salts").alias("salt"))
-    b = held.select("unit", F.col("class").alias("lead_class"),
-                    F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"))
-    meet = a.join(b, ["unit", "salt"]).filter(F.col("class") != F.col("lead_class")).select("unit", "class", "lead_class")
-    small = first.filter("early").select("unit", "class", "nid", "size", "place")
-    large = first.select("unit", F.col("class").alias("lead_class"), F.col("nid").alias("lead"), F.col("size").alias("_size"),
-                         F.col("place").alias("_place"))
-    rest = F.least(F.col("size") - F.col("place"), F.col("_size") - F.col("_place"))
-    return (meet.join(small, ["unit", "class"]).join(large, ["unit", "lead_class"])
-            .filter(((F.col("size") < F.col("_size")) | (F.col("size") == F.col("_size")) & (F.col("nid") < F.col("lead")))
-                    & (least_shared(F.col("_size")) <= F.col("size"))
-                    & (rest >= least_shared(F.col("size"), F.col("_size"))))
+    meet = staged(meetings(first), "meet")
+    small = first.filter("early").select("unit", "class", "size", "place", "nid")
+    large = first.select("unit", F.col("class").alias("lead_class"), F.col("size").alias("_size"), F.col("place").alias("_place"),
+                         F.col("nid").alias("lead"))
+    return (meet.join(small, ["unit", "class", "size", "place"]).join(large, ["unit", "lead_class", "_size", "_place"])
+            .filter((F.col("size") < F.col("_size")) | (F.col("nid") < F.col("lead")))
             .select("nid", "class", "lead", "lead_class").distinct())
 
 

@@ -357,6 +357,29 @@ def test_prefix_join_against_all_pairs(spark):
     assert dart_minhash.prefix_pairs(nodes.limit(0), held).count() == 0
 
 
+def test_a_common_unit_makes_rows_only_where_sizes_and_places_allow(spark):
+    def fits(a, b):      # rows are (unit, nid, class, size, place, early)
+        t = -(-4 * (a[3] + b[3]) // 9)
+        return (a[0] == b[0] and a[2] != b[2] and a[5] and a[3] <= b[3] and 5 * a[3] >= 4 * b[3]
+                and min(a[3] - a[4], b[3] - b[4]) >= t)
+
+    def first(rows):
+        return spark.createDataFrame(rows, "unit long, nid long, class long, size long, place long, early boolean")
+
+    # one of each class has the unit early, 400 others too far behind to be similar to it; one large class has it, too
+    rows = [(1, i, 0 if i < 100 else i, 100, 11 if i % 100 == 0 else 20, i % 100 == 0) for i in range(500)]
+    assert dart_minhash.meetings(first(rows)).count() == sum(fits(a, b) for a in rows for b in rows) < 30
+    rng = random.Random(5)
+    rows = []
+    for i in range(300):
+        size = rng.choice([1, 2, 9, 10, 99, 100, 101, 120, 125, 126])
+        place = rng.randint(0, size - -(-4 * size // 5))
+        rows.append((i % 3, i, i % 40, size, place, place <= size - -(-8 * size // 9)))
+    want = {(a[0], *a[2:5], *b[2:5]) for a in rows for b in rows if fits(a, b)}
+    got = [tuple(r) for r in dart_minhash.meetings(first(rows)).collect()]
+    assert set(got) == want and len(got) == len(want) > 100
+
+
 # -- 5 ------------------------------------------------------------------------------------------------------------
 
 def check_packing(rows, texts):
