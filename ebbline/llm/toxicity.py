@@ -53,27 +53,39 @@ FUNCTION_WORDS = {
     "fr": "le la les de des et un une est que qui dans pour sur au",
     "es": "el la los de y que en un una es por con para del se",
 }
-_LANGUAGE_OF: dict[str, list[int]] = {}
+_LANGUAGE_BITS: dict[str, int] = {}
 for _i, _words in enumerate(FUNCTION_WORDS.values()):
     for _w in _words.split():
-        _LANGUAGE_OF.setdefault(_w, []).append(_i)
+        _LANGUAGE_BITS[_w] = _LANGUAGE_BITS.get(_w, 0) | 1 << 32 + _i
 LANGUAGES = [*FUNCTION_WORDS, "other"]
 
-_seen: dict[str, tuple[int, int]] = {}
 
+class Codes(dict):
+    """A word's code: its two bucket numbers (16 bits each), above them a bit of each language whose function word it is."""
 
-def buckets(words: list[str]) -> np.ndarray:
+    def __missing__(self, word: str) -> int:
+        if len(self) > 200_000:
+            self.clear()
+        first = 1 + zlib.crc32(word.encode("utf-8", "surrogatepass")) % (BUCKETS - 1)
+        second = 1 + zlib.crc32(word[:STEM].encode("utf-8", "surrogatepass"), 0x5BD1E995) % (BUCKETS - 1)
+        code = self[word] = first | second << 16 | _LANGUAGE_BITS.get(word, 0)
+        return code
+
+
+_code_of = Codes()
+
+
+def codes(words: list[str]) -> np.ndarray:
+    return np.fromiter(map(_code_of.__getitem__, words), np.int64, len(words))
+
+
+def sides(code: np.ndarray) -> np.ndarray:
     """Bucket numbers of each word and of its beginning; 0 is kept for padding."""
-    out = []
-    for w in words:
-        b = _seen.get(w)
-        if b is None:
-            if len(_seen) > 200_000:
-                _seen.clear()
-            raw, stem = (x.encode("utf-8", "surrogatepass") for x in (w, w[:STEM]))
-            b = _seen[w] = (1 + zlib.crc32(raw) % (BUCKETS - 1), 1 + zlib.crc32(stem, 0x5BD1E995) % (BUCKETS - 1))
-        out.append(b)
-    return np.array(out, np.int64).reshape(-1, 2)
+    return np.stack([code & 0xFFFF, code >> 16 & 0xFFFF], 1)
+
+
+def buckets(words: list[str]) -> np.ndarray:
+    return sides(codes(words))
 
 
 def word_blocks(text: str) -> Iterator[tuple[list[str], bool]]:
@@ -89,9 +101,13 @@ def word_blocks(text: str) -> Iterator[tuple[list[str], bool]]:
     yield block, True
 
 
-def encode(words: list[str]) -> np.ndarray:
+def padded_sides(code: np.ndarray, more: int = 0) -> np.ndarray:
     """Buckets of one block with padding behind it (and one padding word at least)."""
-    return np.concatenate([buckets(words), np.zeros((max(WIDTHS), 2), np.int64)])
+    return sides(np.concatenate([code, np.zeros(max(WIDTHS) + more, np.int64)]))
+
+
+def encode(words: list[str]) -> np.ndarray:
+    return padded_sides(codes(words))
 
 
 def respond(p: dict, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -102,12 +118,10 @@ def respond(p: dict, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(z, 1) + p["bias"], padded
 
 
-def language(words: list[str]) -> np.ndarray:
-    hits = np.zeros(len(LANGUAGES) - 1, np.int64)
-    for w in words:
-        for i in _LANGUAGE_OF.get(w, ()):
-            hits[i] += 1
-    return hits
+def language(code: np.ndarray) -> np.ndarray:
+    """Function words of each language among the words of these codes."""
+    marked = code[code >= 1 << 32] >> 32
+    return np.array([np.count_nonzero(marked & 1 << i) for i in range(len(LANGUAGES) - 1)], np.int64)
 
 
 def name_of(hits: np.ndarray) -> int:
@@ -128,7 +142,7 @@ def logits(p: dict, texts: list[str]) -> tuple[np.ndarray, list[int]]:
     top = np.full((len(texts), FILTERS * len(WIDTHS)), -np.inf)
     hits = np.zeros((len(texts), len(LANGUAGES) - 1), np.int64)
     held: list[tuple[int, np.ndarray, int]] = []
-    apart = np.zeros((max(WIDTHS) - 1, 2), np.int64)     # no window reaches into the next text
+    apart = max(WIDTHS) - 1     # words of padding; no window reaches into the next text
 
     def flush() -> None:
         if held:
@@ -142,9 +156,10 @@ def logits(p: dict, texts: list[str]) -> tuple[np.ndarray, list[int]]:
     total = 0
     for i, text in enumerate(texts):
         for words, last in word_blocks(text):
-            whole = len(words) if last else len(words) - len(apart)      # the other words begin the next block
-            hits[i] += language(words[:whole])
-            held.append((i, ids := np.concatenate([encode(words), apart]), whole + max(WIDTHS) * last))
+            whole = len(words) if last else len(words) - apart      # the other words begin the next block
+            code = codes(words)
+            hits[i] += language(code[:whole])
+            held.append((i, ids := padded_sides(code, apart), whole + max(WIDTHS) * last))
             total += len(ids)
             if total >= BLOCK_WORDS:
                 flush()
@@ -247,9 +262,9 @@ def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         ids, lang = [], []
         for text in texts_of(b.column(b.schema.names.index("text"))):
-            words = WORD.findall(text.lower())
-            ids.append(buckets(words).astype(np.uint16).tobytes())
-            lang.append(name_of(language(words)))
+            code = codes(WORD.findall(text.lower()))
+            ids.append(sides(code).astype(np.uint16).tobytes())
+            lang.append(name_of(language(code)))
         keep = [n for n in b.schema.names if n != "text"]
         yield pa.RecordBatch.from_arrays([*(b.column(b.schema.names.index(n)) for n in keep), pa.array(lang, pa.int32()),
                                           pa.array(ids, pa.binary())], names=[*keep, "lang", "ids"])

@@ -85,6 +85,21 @@ def test_toxicity_logits_match_a_plain_loop(monkeypatch):
         assert np.allclose(toxicity.logits(p, texts)[0], want, atol=1e-3), block
 
 
+def test_a_word_is_looked_up_once(monkeypatch):
+    """Buckets and languages come from one table of codes, which holds a word that occurs often once."""
+    import zlib
+    words = ["the", "die", "un", "Straße"[:5], "\udc80x", "toxicity"] * 50
+    monkeypatch.setattr(toxicity, "_code_of", toxicity.Codes())
+    code = toxicity.codes(words)
+    assert len(toxicity._code_of) == 6
+    raw = [w.encode("utf-8", "surrogatepass") for w in words]
+    stem = [w[:4].encode("utf-8", "surrogatepass") for w in words]
+    want = [[1 + zlib.crc32(r) % 65535, 1 + zlib.crc32(s, 0x5BD1E995) % 65535] for r, s in zip(raw, stem, strict=True)]
+    assert toxicity.sides(code).tolist() == toxicity.buckets(words).tolist() == want
+    hits = [sum(w in known.split() for w in words) for known in toxicity.FUNCTION_WORDS.values()]
+    assert toxicity.language(code).tolist() == hits and toxicity.buckets([]).shape == (0, 2)
+
+
 def test_toxicity_words_at_the_end_of_a_block(monkeypatch):
     """A long text is scored alike wherever its blocks end: no window is half padding in its midst."""
     rng = random.Random(4)
