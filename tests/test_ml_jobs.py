@@ -75,3 +75,15 @@ def test_train_save_load_score_roundtrip(spark, model_df):
 
 def test_feature_contract_names():
     assert len(S.NUMERIC_FEATURES) == 64 and S.FEATURE_COLUMNS[-1] == "location_state"
+
+
+def test_forest_keeps_the_node_of_every_row(spark):
+    """No pass walks the trees from their roots, and the trees are the ones grown without that."""
+    from pyspark.ml.feature import VectorAssembler
+    df = spark.range(300).select((F.rand(1) < 0.4).cast("double").alias("label"), F.lit(1.0).alias("weight"),
+                                 F.randn(2).alias("a"), F.randn(3).alias("b"))
+    df = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df).localCheckpoint()
+    est = TR.make_estimator("random_forest", 300)
+    assert est.getCacheNodeIds() and est.getNumTrees() == 100 and est.getMaxDepth() == 30
+    few = est.setNumTrees(5)
+    assert few.fit(df).toDebugString.split("\n")[1:] == few.copy().setCacheNodeIds(False).fit(df).toDebugString.split("\n")[1:]
