@@ -16,10 +16,11 @@ band's key are a bucket.  Each bucket has one leader, and every other member is
 compared with it exactly (weighted Jaccard over all shingles, 0.8 or more), so
 work grows with the members and not with their pairs.  Buckets whose members
 are still in several classes get further leaders, also within sub-buckets that
-share a second band.  The same rounds also sweep: nodes of such buckets that
-share any two bands are dealt into small blocks, in each round into others, and
-those of a block that are in different classes are compared; a sub-bucket that
-fits one block is compared whole.  The rounds end when one finds few new links.
+share a second band.  The same rounds also sweep: each round puts all keys on a
+circle, by another hash; nodes of such buckets that share two keys which are
+neighbours among the keys of both are dealt into small blocks, and those of a
+block that are in different classes are compared; a sub-bucket that fits one
+block is compared whole.  The rounds end when one finds few new links.
 
 What is still in several classes then is finished exactly: all nodes of buckets
 in several classes are joined on a prefix of their units, rarest first.  Two
@@ -202,16 +203,27 @@ def leaders(members: DataFrame, keys: list[str], order: Column) -> DataFrame:
             .select(*keys, F.col("_lead.nid").alias("lead"), F.col("_lead.class").alias("lead_class")))
 
 
+def sub_buckets(open_rows: DataFrame, turn: int) -> DataFrame:
+    """(nid, class, sub): a node is in the sub-buckets of its keys that are neighbours on this turn's circle of keys.
+
+    The circle is an order by hash, the same for all nodes, so those that share
+    most keys share most sub-buckets, too; a node has no more of them than keys.
+    """
+    on_circle = F.struct(F.xxhash64("key", F.lit(turn)).alias("o"), "key")
+    keys = (open_rows.groupBy("nid", "class").agg(F.sort_array(F.collect_set(on_circle))["key"].alias("keys"))
+            .filter(F.size("keys") > 1))
+    after = lambda i: F.get("keys", F.pmod(i + 1, F.size("keys")))
+    both = F.transform("keys", lambda k, i: F.xxhash64(F.least(k, after(i)), F.greatest(k, after(i))))
+    return keys.select("nid", "class", F.explode(F.array_distinct(both)).alias("sub"))
+
+
 def block_pairs(open_rows: DataFrame, turn: int) -> DataFrame:
-    """Pairs of different classes that share two bands and, by a hash of this turn, a block.
+    """Pairs of different classes that share a sub-bucket and, by a hash of this turn, a block of it.
 
-    A node has at most ``BANDS`` keys; a sub-bucket has blocks in proportion to
-    its nodes, so the pairs grow with the nodes.
+    A sub-bucket has blocks in proportion to its nodes, so the pairs grow with
+    the nodes.
     """
-    keys = open_rows.groupBy("nid", "class").agg(F.sort_array(F.collect_set("key")).alias("keys"))
-    after = lambda i: F.slice("keys", i + 2, F.size("keys"))
-    both = F.flatten(F.transform("keys", lambda k, i: F.transform(after(i), lambda other: F.xxhash64(k, other))))
-    subs = staged(keys.select("nid", "class", F.explode(both).alias("sub")), "subs")
+    subs = staged(sub_buckets(open_rows, turn), "subs")
     blocks_of = (subs.groupBy("sub").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("_lo"), F.max("class").alias("_hi"))
                  .filter("_lo < _hi").select("sub", F.ceil(F.col("n") / BLOCK_NODES).alias("n_blocks")))
     dealt = staged(subs.join(blocks_of, "sub").select("nid", "class", F.xxhash64("sub", F.pmod(

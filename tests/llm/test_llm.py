@@ -299,6 +299,27 @@ def test_sweeps_compare_small_subbuckets_whole_and_large_ones_in_blocks(spark):
     assert dart_minhash.block_pairs(rows.limit(0), 1).count() == 0
 
 
+def test_sweeps_make_no_more_rows_than_a_group_has_keys(spark, monkeypatch):
+    """Nodes that share many bands meet in as many sub-buckets as they have keys, not in one for every two keys."""
+    made, real = {}, dart_minhash.staged
+
+    def counted(df, name, *codec):
+        out = real(df, name, *codec)
+        made[name] = out.count()
+        return out
+
+    monkeypatch.setattr(dart_minhash, "staged", counted)
+    group = spark.range(300).selectExpr("explode(sequence(1L, 24L)) AS key", "id AS nid", "id % 2 AS class")
+    for turn in (1, 2):
+        pairs = dart_minhash.block_pairs(group, turn).distinct().collect()
+        assert made["subs"] == made["blocks"] == group.count() and len({r["nid"] for r in pairs} | {r["lead"] for r in pairs}) == 300
+    two = group.filter("key < 3")         # of two keys there is one sub-bucket
+    dart_minhash.block_pairs(two, 1)
+    assert made["subs"] == made["blocks"] == 300
+    dart_minhash.block_pairs(two.filter("key < 2"), 1)
+    assert made["subs"] == 0
+
+
 def template_texts(n, pairs, own=10):
     """One template of 104 words with own words in the middle of each text; pairs share a few of these, too."""
     words = ["t%d" % i for i in range(104)]
