@@ -3,7 +3,8 @@
 The loops here run over the three estimators and the three folds - never
 over users or rows.  Scaling is the population-std standardisation fitted
 on the training part (M4, as the reference does); the estimators then run
-with ``standardization=False``.
+with ``standardization=False``.  A forest over many rows is fitted and kept
+in parts (:mod:`ebbline.plans.forest`).
 """
 from __future__ import annotations
 
@@ -18,8 +19,10 @@ from pyspark.sql import functions as F
 from ..operators import dataset as DS
 from ..operators import evaluate as V
 from ..session import staged
+from .forest import fit_forest
 
 MODEL_NAMES = ["gradient_boosting", "random_forest", "logistic_regression"]
+META = ["total_events", "days_since_registration", "current_level_paid"]     # kept beside the features for M14
 
 
 def make_estimator(name: str, n_train: int, max_depth_rf: int = 30):
@@ -50,6 +53,7 @@ class PreparedData:
     test: DataFrame
     columns: list[str]
     scaler: dict = field(default_factory=dict)
+    scored: dict = field(default_factory=dict)      # the test rows as each fitted model scored them, by its name
 
 
 def prepare(model_df: DataFrame, test_size: float = 0.2) -> PreparedData:
@@ -68,9 +72,8 @@ def prepare(model_df: DataFrame, test_size: float = 0.2) -> PreparedData:
     train = DS.state_one_hot(train, states)
     test = DS.state_one_hot(test, states)
     params = DS.collect_scaler(DS.scaler_params(train, cols))
-    meta = [F.col(c).alias(f"meta_{c}") for c in ("total_events", "days_since_registration", "current_level_paid")]
-    keep = ["userId", "label"] + [f"meta_{c}" for c in ("total_events", "days_since_registration",
-                                                        "current_level_paid")]
+    meta = [F.col(c).alias(f"meta_{c}") for c in META]
+    keep = ["userId", "label"] + [f"meta_{c}" for c in META]
 
     def project(df):
         raw = df.select("userId", "label", *meta,
@@ -113,16 +116,18 @@ def feature_importance(spark: SparkSession, model, columns: list[str]) -> DataFr
 # M13 ---------------------------------------------------------------------------
 def train_and_compare(model_df: DataFrame, models=None, max_depth_rf: int = 30):
     """Fit each model on train, evaluate on test; returns (metrics table,
-    fitted models by name, prepared data).  Best = max PR-AUC (ties: name)."""
+    fitted models by name, prepared data).  Best = max PR-AUC (ties: name).
+    The scored test rows are written once and stay in ``prep.scored``."""
     prep = prepare(model_df)
     n_train = prep.train.count()
     rows, fitted = None, {}
     for name in models or MODEL_NAMES:
         est = make_estimator(name, n_train, max_depth_rf)
-        m = est.fit(prep.train)
+        m = fit_forest(est, prep.train, n_train) if name == "random_forest" else est.fit(prep.train)
         fitted[name] = m
-        pred = staged(probability(m.transform(prep.test)).select("label", "score"))
-        rep = V.classification_report(pred).withColumn("model", F.lit(name))
+        prep.scored[name] = staged(probability(m.transform(prep.test)).select(
+            "userId", "label", "score", *[f"meta_{c}" for c in META]))
+        rep = V.classification_report(prep.scored[name]).withColumn("model", F.lit(name))
         rows = rep if rows is None else rows.unionByName(rep)
     metrics = rows.select("model", "pr_auc", "roc_auc", "f1_score", "precision", "recall",
                           "recall_at_90_precision", "recall_at_80_precision")
@@ -135,11 +140,11 @@ def best_model(metrics: DataFrame) -> DataFrame:
 
 
 # M14 with a fitted model ------------------------------------------------------------
-def error_analysis_for(model, prep: PreparedData) -> DataFrame:
-    pred = probability(model.transform(prep.test))
+def error_analysis_for(model, prep: PreparedData, scored: DataFrame | None = None) -> DataFrame:
+    """FP/FN analysis of the test rows; ``scored`` has them if the model scored them before (``prep.scored``)."""
+    pred = scored if scored is not None else probability(model.transform(prep.test))
     s = pred.select(F.col("label").alias("is_churned"), F.col("score").alias("churn_probability"),
-                    *[F.col(f"meta_{c}").alias(c) for c in ("total_events", "days_since_registration",
-                                                            "current_level_paid")])
+                    *[F.col(f"meta_{c}").alias(c) for c in META])
     return V.error_analysis(s)
 
 

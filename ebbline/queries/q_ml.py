@@ -159,7 +159,8 @@ register("feature_importance")(_importance)
 
 def _err_trained(spark, sf):
     metrics, fitted, prep = TR.train_and_compare(_model_df(spark, sf))
-    return TR.error_analysis_for(fitted[TR.best_model(metrics).first()["model"]], prep)
+    best = TR.best_model(metrics).first()["model"]
+    return TR.error_analysis_for(fitted[best], prep, prep.scored[best])
 
 
 register("error_analysis_trained")(_err_trained)

@@ -83,6 +83,11 @@ def _staging(spark: SparkSession) -> str:
     return shared_path(spark, f"staged/{spark.sparkContext.applicationId}")
 
 
+def staged_path(spark: SparkSession) -> str:
+    """A new path among the application's staged tables."""
+    return f"{_staging(spark)}/{uuid.uuid4().hex}"
+
+
 def staged(df):
     """``df`` written once as Parquet under the shared folder and read back.
 
@@ -91,7 +96,7 @@ def staged(df):
     and file statistics.  ``clear_staged`` drops all of an application's.
     """
     spark = df.sparkSession
-    path = f"{_staging(spark)}/{uuid.uuid4().hex}"
+    path = staged_path(spark)
     void = {f.name: F.lit(None).cast("string") for f in df.schema.fields if f.dataType.typeName() == "void"}
     df = df.withColumns(void) if void else df
     df.write.parquet(path)
